@@ -34,7 +34,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import keep, materialize
 from .joins import join_small
 
 QUARTILE_PROBS = (0.25, 0.5, 0.75)
@@ -130,9 +130,10 @@ def _emit_cells(bounds: list[tuple[Column, Column]], v: Column, cells: int) -> C
     return F.filter(F.array(*items), lambda s: s["__keep"])
 
 
-def _with_state(base: DataFrame, state: DataFrame, by: list[str], m: int):
-    """Attach band bounds to every value: literals when ungrouped (pushable,
-    no join), else a size-checked join on the group keys."""
+def _with_state(base: DataFrame, state: DataFrame, by: list[str], m: int,
+                known_rows: int | None = None):
+    """Attach band bounds to every value: literals when ungrouped (no join),
+    else a size-checked join on the group keys."""
     if not by:
         row = state.first()
         if row is None:
@@ -141,14 +142,16 @@ def _with_state(base: DataFrame, state: DataFrame, by: list[str], m: int):
         his = [F.lit(row["__hi"][i]).cast("double") for i in range(m)]
         nlit = F.lit(row[_N]).cast("long")
         return base.withColumn(_N, nlit), list(zip(los, his))
-    joined = join_small(base, state.select(*by, _N, "__lo", "__hi"), by, row_bytes=96)
+    joined = join_small(base, state.select(*by, _N, "__lo", "__hi"), by, row_bytes=96,
+                        known_rows=known_rows)
     return joined, [(F.col("__lo")[i], F.col("__hi")[i]) for i in range(m)]
 
 
-def _final_pass(base: DataFrame, state: DataFrame, by: list[str], probs: list[float]) -> DataFrame:
+def _final_pass(base: DataFrame, state: DataFrame, by: list[str], probs: list[float],
+                known_rows: int | None = None) -> DataFrame:
     """Exact values at the wanted ranks, long format: by, __pi, __n, __v0, __v1."""
     m = len(probs)
-    joined, bounds = _with_state(base, state, by, m)
+    joined, bounds = _with_state(base, state, by, m, known_rows)
     if joined is None:
         return None
     v = F.col(_V)
@@ -226,40 +229,41 @@ def _refine(base: DataFrame, state: DataFrame, by: list[str], probs: list[float]
 
 def _exact(df: DataFrame, v: Column, probs: list[float], by: list[str], accuracy: int,
            out_names: list[str], band_limit: int, cells: int) -> DataFrame:
-    m = len(probs)
     d = 3.0 / accuracy
     base = df.select(*by, v.alias(_V)).where(F.col(_V).isNotNull())
     approx_probs, lo_exprs, hi_exprs = _band_exprs(probs, d)
     aggs = [F.count(v).alias(_N), F.min(v).alias("__min"), F.max(v).alias("__max")]
     if approx_probs:
         aggs.append(F.percentile_approx(v, approx_probs, accuracy).alias("__a"))
-    sk = materialize(df.groupBy(*by).agg(*aggs))
+    sk = keep(df.groupBy(*by).agg(*aggs))
+    # One action fills the sketch and returns its size and largest group.
+    stats = sk.agg(F.count(F.lit(1)).alias("rows"), F.max(_N).alias("max_n")).first()
+    rows, max_n = stats["rows"], stats["max_n"] or 0
     state = sk.where(F.col(_N) > 0).select(
         *by, _N, "__min", "__max", F.array(*lo_exprs).alias("__lo"), F.array(*hi_exprs).alias("__hi"),
         F.array(*[F.lit(0).cast("long") for _ in probs]).alias("__below"))
+    if max_n == 0:
+        return _assemble(sk, None, by, probs, out_names)
 
-    band_estimate = (2 * d + 2.0 / accuracy)
-    max_n = sk.agg(F.max(_N)).first()[0] or 0
+    band_estimate = 2 * d + 2.0 / accuracy
     if max_n * band_estimate > band_limit:
         state = _refine(base, state, by, probs, band_limit, cells)
+        rows = None
 
-    res = _final_pass(base, state, by, probs)
-    if res is None:
-        return _assemble(sk, None, by, probs, out_names)
-    res = materialize(res)
+    res = keep(_final_pass(base, state, by, probs, rows))
     failed = res.where(F.col("__v0").isNull() | F.col("__v1").isNull())
-    if failed.limit(1).count():
-        # The sketch missed for some bands: restart those from [min, max].
-        bad_groups = materialize(failed.select(*by).distinct())
-        restart = (state.join(bad_groups, on=[state[k].eqNullSafe(bad_groups[k]) for k in by], how="left_semi")
-                   if by else state)
+    if res.agg(F.count_if(F.col("__v0").isNull() | F.col("__v1").isNull())).first()[0]:
+        # The sketch missed for some bands: restart those groups from [min, max].
+        bad_groups = keep(failed.select(*by).distinct()) if by else None
+        restart = (state.join(bad_groups, on=[state[k].eqNullSafe(bad_groups[k]) for k in by],
+                              how="left_semi") if by else state)
         restart = restart.select(*by, _N, "__min", "__max",
                                  F.array(*[F.col("__min") for _ in probs]).alias("__lo"),
                                  F.array(*[F.col("__max") for _ in probs]).alias("__hi"),
                                  F.array(*[F.lit(0).cast("long") for _ in probs]).alias("__below"))
         restart = _refine(base, restart, by, probs, band_limit, cells)
-        sub_base = (join_small(base, bad_groups, by, "left_semi") if by else base)
-        redo = materialize(_final_pass(sub_base, restart, by, probs))
+        sub_base = join_small(base, bad_groups, by, "left_semi") if by else base
+        redo = keep(_final_pass(sub_base, restart, by, probs))
         good = (res.join(bad_groups, on=[res[k].eqNullSafe(bad_groups[k]) for k in by], how="left_anti")
                 if by else res.limit(0))
         res = good.unionByName(redo)

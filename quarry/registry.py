@@ -14,7 +14,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import outliers, quantiles
+from .functions import rules
+from .operators import outliers, quantiles, validate
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -115,3 +116,91 @@ def q_quartiles_exact(spark, sf):
 def q_quartiles_approx(spark, sf):
     return quantiles.quartiles(table(spark, sf, "events"), "value", by=["event_type"],
                                method="approx")
+
+
+# ---------------------------------------------------------------------------
+# V: validation
+
+def customer_rules():
+    return [
+        rules.required("c_name"),
+        rules.matches("c_name", r"^Customer#[0-9]{9}$"),
+        rules.typed(F.substring_index("c_name", "#", -1), "bigint", name="typed_bigint:c_name_number"),
+        rules.in_range("c_acctbal", 0, 9000),
+        rules.one_of("c_mktsegment", ["AUTOMOBILE", "BUILDING", "FURNITURE", "MACHINERY"]),
+        rules.check("nation_known", F.col("c_nationkey").between(0, 24)),
+    ]
+
+
+# The same rules in DuckDB SQL: (name, bad-predicate), in rule order.
+_CUSTOMER_BAD_SQL = [
+    ("required:c_name", "c_name IS NULL"),
+    ("matches:c_name", "coalesce(NOT regexp_matches(c_name, '^Customer#[0-9]{9}$'), false)"),
+    ("typed_bigint:c_name_number",
+     "coalesce(regexp_extract(c_name, '[^#]*$') IS NOT NULL AND "
+     "(TRY_CAST(regexp_extract(c_name, '[^#]*$') AS BIGINT) IS NULL OR "
+     "NOT regexp_matches(regexp_extract(c_name, '[^#]*$'), '^\\s*[+-]?\\d+\\s*$')), false)"),
+    ("in_range:c_acctbal", "coalesce(NOT (c_acctbal >= 0 AND c_acctbal <= 9000), false)"),
+    ("one_of:c_mktsegment",
+     "coalesce(NOT (c_mktsegment IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'MACHINERY')), false)"),
+    ("nation_known", "coalesce(NOT (c_nationkey BETWEEN 0 AND 24), false)"),
+]
+_CUSTOMER_ERRORS_SQL = ("list_filter([" + ", ".join(
+    f"CASE WHEN {p} THEN '{n}' END" for n, p in _CUSTOMER_BAD_SQL) + "], lambda x: x IS NOT NULL)")
+
+
+@register("validate_errors", f"""
+SELECT c_custkey, array_to_string({_CUSTOMER_ERRORS_SQL}, '|') AS errors FROM customer
+""")
+def q_validate_errors(spark, sf):
+    out = validate.validate(table(spark, sf, "customer"), customer_rules())
+    return out.select("c_custkey", F.array_join("errors", "|").alias("errors"))
+
+
+@register("validate_valid", f"""
+SELECT * FROM customer WHERE len({_CUSTOMER_ERRORS_SQL}) = 0
+""")
+def q_validate_valid(spark, sf):
+    return validate.split_valid(table(spark, sf, "customer"), customer_rules())[0]
+
+
+@register("validate_rejected", f"""
+SELECT c_custkey, c_name, array_to_string({_CUSTOMER_ERRORS_SQL}, '|') AS errors
+FROM customer WHERE len({_CUSTOMER_ERRORS_SQL}) > 0
+""")
+def q_validate_rejected(spark, sf):
+    rej = validate.split_valid(table(spark, sf, "customer"), customer_rules())[1]
+    return rej.select("c_custkey", "c_name", F.array_join("errors", "|").alias("errors"))
+
+
+@register("error_summary", "SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT {i} AS rule_pos, '{n}' AS rule, count_if({p}) AS n_failed, count(*) AS n_rows FROM customer"
+    for i, (n, p) in enumerate(_CUSTOMER_BAD_SQL)) + ")")
+def q_error_summary(spark, sf):
+    return validate.error_summary(table(spark, sf, "customer"), customer_rules())
+
+
+def order_rules():
+    return [
+        rules.in_range("o_totalprice", 1000, 450000),
+        rules.one_of("o_orderstatus", ["O", "F", "P"]),
+        rules.check("open_orders_recent",
+                    (F.col("o_orderstatus") != "O") | (F.col("o_orderdate") >= F.lit("1997-01-01").cast("timestamp_ntz"))),
+        rules.check("priority_coded", F.col("o_orderpriority").rlike(r"^[1-5]-")),
+    ]
+
+
+_ORDER_BAD_SQL = [
+    ("in_range:o_totalprice", "coalesce(NOT (o_totalprice >= 1000 AND o_totalprice <= 450000), false)"),
+    ("one_of:o_orderstatus", "coalesce(NOT (o_orderstatus IN ('O', 'F', 'P')), false)"),
+    ("open_orders_recent",
+     "coalesce(NOT (o_orderstatus <> 'O' OR o_orderdate >= TIMESTAMP '1997-01-01'), false)"),
+    ("priority_coded", "coalesce(NOT regexp_matches(o_orderpriority, '^[1-5]-'), false)"),
+]
+
+
+@register("validate_cross", "SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT {i} AS rule_pos, '{n}' AS rule, count_if({p}) AS n_failed, count(*) AS n_rows FROM orders"
+    for i, (n, p) in enumerate(_ORDER_BAD_SQL)) + ")")
+def q_validate_cross(spark, sf):
+    return validate.error_summary(table(spark, sf, "orders"), order_rules())

@@ -76,6 +76,15 @@ def materialize(df: DataFrame) -> DataFrame:
     return kept
 
 
+def keep(df: DataFrame) -> DataFrame:
+    """Persist a small intermediate (memory and disk) for reuse by later jobs.
+
+    Lazy: the first action that needs it fills it. Lost blocks are recomputed
+    from lineage, so this is for short lineages; loops use ``materialize``.
+    """
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def broadcast_row_limit(spark: SparkSession, row_bytes: int = 64) -> int:
     """Rows a small side may have before it is joined by shuffle instead.
 

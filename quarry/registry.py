@@ -11,11 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import rules
-from .operators import outliers, quantiles, validate
+from .operators import collect, eda, outliers, quantiles, validate
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -204,3 +206,199 @@ _ORDER_BAD_SQL = [
     for i, (n, p) in enumerate(_ORDER_BAD_SQL)) + ")")
 def q_validate_cross(spark, sf):
     return validate.error_summary(table(spark, sf, "orders"), order_rules())
+
+
+# ---------------------------------------------------------------------------
+# C: aggregation, comprehensions, generators
+
+def _r(col: str, digits: int = 6):
+    return F.round(F.col(col), digits).alias(col)
+
+
+@register("group_stats", """
+SELECT l_returnflag, l_linestatus, count(l_extendedprice) AS n,
+       round(sum(l_extendedprice), 2) AS total, round(avg(l_extendedprice), 6) AS mean,
+       min(l_extendedprice) AS min, max(l_extendedprice) AS max
+FROM lineitem GROUP BY l_returnflag, l_linestatus
+""")
+def q_group_stats(spark, sf):
+    g = collect.group_stats(table(spark, sf, "lineitem"), ["l_returnflag", "l_linestatus"],
+                            "l_extendedprice")
+    return g.select("l_returnflag", "l_linestatus", "n", _r("total", 2), _r("mean"), "min", "max")
+
+
+@register("collect_by_key", """
+SELECT r.r_name, array_to_string(list_sort(list(n.n_name)), ',') AS nations
+FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey GROUP BY r.r_name
+""")
+def q_collect_by_key(spark, sf):
+    nat = table(spark, sf, "nation").join(
+        F.broadcast(table(spark, sf, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    out = collect.collect_by_key(nat, "r_name", "n_name")
+    return out.select("r_name", F.array_join("items", ",").alias("nations"))
+
+
+@register("row_comprehension", """
+SELECT p_partkey, upper(p_brand) AS brand, p_retailprice * 1.1::DOUBLE AS price_up
+FROM part WHERE p_size > 25 AND p_type <> 'ECONOMY'
+""")
+def q_row_comprehension(spark, sf):
+    p = table(spark, sf, "part")
+    return collect.comprehend(p, (F.col("p_size") > 25) & (F.col("p_type") != "ECONOMY"),
+                              p_partkey=F.col("p_partkey"), brand=F.upper("p_brand"),
+                              price_up=F.col("p_retailprice") * 1.1)
+
+
+@register("array_comprehension", """
+SELECT vec_id, label,
+       len(list_filter(embedding, lambda x: x > 0)) AS n_pos,
+       round(list_reduce(list_transform(list_filter(embedding, lambda x: x > 0),
+                                        lambda x: x::DOUBLE * x::DOUBLE),
+                         lambda a, b: a + b, 0.0::DOUBLE), 9) AS pos_energy,
+       round(list_max(embedding)::DOUBLE, 9) AS top
+FROM embeddings
+""")
+def q_array_comprehension(spark, sf):
+    e = table(spark, sf, "embeddings")
+    pos = collect.array_comprehension("embedding", keep=lambda x: x > 0)
+    sq = collect.array_comprehension(pos, f=lambda x: x.cast("double") * x.cast("double"))
+    return e.select("vec_id", "label", F.size(pos).alias("n_pos"),
+                    F.round(collect.fold(sq, F.lit(0.0).cast("double"), lambda acc, x: acc + x), 9)
+                    .alias("pos_energy"),
+                    F.round(F.array_max("embedding").cast("double"), 9).alias("top"))
+
+
+@register("row_generator", """
+WITH w AS (SELECT role, unnest(regexp_split_to_array(text, '[ \\t\\n\\r]+')) AS word FROM conversations)
+SELECT role, word, count(*) AS n FROM w WHERE word <> '' GROUP BY role, word
+""")
+def q_row_generator(spark, sf):
+    c = table(spark, sf, "conversations")
+    words = collect.generate_rows(c, collect.tokens("text"), ["role"], name="word")
+    return words.groupBy("role", "word").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _event_batch(pdf):
+    k = pdf["props"].str.extract(r'"k":\s*(-?\d+)', expand=False)
+    out = pd.DataFrame({
+        "event_id": pdf["event_id"],
+        "event_type": pdf["event_type"].str.upper(),
+        "k": pd.to_numeric(k, errors="coerce").astype("Int64"),
+        "big": pdf["value"] > 100.0,
+    })
+    return out[pdf["value"] > 0]
+
+
+@register("batch_generator", """
+SELECT event_id, upper(event_type) AS event_type,
+       TRY_CAST(regexp_extract(props, '"k":\\s*(-?\\d+)', 1) AS BIGINT) AS k,
+       value > 100.0 AS big
+FROM events WHERE value > 0
+""")
+def q_batch_generator(spark, sf):
+    ev = table(spark, sf, "events").select("event_id", "event_type", "value", "props")
+    return collect.map_batches(ev, _event_batch, "event_id long, event_type string, k long, big boolean")
+
+
+# ---------------------------------------------------------------------------
+# E: EDA tables
+
+_LI_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@register("profile_numeric", " UNION ALL ".join(f"""
+SELECT '{c}' AS column, count({c}) AS n, count(*) - count({c}) AS n_null,
+       round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS stddev, min({c}) AS min,
+       round(quantile_cont({c}, 0.25), 6) AS q1, round(quantile_cont({c}, 0.5), 6) AS median,
+       round(quantile_cont({c}, 0.75), 6) AS q3, max({c}) AS max FROM lineitem""" for c in _LI_NUM))
+def q_profile_numeric(spark, sf):
+    p = eda.profile_numeric(table(spark, sf, "lineitem"), _LI_NUM)
+    return p.select("column", "n", "n_null", _r("mean"), _r("stddev"), "min", _r("q1"),
+                    _r("median"), _r("q3"), "max")
+
+
+_CUST_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+
+
+@register("profile_missing", " UNION ALL ".join(f"""
+SELECT '{c}' AS column, count(*) AS n_rows, count(*) - count({c}) AS n_null,
+       (count(*) - count({c})) / count(*) AS null_share FROM customer""" for c in _CUST_COLS))
+def q_profile_missing(spark, sf):
+    return eda.profile_missing(table(spark, sf, "customer"), _CUST_COLS)
+
+
+@register("value_counts", """
+SELECT event_type, count(*) AS count, count(*) / (SELECT count(*) FROM events) AS share
+FROM events GROUP BY event_type
+""")
+def q_value_counts(spark, sf):
+    return eda.value_counts(table(spark, sf, "events"), "event_type")
+
+
+@register("value_counts_top", """
+SELECT user_id, count(*) AS count, count(*) / (SELECT count(*) FROM events) AS share
+FROM events GROUP BY user_id ORDER BY count DESC, user_id LIMIT 10
+""")
+def q_value_counts_top(spark, sf):
+    return eda.value_counts(table(spark, sf, "events"), "user_id", n=10)
+
+
+@register("histogram", """
+WITH b AS (
+  SELECT least(floor((l_quantity - 1.0::DOUBLE) / 4.9::DOUBLE), 9)::BIGINT AS bin, count(*) AS c
+  FROM lineitem WHERE l_quantity BETWEEN 1.0::DOUBLE AND 50.0::DOUBLE GROUP BY 1)
+SELECT g.bin, 1.0::DOUBLE + g.bin * 4.9::DOUBLE AS lower,
+       1.0::DOUBLE + (g.bin + 1) * 4.9::DOUBLE AS upper,
+       coalesce(b.c, 0) AS count
+FROM range(10) g(bin) LEFT JOIN b ON g.bin = b.bin
+""")
+def q_histogram(spark, sf):
+    return eda.histogram(table(spark, sf, "lineitem"), "l_quantity", 1.0, 50.0, 10)
+
+
+@register("box_stats", f"""
+WITH q AS ({_EV_BOUNDS_G}),
+b AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lower, q3 + 1.5 * (q3 - q1) AS upper FROM q)
+SELECT e.event_type, b.n, round(b.q1, 6) AS q1, round(b.median, 6) AS median, round(b.q3, 6) AS q3,
+       min(CASE WHEN e.value BETWEEN b.lower AND b.upper THEN e.value END) AS lower_whisker,
+       max(CASE WHEN e.value BETWEEN b.lower AND b.upper THEN e.value END) AS upper_whisker,
+       count_if(NOT (e.value BETWEEN b.lower AND b.upper)) AS n_outliers
+FROM events e JOIN b ON e.event_type = b.event_type
+GROUP BY e.event_type, b.n, b.q1, b.median, b.q3
+""")
+def q_box_stats(spark, sf):
+    b = eda.box_stats(table(spark, sf, "events"), "value", by=["event_type"])
+    return b.select("event_type", "n", _r("q1"), _r("median"), _r("q3"), "lower_whisker",
+                    "upper_whisker", "n_outliers")
+
+
+@register("correlation_pairs", " UNION ALL ".join(
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr({a}, {b}), 6) AS corr FROM lineitem"
+    for i, a in enumerate(_LI_NUM) for b in _LI_NUM[i + 1:]))
+def q_correlation_pairs(spark, sf):
+    c = eda.correlation_pairs(table(spark, sf, "lineitem"), _LI_NUM)
+    return c.select("col_a", "col_b", _r("corr"))
+
+
+@register("crosstab", """
+WITH c AS (SELECT l_returnflag, l_linestatus, count(*) AS count FROM lineitem GROUP BY ALL)
+SELECT l_returnflag, l_linestatus, count,
+       round(count / sum(count) OVER (PARTITION BY l_returnflag), 9) AS row_share,
+       round(count / sum(count) OVER (PARTITION BY l_linestatus), 9) AS col_share
+FROM c
+""")
+def q_crosstab(spark, sf):
+    x = eda.crosstab_long(table(spark, sf, "lineitem"), "l_returnflag", "l_linestatus")
+    return x.select("l_returnflag", "l_linestatus", "count", _r("row_share", 9), _r("col_share", 9))
+
+
+@register("rate_by", """
+SELECT d.lang, count(l.quality) AS n, sum(l.quality)::BIGINT AS n_flag,
+       round(avg(l.quality), 9) AS rate
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id GROUP BY d.lang
+""")
+def q_rate_by(spark, sf):
+    j = table(spark, sf, "documents").select("doc_id", "lang").join(
+        table(spark, sf, "labels").select("doc_id", "quality"), "doc_id")
+    r = eda.rate_by(j, ["lang"], "quality")
+    return r.select("lang", "n", "n_flag", _r("rate", 9))

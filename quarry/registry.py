@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import rules
-from .operators import collect, eda, outliers, quantiles, validate
+from .operators import collect, eda, outliers, quantiles, stats, validate
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -402,3 +402,77 @@ def q_rate_by(spark, sf):
         table(spark, sf, "labels").select("doc_id", "quality"), "doc_id")
     r = eda.rate_by(j, ["lang"], "quality")
     return r.select("lang", "n", "n_flag", _r("rate", 9))
+
+
+# ---------------------------------------------------------------------------
+# T: statistical tests
+
+_T_GROUPS_SQL = """
+  SELECT count(o_totalprice) FILTER (WHERE o_orderpriority = '1-URGENT') AS n_a,
+         count(o_totalprice) FILTER (WHERE o_orderpriority = '5-LOW') AS n_b,
+         avg(o_totalprice) FILTER (WHERE o_orderpriority = '1-URGENT') AS mean_a,
+         avg(o_totalprice) FILTER (WHERE o_orderpriority = '5-LOW') AS mean_b,
+         var_samp(o_totalprice) FILTER (WHERE o_orderpriority = '1-URGENT') AS var_a,
+         var_samp(o_totalprice) FILTER (WHERE o_orderpriority = '5-LOW') AS var_b
+  FROM orders WHERE o_orderpriority IN ('1-URGENT', '5-LOW')
+"""
+
+
+def _t_out(s):
+    return s.select("group_a", "group_b", "n_a", "n_b", _r("mean_a"), _r("mean_b"),
+                    _r("t", 9), _r("df", 6))
+
+
+@register("t_test_welch", f"""
+WITH s AS ({_T_GROUPS_SQL})
+SELECT '1-URGENT' AS group_a, '5-LOW' AS group_b, n_a, n_b, round(mean_a, 6) AS mean_a,
+       round(mean_b, 6) AS mean_b,
+       round((mean_a - mean_b) / sqrt(var_a / n_a + var_b / n_b), 9) AS t,
+       round(pow(var_a / n_a + var_b / n_b, 2) /
+             (pow(var_a / n_a, 2) / (n_a - 1) + pow(var_b / n_b, 2) / (n_b - 1)), 6) AS df
+FROM s
+""")
+def q_t_test_welch(spark, sf):
+    return _t_out(stats.t_summary(table(spark, sf, "orders"), "o_totalprice", "o_orderpriority",
+                                  "1-URGENT", "5-LOW"))
+
+
+@register("t_test_student", f"""
+WITH s AS ({_T_GROUPS_SQL})
+SELECT '1-URGENT' AS group_a, '5-LOW' AS group_b, n_a, n_b, round(mean_a, 6) AS mean_a,
+       round(mean_b, 6) AS mean_b,
+       round((mean_a - mean_b) / sqrt(((n_a - 1) * var_a + (n_b - 1) * var_b) / (n_a + n_b - 2)
+             * (1.0 / n_a + 1.0 / n_b)), 9) AS t,
+       round((n_a + n_b - 2)::DOUBLE, 6) AS df
+FROM s
+""")
+def q_t_test_student(spark, sf):
+    return _t_out(stats.t_summary(table(spark, sf, "orders"), "o_totalprice", "o_orderpriority",
+                                  "1-URGENT", "5-LOW", equal_var=True))
+
+
+@register("t_test_p")
+def q_t_test_p(spark, sf):
+    return stats.t_test(table(spark, sf, "orders"), "o_totalprice", "o_orderpriority",
+                        "1-URGENT", "5-LOW")
+
+
+@register("chi_square", """
+WITH c AS (SELECT l_returnflag AS a, l_linestatus AS b, count(*) AS o FROM lineitem GROUP BY ALL),
+r AS (SELECT a, sum(o) AS rt FROM c GROUP BY a),
+k AS (SELECT b, sum(o) AS ct FROM c GROUP BY b),
+t AS (SELECT sum(o) AS n FROM c),
+e AS (SELECT c.o, r.rt * k.ct / t.n AS e FROM c JOIN r USING (a) JOIN k USING (b), t)
+SELECT round(sum(pow(o - e, 2) / e), 9) AS statistic,
+       ((SELECT count(*) FROM r) - 1) * ((SELECT count(*) FROM k) - 1) AS dof,
+       sum(o)::BIGINT AS n
+FROM e
+""")
+def q_chi_square(spark, sf):
+    s = stats.chi_square_summary(table(spark, sf, "lineitem"), "l_returnflag", "l_linestatus")
+    return s.select(_r("statistic", 9), "dof", "n")
+
+
+@register("chi_square_p")
+def q_chi_square_p(spark, sf):
+    return stats.chi_square(table(spark, sf, "lineitem"), "l_returnflag", "l_linestatus")

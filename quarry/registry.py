@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import rules
-from .operators import collect, eda, outliers, quantiles, stats, validate
+from .operators import collect, eda, models, outliers, quantiles, stats, validate
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -476,3 +476,88 @@ def q_chi_square(spark, sf):
 @register("chi_square_p")
 def q_chi_square_p(spark, sf):
     return stats.chi_square(table(spark, sf, "lineitem"), "l_returnflag", "l_linestatus")
+
+
+# ---------------------------------------------------------------------------
+# M: models on documents + labels
+
+def document_features(spark, sf):
+    """Per labelled document: numeric text features, two categories, label."""
+    d = table(spark, sf, "documents")
+    lab = table(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
+    n = F.greatest(F.length("text"), F.lit(1))
+    feats = d.select(
+        "doc_id", "lang", "source",
+        F.col("n_chars").cast("double").alias("n_chars"),
+        F.size(collect.tokens("text")).cast("double").alias("n_words"),
+        F.size(F.split("text", "\n")).cast("double").alias("n_lines"),
+        (F.length(F.regexp_replace("text", "[^A-Z]", "")) / n).alias("upper_share"),
+        (F.length(F.regexp_replace("text", "[^0-9]", "")) / n).alias("digit_share"),
+        (F.length(F.regexp_replace("text", "[^!?.]", "")) / n).alias("punct_share"))
+    return feats.join(lab, "doc_id")
+
+
+_NUMERIC_FEATURES = ["n_chars", "n_words", "n_lines", "upper_share", "digit_share", "punct_share"]
+
+
+@register("model_comparison")
+def q_model_comparison(spark, sf):
+    data = document_features(spark, sf)
+    train, test = models.split(data, "doc_id", 0.2, salt=7)
+    stages = models.preprocess(_NUMERIC_FEATURES, ["lang", "source"])
+    return models.compare_models(train, test, stages, order_key="doc_id")
+
+
+def _scored_labels(spark, sf):
+    """A fixed prediction table from the data: score = share of upper-case letters."""
+    d = table(spark, sf, "documents").select(
+        "doc_id", (F.length(F.regexp_replace("text", "[^A-Z]", "")) /
+                   F.greatest(F.length("text"), F.lit(1))).alias("score"))
+    lab = table(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
+    return d.join(lab, "doc_id").withColumn(
+        "prediction", F.when(F.col("score") > 0.02, 1.0).otherwise(0.0))
+
+
+_SCORED_SQL = """
+  SELECT d.doc_id, l.quality::DOUBLE AS label,
+         length(regexp_replace(d.text, '[^A-Z]', '', 'g')) / greatest(length(d.text), 1) AS score,
+         CASE WHEN length(regexp_replace(d.text, '[^A-Z]', '', 'g')) / greatest(length(d.text), 1) > 0.02
+              THEN 1.0 ELSE 0.0 END AS prediction
+  FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+"""
+
+
+@register("binary_metrics", f"""
+WITH s AS ({_SCORED_SQL}),
+r AS (SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS rk FROM s),
+a AS (SELECT (sum(rk) FILTER (WHERE label = 1) - count_if(label = 1) * (count_if(label = 1) + 1) / 2.0)
+             / (count_if(label = 1) * count_if(label = 0)) AS auc FROM r),
+m AS (SELECT count(*) AS n, count_if(label = 1) AS n_pos,
+             count_if(label = 1 AND prediction = 1) AS tp, count_if(label = 0 AND prediction = 1) AS fp,
+             count_if(label = 1 AND prediction = 0) AS fn, count_if(label = prediction) AS correct FROM s)
+SELECT n, n_pos, round(correct / n, 9) AS accuracy,
+       round(CASE WHEN tp + fp > 0 THEN tp / (tp + fp) END, 9) AS precision,
+       round(CASE WHEN tp + fn > 0 THEN tp / (tp + fn) END, 9) AS recall,
+       round(CASE WHEN tp > 0 THEN 2.0 * tp / (2 * tp + fp + fn) END, 9) AS f1,
+       round(auc, 9) AS auc, round(greatest(n_pos, n - n_pos) / n, 9) AS majority_accuracy
+FROM m, a
+""")
+def q_binary_metrics(spark, sf):
+    m = models.binary_metrics(_scored_labels(spark, sf), score="score")
+    return m.select("n", "n_pos", *[_r(c, 9) for c in
+                                    ("accuracy", "precision", "recall", "f1", "auc", "majority_accuracy")])
+
+
+@register("confusion", f"""
+WITH s AS ({_SCORED_SQL})
+SELECT label, prediction::DOUBLE AS prediction, count(*) AS count FROM s GROUP BY ALL
+""")
+def q_confusion(spark, sf):
+    return models.confusion(_scored_labels(spark, sf))
+
+
+@register("split_sizes")
+def q_split_sizes(spark, sf):
+    train, test = models.split(document_features(spark, sf), "doc_id", 0.2, salt=7)
+    return train.select(F.lit("train").alias("part"), "doc_id").unionByName(
+        test.select(F.lit("test").alias("part"), "doc_id")).groupBy("part").count()

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import rules
-from .operators import collect, eda, models, outliers, quantiles, stats, validate
+from .operators import collect, eda, ingest, models, outliers, quantiles, report, stats, validate
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -88,9 +88,9 @@ def q_iqr_flag(spark, sf):
 WITH q AS ({_EV_BOUNDS_G}),
 b AS (SELECT event_type, q1 - 1.5 * (q3 - q1) AS lower, q3 + 1.5 * (q3 - q1) AS upper FROM q)
 SELECT e.event_type, count(*) AS n_rows,
-       count_if(e.value BETWEEN b.lower AND b.upper) AS n_kept,
-       count_if(NOT (e.value BETWEEN b.lower AND b.upper)) AS n_outliers,
-       count_if((e.value BETWEEN b.lower AND b.upper) IS NULL) AS n_null,
+       count_if(e.value BETWEEN b.lower AND b.upper)::BIGINT AS n_kept,
+       count_if(NOT (e.value BETWEEN b.lower AND b.upper))::BIGINT AS n_outliers,
+       count_if((e.value BETWEEN b.lower AND b.upper) IS NULL)::BIGINT AS n_null,
        max(b.lower) AS lower, max(b.upper) AS upper
 FROM events e LEFT JOIN b ON e.event_type IS NOT DISTINCT FROM b.event_type
 GROUP BY e.event_type
@@ -176,7 +176,7 @@ def q_validate_rejected(spark, sf):
 
 
 @register("error_summary", "SELECT * FROM (" + " UNION ALL ".join(
-    f"SELECT {i} AS rule_pos, '{n}' AS rule, count_if({p}) AS n_failed, count(*) AS n_rows FROM customer"
+    f"SELECT {i} AS rule_pos, '{n}' AS rule, count_if({p})::BIGINT AS n_failed, count(*) AS n_rows FROM customer"
     for i, (n, p) in enumerate(_CUSTOMER_BAD_SQL)) + ")")
 def q_error_summary(spark, sf):
     return validate.error_summary(table(spark, sf, "customer"), customer_rules())
@@ -202,7 +202,7 @@ _ORDER_BAD_SQL = [
 
 
 @register("validate_cross", "SELECT * FROM (" + " UNION ALL ".join(
-    f"SELECT {i} AS rule_pos, '{n}' AS rule, count_if({p}) AS n_failed, count(*) AS n_rows FROM orders"
+    f"SELECT {i} AS rule_pos, '{n}' AS rule, count_if({p})::BIGINT AS n_failed, count(*) AS n_rows FROM orders"
     for i, (n, p) in enumerate(_ORDER_BAD_SQL)) + ")")
 def q_validate_cross(spark, sf):
     return validate.error_summary(table(spark, sf, "orders"), order_rules())
@@ -262,7 +262,7 @@ def q_array_comprehension(spark, sf):
     e = table(spark, sf, "embeddings")
     pos = collect.array_comprehension("embedding", keep=lambda x: x > 0)
     sq = collect.array_comprehension(pos, f=lambda x: x.cast("double") * x.cast("double"))
-    return e.select("vec_id", "label", F.size(pos).alias("n_pos"),
+    return e.select("vec_id", "label", F.size(pos).cast("long").alias("n_pos"),
                     F.round(collect.fold(sq, F.lit(0.0).cast("double"), lambda acc, x: acc + x), 9)
                     .alias("pos_energy"),
                     F.round(F.array_max("embedding").cast("double"), 9).alias("top"))
@@ -362,7 +362,7 @@ b AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lower, q3 + 1.5 * (q3 - q1) AS upper FRO
 SELECT e.event_type, b.n, round(b.q1, 6) AS q1, round(b.median, 6) AS median, round(b.q3, 6) AS q3,
        min(CASE WHEN e.value BETWEEN b.lower AND b.upper THEN e.value END) AS lower_whisker,
        max(CASE WHEN e.value BETWEEN b.lower AND b.upper THEN e.value END) AS upper_whisker,
-       count_if(NOT (e.value BETWEEN b.lower AND b.upper)) AS n_outliers
+       count_if(NOT (e.value BETWEEN b.lower AND b.upper))::BIGINT AS n_outliers
 FROM events e JOIN b ON e.event_type = b.event_type
 GROUP BY e.event_type, b.n, b.q1, b.median, b.q3
 """)
@@ -532,7 +532,7 @@ WITH s AS ({_SCORED_SQL}),
 r AS (SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS rk FROM s),
 a AS (SELECT (sum(rk) FILTER (WHERE label = 1) - count_if(label = 1) * (count_if(label = 1) + 1) / 2.0)
              / (count_if(label = 1) * count_if(label = 0)) AS auc FROM r),
-m AS (SELECT count(*) AS n, count_if(label = 1) AS n_pos,
+m AS (SELECT count(*) AS n, count_if(label = 1)::BIGINT AS n_pos,
              count_if(label = 1 AND prediction = 1) AS tp, count_if(label = 0 AND prediction = 1) AS fp,
              count_if(label = 1 AND prediction = 0) AS fn, count_if(label = prediction) AS correct FROM s)
 SELECT n, n_pos, round(correct / n, 9) AS accuracy,
@@ -561,3 +561,92 @@ def q_split_sizes(spark, sf):
     train, test = models.split(document_features(spark, sf), "doc_id", 0.2, salt=7)
     return train.select(F.lit("train").alias("part"), "doc_id").unionByName(
         test.select(F.lit("test").alias("part"), "doc_id")).groupBy("part").count()
+
+
+# ---------------------------------------------------------------------------
+# J: payload shaping and enrichment
+
+@register("json_extract", """
+SELECT event_id, TRY_CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events
+""")
+def q_json_extract(spark, sf):
+    return ingest.parse_json_column(table(spark, sf, "events"), "props", "k int", keep=["event_id"])
+
+
+@register("enrich_join", """
+SELECT c.c_custkey, c.c_name, n.n_name, r.r_name
+FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
+""")
+def q_enrich_join(spark, sf):
+    cust = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
+    nat = table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name",
+                                            "n_regionkey")
+    reg = table(spark, sf, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
+    out = ingest.enrich(ingest.enrich(cust, nat, "c_nationkey"), reg, "n_regionkey")
+    return out.select("c_custkey", "c_name", "n_name", "r_name")
+
+
+@register("flatten_parallel", """
+SELECT vec_id, unnest(generate_series(0, len(embedding) - 1)) AS pos,
+       unnest(embedding)::DOUBLE AS value
+FROM embeddings
+""")
+def q_flatten_parallel(spark, sf):
+    e = table(spark, sf, "embeddings")
+    flat = ingest.flatten_parallel(
+        e, [F.sequence(F.lit(0), F.size("embedding") - 1).cast("array<bigint>"), "embedding"],
+        ["pos", "value"], keep=["vec_id"])
+    return flat.select("vec_id", "pos", F.col("value").cast("double").alias("value"))
+
+
+# ---------------------------------------------------------------------------
+# R: report table
+
+def _orders_report(spark, sf):
+    o = table(spark, sf, "orders")
+    prof = eda.profile_numeric(o, ["o_totalprice"])
+    vc = eda.value_counts(o, "o_orderpriority")
+    tt = stats.t_summary(o, "o_totalprice", "o_orderpriority", "1-URGENT", "5-LOW").drop(
+        "group_a", "group_b")
+    chi = stats.chi_square_summary(o, "o_orderstatus", "o_orderpriority")
+    return report.report_table({"profile": (prof, ["column"]),
+                                "priority_counts": (vc, ["o_orderpriority"]),
+                                "t_test": (tt, []), "chi_square": (chi, [])})
+
+
+def _report_sql():
+    prof_cols = ["n", "n_null", "mean", "stddev", "min", "q1", "median", "q3", "max"]
+    prof = ("WITH p AS (SELECT 'o_totalprice' AS item, count(o_totalprice)::DOUBLE AS n, "
+            "(count(*) - count(o_totalprice))::DOUBLE AS n_null, avg(o_totalprice) AS mean, "
+            "stddev_samp(o_totalprice) AS stddev, min(o_totalprice) AS min, "
+            "quantile_cont(o_totalprice, 0.25) AS q1, quantile_cont(o_totalprice, 0.5) AS median, "
+            "quantile_cont(o_totalprice, 0.75) AS q3, max(o_totalprice) AS max FROM orders), "
+            "vc AS (SELECT o_orderpriority AS item, count(*)::DOUBLE AS count, "
+            "count(*) / (SELECT count(*) FROM orders) AS share FROM orders GROUP BY 1), "
+            f"t AS ({_T_GROUPS_SQL}), "
+            "c AS (SELECT o_orderstatus AS a, o_orderpriority AS b, count(*) AS o FROM orders GROUP BY ALL), "
+            "r AS (SELECT a, sum(o) AS rt FROM c GROUP BY a), k AS (SELECT b, sum(o) AS ct FROM c GROUP BY b), "
+            "tn AS (SELECT sum(o) AS n FROM c), "
+            "e AS (SELECT c.o, r.rt * k.ct / tn.n AS e FROM c JOIN r USING (a) JOIN k USING (b), tn), "
+            "chi AS (SELECT sum(pow(o - e, 2) / e) AS statistic, "
+            "((SELECT count(*) FROM r) - 1) * ((SELECT count(*) FROM k) - 1) AS dof, sum(o) AS n FROM e) ")
+    parts = [f"SELECT 'profile' AS section, item, '{m}' AS metric, round({m}::DOUBLE, 6) AS value FROM p"
+             for m in prof_cols]
+    parts += [f"SELECT 'priority_counts', item, '{m}', round({m}::DOUBLE, 6) FROM vc" for m in ("count", "share")]
+    tcols = {"n_a": "n_a", "n_b": "n_b", "mean_a": "mean_a", "mean_b": "mean_b", "var_a": "var_a",
+             "var_b": "var_b", "t": "(mean_a - mean_b) / sqrt(var_a / n_a + var_b / n_b)",
+             "df": "pow(var_a / n_a + var_b / n_b, 2) / (pow(var_a / n_a, 2) / (n_a - 1) "
+                   "+ pow(var_b / n_b, 2) / (n_b - 1))"}
+    parts += [f"SELECT 't_test', 'all', '{m}', round(({e})::DOUBLE, 6) FROM t" for m, e in tcols.items()]
+    parts += [f"SELECT 'chi_square', 'all', '{m}', round({m}::DOUBLE, 6) FROM chi"
+              for m in ("statistic", "dof", "n")]
+    parts += ["SELECT 'chi_square', 'all', 'n_a', round((SELECT count(*) FROM r)::DOUBLE, 6)",
+              "SELECT 'chi_square', 'all', 'n_b', round((SELECT count(*) FROM k)::DOUBLE, 6)"]
+    return prof + " UNION ALL ".join(parts)
+
+
+@register("report", _report_sql())
+def q_report(spark, sf):
+    r = _orders_report(spark, sf)
+    return r.select("section", "item", "metric", F.round("value", 6).alias("value"))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .joins import join_small
-from .quantiles import clean_value, quartiles
+from .quantiles import QUARTILE_PROBS, clean_value, exact_values, quartiles
 
 
 def iqr_bounds(df: DataFrame, col: str, k: float = 1.5, by: Sequence[str] | None = None,
@@ -33,14 +33,31 @@ def iqr_bounds(df: DataFrame, col: str, k: float = 1.5, by: Sequence[str] | None
                     (F.col("q3") + F.lit(k) * iqr).alias("upper"))
 
 
+def bound_values(df: DataFrame, col: str, k: float = 1.5, method: str = "exact",
+                 accuracy: int = 10000) -> tuple[float | None, float | None]:
+    """Ungrouped ``(lower, upper)`` as Python values, to be used as literals."""
+    if method == "exact":
+        _, (q1, _, q3) = exact_values(df, col, QUARTILE_PROBS, accuracy)
+    else:
+        row = quartiles(df, col, None, method, accuracy).first()
+        q1, q3 = row["q1"], row["q3"]
+    if q1 is None or q3 is None:
+        return None, None
+    iqr = q3 - q1
+    return q1 - k * iqr, q3 + k * iqr
+
+
 def _with_bounds(df: DataFrame, col: str, k: float, by: list[str], method: str,
                  accuracy: int, bounds: DataFrame | None) -> DataFrame:
-    b = bounds if bounds is not None else iqr_bounds(df, col, k, by, method, accuracy)
     if not by:
-        row = b.select("lower", "upper").first()
-        lo, hi = (row["lower"], row["upper"]) if row is not None else (None, None)
+        if bounds is not None:
+            row = bounds.select("lower", "upper").first()
+            lo, hi = (row["lower"], row["upper"]) if row is not None else (None, None)
+        else:
+            lo, hi = bound_values(df, col, k, method, accuracy)
         return df.withColumn("__lower", F.lit(lo).cast("double")).withColumn(
             "__upper", F.lit(hi).cast("double"))
+    b = bounds if bounds is not None else iqr_bounds(df, col, k, by, method, accuracy)
     side = b.select(*by, F.col("lower").alias("__lower"), F.col("upper").alias("__upper"))
     return join_small(df, side, by, how="left")
 
@@ -61,12 +78,15 @@ def remove_outliers(df: DataFrame, col: str, k: float = 1.5, by: Sequence[str] |
     """Rows whose value lies inside its group's bounds, bounds included."""
     by = list(by or [])
     if not by:
-        b = bounds if bounds is not None else iqr_bounds(df, col, k, by, method, accuracy)
-        row = b.select("lower", "upper").first()
-        if row is None or row["lower"] is None:
+        if bounds is not None:
+            row = bounds.select("lower", "upper").first()
+            lo, hi = (row["lower"], row["upper"]) if row is not None else (None, None)
+        else:
+            lo, hi = bound_values(df, col, k, method, accuracy)
+        if lo is None:
             return df.limit(0)
         # Literal bounds: pushed down to the scan as two range filters.
-        return df.where(F.col(col).between(F.lit(row["lower"]), F.lit(row["upper"])))
+        return df.where(F.col(col).between(F.lit(lo), F.lit(hi)))
     j = _with_bounds(df, col, k, by, method, accuracy, bounds)
     return j.where(clean_value(col).between(F.col("__lower"), F.col("__upper"))).drop(
         "__lower", "__upper")

@@ -29,6 +29,7 @@ materialized; their sizes are checked before any broadcast.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -80,6 +81,11 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str]
         return res.select(*by, "n", *[F.col("__q")[i].alias(nm) for i, nm in enumerate(out_names)])
     if method != "exact":
         raise ValueError(f"unknown method {method!r}")
+    if not by:
+        # One result row: computed by two distributed jobs, returned as values.
+        n, vals = exact_values(df, col, probs, accuracy, band_limit, cells)
+        schema = ", ".join(["n bigint"] + [f"`{nm}` double" for nm in out_names])
+        return df.sparkSession.createDataFrame([(n, *vals)], schema)
     return _exact(df, v, probs, by, accuracy, out_names, band_limit, cells)
 
 
@@ -92,30 +98,29 @@ def quartiles(df: DataFrame, col: str, by: Sequence[str] | None = None, method:
 # ---------------------------------------------------------------------------
 # exact, distributed
 
-def _band_exprs(probs: list[float], d: float):
-    """Sketch probabilities and, per quantile, the band ends over sketch columns."""
+def _band_index(probs: list[float], d: float):
+    """Sketch probabilities and, per quantile, where each band end comes from:
+    ``"min"``, ``"max"`` or an index into the sketch's result array."""
     approx_probs: list[float] = []
-    lo_exprs, hi_exprs = [], []
+    lo_idx: list = []
+    hi_idx: list = []
     for p in probs:
         for side, target in (("lo", p - d), ("hi", p + d)):
             if side == "lo" and target <= 0.0:
-                lo_exprs.append(F.col("__min"))
+                lo_idx.append("min")
             elif side == "hi" and target >= 1.0:
-                hi_exprs.append(F.col("__max"))
+                hi_idx.append("max")
             else:
                 approx_probs.append(target)
-                e = F.col("__a")[len(approx_probs) - 1]
-                (lo_exprs if side == "lo" else hi_exprs).append(e)
-    return approx_probs, lo_exprs, hi_exprs
+                (lo_idx if side == "lo" else hi_idx).append(len(approx_probs) - 1)
+    return approx_probs, lo_idx, hi_idx
 
 
-def _emit(bounds: list[tuple[Column, Column]], v: Column) -> Column:
-    """Per value, one struct per quantile it is not above: key = value inside
-    the band, null when below it (all below-rows of a band merge into one)."""
-    items = [F.struct(F.lit(i).alias("__pi"), F.when(v >= lo, v).alias("__key"),
-                      (v <= hi).alias("__keep"))
-             for i, (lo, hi) in enumerate(bounds)]
-    return F.filter(F.array(*items), lambda s: s["__keep"])
+def _band_exprs(probs: list[float], d: float):
+    """Sketch probabilities and, per quantile, the band ends over sketch columns."""
+    approx_probs, lo_idx, hi_idx = _band_index(probs, d)
+    col = lambda i: F.col("__min") if i == "min" else F.col("__max") if i == "max" else F.col("__a")[i]
+    return approx_probs, [col(i) for i in lo_idx], [col(i) for i in hi_idx]
 
 
 def _emit_cells(bounds: list[tuple[Column, Column]], v: Column, cells: int) -> Column:
@@ -135,7 +140,7 @@ def _with_state(base: DataFrame, state: DataFrame, by: list[str], m: int,
     """Attach band bounds to every value: literals when ungrouped (no join),
     else a size-checked join on the group keys."""
     if not by:
-        row = state.first()
+        row = state if isinstance(state, dict) else state.first()
         if row is None:
             return None, None
         los = [F.lit(row["__lo"][i]).cast("double") for i in range(m)]
@@ -147,28 +152,48 @@ def _with_state(base: DataFrame, state: DataFrame, by: list[str], m: int,
     return joined, [(F.col("__lo")[i], F.col("__hi")[i]) for i in range(m)]
 
 
-def _final_pass(base: DataFrame, state: DataFrame, by: list[str], probs: list[float],
+def _final_pass(base: DataFrame, state, by: list[str], probs: list[float],
                 known_rows: int | None = None) -> DataFrame:
-    """Exact values at the wanted ranks, long format: by, __pi, __n, __v0, __v1."""
+    """Exact values at the wanted ranks, long format: by, __pi, __n, __v0, __v1.
+
+    Each value becomes one row keyed for sorting: a value inside any band is
+    its own key; a value between bands is keyed by the upper end of the band
+    below it (or -inf below all bands) and marked as a gap; values above every
+    band are dropped. Counting per ``(group, key, gap)`` merges the gaps into a
+    handful of rows, so a window per group turns counts into ranks over only
+    the band values (overlapping bands need no special case).
+    """
     m = len(probs)
     joined, bounds = _with_state(base, state, by, m, known_rows)
     if joined is None:
         return None
     v = F.col(_V)
-    cnt = (joined.select(*by, _N, F.inline(_emit(bounds, v)))
-           .groupBy(*by, "__pi", _N, "__key").agg(F.count(F.lit(1)).alias("__c")))
-    w = (Window.partitionBy(*by, "__pi").orderBy(F.col("__key").asc_nulls_first())
+    in_band = None
+    for lo, hi in bounds:
+        c = (v >= lo) & (v <= hi)
+        in_band = c if in_band is None else in_band | c
+    gap_key = F.greatest(*[F.when(hi < v, hi) for _, hi in bounds], F.lit(float("-inf")))
+    above = None
+    for _, hi in bounds:
+        c = v > hi
+        above = c if above is None else above & c
+    keyed = joined.where(~above).select(
+        *by, _N, F.when(in_band, v).otherwise(gap_key).alias("__key"), (~in_band).alias("__gap"))
+    cnt = keyed.groupBy(*by, _N, "__key", "__gap").agg(F.count(F.lit(1)).alias("__c"))
+    w = (Window.partitionBy(*by).orderBy("__key", "__gap")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     ranked = cnt.withColumn("__cum", F.sum("__c").over(w))
-    p = F.element_at(F.array(*[F.lit(x) for x in probs]), F.col("__pi") + 1)
-    h = (F.col(_N) - 1).cast("double") * p
-    k0, k1 = F.floor(h), F.ceil(h)
     start = F.col("__cum") - F.col("__c")
-    hit0 = (start <= k0) & (k0 < F.col("__cum"))
-    hit1 = (start <= k1) & (k1 < F.col("__cum"))
-    return ranked.groupBy(*by, "__pi", _N).agg(
-        F.max(F.when(hit0, F.col("__key"))).alias("__v0"),
-        F.max(F.when(hit1, F.col("__key"))).alias("__v1"))
+    hits = []
+    for i, p in enumerate(probs):
+        h = (F.col(_N) - 1).cast("double") * F.lit(p)
+        for j, k in enumerate((F.floor(h), F.ceil(h))):
+            hit = ~F.col("__gap") & (start <= k) & (k < F.col("__cum"))
+            hits.append(F.max(F.when(hit, F.col("__key"))).alias(f"__h{i}_{j}"))
+    per_group = ranked.groupBy(*by, _N).agg(*hits)
+    return per_group.select(*by, _N, F.inline(F.array(*[
+        F.struct(F.lit(i).alias("__pi"), F.col(f"__h{i}_0").alias("__v0"),
+                 F.col(f"__h{i}_1").alias("__v1")) for i in range(m)])))
 
 
 def _refine(base: DataFrame, state: DataFrame, by: list[str], probs: list[float],
@@ -227,6 +252,45 @@ def _refine(base: DataFrame, state: DataFrame, by: list[str], probs: list[float]
     raise RuntimeError("quantile band refinement did not converge")
 
 
+def _interpolate(n: int, p: float, v0: float, v1: float) -> float:
+    """Same arithmetic as the Column expression in ``_assemble``."""
+    h = float(n - 1) * p
+    lo, hi = math.floor(h), math.ceil(h)
+    return v0 if lo == hi else (hi - h) * v0 + (h - lo) * v1
+
+
+def exact_values(df: DataFrame, col: str | Column, probs: Sequence[float], accuracy: int = 10000,
+                 band_limit: int = 2_000_000, cells: int = 4096) -> tuple[int, list[float | None]]:
+    """Ungrouped exact quantiles as Python values: ``(n, [value per prob])``.
+
+    Two jobs in the common case: the sketch (one row back) and the band pass
+    (one row per probability back). Used where the bounds become literals.
+    """
+    probs = [float(p) for p in probs]
+    v = clean_value(col)
+    d = 3.0 / accuracy
+    approx_probs, lo_idx, hi_idx = _band_index(probs, d)
+    aggs = [F.count(v).alias(_N), F.min(v).alias("__min"), F.max(v).alias("__max")]
+    if approx_probs:
+        aggs.append(F.percentile_approx(v, approx_probs, accuracy).alias("__a"))
+    row = df.agg(*aggs).first()
+    n = row[_N]
+    if not n:
+        return 0, [None] * len(probs)
+    pick = lambda i: row["__min"] if i == "min" else row["__max"] if i == "max" else row["__a"][i]
+    state = {_N: n, "__lo": [pick(i) for i in lo_idx], "__hi": [pick(i) for i in hi_idx]}
+    if n * (2 * d + 2.0 / accuracy) <= band_limit:
+        base = df.select(v.alias(_V)).where(F.col(_V).isNotNull())
+        got = {r["__pi"]: r for r in _final_pass(base, state, [], probs).collect()}
+        if all(got.get(i) is not None and got[i]["__v0"] is not None and got[i]["__v1"] is not None
+               for i in range(len(probs))):
+            return n, [_interpolate(n, p, got[i]["__v0"], got[i]["__v1"]) for i, p in enumerate(probs)]
+    # Large or missed bands: the general path (refinement, restart).
+    out = _exact(df, v, probs, [], accuracy, [f"__q{i}" for i in range(len(probs))], band_limit, cells)
+    r = out.first()
+    return n, [r[f"__q{i}"] for i in range(len(probs))]
+
+
 def _exact(df: DataFrame, v: Column, probs: list[float], by: list[str], accuracy: int,
            out_names: list[str], band_limit: int, cells: int) -> DataFrame:
     d = 3.0 / accuracy

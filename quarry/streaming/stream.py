@@ -95,6 +95,9 @@ def windowed_outlier_counts(flagged: DataFrame, ts: str, window: str = "1 hour",
     """``window, by..., n_rows, n_outliers`` per event-time window; rows later
     than the watermark are dropped from the state, finished windows emitted once."""
     by = list(by or [])
+    if flagged.schema[ts].dataType.typeName() == "timestamp_ntz":
+        # watermarks need an instant: read wall-clock times in the session time zone
+        flagged = flagged.withColumn(ts, F.col(ts).cast("timestamp"))
     return (flagged.withWatermark(ts, watermark)
             .groupBy(F.window(ts, window), *by)
             .agg(F.count(F.lit(1)).alias("n_rows"),

@@ -11,11 +11,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import keep
 from .joins import join_small
-from .outliers import iqr_bounds
+from .outliers import iqr_bounds_table
 from .quantiles import clean_value, quartiles
 
 
@@ -99,11 +100,11 @@ def box_stats(df: DataFrame, col: str, by: Sequence[str] | None = None, k: float
     Whiskers are the most extreme values inside the IQR bounds.
     """
     by = list(by or [])
-    b = iqr_bounds(df, col, k, by, method)
+    b, rows = iqr_bounds_table(df, col, k, by, method)
     v = clean_value(col)
     if by:
         j = join_small(df.select(*by, v.alias("__v")),
-                       b.select(*by, "n", "q1", "median", "q3", "lower", "upper"), by)
+                       b.select(*by, "n", "q1", "median", "q3", "lower", "upper"), by, known_rows=rows)
     else:
         row = b.first()
         j = df.select(v.alias("__v"), *[F.lit(row[c]).alias(c) for c in
@@ -143,12 +144,14 @@ def crosstab_long(df: DataFrame, a: str, b: str, complete: bool = True) -> DataF
                                F.coalesce("count", F.lit(0)).cast("long").alias("count"))
             nulls = counts.where(F.col(a).isNull() | F.col(b).isNull())
             counts = grid.unionByName(nulls)
-    wa = Window.partitionBy(a)
-    wb = Window.partitionBy(b)
-    return counts.select(
-        a, b, "count",
-        (F.col("count") / F.sum("count").over(wa)).alias("row_share"),
-        (F.col("count") / F.sum("count").over(wb)).alias("col_share"))
+    # Margins as aggregates joined back (broadcast when counted small), so a
+    # category with very many cells is not gathered into one window task.
+    counts = keep(counts)
+    rows = counts.groupBy(a).agg(F.sum("count").alias("__rt"))
+    cols = counts.groupBy(b).agg(F.sum("count").alias("__ct"))
+    j = join_small(join_small(counts, rows, [a]), cols, [b])
+    return j.select(a, b, "count", (F.col("count") / F.col("__rt")).alias("row_share"),
+                    (F.col("count") / F.col("__ct")).alias("col_share"))
 
 
 def rate_by(df: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:

@@ -19,18 +19,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .joins import join_small
-from .quantiles import QUARTILE_PROBS, clean_value, exact_values, quartiles
+from .quantiles import QUARTILE_PROBS, clean_value, exact_values, quartile_table, quartiles
 
 
 def iqr_bounds(df: DataFrame, col: str, k: float = 1.5, by: Sequence[str] | None = None,
                method: str = "exact", accuracy: int = 10000) -> DataFrame:
     """``by..., n, q1, median, q3, iqr, lower, upper``."""
+    return iqr_bounds_table(df, col, k, by, method, accuracy)[0]
+
+
+def iqr_bounds_table(df: DataFrame, col: str, k: float = 1.5, by: Sequence[str] | None = None,
+                     method: str = "exact", accuracy: int = 10000) -> tuple[DataFrame, int | None]:
+    """``iqr_bounds`` and its row count when known (one row per group)."""
     by = list(by or [])
-    q = quartiles(df, col, by, method, accuracy)
+    q, rows = quartile_table(df, col, by, method, accuracy)
     iqr = F.col("q3") - F.col("q1")
     return q.select(*by, "n", "q1", "median", "q3", iqr.alias("iqr"),
                     (F.col("q1") - F.lit(k) * iqr).alias("lower"),
-                    (F.col("q3") + F.lit(k) * iqr).alias("upper"))
+                    (F.col("q3") + F.lit(k) * iqr).alias("upper")), rows
 
 
 def bound_values(df: DataFrame, col: str, k: float = 1.5, method: str = "exact",
@@ -57,9 +63,9 @@ def _with_bounds(df: DataFrame, col: str, k: float, by: list[str], method: str,
             lo, hi = bound_values(df, col, k, method, accuracy)
         return df.withColumn("__lower", F.lit(lo).cast("double")).withColumn(
             "__upper", F.lit(hi).cast("double"))
-    b = bounds if bounds is not None else iqr_bounds(df, col, k, by, method, accuracy)
+    b, rows = (bounds, None) if bounds is not None else iqr_bounds_table(df, col, k, by, method, accuracy)
     side = b.select(*by, F.col("lower").alias("__lower"), F.col("upper").alias("__upper"))
-    return join_small(df, side, by, how="left")
+    return join_small(df, side, by, how="left", known_rows=rows)
 
 
 def flag_outliers(df: DataFrame, col: str, k: float = 1.5, by: Sequence[str] | None = None,

@@ -68,6 +68,14 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str]
     exact aggregate: one buffer per group, for small groups), ``approx``
     (``percentile_approx`` with ``accuracy``).
     """
+    return quantile_table(df, col, probs, by, method, accuracy, names, band_limit, cells)[0]
+
+
+def quantile_table(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] | None = None,
+                   method: str = "exact", accuracy: int = 10000, names: Sequence[str] | None = None,
+                   band_limit: int = 2_000_000, cells: int = 4096) -> tuple[DataFrame, int | None]:
+    """``quantiles`` plus its number of rows when already known (no extra job),
+    so a later join can decide on a broadcast without counting again."""
     probs = [float(p) for p in probs]
     if not probs or any(not 0.0 <= p <= 1.0 for p in probs):
         raise ValueError("probabilities must lie in [0, 1]")
@@ -78,14 +86,15 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str]
         agg = (F.percentile_approx(v, probs, accuracy) if method == "approx"
                else F.percentile(v, probs))
         res = df.groupBy(*by).agg(F.count(v).alias("n"), agg.alias("__q"))
-        return res.select(*by, "n", *[F.col("__q")[i].alias(nm) for i, nm in enumerate(out_names)])
+        out = res.select(*by, "n", *[F.col("__q")[i].alias(nm) for i, nm in enumerate(out_names)])
+        return out, (1 if not by else None)
     if method != "exact":
         raise ValueError(f"unknown method {method!r}")
     if not by:
         # One result row: computed by two distributed jobs, returned as values.
         n, vals = exact_values(df, col, probs, accuracy, band_limit, cells)
         schema = ", ".join(["n bigint"] + [f"`{nm}` double" for nm in out_names])
-        return df.sparkSession.createDataFrame([(n, *vals)], schema)
+        return df.sparkSession.createDataFrame([(n, *vals)], schema), 1
     return _exact(df, v, probs, by, accuracy, out_names, band_limit, cells)
 
 
@@ -95,6 +104,11 @@ def quartiles(df: DataFrame, col: str, by: Sequence[str] | None = None, method:
     return quantiles(df, col, QUARTILE_PROBS, by, method, accuracy, QUARTILE_NAMES, **kw)
 
 
+def quartile_table(df: DataFrame, col: str, by: Sequence[str] | None = None, method: str = "exact",
+                   accuracy: int = 10000, **kw) -> tuple[DataFrame, int | None]:
+    return quantile_table(df, col, QUARTILE_PROBS, by, method, accuracy, QUARTILE_NAMES, **kw)
+
+
 # ---------------------------------------------------------------------------
 # exact, distributed
 
@@ -286,7 +300,8 @@ def exact_values(df: DataFrame, col: str | Column, probs: Sequence[float], accur
                for i in range(len(probs))):
             return n, [_interpolate(n, p, got[i]["__v0"], got[i]["__v1"]) for i, p in enumerate(probs)]
     # Large or missed bands: the general path (refinement, restart).
-    out = _exact(df, v, probs, [], accuracy, [f"__q{i}" for i in range(len(probs))], band_limit, cells)
+    out, _ = _exact(df, v, probs, [], accuracy, [f"__q{i}" for i in range(len(probs))],
+                    band_limit, cells)
     r = out.first()
     return n, [r[f"__q{i}"] for i in range(len(probs))]
 
@@ -307,12 +322,12 @@ def _exact(df: DataFrame, v: Column, probs: list[float], by: list[str], accuracy
         *by, _N, "__min", "__max", F.array(*lo_exprs).alias("__lo"), F.array(*hi_exprs).alias("__hi"),
         F.array(*[F.lit(0).cast("long") for _ in probs]).alias("__below"))
     if max_n == 0:
-        return _assemble(sk, None, by, probs, out_names)
+        return _assemble(sk, None, by, probs, out_names), rows
 
+    groups = rows
     band_estimate = 2 * d + 2.0 / accuracy
     if max_n * band_estimate > band_limit:
         state = _refine(base, state, by, probs, band_limit, cells)
-        rows = None
 
     res = keep(_final_pass(base, state, by, probs, rows))
     failed = res.where(F.col("__v0").isNull() | F.col("__v1").isNull())
@@ -331,7 +346,7 @@ def _exact(df: DataFrame, v: Column, probs: list[float], by: list[str], accuracy
         good = (res.join(bad_groups, on=[res[k].eqNullSafe(bad_groups[k]) for k in by], how="left_anti")
                 if by else res.limit(0))
         res = good.unionByName(redo)
-    return _assemble(sk, res, by, probs, out_names)
+    return _assemble(sk, res, by, probs, out_names), groups
 
 
 def _assemble(sk: DataFrame, res: DataFrame | None, by: list[str], probs: list[float],

@@ -9,6 +9,7 @@ models, approximate quantiles, batch generators with Python) are listed in
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import pandas as pd
@@ -17,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import rules
+from .session import ensure_checkpoint_dir
+from .sources import files
 from .operators import collect, eda, ingest, models, outliers, quantiles, report, stats, validate
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -650,3 +653,96 @@ def _report_sql():
 def q_report(spark, sf):
     r = _orders_report(spark, sf)
     return r.select("section", "item", "metric", F.round("value", 6).alias("value"))
+
+
+# ---------------------------------------------------------------------------
+# S: sources and sinks, as round trips through files Spark writes from the
+# tables (into the shared folder the session names in spark.checkpoint.dir)
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    # the session's shared folder; a local session without one gets a fresh one
+    base = ensure_checkpoint_dir(spark)
+    if not base:
+        raise RuntimeError("round-trip queries need spark.checkpoint.dir (a shared folder)")
+    return f"{base.rstrip('/')}/roundtrip/{name}-{uuid.uuid4().hex}"
+
+
+_CUSTOMER_DDL = ("c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                 "c_mktsegment string")
+
+
+@register("csv_roundtrip", "SELECT * FROM customer")
+def q_csv_roundtrip(spark, sf):
+    out = _scratch(spark, "customer-csv")
+    files.write_table(table(spark, sf, "customer"), out, fmt="csv", partition_by=["c_mktsegment"])
+    back = files.read_table(spark, out, "csv", _CUSTOMER_DDL.replace(", c_mktsegment string", ""))
+    # the partition column comes back from the folder names
+    return back.select("c_custkey", "c_name", "c_nationkey", "c_acctbal",
+                       F.col("c_mktsegment").cast("string").alias("c_mktsegment"))
+
+
+@register("null_token_csv", """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal,
+       CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN NULL ELSE c_mktsegment END AS c_mktsegment
+FROM customer
+""")
+def q_null_token_csv(spark, sf):
+    out = _scratch(spark, "customer-token")
+    c = table(spark, sf, "customer").withColumn(
+        "c_mktsegment", F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.lit(" ?"))
+        .otherwise(F.col("c_mktsegment")))
+    files.write_table(c, out, fmt="csv", header=False, ignoreLeadingWhiteSpace=False)
+    return files.read_with_null_token(spark, out, _CUSTOMER_DDL)
+
+
+_ORDER_DDL = ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string")
+
+
+def _orders_jsonl_with_damage(spark, sf, out):
+    """Orders as JSON lines; pending ('P') orders are written damaged: their
+    price as text with a unit suffix, and every fourth priority level cut off
+    mid-record, so both kinds of bad record occur."""
+    o = table(spark, sf, "orders")
+    good = F.to_json(F.struct(*[F.col(c) for c in o.columns]))
+    wrong_type = F.to_json(F.struct(*[F.col(c) if c != "o_totalprice"
+                                      else F.concat(F.col(c).cast("string"), F.lit("usd")).alias(c)
+                                      for c in o.columns]))
+    broken = F.substring(good, 1, 20)
+    line = (F.when(F.col("o_orderstatus") != "P", good)
+            .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", broken)
+            .otherwise(wrong_type))
+    o.select(line.alias("value")).write.mode("errorifexists").text(out)
+
+
+@register("quarantine_good", "SELECT * FROM orders WHERE o_orderstatus <> 'P'")
+def q_quarantine_good(spark, sf):
+    out = _scratch(spark, "orders-jsonl")
+    _orders_jsonl_with_damage(spark, sf, out)
+    return files.read_with_quarantine(spark, out, _ORDER_DDL, "json")[0]
+
+
+@register("quarantine_bad", """
+SELECT count(*) AS n_bad, count(DISTINCT o_orderpriority) AS n_priorities
+FROM orders WHERE o_orderstatus = 'P'
+""")
+def q_quarantine_bad(spark, sf):
+    out = _scratch(spark, "orders-jsonl-bad")
+    _orders_jsonl_with_damage(spark, sf, out)
+    bad = files.read_with_quarantine(spark, out, _ORDER_DDL, "json")[1]
+    prio = F.regexp_extract("_raw", r'"o_orderpriority":"([^"]*)"', 1)
+    cut = F.lit("4-NOT SPECIFIED")
+    return bad.agg(F.count(F.lit(1)).alias("n_bad"),
+                   F.count_distinct(F.when(prio != "", prio).otherwise(cut)).alias("n_priorities"))
+
+
+@register("payload_read", """
+SELECT event_id, TRY_CAST(json_extract(props, '$.k') AS INTEGER) AS k, true AS _parsed FROM events
+""")
+def q_payload_read(spark, sf):
+    out = _scratch(spark, "events-payloads")
+    ev = table(spark, sf, "events")
+    ev.select(F.to_json(F.struct("event_id", F.from_json("props", "k int").alias("p"))).alias("value")) \
+      .write.mode("errorifexists").text(out)
+    p = files.read_payloads(spark, out, "event_id bigint, p struct<k: int>")
+    return p.select("event_id", F.col("p.k").alias("k"), "_parsed")

@@ -134,8 +134,13 @@ def crosstab_long(df: DataFrame, a: str, b: str, complete: bool = True) -> DataF
     """
     counts = df.groupBy(a, b).agg(F.count(F.lit(1)).alias("count"))
     if complete:
+        # The grid needs b's distinct values as columns, as pivot does; at most
+        # spark.sql.pivotMaxValues of them are read back, more is an error.
+        limit = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues", "10000"))
         values = [r[0] for r in counts.where(F.col(b).isNotNull()).select(b).distinct()
-                  .orderBy(b).collect()]
+                  .orderBy(b).limit(limit + 1).collect()]
+        if len(values) > limit:
+            raise ValueError(f"{b} has more than {limit} values; use complete=False")
         if values:
             wide = (counts.where(F.col(a).isNotNull() & F.col(b).isNotNull())
                     .groupBy(a).pivot(b, values).agg(F.first("count")))

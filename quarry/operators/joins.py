@@ -1,8 +1,8 @@
 """Joins against a small side whose size is checked, never assumed.
 
 ``join_small`` is the one place the library decides on a broadcast: the small
-side is materialized (it is always an aggregate or a dimension here), its rows
-are counted, and it is broadcast only under the session's broadcast limit.
+side (always an aggregate or a dimension here) is cached and counted in one
+job, and it is broadcast only under the session's broadcast limit.
 Beyond the limit the join is left to the planner (sort-merge, with AQE's skew
 join splitting a hot key on the large side).
 """
@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import broadcast_row_limit, materialize
+from ..session import broadcast_row_limit, keep
 
 
 def sized_side(small: DataFrame, max_rows: int | None = None,
@@ -28,7 +28,8 @@ def sized_side(small: DataFrame, max_rows: int | None = None,
     if known_rows is not None:
         n = known_rows
     else:
-        small = materialize(small)
+        # the count fills the cache, so the side is computed once for both
+        small = keep(small)
         n = small.count()
     if n <= limit:
         return F.broadcast(small), True

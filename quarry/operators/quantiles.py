@@ -178,7 +178,7 @@ def _final_pass(base: DataFrame, state, by: list[str], probs: list[float],
     the band values (overlapping bands need no special case).
     """
     m = len(probs)
-    joined, bounds = _with_state(base, state, by, m, known_rows)
+    joined, bounds = _with_state(base, state, by, 2 * m, known_rows)
     if joined is None:
         return None
     v = F.col(_V)
@@ -212,14 +212,18 @@ def _final_pass(base: DataFrame, state, by: list[str], probs: list[float],
 
 def _refine(base: DataFrame, state: DataFrame, by: list[str], probs: list[float],
             band_limit: int, cells: int, max_rounds: int = 64) -> DataFrame:
-    """Narrow every band until it holds at most ``band_limit`` rows.
+    """Narrow every band until it holds at most ``band_limit`` rows or one value.
 
-    ``state``: by, __n, __min, __max, __lo, __hi, __below (arrays per quantile).
-    A band whose wanted ranks are not inside it restarts from [min, max].
+    ``state``: by, __n, __min, __max and arrays __lo, __hi, __below with two
+    bands per quantile, one per wanted rank (``floor(h)``, ``ceil(h)``). A
+    single rank always lies in one cell, so each round shrinks its band to that
+    cell's actual value range. A band whose rank is not inside it (the sketch
+    missed) restarts from [min, max].
     """
-    m = len(probs)
+    nb = 2 * len(probs)
+    band_p = F.array(*[F.lit(p) for p in probs for _ in (0, 1)])
     for _ in range(max_rounds):
-        joined, bounds = _with_state(base, state, by, m)
+        joined, bounds = _with_state(base, state, by, nb)
         if joined is None:
             return state
         cnt = (joined.select(*by, F.inline(_emit_cells(bounds, F.col(_V), cells)), _V)
@@ -235,32 +239,32 @@ def _refine(base: DataFrame, state: DataFrame, by: list[str], probs: list[float]
         r = (keyed.join(ranked, on=[keyed[k].eqNullSafe(ranked[k]) for k in on], how="left")
              .select(*[keyed[k] for k in on], keyed[_N], keyed["__min"], keyed["__max"], keyed["__b"],
                      ranked["__c"], ranked["__cum"], ranked["__cmin"], ranked["__cmax"]))
-        p = F.element_at(F.array(*[F.lit(x) for x in probs]), F.col("__pi") + 1)
-        h = (F.col(_N) - 1).cast("double") * p
-        below = F.col("__b.__below")
-        k0, k1 = F.floor(h) - below, F.ceil(h) - below
+        h = (F.col(_N) - 1).cast("double") * F.element_at(band_p, F.col("__pi") + 1)
+        rank = F.when(F.col("__pi") % 2 == 0, F.floor(h)).otherwise(F.ceil(h))
+        k = rank - F.col("__b.__below")
         start = F.col("__cum") - F.col("__c")
-        hit0 = (start <= k0) & (k0 < F.col("__cum"))
-        hit1 = (start <= k1) & (k1 < F.col("__cum"))
+        hit = (start <= k) & (k < F.col("__cum"))
         per = r.groupBy(*by, "__pi", _N, "__min", "__max", "__b").agg(
-            F.min(F.when(hit0, F.col("__cmin"))).alias("__nlo"),
-            F.max(F.when(hit1, F.col("__cmax"))).alias("__nhi"),
-            F.max(F.when(hit0, start)).alias("__skip"),
-            F.max(F.when(hit1, F.col("__cum"))).alias("__upto"))
-        ok = F.col("__nlo").isNotNull() & F.col("__nhi").isNotNull()
+            F.min(F.when(hit, F.col("__cmin"))).alias("__nlo"),
+            F.max(F.when(hit, F.col("__cmax"))).alias("__nhi"),
+            F.max(F.when(hit, start)).alias("__skip"),
+            F.max(F.when(hit, F.col("__c"))).alias("__size"))
+        ok = F.col("__nlo").isNotNull()
         per = per.select(
             *by, "__pi", _N, "__min", "__max",
             F.when(ok, F.col("__nlo")).otherwise(F.col("__min")).alias("__lo"),
             F.when(ok, F.col("__nhi")).otherwise(F.col("__max")).alias("__hi"),
             F.when(ok, F.col("__b.__below") + F.col("__skip")).otherwise(F.lit(0)).alias("__below"),
-            F.when(ok, F.col("__upto") - F.col("__skip")).otherwise(F.col(_N)).alias("__size"),
+            F.when(ok, F.col("__size")).otherwise(F.col(_N)).alias("__size"),
             ok.alias("__ok"))
         per = materialize(per)
-        stats = per.agg(F.max("__size").alias("s"), F.count_if(~F.col("__ok")).alias("f")).first()
+        # a band of one distinct value (ties) is as narrow as it gets
+        open_size = F.when(F.col("__lo") < F.col("__hi"), F.col("__size")).otherwise(F.lit(0))
+        stats = per.agg(F.max(open_size).alias("s"), F.count_if(~F.col("__ok")).alias("f")).first()
         state = materialize(per.groupBy(*by, _N, "__min", "__max").agg(
-            F.array(*[F.max(F.when(F.col("__pi") == i, F.col("__lo"))) for i in range(m)]).alias("__lo"),
-            F.array(*[F.max(F.when(F.col("__pi") == i, F.col("__hi"))) for i in range(m)]).alias("__hi"),
-            F.array(*[F.max(F.when(F.col("__pi") == i, F.col("__below"))) for i in range(m)]).alias("__below")))
+            F.array(*[F.max(F.when(F.col("__pi") == i, F.col("__lo"))) for i in range(nb)]).alias("__lo"),
+            F.array(*[F.max(F.when(F.col("__pi") == i, F.col("__hi"))) for i in range(nb)]).alias("__hi"),
+            F.array(*[F.max(F.when(F.col("__pi") == i, F.col("__below"))) for i in range(nb)]).alias("__below")))
         if stats["f"] == 0 and (stats["s"] or 0) <= band_limit:
             return state
     raise RuntimeError("quantile band refinement did not converge")
@@ -292,7 +296,8 @@ def exact_values(df: DataFrame, col: str | Column, probs: Sequence[float], accur
     if not n:
         return 0, [None] * len(probs)
     pick = lambda i: row["__min"] if i == "min" else row["__max"] if i == "max" else row["__a"][i]
-    state = {_N: n, "__lo": [pick(i) for i in lo_idx], "__hi": [pick(i) for i in hi_idx]}
+    state = {_N: n, "__lo": [pick(i) for i in lo_idx for _ in (0, 1)],
+             "__hi": [pick(i) for i in hi_idx for _ in (0, 1)]}
     if n * (2 * d + 2.0 / accuracy) <= band_limit:
         base = df.select(v.alias(_V)).where(F.col(_V).isNotNull())
         got = {r["__pi"]: r for r in _final_pass(base, state, [], probs).collect()}
@@ -318,9 +323,12 @@ def _exact(df: DataFrame, v: Column, probs: list[float], by: list[str], accuracy
     # One action fills the sketch and returns its size and largest group.
     stats = sk.agg(F.count(F.lit(1)).alias("rows"), F.max(_N).alias("max_n")).first()
     rows, max_n = stats["rows"], stats["max_n"] or 0
+    # two bands per quantile (one per wanted rank), equal until refined
     state = sk.where(F.col(_N) > 0).select(
-        *by, _N, "__min", "__max", F.array(*lo_exprs).alias("__lo"), F.array(*hi_exprs).alias("__hi"),
-        F.array(*[F.lit(0).cast("long") for _ in probs]).alias("__below"))
+        *by, _N, "__min", "__max",
+        F.array(*[e for e in lo_exprs for _ in (0, 1)]).alias("__lo"),
+        F.array(*[e for e in hi_exprs for _ in (0, 1)]).alias("__hi"),
+        F.array(*[F.lit(0).cast("long") for _ in range(2 * len(probs))]).alias("__below"))
     if max_n == 0:
         return _assemble(sk, None, by, probs, out_names), rows
 
@@ -336,16 +344,19 @@ def _exact(df: DataFrame, v: Column, probs: list[float], by: list[str], accuracy
         bad_groups = keep(failed.select(*by).distinct()) if by else None
         restart = (state.join(bad_groups, on=[state[k].eqNullSafe(bad_groups[k]) for k in by],
                               how="left_semi") if by else state)
+        nb = 2 * len(probs)
         restart = restart.select(*by, _N, "__min", "__max",
-                                 F.array(*[F.col("__min") for _ in probs]).alias("__lo"),
-                                 F.array(*[F.col("__max") for _ in probs]).alias("__hi"),
-                                 F.array(*[F.lit(0).cast("long") for _ in probs]).alias("__below"))
+                                 F.array(*[F.col("__min") for _ in range(nb)]).alias("__lo"),
+                                 F.array(*[F.col("__max") for _ in range(nb)]).alias("__hi"),
+                                 F.array(*[F.lit(0).cast("long") for _ in range(nb)]).alias("__below"))
         restart = _refine(base, restart, by, probs, band_limit, cells)
         sub_base = join_small(base, bad_groups, by, "left_semi") if by else base
         redo = keep(_final_pass(sub_base, restart, by, probs))
         good = (res.join(bad_groups, on=[res[k].eqNullSafe(bad_groups[k]) for k in by], how="left_anti")
                 if by else res.limit(0))
         res = good.unionByName(redo)
+    # sk and res (one row per group / per wanted rank) stay cached: the answer
+    # is read from them by later actions.
     return _assemble(sk, res, by, probs, out_names), groups
 
 

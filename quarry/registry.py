@@ -235,8 +235,8 @@ SELECT r.r_name, array_to_string(list_sort(list(n.n_name)), ',') AS nations
 FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey GROUP BY r.r_name
 """)
 def q_collect_by_key(spark, sf):
-    nat = table(spark, sf, "nation").join(
-        F.broadcast(table(spark, sf, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    reg = table(spark, sf, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
+    nat = ingest.enrich(table(spark, sf, "nation"), reg, "n_regionkey", how="inner")
     out = collect.collect_by_key(nat, "r_name", "n_name")
     return out.select("r_name", F.array_join("items", ",").alias("nations"))
 

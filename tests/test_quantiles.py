@@ -114,3 +114,29 @@ def test_missed_sketch_is_repaired_ungrouped(spark, monkeypatch):
 
     monkeypatch.setattr(Q, "_band_index", wrong)
     _check(df, [])
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from(["x", "y", None]),
+                          st.one_of(st.none(), st.integers(-5, 5).map(float),
+                                    st.floats(-1e6, 1e6, allow_nan=False))),
+                min_size=0, max_size=60),
+       st.sampled_from([1, 2, 1000]))
+def test_property_exact_equals_percentile(spark, rows, accuracy):
+    # accuracy 1 and 2 make the sketch useless, so the repair path is exercised
+    _check(_frame(spark, rows), ["g"], accuracy=accuracy, band_limit=8, cells=4)
+
+
+def test_refinement_with_ranks_in_far_cells(spark):
+    # floor(h) and ceil(h) of one quantile fall in the first and last cells:
+    # each rank needs its own band, or the band never shrinks
+    rows = [("x", v) for v in (-2.0, -2.0, -2.186681375826971e-139, -4.810561124153891e-231, 0.0,
+                                1.0, 3.0, 4.0, 5.0, 5231.340862898389)]
+    rows += [("y", v) for v in (-381228.78017530614, -5.0, 1.0, 2.0, 3.0, 4.0, 4.0,
+                                127874.70593891758, 644196.0035465995)]
+    _check(_frame(spark, rows), ["g"], accuracy=1000, band_limit=8, cells=4)
+    _check(_frame(spark, rows), [], accuracy=1, band_limit=3, cells=2)

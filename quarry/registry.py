@@ -21,6 +21,7 @@ from .functions import rules
 from .session import ensure_checkpoint_dir
 from .sources import files
 from .operators import collect, eda, ingest, models, outliers, quantiles, report, stats, validate
+from .streaming import stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -746,3 +747,54 @@ def q_payload_read(spark, sf):
       .write.mode("errorifexists").text(out)
     p = files.read_payloads(spark, out, "event_id bigint, p struct<k: int>")
     return p.select("event_id", F.col("p.k").alias("k"), "_parsed")
+
+
+# ---------------------------------------------------------------------------
+# Streams: the same rules and flags on Structured Streaming, over files Spark
+# lands from the tables into the shared folder (whole tables, availableNow)
+
+@register("stream_validate", f"""
+SELECT c_custkey, array_to_string({_CUSTOMER_ERRORS_SQL}, '|') AS errors,
+       CASE WHEN len({_CUSTOMER_ERRORS_SQL}) = 0 THEN 'valid' ELSE 'rejected' END AS status
+FROM customer
+""")
+def q_stream_validate(spark, sf):
+    base = _scratch(spark, "customer-stream")
+    c = table(spark, sf, "customer")
+    c.select(F.to_json(F.struct(*c.columns)).alias("value")).write.mode("errorifexists").text(f"{base}/in")
+    s = stream.validated_stream(spark, f"{base}/in", _CUSTOMER_DDL, customer_rules())
+    q = stream.write_split_stream(s.drop("_raw"), f"{base}/out", name="stream_validate",
+                                  checkpoint=f"{base}/checkpoint")
+    q.awaitTermination()
+    back = spark.read.parquet(f"{base}/out")
+    return back.select("c_custkey", F.array_join("errors", "|").alias("errors"),
+                       F.col("status").cast("string").alias("status"))
+
+
+@register("stream_outlier_windows", f"""
+WITH b AS (SELECT event_type, q1 - 1.5 * (q3 - q1) AS lower, q3 + 1.5 * (q3 - q1) AS upper
+           FROM ({_EV_BOUNDS_G}))
+SELECT date_trunc('day', e.ts) AS window_start, date_trunc('day', e.ts) + INTERVAL 1 DAY AS window_end,
+       e.event_type, count(*) AS n_rows,
+       count_if(NOT (CASE WHEN isnan(e.value) THEN NULL ELSE e.value END BETWEEN b.lower AND b.upper))::BIGINT
+         AS n_outliers
+FROM events e LEFT JOIN b ON e.event_type IS NOT DISTINCT FROM b.event_type
+WHERE e.ts IS NOT NULL
+GROUP BY ALL
+""")
+def q_stream_outlier_windows(spark, sf):
+    base = _scratch(spark, "events-stream")
+    ev = table(spark, sf, "events")
+    ev.write.mode("errorifexists").parquet(f"{base}/in")
+    bounds = outliers.iqr_bounds(ev, "value", by=["event_type"])
+    s = spark.readStream.schema(ev.schema).parquet(f"{base}/in")
+    flagged = stream.flag_stream(s.where(F.col("ts").isNotNull()), bounds, "value", by=["event_type"])
+    counts = stream.windowed_outlier_counts(flagged, "ts", window="1 day", watermark="1 day",
+                                            by=["event_type"])
+    q = stream.write_update_log(counts, f"{base}/out", name="stream_outlier_windows",
+                                checkpoint=f"{base}/checkpoint")
+    q.awaitTermination()
+    latest = stream.read_update_log(spark, f"{base}/out", keys=["window", "event_type"])
+    return latest.select(F.col("window.start").cast("timestamp_ntz").alias("window_start"),
+                         F.col("window.end").cast("timestamp_ntz").alias("window_end"),
+                         "event_type", "n_rows", "n_outliers")

@@ -92,8 +92,13 @@ def flag_stream(stream: DataFrame, bounds: DataFrame, col: str,
 def windowed_outlier_counts(flagged: DataFrame, ts: str, window: str = "1 hour",
                             watermark: str = "10 minutes",
                             by: Sequence[str] | None = None) -> DataFrame:
-    """``window, by..., n_rows, n_outliers`` per event-time window; rows later
-    than the watermark are dropped from the state, finished windows emitted once."""
+    """``window, by..., n_rows, n_outliers`` per event-time window.
+
+    A window's state is dropped once the watermark passes its end; a row for a
+    window that had closed before the current micro-batch began (the previous
+    batch's watermark, as Spark 3.5+ filters late rows) is dropped. In append
+    mode finished windows are emitted once; ``write_update_log`` shows them as
+    they change."""
     by = list(by or [])
     if flagged.schema[ts].dataType.typeName() == "timestamp_ntz":
         # watermarks need an instant: read wall-clock times in the session time zone
@@ -102,3 +107,32 @@ def windowed_outlier_counts(flagged: DataFrame, ts: str, window: str = "1 hour",
             .groupBy(F.window(ts, window), *by)
             .agg(F.count(F.lit(1)).alias("n_rows"),
                  F.count_if(F.col("is_outlier")).alias("n_outliers")))
+
+
+def write_update_log(agg: DataFrame, out_path: str, name: str,
+                     checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
+    """Run a streaming aggregate in update mode; each micro-batch's changed
+    rows go to ``out_path/batch_id=N``.
+
+    File sinks only take append mode, which holds a window back until the
+    watermark passes its end; the update log shows every window as soon as it
+    changes. A retried batch overwrites its own folder, so the log is exactly
+    once; ``read_update_log`` gives the current value per key.
+    """
+    spark = agg.sparkSession
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
+
+    w = (agg.writeStream.outputMode("update").foreachBatch(write_batch)
+         .option("checkpointLocation", _checkpoint(spark, name, checkpoint)).queryName(name))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
+    return w.start()
+
+
+def read_update_log(spark: SparkSession, out_path: str, keys: Sequence[str]) -> DataFrame:
+    """Latest row per key from an update log (one partial aggregate)."""
+    log = spark.read.parquet(out_path)
+    rest = [c for c in log.columns if c not in keys and c != "batch_id"]
+    latest = log.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch_id").alias("__v"))
+    return latest.select(*keys, "__v.*")

@@ -159,3 +159,31 @@ def test_streaming_validation_and_flags(spark, scratch):
     q2.awaitTermination(120)
     tot = spark.sql("SELECT sum(n_rows) AS n FROM flag_counts_test").first()["n"]
     assert tot == 200
+
+
+def test_update_log_keeps_latest_and_drops_late_rows(spark, scratch):
+    import time
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    batches = [
+        [("2024-01-10T12:00:00", False), ("2024-01-10T13:00:00", True)],
+        [("2024-01-10T14:00:00", False), ("2024-01-12T00:30:00", True)],
+        # the watermark is now 2024-01-11T23:30; late rows are filtered by the
+        # previous batch's watermark (Spark 3.5+), so this row still counts
+        [("2024-01-10T15:00:00", True), ("2024-01-12T02:00:00", False)],
+        # the 10th closed before this batch began: dropped
+        [("2024-01-10T16:00:00", True), ("2024-01-12T03:00:00", False)],
+    ]
+    for i, rows in enumerate(batches):
+        _lines(os.path.join(src, f"part-{i}.jsonl"), [{"ts": t, "is_outlier": o} for t, o in rows])
+        t = time.time() - 100 + i
+        os.utime(os.path.join(src, f"part-{i}.jsonl"), (t, t))    # files are taken oldest first
+    s = spark.readStream.schema("ts timestamp, is_outlier boolean").option("maxFilesPerTrigger", 1).json(src)
+    counts = ST.windowed_outlier_counts(s, "ts", "1 day", "1 hour")
+    q = ST.write_update_log(counts, os.path.join(scratch, "out"), "update_log_test",
+                            checkpoint=os.path.join(scratch, "ck"))
+    q.awaitTermination(120)
+    assert spark.read.parquet(os.path.join(scratch, "out")).select("batch_id").distinct().count() >= 4
+    got = {r["window"]["start"].day: (r["n_rows"], r["n_outliers"])
+           for r in ST.read_update_log(spark, os.path.join(scratch, "out"), ["window"]).collect()}
+    assert got == {10: (4, 2), 12: (3, 1)}

@@ -65,8 +65,9 @@ def profile_missing(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
 
 def value_counts(df: DataFrame, col: str, n: int | None = None) -> DataFrame:
     """``<col>, count, share`` by descending count, ties by value; top ``n`` if given."""
-    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
-    total = df.select(F.count(F.lit(1))).scalar()
+    # the input is read once: the total is summed from the kept counts
+    counts = keep(df.groupBy(col).agg(F.count(F.lit(1)).alias("count")))
+    total = counts.agg(F.sum("count")).scalar()
     out = counts.withColumn("share", F.col("count") / total)
     out = out.orderBy(F.col("count").desc(), F.col(col).asc_nulls_last())
     return out.limit(n) if n is not None else out

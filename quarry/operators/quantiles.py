@@ -112,6 +112,18 @@ def quartile_table(df: DataFrame, col: str, by: Sequence[str] | None = None, met
 # ---------------------------------------------------------------------------
 # exact, distributed
 
+# The sketch's rank error is at most n/accuracy and a band reaches 3n/accuracy
+# ranks either side, so it surely holds the wanted ranks (within one rank of
+# p*n) once n*d >= 2, d = 3/accuracy. Smaller groups (fewer than
+# 2*accuracy/3 values, and within band_limit) use their whole range as the
+# band: a pass over so few values is cheaper than a missed band's restart.
+_SMALL_RANKS = 2.0
+
+
+def _small_group(n: int, d: float, band_limit: int) -> bool:
+    return n * d < _SMALL_RANKS and n <= band_limit
+
+
 def _band_index(probs: list[float], d: float):
     """Sketch probabilities and, per quantile, where each band end comes from:
     ``"min"``, ``"max"`` or an index into the sketch's result array."""
@@ -296,8 +308,13 @@ def exact_values(df: DataFrame, col: str | Column, probs: Sequence[float], accur
     if not n:
         return 0, [None] * len(probs)
     pick = lambda i: row["__min"] if i == "min" else row["__max"] if i == "max" else row["__a"][i]
-    state = {_N: n, "__lo": [pick(i) for i in lo_idx for _ in (0, 1)],
-             "__hi": [pick(i) for i in hi_idx for _ in (0, 1)]}
+    if _small_group(n, d, band_limit):
+        # the sketch's band may be narrower than one rank: take the whole range
+        state = {_N: n, "__lo": [row["__min"]] * (2 * len(probs)),
+                 "__hi": [row["__max"]] * (2 * len(probs))}
+    else:
+        state = {_N: n, "__lo": [pick(i) for i in lo_idx for _ in (0, 1)],
+                 "__hi": [pick(i) for i in hi_idx for _ in (0, 1)]}
     if n * (2 * d + 2.0 / accuracy) <= band_limit:
         base = df.select(v.alias(_V)).where(F.col(_V).isNotNull())
         got = {r["__pi"]: r for r in _final_pass(base, state, [], probs).collect()}
@@ -324,10 +341,14 @@ def _exact(df: DataFrame, v: Column, probs: list[float], by: list[str], accuracy
     stats = sk.agg(F.count(F.lit(1)).alias("rows"), F.max(_N).alias("max_n")).first()
     rows, max_n = stats["rows"], stats["max_n"] or 0
     # two bands per quantile (one per wanted rank), equal until refined
+    # a small group's sketch band may be narrower than one rank: whole range
+    small = (F.col(_N) * F.lit(d) < F.lit(_SMALL_RANKS)) & (F.col(_N) <= F.lit(band_limit))
     state = sk.where(F.col(_N) > 0).select(
         *by, _N, "__min", "__max",
-        F.array(*[e for e in lo_exprs for _ in (0, 1)]).alias("__lo"),
-        F.array(*[e for e in hi_exprs for _ in (0, 1)]).alias("__hi"),
+        F.array(*[F.when(small, F.col("__min")).otherwise(e) for e in lo_exprs for _ in (0, 1)])
+        .alias("__lo"),
+        F.array(*[F.when(small, F.col("__max")).otherwise(e) for e in hi_exprs for _ in (0, 1)])
+        .alias("__hi"),
         F.array(*[F.lit(0).cast("long") for _ in range(2 * len(probs))]).alias("__below"))
     if max_n == 0:
         return _assemble(sk, None, by, probs, out_names), rows

@@ -18,6 +18,7 @@ from ..functions.rules import Rule
 from ..operators import eda, models, outliers, stats
 from ..operators.report import report_table
 from ..operators.validate import error_summary, split_valid
+from ..session import keep
 
 
 @dataclass
@@ -39,6 +40,11 @@ def run_analysis(df: DataFrame, spec: AnalysisSpec) -> DataFrame:
     if spec.rules:
         parts["validation"] = (error_summary(data, spec.rules).drop("rule_pos"), ["rule"])
         data = split_valid(data, spec.rules)[0]
+    # Every part below is a pass over the same rows: keep only the columns the
+    # parts use and persist them once (memory and disk; lost blocks are
+    # recomputed from lineage), instead of re-deriving the input per part.
+    used = dict.fromkeys([spec.key, "label", *spec.numeric, *spec.categorical, *spec.outlier_columns])
+    data = keep(data.select(*used))
     for c in spec.outlier_columns:
         parts[f"outliers:{c}"] = (outliers.outlier_report(data, c), [])
     if spec.numeric:

@@ -14,13 +14,14 @@ from collections.abc import Callable
 
 import pandas as pd
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import rules
 from .session import ensure_checkpoint_dir
 from .sources import files
 from .operators import collect, eda, ingest, models, outliers, quantiles, report, stats, validate
+from .plans import analysis, collect_job
 from .streaming import stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -798,3 +799,85 @@ def q_stream_outlier_windows(spark, sf):
     return latest.select(F.col("window.start").cast("timestamp_ntz").alias("window_start"),
                          F.col("window.end").cast("timestamp_ntz").alias("window_end"),
                          "event_type", "n_rows", "n_outliers")
+
+
+# ---------------------------------------------------------------------------
+# Composed plans on payloads and features Spark derives from the tables
+
+def _country_code(k: Column) -> Column:
+    return F.concat(F.chr(F.lit(65) + k % 26), F.chr(F.lit(65) + F.floor(k / 26) % 26))
+
+
+def _land_collection_payloads(spark, sf, base):
+    """Weather documents (one per event, two hourly steps), country facts (one
+    per nation) and IP-location answers (one per customer) as JSON lines."""
+    ev = table(spark, sf, "events")
+    fmt = "yyyy-MM-dd'T'HH:mm"
+    hourly = F.struct(
+        F.array(F.date_format("ts", fmt), F.date_format(F.col("ts") + F.expr("INTERVAL 1 HOUR"), fmt))
+        .alias("time"),
+        F.array(F.col("value") / 4 - 50, F.col("value") / 4 - 51).alias("temperature_2m"))
+    ev.select(F.to_json(F.struct(((F.col("user_id") % 191) - 95).cast("double").alias("latitude"),
+                                 ((F.col("event_id") % 361) - 180).cast("double").alias("longitude"),
+                                 hourly.alias("hourly"))).alias("value")) \
+      .write.mode("errorifexists").text(f"{base}/weather")
+    nat = table(spark, sf, "nation")
+    nat.select(F.to_json(F.struct(_country_code(F.col("n_nationkey")).alias("code"),
+                                  F.col("n_name").alias("name"),
+                                  ((F.col("n_nationkey") + 1) * 1000000).cast("long").alias("population")))
+               .alias("value")).write.mode("errorifexists").text(f"{base}/countries")
+    c = table(spark, sf, "customer")
+    k = F.col("c_custkey")
+    ip = F.concat_ws(".", F.lit("10"), (F.floor(k / 65536) % 256).cast("string"),
+                     (F.floor(k / 256) % 256).cast("string"), (k % 256).cast("string"))
+    code = _country_code(F.col("c_nationkey"))
+    c.select(F.to_json(F.struct(
+        ip.alias("query"),
+        F.when(F.col("c_acctbal") >= 0, "success").otherwise("fail").alias("status"),
+        F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.lower(code)).otherwise(code).alias("countryCode"),
+        (F.col("c_acctbal") / 100).alias("lat"), F.col("c_nationkey").cast("double").alias("lon")))
+        .alias("value")).write.mode("errorifexists").text(f"{base}/ip")
+
+
+_CODE_SQL = "chr(65 + ({k}) % 26) || chr(65 + (({k}) // 26) % 26)"
+
+
+@register("collect_job", f"""
+WITH steps AS (
+  SELECT ts, (user_id % 191) - 95 AS latitude, (event_id % 361) - 180 AS longitude,
+         value / 4 - 50 AS t FROM events
+  UNION ALL
+  SELECT ts + INTERVAL 1 HOUR, (user_id % 191) - 95, (event_id % 361) - 180, value / 4 - 51 FROM events),
+w AS (
+  SELECT CASE WHEN ts IS NOT NULL AND t IS NOT NULL AND coalesce(t BETWEEN -90 AND 60, true)
+              AND coalesce(latitude BETWEEN -90 AND 90, true) AND coalesce(longitude BETWEEN -180 AND 180, true)
+         THEN 'valid' ELSE 'rejected' END AS status FROM steps),
+ctry AS (SELECT {_CODE_SQL.format(k="n_nationkey")} AS code, n_name AS name FROM nation),
+ip AS (
+  SELECT CASE WHEN c_acctbal >= 0 THEN 'success' ELSE 'fail' END AS status,
+         CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN lower({_CODE_SQL.format(k="c_nationkey")})
+              ELSE {_CODE_SQL.format(k="c_nationkey")} END AS country_code FROM customer),
+l AS (
+  SELECT CASE WHEN coalesce(ip.status IN ('success'), true) AND ip.country_code IS NOT NULL
+              AND coalesce(regexp_matches(ip.country_code, '^[A-Z]{{2}}$'), true) AND ctry.name IS NOT NULL
+         THEN 'valid' ELSE 'rejected' END AS status
+  FROM ip LEFT JOIN ctry ON ip.country_code = ctry.code)
+SELECT 'weather' AS dataset, status, count(*) AS rows FROM w GROUP BY status
+UNION ALL
+SELECT 'locations', status, count(*) FROM l GROUP BY status
+""")
+def q_collect_job(spark, sf):
+    base = _scratch(spark, "collection")
+    _land_collection_payloads(spark, sf, f"{base}/landed")
+    return collect_job.run(spark, f"{base}/landed/weather", f"{base}/landed/countries",
+                           f"{base}/landed/ip", f"{base}/out")
+
+
+@register("analysis_run")
+def q_analysis_run(spark, sf):
+    spec = analysis.AnalysisSpec(
+        label=F.col("label"), key="doc_id", numeric=_NUMERIC_FEATURES, categorical=["lang", "source"],
+        rules=[rules.required("lang"), rules.in_range("upper_share", 0, 1),
+               rules.check("has_words", F.col("n_words") > 0)],
+        outlier_columns=["n_words"])
+    return analysis.run_analysis(document_features(spark, sf), spec)

@@ -76,9 +76,22 @@ def test_missed_sketch_is_repaired(spark, monkeypatch):
         return approx, [F.lit(5.0) for _ in lo], [F.lit(6.0) for _ in hi]
 
     monkeypatch.setattr(Q, "_band_exprs", wrong)
+    monkeypatch.setattr(Q, "_SMALL_RANKS", 0.0)     # small groups would skip the sketch band
     _check(df, ["g"])
 
 
+def test_small_groups_take_whole_range(spark, monkeypatch):
+    # groups of a few hundred values: the band is [min, max], never a miss
+    rnd = random.Random(9)
+    rows = [("a", float(rnd.randint(0, 40))) for _ in range(400)] + [("b", rnd.random()) for _ in range(150)]
+    calls = []
+    real = Q._refine
+    monkeypatch.setattr(Q, "_refine", lambda *a, **k: calls.append(1) or real(*a, **k))
+    _check(_frame(spark, rows), ["g"])
+    _check(_frame(spark, rows), [])
+    assert not calls
+
+
 def test_empty_table(spark):
     df = _frame(spark, [])
     out = Q.quartiles(df, "v").collect()
@@ -113,6 +126,7 @@ def test_missed_sketch_is_repaired_ungrouped(spark, monkeypatch):
         return approx, ["max" for _ in lo], ["max" for _ in hi]   # bands collapse onto the max
 
     monkeypatch.setattr(Q, "_band_index", wrong)
+    monkeypatch.setattr(Q, "_SMALL_RANKS", 0.0)
     _check(df, [])
 
 

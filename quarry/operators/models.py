@@ -117,6 +117,12 @@ def confusion(pred: DataFrame, label: str = "label", prediction: str = "predicti
         F.count(F.lit(1)).alias("count"))
 
 
+def _features_col(stages: list) -> str:
+    """The column the last preprocessing stage writes (the features vector)."""
+    last = stages[-1]
+    return last.getOutputCol()
+
+
 def compare_models(train: DataFrame, test: DataFrame, stages: list,
                    estimators: Mapping[str, object] | None = None, label: str = "label",
                    order_key: str | None = None) -> DataFrame:
@@ -127,6 +133,13 @@ def compare_models(train: DataFrame, test: DataFrame, stages: list,
     learners' row sampling is repeatable run to run.
     """
     estimators = dict(estimators or default_estimators(label))
+    # The preprocessing stages are fitted once, on the training part only, and
+    # both parts are reduced to (key, label, features) and cached: every model
+    # then trains on the same compact vectors instead of refitting the stages.
+    prep = Pipeline(stages=list(stages)).fit(train)
+    features = _features_col(stages)
+    cols = [c for c in dict.fromkeys([order_key, label, features]) if c is not None]
+    train, test = prep.transform(train).select(*cols), prep.transform(test).select(*cols)
     if order_key is not None:
         n = train.sparkSession.conf.get("spark.sql.shuffle.partitions")
         train = train.repartition(int(n), order_key).sortWithinPartitions(order_key)
@@ -134,7 +147,7 @@ def compare_models(train: DataFrame, test: DataFrame, stages: list,
     parts = []
     try:
         for name, est in estimators.items():
-            model = fit_model(train, stages, est)
+            model = est.fit(train)
             met = binary_metrics(model.transform(test), label=label)
             # One metrics row per fitted model: bounded by the number of models.
             parts.append(met.select(F.lit(name).alias("model"), "*").first().asDict())

@@ -104,6 +104,21 @@ def q_iqr_report(spark, sf):
     return outliers.outlier_report(table(spark, sf, "events"), "value", by=["event_type"])
 
 
+@register("iqr_bounds", """
+WITH q AS (
+  SELECT l_returnflag, count(l_extendedprice) AS n, quantile_cont(l_extendedprice, 0.25) AS q1,
+         quantile_cont(l_extendedprice, 0.5) AS median, quantile_cont(l_extendedprice, 0.75) AS q3
+  FROM lineitem GROUP BY l_returnflag)
+SELECT l_returnflag, n, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
+       round(q3 - q1, 6) AS iqr, round(q1 - 3.0 * (q3 - q1), 6) AS lower,
+       round(q3 + 3.0 * (q3 - q1), 6) AS upper
+FROM q
+""")
+def q_iqr_bounds(spark, sf):
+    b = outliers.iqr_bounds(table(spark, sf, "lineitem"), "l_extendedprice", k=3.0, by=["l_returnflag"])
+    return b.select("l_returnflag", "n", *[_r(c) for c in ("q1", "median", "q3", "iqr", "lower", "upper")])
+
+
 @register("quartiles_grouped", _EV_BOUNDS_G)
 def q_quartiles_grouped(spark, sf):
     return quantiles.quartiles(table(spark, sf, "events"), "value", by=["event_type"])

@@ -19,9 +19,13 @@ ERRORS = "errors"
 
 
 def errors_column(rules: Sequence[Rule]):
+    # concat of one-element or empty arrays, in rule order: unlike
+    # array_compact (a lambda filter), concat keeps the projection inside
+    # whole-stage codegen
+    empty = F.array().cast("array<string>")
     if not rules:
-        return F.array().cast("array<string>")
-    return F.array_compact(F.array(*[F.when(r.bad, F.lit(r.name)) for r in rules]))
+        return empty
+    return F.concat(*[F.when(r.bad, F.array(F.lit(r.name))).otherwise(empty) for r in rules])
 
 
 def validate(df: DataFrame, rules: Sequence[Rule], column: str = ERRORS) -> DataFrame:

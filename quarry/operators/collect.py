@@ -73,7 +73,8 @@ def generate_rows(df: DataFrame, arr: Column, keep: Sequence[str], name: str = "
 def tokens(text: str | Column, pattern: str = r"[ \t\n\r]+") -> Column:
     """Whitespace tokens of a text, empty tokens removed."""
     t = F.col(text) if isinstance(text, str) else text
-    return F.filter(F.split(t, pattern), lambda w: w != "")
+    # array_remove, not a lambda filter: it stays inside whole-stage codegen
+    return F.array_remove(F.split(t, pattern), "")
 
 
 def map_batches(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame | None],

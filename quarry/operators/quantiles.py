@@ -150,15 +150,20 @@ def _band_exprs(probs: list[float], d: float):
 
 
 def _emit_cells(bounds: list[tuple[Column, Column]], v: Column, cells: int) -> Column:
-    """Per value, the equal-width cell of each band it falls into."""
+    """Per value, the equal-width cell of each band it falls into.
+
+    A concat of one-element or empty arrays (not a lambda filter), so the
+    refinement pass stays inside whole-stage codegen.
+    """
+    empty = F.array().cast("array<struct<__pi:int,__cell:bigint>>")
     items = []
     for i, (lo, hi) in enumerate(bounds):
         width = hi - lo
         cell = F.when(width > 0, F.least(F.floor((v - lo) / width * F.lit(cells)),
                                           F.lit(cells - 1))).otherwise(F.lit(0)).cast("long")
-        items.append(F.struct(F.lit(i).alias("__pi"), cell.alias("__cell"),
-                              ((v >= lo) & (v <= hi)).alias("__keep")))
-    return F.filter(F.array(*items), lambda s: s["__keep"])
+        one = F.array(F.struct(F.lit(i).alias("__pi"), cell.alias("__cell")))
+        items.append(F.when((v >= lo) & (v <= hi), one).otherwise(empty))
+    return F.concat(*items)
 
 
 def _with_state(base: DataFrame, state: DataFrame, by: list[str], m: int,

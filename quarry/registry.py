@@ -811,8 +811,8 @@ def q_stream_outlier_windows(spark, sf):
                                 checkpoint=f"{base}/checkpoint")
     q.awaitTermination()
     latest = stream.read_update_log(spark, f"{base}/out", keys=["window", "event_type"])
-    return latest.select(F.col("window.start").cast("timestamp_ntz").alias("window_start"),
-                         F.col("window.end").cast("timestamp_ntz").alias("window_end"),
+    return latest.select(F.col("window.start").alias("window_start"),
+                         F.col("window.end").alias("window_end"),
                          "event_type", "n_rows", "n_outliers")
 
 

@@ -26,6 +26,10 @@ from ..sources.files import CORRUPT, _schema
 UNPARSEABLE = "unparseable"
 
 
+def _wall_epoch():
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
 def validated_stream(spark: SparkSession, path: str, schema: str, rules: Sequence[Rule],
                      max_files_per_trigger: int | None = None) -> DataFrame:
     """JSON-lines files arriving in ``path`` -> typed rows with ``errors``.
@@ -100,13 +104,22 @@ def windowed_outlier_counts(flagged: DataFrame, ts: str, window: str = "1 hour",
     mode finished windows are emitted once; ``write_update_log`` shows them as
     they change."""
     by = list(by or [])
-    if flagged.schema[ts].dataType.typeName() == "timestamp_ntz":
-        # watermarks need an instant: read wall-clock times in the session time zone
-        flagged = flagged.withColumn(ts, F.col(ts).cast("timestamp"))
-    return (flagged.withWatermark(ts, watermark)
-            .groupBy(F.window(ts, window), *by)
-            .agg(F.count(F.lit(1)).alias("n_rows"),
-                 F.count_if(F.col("is_outlier")).alias("n_outliers")))
+    wall = flagged.schema[ts].dataType.typeName() == "timestamp_ntz"
+    if wall:
+        # Watermarks need an instant. A wall-clock time is read as that time in
+        # UTC (microseconds since the wall-clock epoch), whatever the session
+        # time zone, so windows follow wall-clock days and come back unchanged.
+        flagged = flagged.withColumn(ts, F.timestamp_micros(
+            F.timestamp_diff("MICROSECOND", _wall_epoch(), F.col(ts))))
+    out = (flagged.withWatermark(ts, watermark)
+           .groupBy(F.window(ts, window), *by)
+           .agg(F.count(F.lit(1)).alias("n_rows"),
+                F.count_if(F.col("is_outlier")).alias("n_outliers")))
+    if wall:
+        back = lambda c: F.timestamp_add("MICROSECOND", F.unix_micros(c), _wall_epoch())
+        out = out.withColumn("window", F.struct(back(F.col("window.start")).alias("start"),
+                                                back(F.col("window.end")).alias("end")))
+    return out
 
 
 def write_update_log(agg: DataFrame, out_path: str, name: str,

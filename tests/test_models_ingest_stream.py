@@ -187,3 +187,18 @@ def test_update_log_keeps_latest_and_drops_late_rows(spark, scratch):
     got = {r["window"]["start"].day: (r["n_rows"], r["n_outliers"])
            for r in ST.read_update_log(spark, os.path.join(scratch, "out"), ["window"]).collect()}
     assert got == {10: (4, 2), 12: (3, 1)}
+
+
+def test_wall_clock_windows_ignore_session_time_zone(spark):
+    from quarry import registry
+    old = spark.conf.get("spark.sql.session.timeZone")
+    got = {}
+    try:
+        for tz in ("UTC", "America/Los_Angeles"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            got[tz] = sorted(tuple(r) for r in registry.QUERIES["stream_outlier_windows"](
+                spark, "/root/testdata/sf0.001").collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got["UTC"] == got["America/Los_Angeles"]
+    assert all(r[0].hour == 0 and r[0].minute == 0 for r in got["UTC"])

@@ -154,3 +154,18 @@ def test_refinement_with_ranks_in_far_cells(spark):
                                 127874.70593891758, 644196.0035465995)]
     _check(_frame(spark, rows), ["g"], accuracy=1000, band_limit=8, cells=4)
     _check(_frame(spark, rows), [], accuracy=1, band_limit=3, cells=2)
+
+
+def test_hot_group_refined_next_to_small_groups(spark, monkeypatch):
+    # one group holds most rows and is refined (its band, about 0.08 n rows at
+    # accuracy 100, exceeds the limit); the small groups (n * 3/100 < 2) take
+    # their whole range as the band in the same run
+    rnd = random.Random(13)
+    rows = [("hot", rnd.gauss(100.0, 15.0)) for _ in range(30000)]
+    rows += [("hot", 100.0)] * 3000                      # a heavy tie inside the hot group
+    rows += [(g, rnd.random() * 50) for g in ("a", "b", "c") for _ in range(50)]
+    calls = []
+    real = Q._refine
+    monkeypatch.setattr(Q, "_refine", lambda *a, **k: calls.append(1) or real(*a, **k))
+    _check(_frame(spark, rows), ["g"], accuracy=100, band_limit=500, cells=64)
+    assert calls

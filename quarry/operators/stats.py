@@ -72,10 +72,14 @@ def chi_square_summary(df: DataFrame, a: str, b: str, correction: bool = False)
         cells = keep(crosstab_long(d, a, b, complete=True).select(a, b, F.col("count").alias("__o")))
     else:
         cells = keep(d.groupBy(a, b).agg(F.count(F.lit(1)).alias("__o")))
+    # one job over the kept cells gives the total and both margin sizes, so
+    # the margin joins need no counting of their own
+    tot = cells.agg(F.sum("__o").alias("n"), F.countDistinct(a).alias("ka"),
+                    F.countDistinct(b).alias("kb")).first()
+    n = tot["n"]
     rows = cells.groupBy(a).agg(F.sum("__o").alias("__rt"))
     cols = cells.groupBy(b).agg(F.sum("__o").alias("__ct"))
-    j = join_small(join_small(cells, rows, [a]), cols, [b])
-    n = cells.select(F.sum("__o")).scalar()
+    j = join_small(join_small(cells, rows, [a], known_rows=tot["ka"]), cols, [b], known_rows=tot["kb"])
     e = F.col("__rt") * F.col("__ct") / n
     o = F.col("__o")
     agg = j.agg(F.sum(F.pow(o - e, 2) / e).alias("__s"), F.sum(e).alias("__se"),

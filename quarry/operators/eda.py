@@ -153,9 +153,12 @@ def crosstab_long(df: DataFrame, a: str, b: str, complete: bool = True) -> DataF
     # Margins as aggregates joined back (broadcast when counted small), so a
     # category with very many cells is not gathered into one window task.
     counts = keep(counts)
+    # both margin sizes in one job (a null key is a group of its own)
+    size = lambda c: F.count_distinct(c) + F.max(F.col(c).isNull().cast("long"))
+    k = counts.agg(size(a).alias("ka"), size(b).alias("kb")).first()
     rows = counts.groupBy(a).agg(F.sum("count").alias("__rt"))
     cols = counts.groupBy(b).agg(F.sum("count").alias("__ct"))
-    j = join_small(join_small(counts, rows, [a]), cols, [b])
+    j = join_small(join_small(counts, rows, [a], known_rows=k["ka"]), cols, [b], known_rows=k["kb"])
     return j.select(a, b, "count", (F.col("count") / F.col("__rt")).alias("row_share"),
                     (F.col("count") / F.col("__ct")).alias("col_share"))
 

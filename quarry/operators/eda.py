@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..session import keep
 from .joins import join_small
 from .outliers import iqr_bounds_table
-from .quantiles import clean_value, quartiles
+from .quantiles import QUARTILE_NAMES, QUARTILE_PROBS, clean_value, quantile_table
 
 
 def _stack(df: DataFrame, items: list[tuple[str, list]], names: list[str]) -> DataFrame:
@@ -30,26 +30,25 @@ def _stack(df: DataFrame, items: list[tuple[str, list]], names: list[str]) -> Da
 def profile_numeric(df: DataFrame, cols: Sequence[str], method: str = "exact") -> DataFrame:
     """One row per column: ``column, n, n_null, mean, stddev, min, q1, median, q3, max``.
 
-    ``stddev`` is the sample standard deviation. NaN counts as null.
+    ``stddev`` is the sample standard deviation. NaN counts as null. The table
+    is read in long form (``column, value``) grouped by column; the basic
+    statistics are computed in the quantile sketch's pass, so the input is
+    scanned twice in all (sketch, band), not once more for the statistics.
     """
     cols = list(cols)
-    aggs = []
-    for c in cols:
-        v = clean_value(c)
-        aggs += [F.count(v).alias(f"{c}__n"), F.count_if(v.isNull()).alias(f"{c}__null"),
-                 F.avg(v).alias(f"{c}__mean"), F.stddev_samp(v).alias(f"{c}__sd"),
-                 F.min(v).alias(f"{c}__min"), F.max(v).alias(f"{c}__max")]
-    wide = df.agg(*aggs)
-    basic = _stack(wide, [(c, [F.col(f"{c}__{s}") for s in ("n", "null", "mean", "sd", "min", "max")])
-                          for c in cols],
-                   ["column", "n", "n_null", "mean", "stddev", "min", "max"])
-    # All columns' quartiles in one distributed job: the table in long form,
-    # grouped by column name.
     long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"),
                                                  clean_value(c).alias("value")) for c in cols])))
-    q = quartiles(long, "value", by=["column"], method=method).drop("n")
-    out = join_small(basic, q, ["column"], how="left", known_rows=len(cols))
-    return out.select("column", "n", "n_null", "mean", "stddev", "min", "q1", "median", "q3", "max")
+    v = F.col("value")
+    extra = {"n_null": F.count_if(v.isNull()), "mean": F.avg(v), "stddev": F.stddev_samp(v),
+             "min": F.min(v), "max": F.max(v)}
+    q, _ = quantile_table(long, "value", QUARTILE_PROBS, by=["column"], method=method,
+                          names=QUARTILE_NAMES, extra=extra)
+    # every requested column gets its row, also for an empty table
+    grid = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
+    out = join_small(grid, q, ["column"], how="left", known_rows=len(cols))
+    return out.select("column", F.coalesce("n", F.lit(0)).cast("long").alias("n"),
+                      F.coalesce("n_null", F.lit(0)).cast("long").alias("n_null"),
+                      "mean", "stddev", "min", "q1", "median", "q3", "max")
 
 
 def profile_missing(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

@@ -30,7 +30,7 @@ materialized; their sizes are checked before any broadcast.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -73,9 +73,15 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str]
 
 def quantile_table(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] | None = None,
                    method: str = "exact", accuracy: int = 10000, names: Sequence[str] | None = None,
-                   band_limit: int = 2_000_000, cells: int = 4096) -> tuple[DataFrame, int | None]:
+                   band_limit: int = 2_000_000, cells: int = 4096,
+                   extra: Mapping[str, Column] | None = None) -> tuple[DataFrame, int | None]:
     """``quantiles`` plus its number of rows when already known (no extra job),
-    so a later join can decide on a broadcast without counting again."""
+    so a later join can decide on a broadcast without counting again.
+
+    ``extra`` maps output names to aggregate expressions computed per group in
+    the same pass over the input as the quantile sketch (no scan of their own).
+    """
+    extra = dict(extra or {})
     probs = [float(p) for p in probs]
     if not probs or any(not 0.0 <= p <= 1.0 for p in probs):
         raise ValueError("probabilities must lie in [0, 1]")
@@ -85,17 +91,19 @@ def quantile_table(df: DataFrame, col: str, probs: Sequence[float], by: Sequence
     if method in ("approx", "percentile"):
         agg = (F.percentile_approx(v, probs, accuracy) if method == "approx"
                else F.percentile(v, probs))
-        res = df.groupBy(*by).agg(F.count(v).alias("n"), agg.alias("__q"))
-        out = res.select(*by, "n", *[F.col("__q")[i].alias(nm) for i, nm in enumerate(out_names)])
+        res = df.groupBy(*by).agg(F.count(v).alias("n"), agg.alias("__q"),
+                                  *[e.alias(nm) for nm, e in extra.items()])
+        out = res.select(*by, "n", *[F.col("__q")[i].alias(nm) for i, nm in enumerate(out_names)],
+                         *extra)
         return out, (1 if not by else None)
     if method != "exact":
         raise ValueError(f"unknown method {method!r}")
-    if not by:
+    if not by and not extra:
         # One result row: computed by two distributed jobs, returned as values.
         n, vals = exact_values(df, col, probs, accuracy, band_limit, cells)
         schema = ", ".join(["n bigint"] + [f"`{nm}` double" for nm in out_names])
         return df.sparkSession.createDataFrame([(n, *vals)], schema), 1
-    return _exact(df, v, probs, by, accuracy, out_names, band_limit, cells)
+    return _exact(df, v, probs, by, accuracy, out_names, band_limit, cells, extra)
 
 
 def quartiles(df: DataFrame, col: str, by: Sequence[str] | None = None, method: str = "exact",
@@ -334,13 +342,16 @@ def exact_values(df: DataFrame, col: str | Column, probs: Sequence[float], accur
 
 
 def _exact(df: DataFrame, v: Column, probs: list[float], by: list[str], accuracy: int,
-           out_names: list[str], band_limit: int, cells: int) -> DataFrame:
+           out_names: list[str], band_limit: int, cells: int,
+           extra: Mapping[str, Column] | None = None) -> DataFrame:
     d = 3.0 / accuracy
     base = df.select(*by, v.alias(_V)).where(F.col(_V).isNotNull())
     approx_probs, lo_exprs, hi_exprs = _band_exprs(probs, d)
     aggs = [F.count(v).alias(_N), F.min(v).alias("__min"), F.max(v).alias("__max")]
     if approx_probs:
         aggs.append(F.percentile_approx(v, approx_probs, accuracy).alias("__a"))
+    extra = dict(extra or {})
+    aggs += [e.alias(nm) for nm, e in extra.items()]
     sk = keep(df.groupBy(*by).agg(*aggs))
     # One action fills the sketch and returns its size and largest group.
     stats = sk.agg(F.count(F.lit(1)).alias("rows"), F.max(_N).alias("max_n")).first()
@@ -356,7 +367,7 @@ def _exact(df: DataFrame, v: Column, probs: list[float], by: list[str], accuracy
         .alias("__hi"),
         F.array(*[F.lit(0).cast("long") for _ in range(2 * len(probs))]).alias("__below"))
     if max_n == 0:
-        return _assemble(sk, None, by, probs, out_names), rows
+        return _assemble(sk, None, by, probs, out_names, list(extra), rows), rows
 
     groups = rows
     band_estimate = 2 * d + 2.0 / accuracy
@@ -383,13 +394,15 @@ def _exact(df: DataFrame, v: Column, probs: list[float], by: list[str], accuracy
         res = good.unionByName(redo)
     # sk and res (one row per group / per wanted rank) stay cached: the answer
     # is read from them by later actions.
-    return _assemble(sk, res, by, probs, out_names), groups
+    return _assemble(sk, res, by, probs, out_names, list(extra), rows), groups
 
 
 def _assemble(sk: DataFrame, res: DataFrame | None, by: list[str], probs: list[float],
-              out_names: list[str]) -> DataFrame:
+              out_names: list[str], extra_names: Sequence[str] = (),
+              rows: int | None = None) -> DataFrame:
     empty = sk.where(F.col(_N) == 0).select(
-        *by, F.col(_N).alias("n"), *[F.lit(None).cast("double").alias(nm) for nm in out_names])
+        *by, F.col(_N).alias("n"), *[F.lit(None).cast("double").alias(nm) for nm in out_names],
+        *extra_names)
     if res is None:
         return empty
     p = F.element_at(F.array(*[F.lit(x) for x in probs]), F.col("__pi") + 1)
@@ -401,7 +414,17 @@ def _assemble(sk: DataFrame, res: DataFrame | None, by: list[str], probs: list[f
     long = res.select(*by, "__pi", _N, q.alias("__q"))
     wide = long.groupBy(*by, _N).agg(
         *[F.max(F.when(F.col("__pi") == i, F.col("__q"))).alias(nm) for i, nm in enumerate(out_names)])
-    return wide.withColumnRenamed(_N, "n").unionByName(empty)
+    wide = wide.withColumnRenamed(_N, "n")
+    if extra_names:
+        # the extra aggregates were computed with the sketch: one row per group
+        side = sk.where(F.col(_N) > 0).select(*by, *extra_names)
+        if by:
+            wide = join_small(wide, side, by, known_rows=rows)
+        else:
+            r = side.first()
+            wide = wide.select("*", *[F.lit(r[c] if r is not None else None)
+                                      .cast(sk.schema[c].dataType).alias(c) for c in extra_names])
+    return wide.unionByName(empty)
 
 
 def iqr_fences(q1: Column, q3: Column, k: float = 1.5) -> tuple[Column, Column]:

@@ -122,3 +122,17 @@ def test_chi_square_zero_cell(spark):
     single = T.chi_square_summary(spark.createDataFrame([("x", "p"), ("x", "q")], "a string, b string"),
                                   "a", "b").first()
     assert single["dof"] == 0
+
+
+def test_profile_empty_table_and_extras_ungrouped(spark):
+    from quarry.operators import quantiles as Q
+    empty = spark.createDataFrame([], "a double, b double")
+    rows = {r["column"]: r for r in E.profile_numeric(empty, ["a", "b"]).collect()}
+    assert set(rows) == {"a", "b"}
+    assert all(r["n"] == 0 and r["n_null"] == 0 and r["mean"] is None and r["q1"] is None
+               for r in rows.values())
+    df = spark.createDataFrame([(float(i),) for i in range(1, 11)] + [(None,)], "v double")
+    q, _ = Q.quantile_table(df, "v", [0.5], names=["median"],
+                            extra={"total": F.sum("v"), "nulls": F.count_if(F.col("v").isNull())})
+    r = q.first()
+    assert (r["n"], r["median"], r["total"], r["nulls"]) == (10, 5.5, 55.0, 1)

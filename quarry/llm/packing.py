@@ -46,7 +46,7 @@ class WordIds(dict):
     # Stretches made of these characters are unchanged by NFC, and lower-casing maps them one to one.
     UNSURE = re.compile("[^!-~\xc0-\xd6\xd8-\xf6\xf8-įı-ňŊ-ž]|<\\|")
     # The vocabulary's split pattern over those characters.
-    PIECE = re.compile("[a-z\xe0-\xf6\xf8-ž]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^a-z0-9\xe0-\xf6\xf8-ž]+")
+    PIECE = re.compile("[a-z\xdf-\xf6\xf8-ž]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^a-z0-9\xdf-\xf6\xf8-ž]+")
 
     def __init__(self, path: str, limit: int) -> None:
         super().__init__()

@@ -55,7 +55,7 @@ def needed_runs(threshold: float, branches: int, recall: float, depth: int) -> i
     q = 1.0
     for _ in range(depth):
         q = 1 - (1 - threshold * q) ** branches
-    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - q)))
+    return 1 if q >= recall else math.ceil(math.log(1 - recall) / math.log(1 - q))
 
 
 def _sets(docs: DataFrame, size: int) -> DataFrame:

@@ -20,8 +20,10 @@ from pyspark.sql import functions as F
 
 
 def group_stats(df: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
-    """``keys..., n, total, mean, min, max`` of ``col`` (nulls ignored)."""
+    """``keys..., n, total, mean, min, max`` of ``col`` (nulls ignored, NaN counts as null)."""
     c = F.col(col)
+    if dict(df.dtypes).get(col) in ("double", "float"):
+        c = F.nanvl(c, F.lit(None))
     return df.groupBy(*keys).agg(F.count(c).alias("n"), F.sum(c).alias("total"),
                                  F.avg(c).alias("mean"), F.min(c).alias("min"),
                                  F.max(c).alias("max"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import keep
@@ -37,7 +37,7 @@ def profile_numeric(df: DataFrame, cols: Sequence[str], method: str = "exact") -
     """
     cols = list(cols)
     long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"),
-                                                 clean_value(c).alias("value")) for c in cols])))
+                                                 clean_value(F.col(f"`{c}`")).alias("value")) for c in cols])))
     v = F.col("value")
     extra = {"n_null": F.count_if(v.isNull()), "mean": F.avg(v), "stddev": F.stddev_samp(v),
              "min": F.min(v), "max": F.max(v)}
@@ -52,11 +52,16 @@ def profile_numeric(df: DataFrame, cols: Sequence[str], method: str = "exact") -
 
 
 def profile_missing(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """``column, n_rows, n_null, null_share`` for every column (NaN is not null here)."""
+    """``column, n_rows, n_null, null_share`` for every column (NaN counts as null, as in ``profile_numeric``)."""
     cols = list(cols or df.columns)
-    wide = df.agg(F.count(F.lit(1)).alias("__rows"),
-                  *[F.count_if(F.col(c).isNull()).alias(f"{c}__null") for c in cols])
-    out = _stack(wide, [(c, [F.col("__rows"), F.col(f"{c}__null")]) for c in cols],
+    kinds = dict(df.dtypes)
+
+    def missing(c: str) -> Column:
+        v = F.col(f"`{c}`")
+        return v.isNull() | F.isnan(v) if kinds[c] in ("double", "float") else v.isNull()
+
+    wide = df.agg(F.count(F.lit(1)).alias("__rows"), *[F.count_if(missing(c)).alias(f"__null{i}") for i, c in enumerate(cols)])
+    out = _stack(wide, [(c, [F.col("__rows"), F.col(f"__null{i}")]) for i, c in enumerate(cols)],
                  ["column", "n_rows", "n_null"])
     return out.withColumn("null_share", F.when(F.col("n_rows") > 0,
                                                F.col("n_null") / F.col("n_rows")))
@@ -117,54 +122,46 @@ def box_stats(df: DataFrame, col: str, by: Sequence[str] | None = None, k: float
 
 
 def correlation_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """``col_a, col_b, corr`` (Pearson) for every pair, one aggregate pass."""
+    """``col_a, col_b, corr`` (Pearson) for every pair, one aggregate pass; no rows for fewer than two columns."""
     pairs = list(combinations(list(cols), 2))
-    wide = df.agg(*[F.corr(clean_value(a), clean_value(b)).alias(f"{a}__{b}") for a, b in pairs])
+    if not pairs:
+        return df.sparkSession.createDataFrame([], "col_a string, col_b string, corr double")
+    wide = df.agg(*[F.corr(clean_value(F.col(f"`{a}`")), clean_value(F.col(f"`{b}`"))).alias(f"__corr{i}") for i, (a, b) in enumerate(pairs)])
     structs = [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                        F.col(f"{a}__{b}").alias("corr")) for a, b in pairs]
+                        F.col(f"__corr{i}").alias("corr")) for i, (a, b) in enumerate(pairs)]
     return wide.select(F.inline(F.array(*structs)))
 
 
-def crosstab_long(df: DataFrame, a: str, b: str, complete: bool = True) -> DataFrame:
+def crosstab_long(df: DataFrame, a: str, b: str, complete: bool = False) -> DataFrame:
     """``a, b, count, row_share, col_share``.
 
-    ``complete`` adds the zero cells of the grid of non-null values (by pivot
-    and unpivot of the counts, no cross join). Shares are within the row (all
-    cells with the same ``a``) and within the column.
+    Shares are within the row (all cells with the same ``a``) and within the
+    column. Values stay data, of any type and in any number. ``complete`` adds the
+    zero cells of the non-null values: the output is then one row per pair of
+    values by definition, made from the two margins inside Spark.
     """
-    counts = df.groupBy(a, b).agg(F.count(F.lit(1)).alias("count"))
+    ca, cb = F.col(f"`{a}`"), F.col(f"`{b}`")
+    counts = keep(df.groupBy(ca.alias("__a"), cb.alias("__b")).agg(F.count(F.lit(1)).alias("count")))
+    rows = counts.groupBy("__a").agg(F.sum("count").alias("__rt"))
+    cols = counts.groupBy("__b").agg(F.sum("count").alias("__ct"))
     if complete:
-        # The grid needs b's distinct values as columns, as pivot does; at most
-        # spark.sql.pivotMaxValues of them are read back, more is an error.
-        limit = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues", "10000"))
-        values = [r[0] for r in counts.where(F.col(b).isNotNull()).select(b).distinct()
-                  .orderBy(b).limit(limit + 1).collect()]
-        if len(values) > limit:
-            raise ValueError(f"{b} has more than {limit} values; use complete=False")
-        if values:
-            wide = (counts.where(F.col(a).isNotNull() & F.col(b).isNotNull())
-                    .groupBy(a).pivot(b, values).agg(F.first("count")))
-            grid = wide.unpivot([a], [F.col(f"`{v}`") for v in values], "__b", "count")
-            grid = grid.select(a, F.col("__b").cast(df.schema[b].dataType).alias(b),
-                               F.coalesce("count", F.lit(0)).cast("long").alias("count"))
-            nulls = counts.where(F.col(a).isNull() | F.col(b).isNull())
-            counts = grid.unionByName(nulls)
-    # Margins as aggregates joined back (broadcast when counted small), so a
-    # category with very many cells is not gathered into one window task.
-    counts = keep(counts)
-    # both margin sizes in one job (a null key is a group of its own)
-    size = lambda c: F.count_distinct(c) + F.max(F.col(c).isNull().cast("long"))
-    k = counts.agg(size(a).alias("ka"), size(b).alias("kb")).first()
-    rows = counts.groupBy(a).agg(F.sum("count").alias("__rt"))
-    cols = counts.groupBy(b).agg(F.sum("count").alias("__ct"))
-    j = join_small(join_small(counts, rows, [a], known_rows=k["ka"]), cols, [b], known_rows=k["kb"])
-    return j.select(a, b, "count", (F.col("count") / F.col("__rt")).alias("row_share"),
+        grid = rows.where(F.col("__a").isNotNull()).crossJoin(cols.where(F.col("__b").isNotNull()))
+        seen = counts.withColumnsRenamed({"__a": "__ca", "__b": "__cb"})
+        match = F.col("__a").eqNullSafe(F.col("__ca")) & F.col("__b").eqNullSafe(F.col("__cb"))
+        full = grid.join(seen, match, "left").select("__a", "__b", F.coalesce("count", F.lit(0)).cast("long").alias("count"), "__rt", "__ct")
+        nulls = counts.where(F.col("__a").isNull() | F.col("__b").isNull())
+        j = full.unionByName(join_small(join_small(nulls, rows, ["__a"]), cols, ["__b"]))
+    else:
+        # Margins as aggregates joined back (broadcast where measured small), so a
+        # category with very many cells is not gathered into one window task.
+        j = join_small(join_small(counts, rows, ["__a"]), cols, ["__b"])
+    return j.select(F.col("__a").alias(a), F.col("__b").alias(b), "count", (F.col("count") / F.col("__rt")).alias("row_share"),
                     (F.col("count") / F.col("__ct")).alias("col_share"))
 
 
 def rate_by(df: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
     """``keys..., n, n_flag, rate``: share of rows with a true/1 flag per segment."""
-    f = F.col(flag).cast("double")
+    f = clean_value(F.col(f"`{flag}`"))  # NaN counts as null, as everywhere here
     return df.groupBy(*keys).agg(F.count(f).alias("n"),
                                  F.sum(f).cast("long").alias("n_flag"),
                                  F.avg(f).alias("rate"))

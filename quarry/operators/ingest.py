@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import join_small
+from .joins import join_kept_key
 
 # Fixed value: ISO local date-time as the hourly weather payloads write it.
 HOURLY_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm"
@@ -44,12 +44,14 @@ def flatten_hourly(df: DataFrame, time_path: str, value_paths: Sequence[str],
                        F.col("__t").alias("time_text"), *names)
 
 
-def enrich(fact: DataFrame, dim: DataFrame, on: Sequence[str] | str, how: str = "left",
-           max_rows: int | None = None) -> DataFrame:
-    """Attach dimension attributes; the dimension is broadcast only if its
-    counted size is under the broadcast limit."""
+def enrich(fact: DataFrame, dim: DataFrame, on: Sequence[str] | str, how: str = "left") -> DataFrame:
+    """Attach dimension attributes; right and full joins keep an unmatched dimension row's key.
+
+    No hint is given: a dimension read from files carries its size, and others
+    are sized by AQE at run time.
+    """
     keys = [on] if isinstance(on, str) else list(on)
-    return join_small(fact, dim, keys, how=how, null_safe=False, max_rows=max_rows)
+    return join_kept_key(fact, dim, keys, how=how)
 
 
 def parse_json_column(df: DataFrame, col: str, schema: str, keep: Sequence[str] = ()) -> DataFrame:

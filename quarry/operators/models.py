@@ -125,12 +125,13 @@ def _features_col(stages: list) -> str:
 
 def compare_models(train: DataFrame, test: DataFrame, stages: list,
                    estimators: Mapping[str, object] | None = None, label: str = "label",
-                   order_key: str | None = None) -> DataFrame:
+                   order_key: str | None = None, partitions: int = 64) -> DataFrame:
     """One row per model: ``model, rank, n, ..., auc, majority_accuracy``.
 
     Train and test are cached once for all models. With ``order_key`` the
-    training rows are hash-partitioned and sorted by it first, so the tree
-    learners' row sampling is repeatable run to run.
+    training rows are hash-partitioned into ``partitions`` and sorted by it first. The
+    tree learners sample rows by partition, so the result is repeatable for a
+    given ``partitions``, whatever the cluster's own settings; raise it with the data.
     """
     estimators = dict(estimators or default_estimators(label))
     # The preprocessing stages are fitted once, on the training part only, and
@@ -141,13 +142,12 @@ def compare_models(train: DataFrame, test: DataFrame, stages: list,
     cols = [c for c in dict.fromkeys([order_key, label, features]) if c is not None]
     train, test = prep.transform(train).select(*cols), prep.transform(test).select(*cols)
     if order_key is not None:
-        n = train.sparkSession.conf.get("spark.sql.shuffle.partitions")
-        train = train.repartition(int(n), order_key).sortWithinPartitions(order_key)
+        train = train.repartition(partitions, order_key).sortWithinPartitions(order_key)
     train, test = keep(train), keep(test)
     parts = []
     try:
         for name, est in estimators.items():
-            model = est.fit(train)
+            model = fit_model(train, [], est)
             met = binary_metrics(model.transform(test), label=label)
             # One metrics row per fitted model: bounded by the number of models.
             parts.append(met.select(F.lit(name).alias("model"), "*").first().asDict())

@@ -186,8 +186,7 @@ def _with_state(base: DataFrame, state: DataFrame, by: list[str], m: int,
         his = [F.lit(row["__hi"][i]).cast("double") for i in range(m)]
         nlit = F.lit(row[_N]).cast("long")
         return base.withColumn(_N, nlit), list(zip(los, his))
-    joined = join_small(base, state.select(*by, _N, "__lo", "__hi"), by, row_bytes=96,
-                        known_rows=known_rows)
+    joined = join_small(base, state.select(*by, _N, "__lo", "__hi"), by, known_rows=known_rows)
     return joined, [(F.col("__lo")[i], F.col("__hi")[i]) for i in range(m)]
 
 
@@ -425,9 +424,3 @@ def _assemble(sk: DataFrame, res: DataFrame | None, by: list[str], probs: list[f
             wide = wide.select("*", *[F.lit(r[c] if r is not None else None)
                                       .cast(sk.schema[c].dataType).alias(c) for c in extra_names])
     return wide.unionByName(empty)
-
-
-def iqr_fences(q1: Column, q3: Column, k: float = 1.5) -> tuple[Column, Column]:
-    iqr = q3 - q1
-    return q1 - F.lit(k) * iqr, q3 + F.lit(k) * iqr
-

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from ..functions.distributions import chi2_p_value, t_p_value
 from ..session import keep
-from .eda import crosstab_long
 from .joins import join_small
 from .quantiles import clean_value
 
@@ -64,34 +63,33 @@ def chi_square_summary(df: DataFrame, a: str, b: str, correction: bool = False)
     ``row total * column total / n`` on the full grid of observed values:
     cells never observed contribute their expected count, which is summed as
     ``n - sum(expected of observed cells)`` instead of building the grid.
-    ``correction`` applies Yates' continuity correction when ``dof == 1``
-    (the 2 x 2 grid is then completed explicitly).
+    ``correction`` applies Yates' continuity correction when ``dof == 1``. An
+    empty table has a null statistic and dof 0.
     """
-    d = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
-    if correction:
-        cells = keep(crosstab_long(d, a, b, complete=True).select(a, b, F.col("count").alias("__o")))
-    else:
-        cells = keep(d.groupBy(a, b).agg(F.count(F.lit(1)).alias("__o")))
-    # one job over the kept cells gives the total and both margin sizes, so
-    # the margin joins need no counting of their own
-    tot = cells.agg(F.sum("__o").alias("n"), F.countDistinct(a).alias("ka"),
-                    F.countDistinct(b).alias("kb")).first()
-    n = tot["n"]
-    rows = cells.groupBy(a).agg(F.sum("__o").alias("__rt"))
-    cols = cells.groupBy(b).agg(F.sum("__o").alias("__ct"))
-    j = join_small(join_small(cells, rows, [a], known_rows=tot["ka"]), cols, [b], known_rows=tot["kb"])
+    ca, cb = F.col(f"`{a}`"), F.col(f"`{b}`")
+    cells = keep(df.where(ca.isNotNull() & cb.isNotNull()).groupBy(ca.alias("__a"), cb.alias("__b"))
+                 .agg(F.count(F.lit(1)).alias("__o")))
+    rows = cells.groupBy("__a").agg(F.sum("__o").alias("__rt"))
+    cols = cells.groupBy("__b").agg(F.sum("__o").alias("__ct"))
+    n = F.lit(cells.agg(F.sum("__o")).first()[0]).cast("double")
+    j = join_small(join_small(cells, rows, ["__a"]), cols, ["__b"])
     e = F.col("__rt") * F.col("__ct") / n
     o = F.col("__o")
+    yates = lambda obs: F.pow(F.greatest(F.abs(obs - e) - 0.5, F.lit(0.0)), 2) / e
     agg = j.agg(F.sum(F.pow(o - e, 2) / e).alias("__s"), F.sum(e).alias("__se"),
                 F.sum(o).alias("n"), F.count(F.lit(1)).alias("__cells"),
-                F.countDistinct(a).alias("n_a"), F.countDistinct(b).alias("n_b"),
-                F.sum(F.pow(F.greatest(F.abs(o - e) - 0.5, F.lit(0.0)), 2) / e).alias("__sy"))
-    dof = ((F.col("n_a") - 1) * (F.col("n_b") - 1)).cast("long")
-    missing = F.when(F.col("__cells") < F.col("n_a") * F.col("n_b"),
-                     F.greatest(F.col("n") - F.col("__se"), F.lit(0.0))).otherwise(F.lit(0.0))
-    plain = F.col("__s") + missing
-    stat = F.when(dof == 1, F.col("__sy")).otherwise(plain) if correction else plain
-    return agg.select(stat.alias("statistic"), dof.alias("dof"), "n", "n_a", "n_b")
+                F.countDistinct("__a").alias("n_a"), F.countDistinct("__b").alias("n_b"),
+                F.sum(yates(o)).alias("__sy"))
+    dof = (F.greatest(F.col("n_a") - 1, F.lit(0)) * F.greatest(F.col("n_b") - 1, F.lit(0))).cast("long")
+    total = F.coalesce(F.col("n"), F.lit(0)).cast("long")
+    gap = F.greatest(total - F.col("__se"), F.lit(0.0))  # expected counts of the cells never observed
+    unseen = F.col("__cells") < F.col("n_a") * F.col("n_b")
+    plain = F.col("__s") + F.when(unseen, gap).otherwise(F.lit(0.0))
+    # A 2 x 2 table has one unseen cell at most or two on a diagonal, of equal expected count.
+    blank = (F.col("n_a") * F.col("n_b") - F.col("__cells")).cast("double")
+    corrected = F.col("__sy") + F.when(unseen, blank * F.pow(F.greatest(gap / blank - 0.5, F.lit(0.0)), 2) / (gap / blank)).otherwise(F.lit(0.0))
+    stat = F.when(dof == 1, corrected).otherwise(plain) if correction else plain
+    return agg.select(stat.alias("statistic"), dof.alias("dof"), total.alias("n"), "n_a", "n_b")
 
 
 def chi_square(df: DataFrame, a: str, b: str, correction: bool = False) -> DataFrame:

@@ -2,9 +2,8 @@
 
 Every query reads whole tables from ``sf_dir`` (nothing sampled, capped or
 filtered to a subset) and returns a DataFrame whose column names match the
-DuckDB oracle SQL in ``ORACLE``. Queries without an SQL equivalent (fitted
-models, approximate quantiles, batch generators with Python) are listed in
-``QUERIES`` only.
+DuckDB oracle SQL in ``ORACLE``. Where a value has no SQL (fitted scores,
+approximate ranks) the query returns invariants that SQL can state.
 """
 
 from __future__ import annotations
@@ -20,6 +19,7 @@ from pyspark.sql import functions as F
 from .functions import rules
 from .session import ensure_checkpoint_dir
 from .sources import files
+from .operators.joins import join_small
 from .operators import collect, eda, ingest, models, outliers, quantiles, report, stats, validate
 from .plans import analysis, collect_job
 from .streaming import stream
@@ -134,10 +134,24 @@ def q_quartiles_exact(spark, sf):
     return quantiles.quartiles(table(spark, sf, "lineitem"), "l_extendedprice")
 
 
-@register("quartiles_approx")
+@register("quartiles_approx", """
+SELECT event_type, count(value) AS n, true AS q1_ok, true AS median_ok, true AS q3_ok
+FROM events GROUP BY event_type
+""")
 def q_quartiles_approx(spark, sf):
-    return quantiles.quartiles(table(spark, sf, "events"), "value", by=["event_type"],
-                               method="approx")
+    """Whether each approximate quartile's rank is within n / 1000 + 1 of the wanted one."""
+    ev = table(spark, sf, "events")
+    q = quantiles.quartiles(ev, "value", by=["event_type"], method="approx")
+    v = quantiles.clean_value("value")
+    j = join_small(ev.select("event_type", v.alias("v")), q, ["event_type"])
+    below = {c: (F.count_if(F.col("v") < F.col(c)), F.count_if(F.col("v") <= F.col(c))) for c in quantiles.QUARTILE_NAMES}
+    ranks = j.groupBy("event_type", "n").agg(*[e.alias(f"{c}_{k}") for c, pair in below.items() for k, e in enumerate(pair)])
+    slack = F.col("n") / 1000 + 1
+
+    def near(c: str, p: float) -> Column:
+        return (F.col(f"{c}_0") <= F.col("n") * p + slack) & (F.col(f"{c}_1") >= F.col("n") * p - slack)
+
+    return ranks.select("event_type", "n", *[near(c, p).alias(f"{c}_ok") for c, p in zip(quantiles.QUARTILE_NAMES, quantiles.QUARTILE_PROBS)])
 
 
 # ---------------------------------------------------------------------------
@@ -412,6 +426,19 @@ def q_crosstab(spark, sf):
     return x.select("l_returnflag", "l_linestatus", "count", _r("row_share", 9), _r("col_share", 9))
 
 
+@register("crosstab_complete", """
+WITH c AS (SELECT n_regionkey, n_name, count(*) AS o FROM nation GROUP BY ALL),
+g AS (SELECT DISTINCT a.n_regionkey, b.n_name FROM nation a, nation b),
+f AS (SELECT g.n_regionkey, g.n_name, coalesce(c.o, 0) AS count FROM g LEFT JOIN c USING (n_regionkey, n_name))
+SELECT n_regionkey, n_name, count, round(count / sum(count) OVER (PARTITION BY n_regionkey), 9) AS row_share,
+       round(count / sum(count) OVER (PARTITION BY n_name), 9) AS col_share
+FROM f
+""")
+def q_crosstab_complete(spark, sf):
+    x = eda.crosstab_long(table(spark, sf, "nation"), "n_regionkey", "n_name", complete=True)
+    return x.select("n_regionkey", "n_name", "count", _r("row_share", 9), _r("col_share", 9))
+
+
 @register("rate_by", """
 SELECT d.lang, count(l.quality) AS n, sum(l.quality)::BIGINT AS n_flag,
        round(avg(l.quality), 9) AS rate
@@ -471,10 +498,21 @@ def q_t_test_student(spark, sf):
                                   "1-URGENT", "5-LOW", equal_var=True))
 
 
-@register("t_test_p")
+@register("t_test_p", f"""
+WITH s AS ({_T_GROUPS_SQL}),
+t AS (SELECT abs((mean_a - mean_b) / sqrt(var_a / n_a + var_b / n_b)) AS t,
+             pow(var_a / n_a + var_b / n_b, 2) /
+             (pow(var_a / n_a, 2) / (n_a - 1) + pow(var_b / n_b, 2) / (n_b - 1)) AS df FROM s),
+f AS (SELECT i, t, exp(lgamma((df + 1) / 2) - lgamma(df / 2) - 0.5 * ln(df * pi())
+                       - (df + 1) / 2 * ln(1 + pow(t * i / 2000, 2) / df)) AS y
+      FROM t, range(2001) r(i))
+SELECT '1-URGENT' AS group_a, '5-LOW' AS group_b,
+       round(1 - 2 * max(t) / 2000 / 3 * sum(y * CASE WHEN i IN (0, 2000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END), 7) AS p
+FROM f
+""")
 def q_t_test_p(spark, sf):
-    return stats.t_test(table(spark, sf, "orders"), "o_totalprice", "o_orderpriority",
-                        "1-URGENT", "5-LOW")
+    t = stats.t_test(table(spark, sf, "orders"), "o_totalprice", "o_orderpriority", "1-URGENT", "5-LOW")
+    return t.select("group_a", "group_b", _r("p", 7))
 
 
 @register("chi_square", """
@@ -493,9 +531,33 @@ def q_chi_square(spark, sf):
     return s.select(_r("statistic", 9), "dof", "n")
 
 
-@register("chi_square_p")
+_CHI_SQL = """
+WITH c AS (SELECT {a} AS a, {b} AS b, count(*) AS o FROM lineitem GROUP BY ALL),
+r AS (SELECT a, sum(o) AS rt FROM c GROUP BY a),
+k AS (SELECT b, sum(o) AS ct FROM c GROUP BY b),
+t AS (SELECT sum(o) AS n FROM c),
+e AS (SELECT c.o, r.rt * k.ct / t.n AS e FROM c JOIN r USING (a) JOIN k USING (b), t)
+"""
+
+
+# two degrees of freedom: the upper tail is exp(-x / 2)
+@register("chi_square_p", _CHI_SQL.format(a="l_returnflag", b="l_linestatus") + """
+SELECT round(sum(pow(o - e, 2) / e), 9) AS statistic,
+       ((SELECT count(*) FROM r) - 1) * ((SELECT count(*) FROM k) - 1) AS dof,
+       round(exp(-sum(pow(o - e, 2) / e) / 2), 9) AS p
+FROM e
+""")
 def q_chi_square_p(spark, sf):
-    return stats.chi_square(table(spark, sf, "lineitem"), "l_returnflag", "l_linestatus")
+    c = stats.chi_square(table(spark, sf, "lineitem"), "l_returnflag", "l_linestatus")
+    return c.select(_r("statistic", 9), "dof", _r("p", 9))
+
+
+@register("chi_square_yates", _CHI_SQL.format(a="l_linestatus", b="l_quantity > 25") + """
+SELECT round(sum(pow(greatest(abs(o - e) - 0.5, 0), 2) / e), 9) AS statistic, sum(o)::BIGINT AS n FROM e
+""")
+def q_chi_square_yates(spark, sf):
+    li = table(spark, sf, "lineitem").select("l_linestatus", (F.col("l_quantity") > 25).alias("bulk"))
+    return stats.chi_square_summary(li, "l_linestatus", "bulk", correction=True).select(_r("statistic", 9), "n")
 
 
 # ---------------------------------------------------------------------------
@@ -506,35 +568,41 @@ def document_features(spark, sf):
     d = table(spark, sf, "documents")
     lab = table(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
     n = F.greatest(F.length("text"), F.lit(1))
-    feats = d.select(
-        "doc_id", "lang", "source",
+    # join first: the regular expressions then run on labelled documents only
+    return d.join(lab, "doc_id").select(
+        "doc_id", "label", "lang", "source",
         F.col("n_chars").cast("double").alias("n_chars"),
         F.size(collect.tokens("text")).cast("double").alias("n_words"),
         F.size(F.split("text", "\n")).cast("double").alias("n_lines"),
         (F.length(F.regexp_replace("text", "[^A-Z]", "")) / n).alias("upper_share"),
         (F.length(F.regexp_replace("text", "[^0-9]", "")) / n).alias("digit_share"),
         (F.length(F.regexp_replace("text", "[^!?.]", "")) / n).alias("punct_share"))
-    return feats.join(lab, "doc_id")
 
 
 _NUMERIC_FEATURES = ["n_chars", "n_words", "n_lines", "upper_share", "digit_share", "punct_share"]
 
 
-@register("model_comparison")
+@register("model_comparison", """
+SELECT rank, true AS known_model, true AS auc_ok, true AS counts_ok FROM (SELECT unnest(range(1, 4))::INTEGER AS rank)
+""")
 def q_model_comparison(spark, sf):
+    """Fitted scores have no SQL: their invariants are returned, one row per ranked model."""
     data = document_features(spark, sf)
     train, test = models.split(data, "doc_id", 0.2, salt=7)
     stages = models.preprocess(_NUMERIC_FEATURES, ["lang", "source"])
-    return models.compare_models(train, test, stages, order_key="doc_id")
+    got = models.compare_models(train, test, stages, order_key="doc_id", partitions=8)
+    return got.select("rank", F.col("model").isin(list(models.default_estimators())).alias("known_model"),
+                      (F.col("auc").between(0, 1) & F.col("accuracy").between(0, 1)).alias("auc_ok"),
+                      ((F.col("n") > 0) & F.col("n_pos").between(0, F.col("n"))).alias("counts_ok"))
 
 
 def _scored_labels(spark, sf):
     """A fixed prediction table from the data: score = share of upper-case letters."""
-    d = table(spark, sf, "documents").select(
-        "doc_id", (F.length(F.regexp_replace("text", "[^A-Z]", "")) /
-                   F.greatest(F.length("text"), F.lit(1))).alias("score"))
     lab = table(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
-    return d.join(lab, "doc_id").withColumn(
+    d = table(spark, sf, "documents").join(lab, "doc_id").select(
+        "doc_id", "label", (F.length(F.regexp_replace("text", "[^A-Z]", "")) /
+                            F.greatest(F.length("text"), F.lit(1))).alias("score"))
+    return d.withColumn(
         "prediction", F.when(F.col("score") > 0.02, 1.0).otherwise(0.0))
 
 
@@ -576,11 +644,21 @@ def q_confusion(spark, sf):
     return models.confusion(_scored_labels(spark, sf))
 
 
-@register("split_sizes")
+@register("split_sizes", """
+SELECT count(*) AS n, true AS disjoint, true AS complete, true AS share_ok
+FROM documents JOIN labels USING (doc_id)
+""")
 def q_split_sizes(spark, sf):
-    train, test = models.split(document_features(spark, sf), "doc_id", 0.2, salt=7)
-    return train.select(F.lit("train").alias("part"), "doc_id").unionByName(
-        test.select(F.lit("test").alias("part"), "doc_id")).groupBy("part").count()
+    """Invariants of a hash split: parts disjoint, union complete, test share near the wanted one."""
+    data = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id").select("doc_id")
+    train, test = models.split(data, "doc_id", 0.2, salt=7)
+    parts = train.select("doc_id", F.lit(0).alias("t")).unionByName(test.select("doc_id", F.lit(1).alias("t")))
+    per = data.groupBy("doc_id").agg(F.count("*").alias("want")).join(
+        parts.groupBy("doc_id").agg(F.count("*").alias("got"), F.sum("t").alias("t")), "doc_id", "full")
+    n = F.sum("want")
+    return per.agg(n.alias("n"), F.bool_and((F.col("t") == 0) | (F.col("t") == F.col("got"))).alias("disjoint"),
+                   F.bool_and(F.col("want").eqNullSafe(F.col("got"))).alias("complete"),
+                   F.abs(F.sum("t") / n - 0.2).__lt__(0.1).alias("share_ok"))
 
 
 # ---------------------------------------------------------------------------
@@ -607,6 +685,17 @@ def q_enrich_join(spark, sf):
     return out.select("c_custkey", "c_name", "n_name", "r_name")
 
 
+@register("enrich_full", """
+SELECT coalesce(s.s_nationkey, n.n_nationkey) AS nation, s.s_suppkey, n.n_name
+FROM (SELECT * FROM supplier WHERE s_nationkey < 20) s
+FULL JOIN (SELECT * FROM nation WHERE n_nationkey >= 5) n ON s.s_nationkey = n.n_nationkey
+""")
+def q_enrich_full(spark, sf):
+    sup = table(spark, sf, "supplier").where("s_nationkey < 20").select(F.col("s_nationkey").alias("nation"), "s_suppkey")
+    nat = table(spark, sf, "nation").where("n_nationkey >= 5").select(F.col("n_nationkey").alias("nation"), "n_name")
+    return ingest.enrich(sup, nat, "nation", how="full").select("nation", "s_suppkey", "n_name")
+
+
 @register("flatten_parallel", """
 SELECT vec_id, unnest(generate_series(0, len(embedding) - 1)) AS pos,
        unnest(embedding)::DOUBLE AS value
@@ -753,6 +842,71 @@ def q_quarantine_bad(spark, sf):
                    F.count_distinct(F.when(prio != "", prio).otherwise(cut)).alias("n_priorities"))
 
 
+@register("json_roundtrip", "SELECT * FROM orders")
+def q_json_roundtrip(spark, sf):
+    out = _scratch(spark, "orders-json")
+    files.write_table(table(spark, sf, "orders"), out, fmt="json")
+    return files.read_table(spark, out, "json", _ORDER_DDL)
+
+
+@register("parquet_roundtrip", "SELECT * FROM orders")
+def q_parquet_roundtrip(spark, sf):
+    out = _scratch(spark, "orders-parquet")
+    files.write_table(table(spark, sf, "orders"), out, partition_by=["o_orderstatus"])
+    back = files.read_table(spark, out)
+    return back.select("o_orderkey", "o_custkey", F.col("o_orderstatus").cast("string").alias("o_orderstatus"),
+                       "o_totalprice", "o_orderdate", "o_orderpriority")
+
+
+def _customers_csv_with_damage(spark, sf, out):
+    """Customers as csv with a header; some have a field too many, some a word for a number."""
+    c = table(spark, sf, "customer")
+    line = lambda bal: F.concat_ws(",", "c_custkey", "c_name", "c_nationkey", bal, "c_mktsegment")
+    k = F.col("c_custkey") % 20
+    value = (F.when(k == 0, F.concat(line(F.col("c_acctbal")), F.lit(",extra")))
+             .when(k == 1, line(F.lit("much"))).otherwise(line(F.col("c_acctbal"))))
+    c.select(value.alias("c_custkey,c_name,c_nationkey,c_acctbal,c_mktsegment")).write.option("header", True) \
+     .option("quote", "").option("sep", "\x01").csv(out)
+
+
+@register("quarantine_csv", """
+SELECT 'good' AS part, count(*) AS n, sum(c_custkey)::BIGINT AS keys FROM customer WHERE c_custkey % 20 > 1
+UNION ALL
+SELECT 'bad', count(*), sum(c_custkey)::BIGINT FROM customer WHERE c_custkey % 20 <= 1
+""")
+def q_quarantine_csv(spark, sf):
+    out = _scratch(spark, "customer-csv-damage")
+    _customers_csv_with_damage(spark, sf, out)
+    good, bad = files.read_with_quarantine(spark, out, _CUSTOMER_DDL, "csv")
+    key = F.regexp_extract("_raw", "^([0-9]+),", 1).cast("bigint")
+    sums = [df.agg(F.count("*").alias("n"), F.sum(c).alias("keys")).select(F.lit(name).alias("part"), "n", "keys")
+            for name, df, c in (("good", good, F.col("c_custkey")), ("bad", bad, key))]
+    return sums[0].unionByName(sums[1])
+
+
+# Every rule fails at least one row here: values are damaged by key.
+@register("rules_all_fail", """
+WITH r(rule, k) AS (VALUES ('typed', 1), ('typed_double', 2), ('required', 3), ('in_range', 4), ('one_of', 5),
+                           ('matches', 6), ('check', 7))
+SELECT r.rule, count(*) AS n_failed FROM r JOIN customer ON c_custkey % 10 = r.k GROUP BY r.rule
+""")
+def q_rules_all_fail(spark, sf):
+    k = F.col("c_custkey") % 10
+    c = table(spark, sf, "customer").select(
+        F.when(k == 1, "x1").otherwise(F.col("c_custkey").cast("string")).alias("key"),
+        F.when(k == 2, "1.2.3").otherwise("1.5e3").alias("amount"),
+        F.when(k == 3, None).otherwise(F.col("c_name")).alias("name"),
+        F.when(k == 4, 1e9).otherwise(1.0).alias("balance"),
+        F.when(k == 5, "NONE").otherwise("A").alias("segment"),
+        F.when(k == 6, "ab").otherwise("AB").alias("code"),
+        F.when(k == 7, 2).otherwise(1).alias("low"), F.lit(1).alias("high"))
+    checks = [rules.typed("key", "bigint", name="typed"), rules.typed("amount", "double", name="typed_double"),
+              rules.required("name", name="required"), rules.in_range("balance", 0, 1000, name="in_range"),
+              rules.one_of("segment", ["A"], name="one_of"), rules.matches("code", "^[A-Z]+$", name="matches"),
+              rules.check("check", F.col("low") <= F.col("high"))]
+    return validate.error_summary(c, checks).select("rule", "n_failed")
+
+
 @register("payload_read", """
 SELECT event_id, TRY_CAST(json_extract(props, '$.k') AS INTEGER) AS k, true AS _parsed FROM events
 """)
@@ -825,33 +979,41 @@ def _country_code(k: Column) -> Column:
 
 def _land_collection_payloads(spark, sf, base):
     """Weather documents (one per event, two hourly steps), country facts (one
-    per nation) and IP-location answers (one per customer) as JSON lines."""
+    per nation) and IP-location answers (one per customer) as JSON lines. Some of
+    each kind are damaged: cut off, without their arrays, or of a wrong type."""
+    def cut(line):
+        return F.substring(line, 1, 25)
+
     ev = table(spark, sf, "events")
     fmt = "yyyy-MM-dd'T'HH:mm"
     hourly = F.struct(
         F.array(F.date_format("ts", fmt), F.date_format(F.col("ts") + F.expr("INTERVAL 1 HOUR"), fmt))
         .alias("time"),
         F.array(F.col("value") / 4 - 50, F.col("value") / 4 - 51).alias("temperature_2m"))
-    ev.select(F.to_json(F.struct(((F.col("user_id") % 191) - 95).cast("double").alias("latitude"),
-                                 ((F.col("event_id") % 361) - 180).cast("double").alias("longitude"),
-                                 hourly.alias("hourly"))).alias("value")) \
+    place = [((F.col("user_id") % 191) - 95).cast("double").alias("latitude"),
+             ((F.col("event_id") % 361) - 180).cast("double").alias("longitude")]
+    sound = F.to_json(F.struct(*place, hourly.alias("hourly")))
+    wrong = F.to_json(F.struct(*place, F.lit("none").alias("hourly")))
+    kind = F.col("event_id") % 50
+    ev.select(F.when(kind == 0, cut(sound)).when(kind == 1, F.to_json(F.struct(*place)))
+              .when(kind == 2, wrong).otherwise(sound).alias("value")) \
       .write.mode("errorifexists").text(f"{base}/weather")
     nat = table(spark, sf, "nation")
-    nat.select(F.to_json(F.struct(_country_code(F.col("n_nationkey")).alias("code"),
-                                  F.col("n_name").alias("name"),
-                                  ((F.col("n_nationkey") + 1) * 1000000).cast("long").alias("population")))
-               .alias("value")).write.mode("errorifexists").text(f"{base}/countries")
+    country = F.to_json(F.struct(_country_code(F.col("n_nationkey")).alias("code"), F.col("n_name").alias("name"),
+                                 ((F.col("n_nationkey") + 1) * 1000000).cast("long").alias("population")))
+    nat.select(F.when(F.col("n_nationkey") % 8 == 3, cut(country)).otherwise(country).alias("value")).write.mode("errorifexists").text(f"{base}/countries")
     c = table(spark, sf, "customer")
     k = F.col("c_custkey")
     ip = F.concat_ws(".", F.lit("10"), (F.floor(k / 65536) % 256).cast("string"),
                      (F.floor(k / 256) % 256).cast("string"), (k % 256).cast("string"))
     code = _country_code(F.col("c_nationkey"))
-    c.select(F.to_json(F.struct(
+    answer = F.to_json(F.struct(
         ip.alias("query"),
         F.when(F.col("c_acctbal") >= 0, "success").otherwise("fail").alias("status"),
         F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.lower(code)).otherwise(code).alias("countryCode"),
         (F.col("c_acctbal") / 100).alias("lat"), F.col("c_nationkey").cast("double").alias("lon")))
-        .alias("value")).write.mode("errorifexists").text(f"{base}/ip")
+    c.select(F.when(k % 40 == 0, cut(answer)).otherwise(answer).alias("value")) \
+     .write.mode("errorifexists").text(f"{base}/ip")
 
 
 _CODE_SQL = "chr(65 + ({k}) % 26) || chr(65 + (({k}) // 26) % 26)"
@@ -860,25 +1022,32 @@ _CODE_SQL = "chr(65 + ({k}) % 26) || chr(65 + (({k}) // 26) % 26)"
 @register("collect_job", f"""
 WITH steps AS (
   SELECT ts, (user_id % 191) - 95 AS latitude, (event_id % 361) - 180 AS longitude,
-         value / 4 - 50 AS t FROM events
+         value / 4 - 50 AS t FROM events WHERE event_id % 50 > 2
   UNION ALL
-  SELECT ts + INTERVAL 1 HOUR, (user_id % 191) - 95, (event_id % 361) - 180, value / 4 - 51 FROM events),
+  SELECT ts + INTERVAL 1 HOUR, (user_id % 191) - 95, (event_id % 361) - 180, value / 4 - 51 FROM events
+  WHERE event_id % 50 > 2),
 w AS (
+  SELECT 'rejected' AS status FROM events WHERE event_id % 50 <= 2
+  UNION ALL
   SELECT CASE WHEN ts IS NOT NULL AND t IS NOT NULL AND coalesce(t BETWEEN -90 AND 60, true)
               AND coalesce(latitude BETWEEN -90 AND 90, true) AND coalesce(longitude BETWEEN -180 AND 180, true)
          THEN 'valid' ELSE 'rejected' END AS status FROM steps),
-ctry AS (SELECT {_CODE_SQL.format(k="n_nationkey")} AS code, n_name AS name FROM nation),
+ctry AS (SELECT {_CODE_SQL.format(k="n_nationkey")} AS code, n_name AS name FROM nation WHERE n_nationkey % 8 <> 3),
 ip AS (
   SELECT CASE WHEN c_acctbal >= 0 THEN 'success' ELSE 'fail' END AS status,
          CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN lower({_CODE_SQL.format(k="c_nationkey")})
-              ELSE {_CODE_SQL.format(k="c_nationkey")} END AS country_code FROM customer),
+              ELSE {_CODE_SQL.format(k="c_nationkey")} END AS country_code FROM customer WHERE c_custkey % 40 <> 0),
 l AS (
+  SELECT 'rejected' AS status FROM customer WHERE c_custkey % 40 = 0
+  UNION ALL
   SELECT CASE WHEN coalesce(ip.status IN ('success'), true) AND ip.country_code IS NOT NULL
               AND coalesce(regexp_matches(ip.country_code, '^[A-Z]{{2}}$'), true) AND ctry.name IS NOT NULL
          THEN 'valid' ELSE 'rejected' END AS status
   FROM ip LEFT JOIN ctry ON ip.country_code = ctry.code)
 SELECT 'weather' AS dataset, status, count(*) AS rows FROM w GROUP BY status
 UNION ALL
+SELECT 'countries', CASE WHEN n_nationkey % 8 = 3 THEN 'rejected' ELSE 'valid' END, count(*) FROM nation GROUP BY ALL
+UNION ALL
 SELECT 'locations', status, count(*) FROM l GROUP BY status
 """)
 def q_collect_job(spark, sf):

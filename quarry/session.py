@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -76,29 +78,45 @@ def materialize(df: DataFrame) -> DataFrame:
     return kept
 
 
+_SCOPES: list[list[DataFrame]] = []
+
+
 def keep(df: DataFrame) -> DataFrame:
     """Persist a small intermediate (memory and disk) for reuse by later jobs.
 
     Lazy: the first action that needs it fills it. Lost blocks are recomputed
-    from lineage, so this is for short lineages; loops use ``materialize``.
+    from lineage, so this is for short lineages; loops use ``materialize``. Inside a
+    ``kept_scope`` it is released at the scope's end.
     """
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if _SCOPES:
+        _SCOPES[-1].append(kept)
+    return kept
 
 
-def broadcast_row_limit(spark: SparkSession, row_bytes: int = 64) -> int:
-    """Rows a small side may have before it is joined by shuffle instead.
+@contextmanager
+def kept_scope() -> Iterator[None]:
+    """Release what ``keep`` persisted inside, for long-running applications.
 
-    Derived from ``spark.sql.autoBroadcastJoinThreshold`` and a per-row size
-    estimate, so the cluster's own setting governs it.
+    Results are lazy: use them (write, collect) before the scope ends.
     """
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    raw = raw.strip().lower()
+    own: list[DataFrame] = []
+    _SCOPES.append(own)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(own)
+        for df in own:
+            df.unpersist()
+
+
+def broadcast_byte_limit(spark: SparkSession) -> int:
+    """The session's ``spark.sql.autoBroadcastJoinThreshold`` in bytes (0: never)."""
+    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").strip().lower()
     mult = 1
-    for suffix, m in (("kb", 1 << 10), ("mb", 1 << 20), ("gb", 1 << 30), ("b", 1)):
+    for suffix, m in (("kb", 1 << 10), ("mb", 1 << 20), ("gb", 1 << 30), ("k", 1 << 10), ("m", 1 << 20),
+                      ("g", 1 << 30), ("b", 1)):
         if raw.endswith(suffix):
             raw, mult = raw[: -len(suffix)], m
             break
-    limit = int(float(raw) * mult)
-    if limit <= 0:
-        return 0
-    return max(1, limit // max(1, row_bytes))
+    return max(0, int(float(raw) * mult))

@@ -58,53 +58,56 @@ def read_with_quarantine(spark: SparkSession, path: str | Sequence[str],
                          **options) -> tuple[DataFrame, DataFrame]:
     """``(good, bad)``: parsed rows, and the raw lines that did not parse.
 
-    Lines are read as text and parsed with ``from_json`` / ``from_csv`` in
-    PERMISSIVE mode, so the raw line stays an ordinary column (no cache needed
-    to query it). A record is bad when it is not valid, a field does not fit
-    its declared type, or (csv) it has too few or too many fields. ``bad`` has
-    ``_raw`` and ``_file``. CSV records must not span lines.
+    A record is bad when it is not valid, a field does not fit its declared
+    type, or (csv) it has too few or too many fields. ``bad`` has ``_raw`` and
+    ``_file``. JSON lines are read as text and parsed with ``from_json``; CSV goes
+    through Spark's reader, and a file whose header differs from the schema's names
+    fails the job instead of passing for data. CSV records must not span lines.
     """
     sch = _schema(schema)
     with_corrupt = T.StructType(list(sch.fields) + [T.StructField(CORRUPT, T.StringType())])
     paths = [path] if isinstance(path, str) else list(path)
-    lines = (spark.read.text(paths)
-             .select(F.col("value").alias("_raw"), F.col("_metadata.file_path").alias("_file")))
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **options}
     if fmt == "json":
-        lines = lines.where(F.trim("_raw") != "")
+        lines = (spark.read.text(paths)
+                 .select(F.col("value").alias("_raw"), F.col("_metadata.file_path").alias("_file"))
+                 .where(F.trim("_raw") != ""))
         parsed = lines.select("_raw", "_file", F.from_json("_raw", with_corrupt, opts).alias("__r"))
-    elif fmt == "csv":
-        if header:
-            head = delimiter.join(f.name for f in sch.fields)
-            lines = lines.where(F.col("_raw") != F.lit(head))
-        lines = lines.where(F.col("_raw") != "")
-        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in with_corrupt.fields)
-        parsed = lines.select("_raw", "_file",
-                              F.from_csv("_raw", F.lit(ddl), {**opts, "sep": delimiter}).alias("__r"))
-    else:
-        raise ValueError("quarantine reads json or csv")
-    bad_flag = F.col(f"__r.{CORRUPT}").isNotNull() | F.col("__r").isNull()
-    good = parsed.where(~bad_flag).select(*[F.col(f"__r.`{f.name}`").alias(f.name) for f in sch.fields])
-    bad = parsed.where(bad_flag).select("_raw", "_file")
-    return good, bad
+        bad_flag = F.col(f"__r.{CORRUPT}").isNotNull() | F.col("__r").isNull()
+        good = parsed.where(~bad_flag).select(*[F.col(f"__r.`{f.name}`").alias(f.name) for f in sch.fields])
+        return good, parsed.where(bad_flag).select("_raw", "_file")
+    if fmt == "csv":
+        # Spark's reader takes the header line of each file and checks its names
+        # against the schema; a data line that equals the header is data.
+        rows = (spark.read.schema(with_corrupt).options(**{**opts, "sep": delimiter, "header": header, "enforceSchema": False})
+                .csv(paths))
+        names = [F.col(f"`{f.name}`") for f in sch.fields]
+        # Spark prunes fields that are not asked for and then does not see that
+        # they are damaged: this always-true condition asks for all of them.
+        every = F.concat_ws("", *[c.cast("string") for c in names]) >= ""
+        rows = rows.where(every)
+        good = rows.where(F.col(CORRUPT).isNull()).select(*names)
+        bad = rows.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("_raw"), F.col("_metadata.file_path").alias("_file"))
+        return good, bad
+    raise ValueError("quarantine reads json or csv")
 
 
 def read_payloads(spark: SparkSession, path: str | Sequence[str],
                   schema: T.StructType | str) -> DataFrame:
     """Landed API responses, one JSON document per line, parsed to ``schema``.
 
-    Adds ``_file`` (where it landed) and ``_parsed`` (false when the document
-    did not parse; its fields are then null).
+    Adds ``_file`` (where it landed), ``_parsed`` (false when the document did not
+    parse or a value does not fit its type) and ``_raw`` (the document's text).
     """
     sch = _schema(schema)
     with_corrupt = T.StructType(list(sch.fields) + [T.StructField(CORRUPT, T.StringType())])
     paths = [path] if isinstance(path, str) else list(path)
     raw = (spark.read.text(paths).where(F.trim("value") != "")
-           .select(F.from_json("value", with_corrupt,
+           .select(F.col("value").alias("_raw"), F.from_json("value", with_corrupt,
                                {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("__r"),
                    F.col("_metadata.file_path").alias("_file")))
     return raw.select(*[F.col(f"__r.`{f.name}`").alias(f.name) for f in sch.fields], "_file",
-                      F.col(f"__r.{CORRUPT}").isNull().alias("_parsed"))
+                      F.col(f"__r.{CORRUPT}").isNull().alias("_parsed"), "_raw")
 
 
 def read_with_null_token(spark: SparkSession, path: str | Sequence[str],

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..session import keep
 from .joins import join_small
 from .outliers import iqr_bounds_table
-from .quantiles import QUARTILE_NAMES, QUARTILE_PROBS, clean_value, quantile_table
+from .quantiles import QUARTILE_NAMES, QUARTILE_PROBS, clean_value, exact_values_wide, quantile_table
 
 
 def _stack(df: DataFrame, items: list[tuple[str, list]], names: list[str]) -> DataFrame:
@@ -30,12 +30,19 @@ def _stack(df: DataFrame, items: list[tuple[str, list]], names: list[str]) -> Da
 def profile_numeric(df: DataFrame, cols: Sequence[str], method: str = "exact") -> DataFrame:
     """One row per column: ``column, n, n_null, mean, stddev, min, q1, median, q3, max``.
 
-    ``stddev`` is the sample standard deviation. NaN counts as null. The table
-    is read in long form (``column, value``) grouped by column; the basic
-    statistics are computed in the quantile sketch's pass, so the input is
-    scanned twice in all (sketch, band), not once more for the statistics.
+    ``stddev`` is the sample standard deviation. NaN counts as null. The exact method
+    reads the input in three passes whatever the number of columns (wide sketch,
+    counts below the bands, values inside them); the others group a long form.
     """
     cols = list(cols)
+    if method == "exact" and cols:
+        values = [F.col(f"`{c}`") for c in cols]
+        v = [clean_value(c) for c in values]
+        extra = [{"n_null": F.count_if(c.isNull()), "mean": F.avg(c), "stddev": F.stddev_samp(c), "min": F.min(c), "max": F.max(c)} for c in v]
+        rows = [(c, n, x["n_null"], x["mean"], x["stddev"], x["min"], *q, x["max"])
+                for c, (n, q, x) in zip(cols, exact_values_wide(df, values, QUARTILE_PROBS, extra))]
+        return df.sparkSession.createDataFrame(
+            rows, "column string, n long, n_null long, mean double, stddev double, min double, q1 double, median double, q3 double, max double")
     long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"),
                                                  clean_value(F.col(f"`{c}`")).alias("value")) for c in cols])))
     v = F.col("value")
@@ -159,6 +166,15 @@ def crosstab_long(df: DataFrame, a: str, b: str, complete: bool = False) -> Data
                     (F.col("count") / F.col("__ct")).alias("col_share"))
 
 
+def cell_counts(df: DataFrame, cols: Sequence[str], by: str) -> DataFrame:
+    """``column, value, <by>, count``: cells of several columns against ``by``, one pass.
+
+    Values are read as text. Partial aggregates combine before the shuffle.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value")) for c in cols])
+    return df.select(F.inline(pairs), F.col(f"`{by}`")).groupBy("column", "value", by).agg(F.count(F.lit(1)).alias("count"))
+
+
 def rate_by(df: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
     """``keys..., n, n_flag, rate``: share of rows with a true/1 flag per segment."""
     f = clean_value(F.col(f"`{flag}`"))  # NaN counts as null, as everywhere here

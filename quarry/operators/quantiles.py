@@ -340,6 +340,70 @@ def exact_values(df: DataFrame, col: str | Column, probs: Sequence[float], accur
     return n, [r[f"__q{i}"] for i in range(len(probs))]
 
 
+def exact_values_wide(df: DataFrame, cols: Sequence[Column], probs: Sequence[float], extra: Sequence[Mapping[str, Column]] = (),
+                      accuracy: int = 10000, band_limit: int = 2_000_000, cells: int = 4096) -> list[tuple[int, list, dict]]:
+    """Ungrouped exact quantiles of several columns: ``(n, [value per prob], {extra})`` each.
+
+    Three passes over the input whatever the number of columns: one wide sketch, one
+    wide count of the values below each band, and one that emits only the
+    values inside a band (about 0.2% of them per probability). Bounds are literals, so
+    nothing is joined. Columns whose bands are missed or would be too large go
+    through ``exact_values``.
+    """
+    probs = [float(p) for p in probs]
+    values = [clean_value(c) for c in cols]
+    extra = list(extra) or [{} for _ in values]
+    d = 3.0 / accuracy
+    approx_probs, lo_idx, hi_idx = _band_index(probs, d)
+    aggs = []
+    for i, v in enumerate(values):
+        aggs += [F.count(v).alias(f"n{i}"), F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}")]
+        if approx_probs:
+            aggs.append(F.percentile_approx(v, approx_probs, accuracy).alias(f"a{i}"))
+        aggs += [e.alias(f"x{i}_{name}") for name, e in extra[i].items()]
+    if not aggs:
+        return []
+    row = df.agg(*aggs).first()
+    found = {i: {name: row[f"x{i}_{name}"] for name in extra[i]} for i in range(len(values))}
+
+    m = len(probs)
+    bands: dict[int, tuple[float, float]] = {}  # band number (column, prob) to its ends
+    for i in range(len(values)):
+        n, low, high = row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"]
+        if not n or n * (2 * d + 2.0 / accuracy) > band_limit:
+            continue
+        pick = lambda k: low if k == "min" else high if k == "max" else row[f"a{i}"][k]  # noqa: B023, E731
+        whole = _small_group(n, d, band_limit)
+        for k in range(m):
+            bands[i * m + k] = (low, high) if whole else (pick(lo_idx[k]), pick(hi_idx[k]))
+    got: dict[int, tuple] = {}
+    if bands:
+        below = df.agg(*[F.count_if(values[b // m] < F.lit(lo)).alias(f"b{b}") for b, (lo, _) in bands.items()]).first()
+        none = F.array().cast("array<struct<b:int,v:double>>")
+        inside = [F.when(values[b // m].between(F.lit(lo), F.lit(hi)), F.array(F.struct(F.lit(b).alias("b"), values[b // m].alias("v")))).otherwise(none)
+                  for b, (lo, hi) in bands.items()]
+        counts = df.select(F.inline(F.concat(*inside, none))).groupBy("b", "v").agg(F.count(F.lit(1)).alias("c"))
+        w = Window.partitionBy("b").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ranked = counts.withColumn("end", F.sum("c").over(w))
+        h = {b: (row[f"n{b // m}"] - 1) * probs[b % m] for b in bands}
+        wanted = [F.create_map(*[F.lit(x) for b in bands for x in (b, f(h[b]) - below[f"b{b}"])]) for f in (math.floor, math.ceil)]
+        hits = [F.max(F.when((F.col("end") - F.col("c") <= F.element_at(k, F.col("b"))) & (F.element_at(k, F.col("b")) < F.col("end")), F.col("v")))
+                .alias(f"v{j}") for j, k in enumerate(wanted)]
+        got = {r["b"]: (r["v0"], r["v1"]) for r in ranked.groupBy("b").agg(*hits).collect()}  # one row per band
+    out = []
+    for i, c in enumerate(cols):
+        n = row[f"n{i}"]
+        pairs = [got.get(i * m + k, (None, None)) for k in range(m)]
+        if not n:
+            answer = [None] * m
+        elif any(a is None or b is None for a, b in pairs):
+            answer = exact_values(df, c, probs, accuracy, band_limit, cells)[1]
+        else:
+            answer = [_interpolate(n, p, *pair) for p, pair in zip(probs, pairs)]
+        out.append((n, answer, found[i]))
+    return out
+
+
 def _exact(df: DataFrame, v: Column, probs: list[float], by: list[str], accuracy: int,
            out_names: list[str], band_limit: int, cells: int,
            extra: Mapping[str, Column] | None = None) -> DataFrame:

@@ -7,6 +7,8 @@ one-row summary, for the p-value.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,22 +22,19 @@ def _safe_div(num: Column, den: Column) -> Column:
     return F.when(den != 0, num / den)
 
 
-def t_summary(df: DataFrame, value: str, group: str, a, b, equal_var: bool = False) -> DataFrame:
-    """``group_a, group_b, n_a, n_b, mean_a, mean_b, var_a, var_b, t, df`` (one row).
+def _t_aggregates(value: Column, g: Column, a, b, tag: str = "") -> list[Column]:
+    out = []
+    for side, key in (("a", a), ("b", b)):
+        v = F.when(g == key, value)
+        out += [F.count(v).alias(f"n_{side}{tag}"), F.avg(v).alias(f"mean_{side}{tag}"), F.var_samp(v).alias(f"var_{side}{tag}")]
+    return out
 
-    Welch's test by default, Student's pooled-variance test with
-    ``equal_var=True``. ``t`` is null when it is undefined (fewer than two
-    values in a group, or zero variance in both).
-    """
-    v = clean_value(value)
-    g = F.col(group)
-    stats = df.where(g.isin(a, b)).agg(
-        F.count(F.when(g == a, v)).alias("n_a"), F.count(F.when(g == b, v)).alias("n_b"),
-        F.avg(F.when(g == a, v)).alias("mean_a"), F.avg(F.when(g == b, v)).alias("mean_b"),
-        F.var_samp(F.when(g == a, v)).alias("var_a"), F.var_samp(F.when(g == b, v)).alias("var_b"))
-    na, nb = F.col("n_a").cast("double"), F.col("n_b").cast("double")
-    va, vb = F.col("var_a"), F.col("var_b")
-    diff = F.col("mean_a") - F.col("mean_b")
+
+def _t_columns(a, b, equal_var: bool, tag: str = "") -> list[Column]:
+    c = lambda name: F.col(f"{name}{tag}")
+    na, nb = c("n_a").cast("double"), c("n_b").cast("double")
+    va, vb = c("var_a"), c("var_b")
+    diff = c("mean_a") - c("mean_b")
     if equal_var:
         dof = na + nb - 2
         pooled = _safe_div((na - 1) * va + (nb - 1) * vb, dof)
@@ -45,9 +44,29 @@ def t_summary(df: DataFrame, value: str, group: str, a, b, equal_var: bool = Fal
         se2 = sa + sb
         dof = _safe_div(se2 * se2, _safe_div(sa * sa, na - 1) + _safe_div(sb * sb, nb - 1))
     t = F.when(se2 > 0, diff / F.sqrt(se2))
-    return stats.select(F.lit(a).alias("group_a"), F.lit(b).alias("group_b"), "n_a", "n_b",
-                        "mean_a", "mean_b", "var_a", "var_b", t.alias("t"),
-                        F.when((na > 1) & (nb > 1), dof).alias("df"))
+    return [F.lit(a).alias("group_a"), F.lit(b).alias("group_b"),
+            *[c(n).alias(n) for n in ("n_a", "n_b", "mean_a", "mean_b", "var_a", "var_b")], t.alias("t"),
+            F.when((na > 1) & (nb > 1), dof).alias("df")]
+
+
+def t_summary(df: DataFrame, value: str, group: str, a, b, equal_var: bool = False) -> DataFrame:
+    """``group_a, group_b, n_a, n_b, mean_a, mean_b, var_a, var_b, t, df`` (one row).
+
+    Welch's test by default, Student's pooled-variance test with
+    ``equal_var=True``. ``t`` is null when it is undefined (fewer than two
+    values in a group, or zero variance in both).
+    """
+    g = F.col(group)
+    return df.where(g.isin(a, b)).agg(*_t_aggregates(clean_value(value), g, a, b)).select(*_t_columns(a, b, equal_var))
+
+
+def t_tests(df: DataFrame, values: Sequence[str], group: str, a, b, equal_var: bool = False) -> DataFrame:
+    """``column`` and the columns of ``t_test``, one row per column, all from one pass over the input."""
+    g = F.col(group)
+    aggs = [e for i, v in enumerate(values) for e in _t_aggregates(clean_value(F.col(f"`{v}`")), g, a, b, str(i))]
+    wide = df.where(g.isin(a, b)).agg(*aggs)
+    rows = F.array(*[F.struct(F.lit(v).alias("column"), *_t_columns(a, b, equal_var, str(i))) for i, v in enumerate(values)])
+    return wide.select(F.inline(rows)).withColumn("p", t_p_value(F.col("t"), F.col("df")))
 
 
 def t_test(df: DataFrame, value: str, group: str, a, b, equal_var: bool = False) -> DataFrame:
@@ -67,8 +86,12 @@ def chi_square_summary(df: DataFrame, a: str, b: str, correction: bool = False)
     empty table has a null statistic and dof 0.
     """
     ca, cb = F.col(f"`{a}`"), F.col(f"`{b}`")
-    cells = keep(df.where(ca.isNotNull() & cb.isNotNull()).groupBy(ca.alias("__a"), cb.alias("__b"))
-                 .agg(F.count(F.lit(1)).alias("__o")))
+    cells = df.where(ca.isNotNull() & cb.isNotNull()).groupBy(ca.alias("__a"), cb.alias("__b")).agg(F.count(F.lit(1)).alias("__o"))
+    return _from_cells(keep(cells), correction)
+
+
+def _from_cells(cells: DataFrame, correction: bool) -> DataFrame:
+    """From kept cells ``__a, __b, __o`` (count) without nulls."""
     rows = cells.groupBy("__a").agg(F.sum("__o").alias("__rt"))
     cols = cells.groupBy("__b").agg(F.sum("__o").alias("__ct"))
     n = F.lit(cells.agg(F.sum("__o")).first()[0]).cast("double")
@@ -94,5 +117,15 @@ def chi_square_summary(df: DataFrame, a: str, b: str, correction: bool = False)
 
 def chi_square(df: DataFrame, a: str, b: str, correction: bool = False) -> DataFrame:
     """``chi_square_summary`` plus the upper-tail ``p``."""
-    s = chi_square_summary(df, a, b, correction)
+    return _with_p(chi_square_summary(df, a, b, correction))
+
+
+def chi_square_of_cells(cells: DataFrame, a: str, b: str, count: str, correction: bool = False) -> DataFrame:
+    """As ``chi_square``, from counted cells (one row per pair of values)."""
+    kept = keep(cells.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(
+        F.col(a).alias("__a"), F.col(b).alias("__b"), F.col(count).alias("__o")))
+    return _with_p(_from_cells(kept, correction))
+
+
+def _with_p(s: DataFrame) -> DataFrame:
     return s.withColumn("p", chi2_p_value(F.col("statistic"), F.col("dof").cast("double")))

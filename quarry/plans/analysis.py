@@ -40,21 +40,28 @@ def run_analysis(df: DataFrame, spec: AnalysisSpec) -> DataFrame:
     if spec.rules:
         parts["validation"] = (error_summary(data, spec.rules).drop("rule_pos"), ["rule"])
         data = split_valid(data, spec.rules)[0]
-    # Every part below is a pass over the same rows: keep only the columns the
-    # parts use and persist them once (memory and disk; lost blocks are
-    # recomputed from lineage), instead of re-deriving the input per part.
+    # Columns of a kind share their passes: one sketch, one set of sums, one set
+    # of cells. The input itself is not kept, only the counted cells are.
     used = dict.fromkeys([spec.key, "label", *spec.numeric, *spec.categorical, *spec.outlier_columns])
-    data = keep(data.select(*used))
+    data = data.select(*used)
     for c in spec.outlier_columns:
         parts[f"outliers:{c}"] = (outliers.outlier_report(data, c), [])
     if spec.numeric:
         parts["profile"] = (eda.profile_numeric(data, spec.numeric), ["column"])
-    for c in spec.categorical:
-        parts[f"rate:{c}"] = (eda.rate_by(data, [c], "label"), [c])
-        parts[f"chi_square:{c}"] = (stats.chi_square(data, c, "label").drop("n_a", "n_b"), [])
-    for c in spec.numeric:
-        t = stats.t_test(data, c, "label", 1.0, 0.0).drop("group_a", "group_b")
-        parts[f"t_test:{c}"] = (t, [])
+    if spec.categorical:
+        cells = keep(eda.cell_counts(data, spec.categorical, "label"))
+        for c in spec.categorical:
+            own = cells.where(F.col("column") == c)
+            seen = F.sum(F.when(F.col("label").isNotNull(), F.col("count")))
+            rate = own.groupBy(F.col("value").alias(c)).agg(
+                F.coalesce(seen, F.lit(0)).alias("n"), F.sum(F.col("label") * F.col("count")).cast("long").alias("n_flag"),
+                (F.sum(F.col("label") * F.col("count")) / seen).alias("rate"))
+            parts[f"rate:{c}"] = (rate, [c])
+            parts[f"chi_square:{c}"] = (stats.chi_square_of_cells(own, "value", "label", "count").drop("n_a", "n_b"), [])
+    if spec.numeric:
+        t = stats.t_tests(data, spec.numeric, "label", 1.0, 0.0).drop("group_a", "group_b")
+        for c in spec.numeric:
+            parts[f"t_test:{c}"] = (t.where(F.col("column") == c).drop("column"), [])
     if spec.fit_models:
         train, test = models.split(data, spec.key, spec.test_share, spec.salt)
         stages = models.preprocess(list(spec.numeric), list(spec.categorical))

@@ -1057,11 +1057,59 @@ def q_collect_job(spark, sf):
                            f"{base}/landed/ip", f"{base}/out")
 
 
-@register("analysis_run")
+def _analysis_sql() -> str:
+    share = "length(regexp_replace(d.text, '{}', '', 'g')) / greatest(length(d.text), 1)"
+    parts = [f"""SELECT 'validation' AS section, '{rule}' AS item, m AS metric, v::DOUBLE AS value FROM (
+               SELECT unnest(['n_failed', 'n_rows']) AS m, unnest([count_if({bad}), count(*)]) AS v FROM f)"""
+             for rule, bad in (("required:lang", "lang IS NULL"), ("in_range:upper_share", "NOT upper_share BETWEEN 0 AND 1"),
+                               ("has_words", "NOT n_words > 0"))]
+    parts.append("""SELECT 'outliers:n_words', 'all', m, v FROM (
+        SELECT unnest(['n_rows', 'n_kept', 'n_outliers', 'n_null', 'lower', 'upper']) AS m,
+               unnest([count(*)::DOUBLE, count_if(n_words BETWEEN lo AND hi), count_if(NOT n_words BETWEEN lo AND hi),
+                       count_if(n_words IS NULL), max(lo), max(hi)]) AS v FROM v, b)""")
+    for c in _NUMERIC_FEATURES:
+        q = [f"quantile_cont({c}, {p})" for p in (0.25, 0.5, 0.75)]
+        parts.append(f"""SELECT 'profile', '{c}', m, v FROM (
+            SELECT unnest(['n', 'n_null', 'mean', 'stddev', 'min', 'q1', 'median', 'q3', 'max']) AS m,
+                   unnest([count({c})::DOUBLE, count(*) - count({c}), avg({c}), stddev_samp({c}), min({c}), {', '.join(q)}, max({c})]) AS v
+            FROM v)""")
+        parts.append(f"""SELECT 't_test:{c}', 'all', m, x FROM (
+            SELECT unnest(['n_a', 'n_b', 'mean_a', 'mean_b', 'var_a', 'var_b', 't', 'df']) AS m,
+                   unnest([na::DOUBLE, nb, ma, mb, va, vb, (ma - mb) / sqrt(va / na + vb / nb),
+                           pow(va / na + vb / nb, 2) / (pow(va / na, 2) / (na - 1) + pow(vb / nb, 2) / (nb - 1))]) AS x
+            FROM (SELECT count({c}) FILTER (WHERE label = 1) AS na, count({c}) FILTER (WHERE label = 0) AS nb,
+                         avg({c}) FILTER (WHERE label = 1) AS ma, avg({c}) FILTER (WHERE label = 0) AS mb,
+                         var_samp({c}) FILTER (WHERE label = 1) AS va, var_samp({c}) FILTER (WHERE label = 0) AS vb FROM v))""")
+    for c in ("lang", "source"):
+        parts.append(f"""SELECT 'rate:{c}', {c}, m, x FROM (
+            SELECT {c}, unnest(['n', 'n_flag', 'rate']) AS m, unnest([count(label)::DOUBLE, sum(label), avg(label)]) AS x FROM v GROUP BY {c})""")
+        parts.append(f"""SELECT 'chi_square:{c}', 'all', m, x FROM (
+            SELECT unnest(['statistic', 'dof', 'n']) AS m, unnest([sum(pow(o - e, 2) / e), (count(DISTINCT a) - 1.0) * (count(DISTINCT b) - 1), sum(o)]) AS x
+            FROM (SELECT a, b, coalesce(o, 0) AS o, rt * ct / (SELECT count(*) FROM v WHERE {c} IS NOT NULL AND label IS NOT NULL) AS e
+                  FROM (SELECT {c} AS a, count(*) AS rt FROM v WHERE label IS NOT NULL GROUP BY {c}) r
+                  CROSS JOIN (SELECT label AS b, count(*) AS ct FROM v WHERE {c} IS NOT NULL GROUP BY label) k
+                  LEFT JOIN (SELECT {c} AS a, label AS b, count(*) AS o FROM v GROUP BY ALL) USING (a, b)
+                  WHERE a IS NOT NULL AND b IS NOT NULL))""")
+    return f"""
+WITH f AS (
+  SELECT d.doc_id, l.quality::DOUBLE AS label, d.lang, d.source, d.n_chars::DOUBLE AS n_chars,
+         len(list_filter(regexp_split_to_array(d.text, '[ \\t\\n\\r]+'), lambda x: x <> ''))::DOUBLE AS n_words,
+         len(string_split(d.text, chr(10)))::DOUBLE AS n_lines, {share.format('[^A-Z]')} AS upper_share,
+         {share.format('[^0-9]')} AS digit_share, {share.format('[^!?.]')} AS punct_share
+  FROM documents d JOIN labels l USING (doc_id)),
+v AS (SELECT * FROM f WHERE lang IS NOT NULL AND upper_share BETWEEN 0 AND 1 AND n_words > 0),
+b AS (SELECT q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi
+      FROM (SELECT quantile_cont(n_words, 0.25) AS q1, quantile_cont(n_words, 0.75) AS q3 FROM v))
+SELECT section, item, metric, round(value, 6) AS value FROM ({" UNION ALL ".join(parts)}) x(section, item, metric, value)"""
+
+
+@register("analysis_run", _analysis_sql())
 def q_analysis_run(spark, sf):
+    """All sections but the fitted models; p-values have their own queries (``t_test_p``, ``chi_square_p``)."""
     spec = analysis.AnalysisSpec(
         label=F.col("label"), key="doc_id", numeric=_NUMERIC_FEATURES, categorical=["lang", "source"],
         rules=[rules.required("lang"), rules.in_range("upper_share", 0, 1),
                rules.check("has_words", F.col("n_words") > 0)],
-        outlier_columns=["n_words"])
-    return analysis.run_analysis(document_features(spark, sf), spec)
+        outlier_columns=["n_words"], fit_models=False)
+    got = analysis.run_analysis(document_features(spark, sf), spec).where("metric <> 'p'")
+    return got.select("section", "item", "metric", _r("value"))

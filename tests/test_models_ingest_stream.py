@@ -71,7 +71,9 @@ def test_flatten_hourly(spark, scratch):
                     "temperature_2m": [-3.5, None]}},          # null reading, unequal length, bad time
         {"latitude": 35.1, "longitude": 129.0},                # missing hourly
     ])
-    rows = collect_job.weather_rows(spark, p).collect()
+    every = collect_job.weather_rows(spark, p).collect()
+    assert [r["_reason"] for r in every if r["_reason"]] == ["no hourly arrays"]   # kept with its text
+    rows = [r for r in every if r["_reason"] is None]
     assert len(rows) == 3
     by_text = {r["time_text"]: r for r in rows}
     assert by_text["2024-01-01T01:00"]["temperature_2m"] is None
@@ -92,7 +94,7 @@ def test_collect_job_end_to_end(spark, scratch):
         {"query": "3.3.3.3", "status": "success", "countryCode": "ZZ", "lat": 0.0, "lon": 0.0}])
     summary = collect_job.run(spark, w, c, ip, os.path.join(scratch, "out"))
     got = {(r["dataset"], r["status"]): r["rows"] for r in summary.collect()}
-    assert got == {("weather", "valid"): 1, ("weather", "rejected"): 1,
+    assert got == {("weather", "valid"): 1, ("weather", "rejected"): 1, ("countries", "valid"): 2,
                    ("locations", "valid"): 1, ("locations", "rejected"): 2}
     loc = spark.read.parquet(os.path.join(scratch, "out", "locations")).where("status = 'valid'").first()
     assert loc["country_name"] == "Korea"

@@ -169,3 +169,19 @@ def test_hot_group_refined_next_to_small_groups(spark, monkeypatch):
     monkeypatch.setattr(Q, "_refine", lambda *a, **k: calls.append(1) or real(*a, **k))
     _check(_frame(spark, rows), ["g"], accuracy=100, band_limit=500, cells=64)
     assert calls
+
+
+def test_wide_values_match_percentile(spark):
+    from quarry.operators.quantiles import exact_values_wide
+
+    df = spark.range(40_000).select(
+        F.rand(3).alias("u"), (F.col("id") % 7).cast("double").alias("few"), F.when(F.col("id") < 5, F.col("id")).alias("small"),
+        F.lit(None).cast("double").alias("none"), F.exp(F.randn(5) * 20).alias("wild"), F.lit(2.5).alias("one"),
+        F.when(F.col("id") % 3 == 0, float("nan")).otherwise(F.col("id")).alias("nans"))
+    probs = [0.0, 0.25, 0.5, 0.9, 1.0]
+    for limit in (2_000_000, 10):
+        for c, (n, got, x) in zip(df.columns, exact_values_wide(df, [F.col(c) for c in df.columns], probs, [{"s": F.count("*")}] * 7, band_limit=limit)):
+            v = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+            want = df.agg(F.count(v).alias("n"), F.percentile(v, probs).alias("p")).first()
+            assert n == want["n"] and x["s"] == 40_000
+            assert got == pytest.approx(want["p"], rel=1e-12) if want["p"] else got == [None] * 5

@@ -16,9 +16,10 @@ Exact quantiles use linear interpolation between the values at 0-based ranks
    two wanted ranks. A band holds about ``2 d n`` rows plus ties merged into one
    row each, independent of how the data is partitioned.
 3. **refine** – if a band would be larger than ``band_limit`` rows (only for
-   groups of billions of rows) it is first narrowed by equal-width cells:
-   cell counts, a prefix sum over at most ``cells`` rows per band, and the
-   cells holding the wanted ranks become the new band. Repeated until small.
+   groups of billions of rows) it is first narrowed by cells of equal width
+   and, in turn, of equal ratio: cell counts, a prefix sum over at most ``cells``
+   rows per band, and the cells holding the wanted ranks become the new band.
+   Repeated until small.
 4. **check** – a wanted rank outside its band (the sketch missed) is detected
    from the counts, and that band restarts from ``[min, max]`` and is refined.
    The answer is therefore exact whatever the sketch returned.
@@ -157,17 +158,23 @@ def _band_exprs(probs: list[float], d: float):
     return approx_probs, [col(i) for i in lo_idx], [col(i) for i in hi_idx]
 
 
-def _emit_cells(bounds: list[tuple[Column, Column]], v: Column, cells: int) -> Column:
-    """Per value, the equal-width cell of each band it falls into.
+def _log_scale(v: Column) -> Column:
+    """An increasing map of the doubles to about [-1456, 1456] with equal room for each decade."""
+    return F.when(v == 0, F.lit(0.0)).otherwise(F.signum(v) * (F.least(F.log(F.abs(v)), F.lit(710.0)) + 746))
+
+
+def _emit_cells(bounds: list[tuple[Column, Column]], v: Column, cells: int, logarithmic: bool = False) -> Column:
+    """Per value, the equal-width cell of each band it falls into (on a log scale if wanted).
 
     A concat of one-element or empty arrays (not a lambda filter), so the
     refinement pass stays inside whole-stage codegen.
     """
     empty = F.array().cast("array<struct<__pi:int,__cell:bigint>>")
     items = []
+    scale = _log_scale if logarithmic else (lambda c: c)
     for i, (lo, hi) in enumerate(bounds):
-        width = hi - lo
-        cell = F.when(width > 0, F.least(F.floor((v - lo) / width * F.lit(cells)),
+        width = scale(hi) - scale(lo)
+        cell = F.when(width > 0, F.least(F.floor((scale(v) - scale(lo)) / width * F.lit(cells)),
                                           F.lit(cells - 1))).otherwise(F.lit(0)).cast("long")
         one = F.array(F.struct(F.lit(i).alias("__pi"), cell.alias("__cell")))
         items.append(F.when((v >= lo) & (v <= hi), one).otherwise(empty))
@@ -235,9 +242,13 @@ def _final_pass(base: DataFrame, state, by: list[str], probs: list[float],
 
 
 def _refine(base: DataFrame, state: DataFrame, by: list[str], probs: list[float],
-            band_limit: int, cells: int, max_rounds: int = 64) -> DataFrame:
+            band_limit: int, cells: int) -> DataFrame:
     """Narrow every band until it holds at most ``band_limit`` rows or one value.
 
+    Rounds alternate between cells of equal width and cells of equal ratio: after
+    one of the latter a band spans a third of a decade at most, and each of the
+    former divides it by ``cells``, so doubles of any distribution need a handful.
+
     ``state``: by, __n, __min, __max and arrays __lo, __hi, __below with two
     bands per quantile, one per wanted rank (``floor(h)``, ``ceil(h)``). A
     single rank always lies in one cell, so each round shrinks its band to that
@@ -246,11 +257,13 @@ def _refine(base: DataFrame, state: DataFrame, by: list[str], probs: list[float]
     """
     nb = 2 * len(probs)
     band_p = F.array(*[F.lit(p) for p in probs for _ in (0, 1)])
-    for _ in range(max_rounds):
+    turn = 0
+    while True:
+        turn += 1
         joined, bounds = _with_state(base, state, by, nb)
         if joined is None:
             return state
-        cnt = (joined.select(*by, F.inline(_emit_cells(bounds, F.col(_V), cells)), _V)
+        cnt = (joined.select(*by, F.inline(_emit_cells(bounds, F.col(_V), cells, turn % 2 == 0)), _V)
                .groupBy(*by, "__pi", "__cell")
                .agg(F.count(F.lit(1)).alias("__c"), F.min(_V).alias("__cmin"),
                     F.max(_V).alias("__cmax")))
@@ -291,7 +304,6 @@ def _refine(base: DataFrame, state: DataFrame, by: list[str], probs: list[float]
             F.array(*[F.max(F.when(F.col("__pi") == i, F.col("__below"))) for i in range(nb)]).alias("__below")))
         if stats["f"] == 0 and (stats["s"] or 0) <= band_limit:
             return state
-    raise RuntimeError("quantile band refinement did not converge")
 
 
 def _interpolate(n: int, p: float, v0: float, v1: float) -> float:
@@ -315,7 +327,8 @@ def exact_values(df: DataFrame, col: str | Column, probs: Sequence[float], accur
     aggs = [F.count(v).alias(_N), F.min(v).alias("__min"), F.max(v).alias("__max")]
     if approx_probs:
         aggs.append(F.percentile_approx(v, approx_probs, accuracy).alias("__a"))
-    row = df.agg(*aggs).first()
+    sketch = df.agg(*aggs)
+    row = sketch.first()
     n = row[_N]
     if not n:
         return 0, [None] * len(probs)
@@ -327,15 +340,16 @@ def exact_values(df: DataFrame, col: str | Column, probs: Sequence[float], accur
     else:
         state = {_N: n, "__lo": [pick(i) for i in lo_idx for _ in (0, 1)],
                  "__hi": [pick(i) for i in hi_idx for _ in (0, 1)]}
-    if n * (2 * d + 2.0 / accuracy) <= band_limit:
+    if n * (2 * d + 2.0 / accuracy) * len(probs) <= band_limit:
         base = df.select(v.alias(_V)).where(F.col(_V).isNotNull())
         got = {r["__pi"]: r for r in _final_pass(base, state, [], probs).collect()}
         if all(got.get(i) is not None and got[i]["__v0"] is not None and got[i]["__v1"] is not None
                for i in range(len(probs))):
             return n, [_interpolate(n, p, got[i]["__v0"], got[i]["__v1"]) for i, p in enumerate(probs)]
     # Large or missed bands: the general path (refinement, restart).
+    known = df.sparkSession.createDataFrame([tuple(row)], sketch.schema)
     out, _ = _exact(df, v, probs, [], accuracy, [f"__q{i}" for i in range(len(probs))],
-                    band_limit, cells)
+                    band_limit, cells, sketch=known)
     r = out.first()
     return n, [r[f"__q{i}"] for i in range(len(probs))]
 
@@ -370,7 +384,7 @@ def exact_values_wide(df: DataFrame, cols: Sequence[Column], probs: Sequence[flo
     bands: dict[int, tuple[float, float]] = {}  # band number (column, prob) to its ends
     for i in range(len(values)):
         n, low, high = row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"]
-        if not n or n * (2 * d + 2.0 / accuracy) > band_limit:
+        if not n or n * (2 * d + 2.0 / accuracy) * m > band_limit:
             continue
         pick = lambda k: low if k == "min" else high if k == "max" else row[f"a{i}"][k]  # noqa: B023, E731
         whole = _small_group(n, d, band_limit)
@@ -406,7 +420,7 @@ def exact_values_wide(df: DataFrame, cols: Sequence[Column], probs: Sequence[flo
 
 def _exact(df: DataFrame, v: Column, probs: list[float], by: list[str], accuracy: int,
            out_names: list[str], band_limit: int, cells: int,
-           extra: Mapping[str, Column] | None = None) -> DataFrame:
+           extra: Mapping[str, Column] | None = None, sketch: DataFrame | None = None) -> DataFrame:
     d = 3.0 / accuracy
     base = df.select(*by, v.alias(_V)).where(F.col(_V).isNotNull())
     approx_probs, lo_exprs, hi_exprs = _band_exprs(probs, d)
@@ -415,7 +429,7 @@ def _exact(df: DataFrame, v: Column, probs: list[float], by: list[str], accuracy
         aggs.append(F.percentile_approx(v, approx_probs, accuracy).alias("__a"))
     extra = dict(extra or {})
     aggs += [e.alias(nm) for nm, e in extra.items()]
-    sk = keep(df.groupBy(*by).agg(*aggs))
+    sk = keep(df.groupBy(*by).agg(*aggs)) if sketch is None else sketch
     # One action fills the sketch and returns its size and largest group.
     stats = sk.agg(F.count(F.lit(1)).alias("rows"), F.max(_N).alias("max_n")).first()
     rows, max_n = stats["rows"], stats["max_n"] or 0
@@ -433,9 +447,11 @@ def _exact(df: DataFrame, v: Column, probs: list[float], by: list[str], accuracy
         return _assemble(sk, None, by, probs, out_names, list(extra), rows), rows
 
     groups = rows
-    band_estimate = 2 * d + 2.0 / accuracy
+    # the bands of all probabilities meet in one window: the limit is for their sum
+    per_band = max(1, band_limit // len(probs))
+    band_estimate = (2 * d + 2.0 / accuracy) * len(probs)
     if max_n * band_estimate > band_limit:
-        state = _refine(base, state, by, probs, band_limit, cells)
+        state = _refine(base, state, by, probs, per_band, cells)
 
     res = keep(_final_pass(base, state, by, probs, rows))
     failed = res.where(F.col("__v0").isNull() | F.col("__v1").isNull())
@@ -449,7 +465,7 @@ def _exact(df: DataFrame, v: Column, probs: list[float], by: list[str], accuracy
                                  F.array(*[F.col("__min") for _ in range(nb)]).alias("__lo"),
                                  F.array(*[F.col("__max") for _ in range(nb)]).alias("__hi"),
                                  F.array(*[F.lit(0).cast("long") for _ in range(nb)]).alias("__below"))
-        restart = _refine(base, restart, by, probs, band_limit, cells)
+        restart = _refine(base, restart, by, probs, per_band, cells)
         sub_base = join_small(base, bad_groups, by, "left_semi") if by else base
         redo = keep(_final_pass(sub_base, restart, by, probs))
         good = (res.join(bad_groups, on=[res[k].eqNullSafe(bad_groups[k]) for k in by], how="left_anti")

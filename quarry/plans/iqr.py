@@ -12,10 +12,11 @@ from ..sources.files import read_table, write_table
 
 def run(spark: SparkSession, path: str, col: str, out: str | None = None,
         by: Sequence[str] | None = None, k: float = 1.5, fmt: str = "parquet",
-        schema: str | None = None, method: str = "exact") -> DataFrame:
-    """Rows of ``path`` inside their IQR bounds; written to ``out`` when given."""
+        schema: str | None = None, method: str = "exact", mode: str = "errorifexists") -> DataFrame:
+    """Rows of ``path`` inside their IQR bounds; written to ``out`` when given (and then read back)."""
     df = read_table(spark, path, fmt, schema)
     kept = remove_outliers(df, col, k=k, by=by, method=method)
     if out is not None:
-        write_table(kept, out, fmt="parquet", mode="overwrite")
+        write_table(kept, out, fmt="parquet", mode=mode)
+        return read_table(spark, out)
     return kept

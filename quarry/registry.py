@@ -21,7 +21,7 @@ from .session import ensure_checkpoint_dir
 from .sources import files
 from .operators.joins import join_small
 from .operators import collect, eda, ingest, models, outliers, quantiles, report, stats, validate
-from .plans import analysis, collect_job
+from .plans import analysis, collect_job, iqr
 from .streaming import stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,11 @@ def q_iqr_remove(spark, sf):
     return outliers.remove_outliers(table(spark, sf, "events"), "value")
 
 
+@register("iqr_plan", ORACLE["iqr_remove"])
+def q_iqr_plan(spark, sf):
+    return iqr.run(spark, f"{sf.rstrip('/')}/events.parquet", "value", out=_scratch(spark, "iqr-plan"))
+
+
 @register("iqr_remove_grouped", f"""
 WITH q AS ({_EV_BOUNDS_G}),
 b AS (SELECT event_type, q1 - 1.5 * (q3 - q1) AS lower, q3 + 1.5 * (q3 - q1) AS upper FROM q)
@@ -765,6 +770,15 @@ def q_report(spark, sf):
 # S: sources and sinks, as round trips through files Spark writes from the
 # tables (into the shared folder the session names in spark.checkpoint.dir)
 
+@register("report_written", _report_sql())
+def q_report_written(spark, sf):
+    """The report as a file: one csv folder, read back."""
+    out = _scratch(spark, "report")
+    files.write_table(_orders_report(spark, sf), out, fmt="csv", quoteAll=True)
+    back = files.read_table(spark, out, "csv", "section string, item string, metric string, value double")
+    return back.select("section", "item", "metric", _r("value"))
+
+
 def _scratch(spark: SparkSession, name: str) -> str:
     # the session's shared folder; a local session without one gets a fresh one
     base = ensure_checkpoint_dir(spark)

@@ -185,3 +185,13 @@ def test_wide_values_match_percentile(spark):
             want = df.agg(F.count(v).alias("n"), F.percentile(v, probs).alias("p")).first()
             assert n == want["n"] and x["s"] == 40_000
             assert got == pytest.approx(want["p"], rel=1e-12) if want["p"] else got == [None] * 5
+
+
+def test_six_hundred_decades_and_many_probabilities(spark):
+    df = spark.range(3_000).select(F.pow(F.lit(10.0), F.col("id") / 5 - 300).alias("v"))
+    probs = [k / 100 for k in range(1, 100)]
+    want = df.agg(F.percentile("v", probs)).first()[0]
+    assert Q.exact_values(df, "v", probs, band_limit=200, cells=64)[1] == pytest.approx(want, rel=1e-12)
+    both = df.unionByName(df.select((-F.col("v")).alias("v"))).unionByName(spark.createDataFrame([(0.0,), (float("inf"),), (float("-inf"),)], "v double"))
+    want = both.agg(F.percentile("v", [0.1, 0.5, 0.9])).first()[0]
+    assert Q.exact_values(both, "v", [0.1, 0.5, 0.9], band_limit=20, cells=16)[1] == pytest.approx(want, rel=1e-12)

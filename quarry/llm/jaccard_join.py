@@ -145,8 +145,12 @@ def _joined(parts: list[pa.RecordBatch]) -> list[pa.Array]:
     return [c.combine_chunks() for c in pa.Table.from_batches(parts).columns]
 
 
-def _resolve(dealt: DataFrame, cut: float, dense: float, branches: int) -> DataFrame:
-    """Compare the dealt buckets: candidate edges (``path`` null) and the next level's rows."""
+def _resolve(dealt: DataFrame, cut: float, dense: float, reach: float, branches: int) -> DataFrame:
+    """Compare the dealt buckets: candidate edges (``path`` null) and the next level's rows.
+
+    Estimated similarities: ``cut`` makes a candidate, ``dense`` to half of the pivots
+    settles a set, ``reach`` to a pivot of a bucket with settled sets makes a candidate.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a_out: list[np.ndarray] = []
         b_out: list[np.ndarray] = []
@@ -180,13 +184,17 @@ def _resolve(dealt: DataFrame, cut: float, dense: float, branches: int) -> DataF
                 for a in range(0, len(mr), 64):
                     near[a:a + 64] = (ms[a:a + 64, None, :] == ps[None, :, :]).mean(axis=2)
                 between = (ps[:, None, :] == ps[None, :, :]).mean(axis=2)
-                centre = (between >= dense).mean(axis=0) >= 0.5  # pivots that resemble most pivots
-                settled = (near >= dense).mean(axis=1) >= 0.5
-                # A set as near as the threshold to a settled one is at least this near to its pivots.
-                reach = np.where(centre[None, :], 2 * dense - 1 - 0.03, cut)
-                i, j = np.nonzero((near >= np.minimum(reach, cut)) & (mr[:, None] != pr[None, :]))
-                a_out.append(mr[i])
-                b_out.append(pr[j])
+                crowded = ((between >= dense).mean(axis=0) >= 0.5).any()  # some pivot resembles most pivots
+                settled = crowded & ((near >= dense).mean(axis=1) >= 0.5)
+                # What is as near as the threshold to a settled set is within ``reach`` of the
+                # same pivots (Jaccard distance is a metric), so settling loses no pair.
+                i, j = np.nonzero((near >= (reach if crowded else cut)) & (mr[:, None] != pr[None, :]))
+                # One edge a set, to the least member of its part of this group.
+                every = np.r_[mr, pr]
+                label = _stars(len(every), i, j + len(mr))
+                own = np.flatnonzero(every != every[label])
+                a_out.append(every[own])
+                b_out.append(every[label[own]])
                 go = np.flatnonzero(~settled)
                 if len(go):
                     paths = _children(mp[go], ms[go], branches)
@@ -225,12 +233,14 @@ def _deal(rows: DataFrame, limit: int, last: bool) -> DataFrame:
 
 
 def candidates(reps: DataFrame, threshold: float, recall: float, branches: int = 2, limit: int = 64, depth: int = 6,
-               slack: float = 0.18) -> DataFrame:
+               slack: float = 0.18, dense: float = 0.5) -> DataFrame:
     """Candidate edges ``a, b`` between the sets ``reps(rep, sig)``; they connect all similar pairs.
 
     ``slack`` is how far below the threshold an estimate from signatures may lie (five
-    standard deviations of ``SIGNATURE`` coordinates).
+    standard deviations of ``SIGNATURE`` coordinates). A set that has the similarity
+    ``dense`` to half of a large bucket's pivots is not split further.
     """
+    reach = dense - (1 - threshold) - 0.08  # two deviations; it must fail for all near pivots to matter
     runs = needed_runs(threshold, branches, recall, depth)
     rows = _first_level(reps, runs, branches)
     found = None
@@ -239,7 +249,7 @@ def candidates(reps: DataFrame, threshold: float, recall: float, branches: int =
         rows = rows.join(sizes, "path")
         if "sig" not in rows.columns:
             rows = rows.join(reps.select("rep", "sig"), "rep")
-        got = _resolve(_deal(rows, limit, level == depth - 1), threshold - slack, 0.74, branches).checkpoint()
+        got = _resolve(_deal(rows, limit, level == depth - 1), threshold - slack, dense, reach, branches).checkpoint()
         edges = got.where("path is null").select(F.col("rep").alias("a"), F.col("other").alias("b"))
         found = edges if found is None else found.unionByName(edges)
         rows = got.where("path is not null").select("path", "rep", "sig")

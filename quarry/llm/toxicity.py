@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.quality import held_out, labelled
+from quarry.llm.quality import held_out, known_labels
 from quarry.llm.textops import lower_bytes, mix, placed_words, slices, text_buffers
 
 WINDOW, STRIDE = 32, 24
@@ -53,7 +53,7 @@ def gram_buckets(data: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[np.nda
             owner.append(word[ok])
             place.append(ok)
     order = np.argsort(np.concatenate(owner), kind="stable")
-    return np.concatenate(grams)[order].astype(np.int64), np.concatenate(owner)[order]
+    return np.concatenate(grams)[order].astype(np.int32), np.concatenate(owner)[order].astype(np.int32)
 
 
 def window_starts(n: int) -> np.ndarray:
@@ -216,37 +216,34 @@ class Texts:
         return out
 
 
-def _odds(features: list[np.ndarray], y: np.ndarray, size: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(distinct features, shrunk log-odds of a toxic document holding them)."""
-    keys, number = np.unique(np.concatenate(features), return_inverse=True)
-    label = np.repeat(y, [len(f) for f in features])
-    n1, n0 = np.bincount(number, label, len(keys)), np.bincount(number, 1 - label, len(keys))
+def _odds(n1: np.ndarray, n0: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Shrunk log-odds of a toxic document, from the numbers of toxic and other documents with each feature."""
     t1, t0 = max(1, y.sum()), max(1, (1 - y).sum())
     odds = np.log((n1 + 0.1) / (t1 + 1)) - np.log((n0 + 0.1) / (t0 + 1))
-    odds = np.clip(odds * (n1 + n0) / (n1 + n0 + 4), -3, 6).astype(np.float32) / 3
-    if size is None:
-        return keys, odds
-    table = np.zeros(size, np.float32)
-    table[keys] = odds
-    return keys, table
+    return np.clip(odds * (n1 + n0) / (n1 + n0 + 4), -3, 6).astype(np.float32) / 3
 
 
 def _vocabulary(texts: list[Texts], rows: list[np.ndarray], y: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(words, their log-odds, n-gram log-odds) from the given rows of each chunk."""
-    words, grams, label = [], [], []
+    words, label = [], []
+    grams = np.zeros((2, 1 << GRAM_BITS))
     for text, own, labels in zip(texts, rows, y, strict=True):
         by_word = np.searchsorted(text.owner, np.arange(len(text.distinct) + 1))
         for row in own:
             numbers = np.unique(text.number[text.before[row]:text.before[row + 1]])
             words.append(text.distinct[numbers])
-            grams.append(np.unique(np.concatenate([text.bucket[by_word[k]:by_word[k + 1]] for k in numbers] or [np.zeros(0, np.int64)])))
             label.append(labels[row])
+            seen = np.concatenate([text.bucket[by_word[k]:by_word[k + 1]] for k in numbers] or [np.zeros(0, np.int32)])
+            grams[int(labels[row]), np.unique(seen)] += 1
     if not words:
         return np.zeros(0, np.uint64), np.zeros(0, np.float32), np.zeros(1 << GRAM_BITS, np.float32)
     label = np.array(label, np.float64)
-    keys, odds = _odds(words, label)
+    keys, number = np.unique(np.concatenate(words), return_inverse=True)
+    holder = np.repeat(label, [len(w) for w in words])
+    odds = _odds(np.bincount(number, holder, len(keys)), np.bincount(number, 1 - holder, len(keys)), label)
     keep = np.abs(odds) > 0.25
-    return keys[keep], odds[keep], _odds(grams, label, 1 << GRAM_BITS)[1]
+    gram_odds = np.where(grams.sum(axis=0) > 0, _odds(grams[1], grams[0], label), 0).astype(np.float32)
+    return keys[keep], odds[keep], gram_odds
 
 
 def train(texts: list[bytes], y: np.ndarray, rounds: int = 2, epochs: int = 4, batch: int = 128, rate: float = 0.01,
@@ -325,16 +322,24 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_t
     """Train on a bounded sample of the labelled rows that are not held out.
 
     At most ``max_toxic`` and ``max_other`` documents are taken, those with the least hash
-    of their id; without rows of both classes the network stays untrained.
+    of their id; without rows of both classes the network stays untrained. Ids are
+    expected to be unique: the rows of a chosen id all reach the driver.
     """
-    rows = labelled(docs, labels, label)
+    # Ids are chosen without their texts; the texts of at most max_toxic + max_other ids are then picked by a broadcast of these.
+    ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct().join(known_labels(labels, label), "doc_id")
+    chosen = None
+    for k, most in ((1, max_toxic), (0, max_other)):
+        own = ids.where(F.col("y") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+        chosen = own if chosen is None else chosen.unionByName(own)
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     texts: list[bytes] = []
     y: list[int] = []
-    for k, most in ((1, max_toxic), (0, max_other)):
-        own = rows.where(F.col("y") == k).orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(most)
-        for r in own.select("text").toLocalIterator():
+    seen: set[int] = set()
+    for r in sorted(rows.join(F.broadcast(chosen), "doc_id").collect(), key=lambda r: (r["doc_id"], r["text"])):
+        if r["doc_id"] not in seen:  # of rows that share an id one is taken
+            seen.add(r["doc_id"])
             texts.append(r["text"].encode("utf-8", "replace"))
-            y.append(k)
+            y.append(r["y"])
     if len(set(y)) < 2:
         return Network.start(np.zeros(0, np.uint64), np.zeros(0, np.float32), np.zeros(1 << GRAM_BITS, np.float32))
     return train(texts, np.array(y))

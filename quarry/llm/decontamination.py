@@ -21,7 +21,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -275,15 +274,15 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_broa
     held = Windows(_item_words(benchmark), window)
     held.choose(shingle_counts(docs, held))
 
-    @F.pandas_udf("boolean")
-    def clean(text: pd.Series) -> pd.Series:
+    @F.arrow_udf("boolean")
+    def clean(text: pa.Array) -> pa.Array:
         out = np.ones(len(text), bool)
-        data, offsets = text_buffers(pa.array(text, pa.string()))
+        data, offsets = text_buffers(text)
         for a, b in slices(offsets):
             hashes, before = words(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
             row_of = np.repeat(np.arange(b - a), np.diff(before))
             begin, _ = held.occurrences(hashes, row_of, before)
             out[a + row_of[begin]] = False
-        return pd.Series(out)
+        return pa.array(out)
 
     return docs.where(clean(F.coalesce(F.col("text").cast("string"), F.lit(""))))

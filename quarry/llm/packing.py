@@ -186,7 +186,7 @@ def powers(pieces: list[tuple]) -> Iterator[list[tuple]]:
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int = 4096, segments: int = 256,
-                   loss: int = 4096, pool: int = 512, cache: int = 400_000) -> DataFrame:
+                   loss: int = 4096, pool: int = 512, cache: int = 250_000) -> DataFrame:
     """Pack ``docs(doc_id, text)`` into sequences; one row per piece (``SCHEMA``).
 
     A document is its text's ids, then ``end_id``; a null or empty text is that id

@@ -18,7 +18,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -119,23 +118,36 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """``doc_id, text, y`` of the rows to learn from: labelled 0 or 1 and not held out.
+def known_labels(labels: DataFrame, label: str) -> DataFrame:
+    """``doc_id, y`` of the ids to learn from: labelled 0 or 1 and not held out.
 
     Labels repeated for an id count once if they agree; where they differ the larger counts.
     """
-    known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label).cast("int").alias("y")).where(
+    return labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label).cast("int").alias("y")).where(
         F.col("y").isin(0, 1) & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("y").alias("y"))
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return texts.join(known, "doc_id")
+
+
+def document_statistics(docs: DataFrame) -> DataFrame:
+    """``doc_id, x``: the statistics of each row's text; null counts as empty."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = [statistics(t.as_py()).tolist() for t in batch.column(1).cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float64()))], names=["doc_id", "x"])
+
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
+                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).mapInArrow(run, "doc_id long, x array<double>")
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return np.asarray(column.flatten()).reshape(len(column), len(FEATURES))
 
 
 def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     d = len(FEATURES)
     count, total, outer = np.zeros(2), np.zeros((2, d)), np.zeros((2, d, d))
     for batch in batches:
-        y = np.asarray(batch.column(1))
-        x = np.stack([statistics(t.as_py()) for t in batch.column(0).cast(pa.binary())]) if batch.num_rows else np.zeros((0, d))
+        y, x = np.asarray(batch.column(1)), _matrix(batch.column(0))
         for k in (0, 1):
             own = x[y == k]
             count[k] += len(own)
@@ -146,16 +158,17 @@ def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                      names=["k", "v"])
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", pool: float = 0.05, diagonal: float = 0.05,
+def fit_quality(stats: DataFrame, labels: DataFrame, label: str = "quality", pool: float = 0.6, diagonal: float = 0.05,
                 temper: float = 0.5) -> Discriminant:
-    """Fit on all labelled rows that are not held out.
+    """Fit on all labelled rows of ``stats(doc_id, x)`` that are not held out.
 
-    The moments of each task (about 1,000 numbers) are added up in a tree of Spark
-    aggregates; one row of them reaches the driver. ``temper`` scales the log-density
-    difference, as the statistics are not independent of each other given the class.
+    The moments of each task (about 1,000 numbers) are added up by a Spark
+    aggregate; one row's worth of them reaches the driver. ``temper`` scales the
+    log-density difference, as the statistics are not independent of each other
+    given the class.
     """
     d = len(FEATURES)
-    rows = labelled(docs, labels, label).select("text", "y")
+    rows = stats.join(known_labels(labels, label), "doc_id").select("x", "y")
     parts = rows.mapInArrow(_moments, "k long, v array<double>")
     n = 2 + 2 * d + 2 * d * d
     total = parts.select(F.posexplode("v").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("v")).collect()
@@ -165,32 +178,28 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", pool
     return Discriminant.fit(flat[:2], flat[2:2 + 2 * d].reshape(2, d), flat[2 + 2 * d:].reshape(2, d, d), pool, diagonal, temper)
 
 
-def score_quality(docs: DataFrame, model: Discriminant, threshold: float = 0.3) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` for each row of ``docs(doc_id, text)``.
+def score_quality(stats: DataFrame, model: Discriminant, threshold: float = 0.3) -> DataFrame:
+    """``doc_id, held_out, score, predicted`` for each row of ``stats(doc_id, x)``.
 
     Null and empty texts are scored by the statistics of an empty text. Repeated
-    rows each give a row. Other columns are ignored.
+    rows each give a row.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = np.stack([statistics(t.as_py()) for t in batch.column(1).cast(pa.binary())])
-            score = model.score(x)
+            score = model.score(_matrix(batch.column(1)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(score), pa.array((score >= threshold).astype(np.int32))],
                 names=["doc_id", "held_out", "score", "predicted"])
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return rows.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out")).mapInArrow(
+    return stats.select("doc_id", "x", held_out(F.col("doc_id")).alias("held_out")).mapInArrow(
         run, "doc_id long, held_out boolean, score double, predicted int")
 
 
 def keep_good(docs: DataFrame, model: Discriminant, threshold: float = 0.3) -> DataFrame:
     """The rows of ``docs`` scored at ``threshold`` or more, whole."""
-    @F.pandas_udf("double")
-    def score(text: pd.Series) -> pd.Series:
-        x = [statistics((t or "").encode("utf-8", "replace")) for t in text]
-        return pd.Series(model.score(np.stack(x)) if x else [], dtype="float64")
+    @F.arrow_udf("double")
+    def score(text: pa.Array) -> pa.Array:
+        x = [statistics(t.as_py()) for t in text.cast(pa.binary())]
+        return pa.array(model.score(np.stack(x)) if x else [], pa.float64())
 
     return docs.where(score(F.coalesce(F.col("text").cast("string"), F.lit(""))) >= threshold)

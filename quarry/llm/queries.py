@@ -19,8 +19,10 @@ from quarry.llm.licenses import license_scan
 from quarry.llm.main_text import extract_main_text
 from quarry.llm.packing import pack_documents
 from quarry.llm.personal_data import personal_counts
-from quarry.llm.quality import fit_quality, score_quality
+from quarry.llm.quality import document_statistics, fit_quality, score_quality
+from quarry.llm.textops import bounded_batches
 from quarry.llm.toxicity import fit_toxicity, score_toxicity
+from quarry.session import ensure_checkpoint_dir
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -32,12 +34,14 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def op1_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _read(spark, sf_dir, "documents")
-    return score_quality(docs, fit_quality(docs, _read(spark, sf_dir, "labels")))
+    ensure_checkpoint_dir(spark)
+    stats = document_statistics(_read(spark, sf_dir, "documents")).checkpoint()
+    return score_quality(stats, fit_quality(stats, _read(spark, sf_dir, "labels")))
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,6 +15,19 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 _U = np.uint64
+
+ROWS_A_BATCH = 1000
+
+
+def bounded_batches(spark) -> None:
+    """Hand texts to Python workers in batches of ``ROWS_A_BATCH``, unless the session asks for fewer.
+
+    The default of 10,000 rows is made for narrow rows; with whole texts a batch
+    would be most of a worker's memory.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= ROWS_A_BATCH:
+        spark.conf.set(key, str(ROWS_A_BATCH))
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INV = pow(_BASE, -1, 1 << 64)
 

@@ -5,7 +5,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from quarry.llm import toxicity as tox
-from quarry.llm.quality import FEATURES, Discriminant, fit_quality, held_out, keep_good, score_quality, statistics
+from quarry.llm.quality import FEATURES, Discriminant, document_statistics, fit_quality, held_out, keep_good, score_quality, statistics
 from tests.llm.fixtures import AWKWARD, invented, table
 
 SF = "/root/testdata/sf0.1"
@@ -50,7 +50,8 @@ def test_density_matches_the_formula():
 
 def test_quality_accuracy_on_held_out_rows(spark):
     docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
-    score, predicted, y = held_out_rows(score_quality(docs, fit_quality(docs, labels)), labels, "quality")
+    stats = document_statistics(docs)
+    score, predicted, y = held_out_rows(score_quality(stats, fit_quality(stats, labels)), labels, "quality")
     assert auc(score, y) > 0.99
     assert (predicted == y).mean() > 0.98
 
@@ -59,14 +60,15 @@ def test_quality_on_awkward_rows(spark):
     docs = table(spark, AWKWARD, clash=True)
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(len(AWKWARD))] + [(None, 1, 1), (5, None, None), (3, 0, 0)],
                                    "doc_id long, quality int, toxic int")
-    model = fit_quality(docs, labels)
-    rows = score_quality(docs.repartition(4), model).collect()
+    stats = document_statistics(docs.repartition(4))
+    model = fit_quality(stats, labels)
+    rows = score_quality(stats, model).collect()
     assert len(rows) == len(AWKWARD) and all(0 <= r["score"] <= 1 for r in rows)
     assert keep_good(docs, model).columns == docs.columns
     assert np.isfinite(statistics(b"")).all() and len(statistics(b"")) == len(FEATURES)
-    nothing = fit_quality(docs.limit(0), labels)
-    assert {r["score"] for r in score_quality(docs, nothing).collect()} == {0.5}
-    assert score_quality(docs.limit(0), model).count() == 0
+    nothing = fit_quality(document_statistics(docs.limit(0)), labels)
+    assert {r["score"] for r in score_quality(stats, nothing).collect()} == {0.5}
+    assert score_quality(document_statistics(docs.limit(0)), model).count() == 0
 
 
 def test_gradients():

@@ -16,33 +16,39 @@ from quarry.llm.decontamination import keep_clean
 from quarry.llm.exact_dedup import keep_exact
 from quarry.llm.jaccard_join import keep_one
 from quarry.llm.packing import pack_documents
-from quarry.llm.quality import fit_quality, keep_good
+from quarry.llm.quality import document_statistics, fit_quality, keep_good
 from quarry.llm.queries import tokenizer_path
+from quarry.llm.textops import bounded_batches
 from quarry.session import ensure_checkpoint_dir
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject; it learns from the labelled rows of ``docs``."""
-    return keep_good(docs, fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    bounded_batches(spark)
+    return keep_good(docs, fit_quality(document_statistics(docs), spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
+    bounded_batches(spark)
     return keep_exact(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
+    bounded_batches(spark)
     return keep_one(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage."""
+    bounded_batches(spark)
     return keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of packed sequences."""
+    bounded_batches(spark)
     return pack_documents(docs, tokenizer_path())
 
 

@@ -21,7 +21,7 @@ def test_oracle_keys_are_queries():
     assert len(entry.queries()) >= 40
 
 
-@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - {"model_comparison"}))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_runs(spark, name):
     df = registry.QUERIES[name](spark, SMOKE)
     rows = df.collect()

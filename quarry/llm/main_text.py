@@ -10,9 +10,10 @@ sidebars, notices, adverts, forms and comments are never content, and blocks of
 ``article`` or ``main`` element always are, since an article may well be copied on
 its host. The suffix array decides the blocks of pages without such an element.
 
-Pages are range-partitioned by host and page, so a large host spreads over many
-tasks, and a task handles at most ``chunk_pages`` pages of one host (and about
-``chunk_bytes``) at a time.
+A task builds the suffix array of at most ``chunk_pages`` pages (and about
+``chunk_bytes``) at a time, with the host in each token, and emits its distinct runs
+as 64-bit hashes. Spark then brings the equal runs of all chunks together: a run is
+shared if two distinct pages of its host have it, wherever they were read.
 """
 
 from __future__ import annotations
@@ -20,14 +21,16 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterator
+from functools import lru_cache
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.textops import words
+from quarry.llm.textops import mix, runs, words
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -135,10 +138,20 @@ def repeated(tokens: np.ndarray, page_of: np.ndarray, min_run: int) -> np.ndarra
     The suffix array is built by prefix doubling as deep as ``min_run`` tokens; a
     longer shared run is covered by its overlapping parts.
     """
+    suffixes, first = run_groups(tokens, page_of, min_run)
+    if not len(suffixes):
+        return np.zeros(len(tokens), bool)
+    low = np.minimum.reduceat(page_of[suffixes], first)
+    high = np.maximum.reduceat(page_of[suffixes], first)
+    shared = np.repeat(low < high, np.diff(np.r_[first, len(suffixes)]))
+    return _cover(len(tokens), suffixes[shared], min_run)
+
+
+def run_groups(tokens: np.ndarray, page_of: np.ndarray, min_run: int) -> tuple[np.ndarray, np.ndarray]:
+    """(suffixes with ``min_run`` tokens of their own page, sorted by these; where each group of equal runs begins)."""
     n = len(tokens)
-    covered = np.zeros(n, bool)
     if n < min_run:
-        return covered
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     rank = np.unique(tokens, return_inverse=True)[1].astype(np.int64)
     depth = 1
     while depth < min_run:
@@ -152,56 +165,71 @@ def repeated(tokens: np.ndarray, page_of: np.ndarray, min_run: int) -> np.ndarra
     suffixes = np.argsort(rank, kind="stable")
     suffixes = suffixes[inner[suffixes]]
     if not len(suffixes):
-        return covered
-    first = np.flatnonzero(np.r_[True, rank[suffixes][1:] != rank[suffixes][:-1]])
-    low = np.minimum.reduceat(page_of[suffixes], first)
-    high = np.maximum.reduceat(page_of[suffixes], first)
-    shared = np.repeat(low < high, np.diff(np.r_[first, len(suffixes)]))
+        return suffixes, np.zeros(0, np.int64)
+    return suffixes, np.flatnonzero(np.r_[True, rank[suffixes][1:] != rank[suffixes][:-1]])
+
+
+def _cover(n: int, begins: np.ndarray, min_run: int) -> np.ndarray:
+    """Which of ``n`` tokens lie in a run of ``min_run`` from one of ``begins``."""
     edge = np.zeros(n + 1, np.int64)
-    np.add.at(edge, suffixes[shared], 1)
-    np.add.at(edge, suffixes[shared] + min_run, -1)
+    np.add.at(edge, begins, 1)
+    np.add.at(edge, begins + min_run, -1)
     return np.cumsum(edge)[:-1] > 0
 
 
+class Stream:
+    """Blocks and token stream of some pages; a block is its marker, then its words."""
+
+    def __init__(self, pages: list[str | None], salts: np.ndarray | None = None) -> None:
+        self.cut = [blocks(p) for p in pages]
+        texts = [t.encode("utf-8", "replace") for page in self.cut for _, _, t in page]
+        hashes, before = words(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)]))
+        mark = np.array([_mark(path) for page in self.cut for _, path, _ in page], np.uint64)
+        self.sizes = np.diff(before)
+        self.tokens = np.insert(hashes, before[:-1], mark) if len(mark) else hashes
+        self.row = np.repeat(np.repeat(np.arange(len(pages)), [len(c) for c in self.cut]), self.sizes + 1)
+        if salts is not None:  # tokens of different hosts differ
+            self.tokens = mix(self.tokens ^ salts[self.row])
+        own = np.ones(len(self.tokens), bool)
+        own[before[:-1] + np.arange(len(mark))] = False
+        self.own, self.block_of = own, np.repeat(np.arange(len(mark)), self.sizes)
+
+    def decide(self, covered: np.ndarray, share: float, trust_structure: bool) -> list[tuple[str, int, int]]:
+        """(main text, number of blocks, words in shared runs) of each page."""
+        hit = np.bincount(self.block_of[covered[self.own]], minlength=len(self.sizes)) if len(self.sizes) else np.zeros(0, np.int64)
+        out = []
+        at = 0
+        for page in self.cut:
+            main = trust_structure and any(kind == MAIN for kind, _, _ in page)
+            kept = []
+            for b, (kind, _, t) in enumerate(page, at):
+                if main:
+                    keep = kind == MAIN
+                else:
+                    keep = (kind != BOILERPLATE or not trust_structure) and hit[b] < share * max(1, self.sizes[b])
+                if keep:
+                    kept.append(t)
+            out.append(("\n".join(kept), len(page), int(hit[at:at + len(page)].sum())))
+            at += len(page)
+        return out
+
+
+@lru_cache(maxsize=1 << 14)
+def _mark(path: str) -> int:
+    return int.from_bytes(blake2b(path.encode("utf-8", "replace"), digest_size=8).digest(), "little")
+
+
 def extract_pages(pages: list[str | None], min_run: int = 8, share: float = 0.8,
                   trust_structure: bool = True) -> list[tuple[str, int, int]]:
     """(main text, number of blocks, words in shared runs) of each page of one host.
 
     Without ``trust_structure`` the suffix array alone decides every block.
     """
-    cut = [blocks(p) for p in pages]
-    texts = [t.encode("utf-8", "replace") for page in cut for _, _, t in page]
-    offsets = np.cumsum([0, *map(len, texts)])
-    hashes, before = words(np.frombuffer(b"".join(texts), np.uint8), offsets)
-    marks = {}
-    mark = np.array([marks.setdefault(path, len(marks)) for page in cut for _, path, _ in page], np.int64)
+    stream = Stream(pages)
     same: dict[str | None, int] = {}
-    number = [same.setdefault(p, len(same)) for p in pages]  # identical pages count as one
-    page_of_block = np.repeat(np.array(number, np.int64), [len(c) for c in cut])
-    sizes = np.diff(before)
-    # Stream: each block's marker, then its words.
-    tokens = np.insert(hashes, before[:-1], mark.astype(np.uint64)) if len(mark) else hashes
-    page_of = np.repeat(page_of_block, sizes + 1)
-    covered = repeated(tokens, page_of, min_run) if len(same) > 1 else np.zeros(len(tokens), bool)
-    own = np.ones(len(tokens), bool)
-    own[before[:-1] + np.arange(len(mark))] = False
-    block_of = np.repeat(np.arange(len(mark)), sizes)
-    hit = np.bincount(block_of[covered[own]], minlength=len(mark)) if len(mark) else np.zeros(0, np.int64)
-    out = []
-    at = 0
-    for page in cut:
-        main = trust_structure and any(kind == MAIN for kind, _, _ in page)
-        kept = []
-        for b, (kind, _, t) in enumerate(page, at):
-            if main:
-                keep = kind == MAIN
-            else:
-                keep = (kind != BOILERPLATE or not trust_structure) and hit[b] < share * max(1, sizes[b])
-            if keep:
-                kept.append(t)
-        out.append(("\n".join(kept), len(page), int(hit[at:at + len(page)].sum())))
-        at += len(page)
-    return out
+    number = np.array([same.setdefault(p, len(same)) for p in pages], np.int64)  # identical pages count as one
+    covered = repeated(stream.tokens, number[stream.row], min_run) if len(same) > 1 else np.zeros(len(stream.tokens), bool)
+    return stream.decide(covered, share, trust_structure)
 
 
 SCHEMA = T.StructType([
@@ -210,45 +238,94 @@ SCHEMA = T.StructType([
     T.StructField("n_shared_words", T.LongType())])
 
 
+def _chunks(batch: pa.RecordBatch, chunk_pages: int, chunk_bytes: int) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
+    """Parts of a batch whose first column is html, with their pages; one page may be longer than ``chunk_bytes``."""
+    at = 0
+    while at < batch.num_rows:
+        held, size = [], 0
+        for k in range(at, min(batch.num_rows, at + chunk_pages)):
+            page = batch.column(0)[k].as_py()
+            if held and size + len(page or "") > chunk_bytes:
+                break
+            held.append(page)
+            size += len(page or "")
+        yield batch.slice(at, len(held)), held
+        at += len(held)
+
+
+def _longs(column: pa.Array) -> np.ndarray:
+    return column.to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _distinct_runs(table: DataFrame, min_run: int, chunk_pages: int, chunk_bytes: int) -> DataFrame:
+    """``run, page, others``: each distinct run of a chunk's suffix array, once a chunk.
+
+    ``page`` is the least of the chunk's distinct pages that have the run,
+    ``others`` the rest in order (null if none).
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, pages in _chunks(batch, chunk_pages, chunk_bytes):
+                stream = Stream(pages, _longs(part.column(1)).view(np.uint64))
+                suffixes, first = run_groups(stream.tokens, stream.row, min_run)
+                if not len(suffixes):
+                    continue
+                keys = runs(stream.tokens, min_run)[suffixes[first]].view(np.int64)
+                group = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(suffixes)]))
+                page = _longs(part.column(2))[stream.row[suffixes]]
+                by = np.lexsort((page, group))
+                group, page = group[by], page[by]
+                new = np.r_[True, (group[1:] != group[:-1]) | (page[1:] != page[:-1])]
+                group, page = group[new], page[new]
+                least = np.r_[True, group[1:] != group[:-1]]
+                more = np.bincount(group, minlength=len(first)) - 1
+                ends = np.r_[0, np.cumsum(more)].astype(np.int32)
+                absent = np.r_[more == 0, False]
+                others = pa.ListArray.from_arrays(pa.array(ends, mask=absent), pa.array(page[~least]))
+                for a in range(0, len(keys), 1 << 16):
+                    b = a + (1 << 16)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(keys[a:b]), pa.array(page[least][a:b]), others[a:b]], names=["run", "page", "others"])
+
+    return table.where("length(html) > 0").select("html", "salt", "page").mapInArrow(run, "run long, page long, others array<long>")
+
+
 def extract_main_text(pages: DataFrame, min_run: int = 8, share: float = 0.8, chunk_pages: int = 256,
                       chunk_bytes: int = 1 << 21) -> DataFrame:
     """Main text of each row of ``pages(page_id, url, html)`` (``SCHEMA``).
 
     A null or empty page gives an empty text. Pages without a url, or whose url has
     no host, count as one host. Repeated rows each give a row; identical pages
-    do not make each other boilerplate. Other columns are ignored.
+    do not make each other boilerplate. Other columns are ignored. The chunk
+    bounds are bounds of memory; they do not change the result.
     """
     host = F.lower(F.coalesce(F.regexp_extract(F.col("url").cast("string"), r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1), F.lit("")))
+    page = F.col("html").cast("string")
     table = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"),
-                         F.col("html").cast("string").alias("html"), host.alias("host"),
-                         F.xxhash64("page_id", "url").alias("spread"))
-    dealt = table.repartitionByRange("host", "spread").sortWithinPartitions("host", "spread")
+                         page.alias("html"), F.xxhash64(host).alias("salt"), F.xxhash64(host, page).alias("page"))
+    each = Window.partitionBy("run")
+    shared = (_distinct_runs(table, min_run, chunk_pages, chunk_bytes)
+              .withColumn("low", F.min("page").over(each))
+              .withColumn("high", F.max(F.coalesce(F.element_at("others", -1), "page")).over(each))
+              .where("low < high")
+              .select("run", F.explode(F.concat(F.array("page"), F.coalesce("others", F.array().cast("array<long>")))).alias("page"))
+              .groupBy("page").agg(F.collect_set("run").alias("shared")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        size = 0
-
-        def flush() -> pa.RecordBatch:
-            got = extract_pages([h[2] for h in held], min_run, share)
-            out = pa.RecordBatch.from_arrays(
-                [pa.array([h[0] for h in held], pa.int64()), pa.array([h[1] for h in held], pa.string()),
-                 pa.array([g[0] for g in got], pa.string()), pa.array([len(g[0]) for g in got], pa.int64()),
-                 pa.array([g[1] for g in got], pa.int64()), pa.array([g[2] for g in got], pa.int64())], names=SCHEMA.names)
-            held.clear()
-            return out
-
-        current = None
         for batch in batches:
-            for row in zip(*(batch.column(k) for k in range(4)), strict=True):
-                page_id, url, page, host_name = (x.as_py() for x in row)
-                n = len(page or "")
-                if held and (host_name != current or len(held) >= chunk_pages or size + n > chunk_bytes):
-                    yield flush()
-                    size = 0
-                current = host_name
-                held.append((page_id, url, page))
-                size += n
-        if held:
-            yield flush()
-
-    return dealt.select("page_id", "url", "html", "host").mapInArrow(run, SCHEMA)
+            for part, held in _chunks(batch, chunk_pages, chunk_bytes):
+                stream = Stream(held, _longs(part.column(1)).view(np.uint64))
+                n = len(stream.tokens)
+                covered = np.zeros(n, bool)
+                known = np.unique(part.column(2).flatten().to_numpy(zero_copy_only=False).astype(np.int64))
+                if n >= min_run and len(known):
+                    inner = stream.row[:n - min_run + 1] == stream.row[min_run - 1:]
+                    begins = np.flatnonzero(inner & np.isin(runs(stream.tokens, min_run).view(np.int64), known))
+                    covered = _cover(n, begins, min_run)
+                got = stream.decide(covered, share, True)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(3), part.column(4), pa.array([g[0] for g in got], pa.string()),
+                     pa.array([len(g[0]) for g in got], pa.int64()), pa.array([g[1] for g in got], pa.int64()),
+                     pa.array([g[2] for g in got], pa.int64())], names=SCHEMA.names)
+
+    return table.join(shared, "page", "left").select("html", "salt", "shared", "page_id", "url").mapInArrow(run, SCHEMA)

@@ -78,3 +78,18 @@ def test_awkward_pages(spark):
 def test_blocks_close_open_paragraphs():
     assert [t for _, _, t in blocks("<p class=ad>a<p>b<div>c")] == ["a", "b", "c"]
     assert [k for k, _, _ in blocks("<p class=ad>a<p>b<div>c")] == [2, 0, 0]
+
+
+def test_runs_are_shared_over_the_whole_host(spark):
+    """A passage on two far pages of a large host is found, whatever the chunks and partitions."""
+    rng = np.random.default_rng(4)
+    own = [" ".join(f"w{x}" for x in rng.integers(0, 10**6, 12)) for _ in range(600)]
+    notice = "this notice stands on only two pages of the whole large host"
+    texts = [f"<div>{w}</div>" + (f"<div>{notice}</div>" if k in (0, 599) else "") for k, w in enumerate(own)]
+    rows = [(k, f"http://h.example/{k}", t) for k, t in enumerate(texts)] + [(600, "http://other.example/", f"<div>{notice}</div>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    want = [(k, *g) for k, g in enumerate(extract_pages(texts))] + [(600, notice, 1, 0)]
+    for most in (2, 256):
+        got = extract_main_text(pages, chunk_pages=most).select("page_id", "text", "n_blocks", "n_shared_words").collect()
+        assert sorted(map(tuple, got)) == want
+    assert want[0][1] == own[0] and want[599][1] == own[599] and want[0][3] == 12

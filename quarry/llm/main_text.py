@@ -5,10 +5,13 @@ words) are concatenated. A suffix array over the stream finds every run of
 ``min_run`` or more tokens that two distinct pages share; a block covered by such
 runs is boilerplate, what is unique to its page is content.
 
-Structure comes first where a page has it: blocks in menus, headers, footers,
-sidebars, notices, adverts, forms and comments are never content, and blocks of an
-``article`` or ``main`` element always are, since an article may well be copied on
-its host. The suffix array decides the blocks of pages without such an element.
+Structure comes first where a page has it: blocks that a tag or role marks as menus,
+headers, footers, forms and the like are never content, and blocks of an ``article``
+or ``main`` element always are, since an article may well be copied on its host.
+Names of classes and ids are weaker: an article so named, or in an element so named,
+is dropped only where shared runs cover it, and if nothing else is left on the page,
+they do not empty it. The suffix array decides the blocks of pages without such an
+element.
 
 A task builds the suffix array of at most ``chunk_pages`` pages (and about
 ``chunk_bytes``) at a time, with the host in each token, and emits its distinct runs
@@ -47,25 +50,39 @@ BOILERPLATE_NAMES = frozenset(
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
-OTHER, MAIN, BOILERPLATE = 0, 1, 2
+# Of a block: BOILERPLATE is so by the names of a class or id outside of a main element, INNER by those below one,
+# DOUBTFUL is a main element's that is so named itself or lies in what is; FIXED is boilerplate by its tag or role.
+OTHER, MAIN, BOILERPLATE, FIXED, DOUBTFUL, INNER = range(6)
 
 
 def _kind(name: str, attributes: str) -> int:
     """What an element says of its content."""
     if name in BOILERPLATE_TAGS:
-        return BOILERPLATE
+        return FIXED
+    named = False
     main = name in ("article", "main")
     if attributes:
         for m in ATTRIBUTE.finditer(attributes):
             value = (m[2] or m[3] or m[4] or "").lower()
             if m[1].lower() == "role":
                 if value in BOILERPLATE_ROLES:
-                    return BOILERPLATE
+                    return FIXED
                 main = main or value in ("main", "article")
             elif name not in HEADINGS and name not in ("body", "html", "main"):
-                if any(part in BOILERPLATE_NAMES for part in re.split("[^a-z0-9]+", value)):
-                    return BOILERPLATE
-    return MAIN if main else OTHER
+                named = named or any(part in BOILERPLATE_NAMES for part in re.split("[^a-z0-9]+", value))
+    return (DOUBTFUL if main else BOILERPLATE) if named else MAIN if main else OTHER
+
+
+def _block_kind(kinds: list[int]) -> int:
+    """What the open elements, outermost first, say of a block."""
+    if FIXED in kinds:
+        return FIXED
+    main = next((k for k, kind in enumerate(kinds) if kind in (MAIN, DOUBTFUL)), None)
+    if main is None:
+        return BOILERPLATE if BOILERPLATE in kinds else OTHER
+    if BOILERPLATE in kinds[main + 1:] or DOUBTFUL in kinds[main + 1:]:
+        return INNER
+    return DOUBTFUL if kinds[main] == DOUBTFUL or BOILERPLATE in kinds[:main] else MAIN
 
 
 def blocks(page: str | None) -> list[tuple[int, str, str]]:
@@ -83,9 +100,7 @@ def blocks(page: str | None) -> list[tuple[int, str, str]]:
             joined = " ".join(entities.unescape("".join(text)).split())
             text.clear()
             if joined:
-                kinds = [k for _, k in stack]
-                kind = BOILERPLATE if BOILERPLATE in kinds else MAIN if MAIN in kinds else OTHER
-                out.append((kind, "/".join(n for n, _ in stack[1:] if n not in INLINE), joined))
+                out.append((_block_kind([k for _, k in stack]), "/".join(n for n, _ in stack[1:] if n not in INLINE), joined))
 
     def close(name: str) -> None:
         for k in range(len(stack) - 1, 0, -1):
@@ -177,6 +192,15 @@ def _cover(n: int, begins: np.ndarray, min_run: int) -> np.ndarray:
     return np.cumsum(edge)[:-1] > 0
 
 
+# What is kept of a page: the first of these that keeps any block, as (kinds kept in any case, kinds kept unless shared).
+STEPS = (
+    (frozenset({MAIN}), frozenset({DOUBTFUL})),
+    (frozenset(), frozenset({OTHER, INNER})),
+    (frozenset(), frozenset({BOILERPLATE})),
+    (frozenset({DOUBTFUL, INNER}), frozenset()),
+)
+
+
 class Stream:
     """Blocks and token stream of some pages; a block is its marker, then its words."""
 
@@ -200,15 +224,12 @@ class Stream:
         out = []
         at = 0
         for page in self.cut:
-            main = trust_structure and any(kind == MAIN for kind, _, _ in page)
-            kept = []
-            for b, (kind, _, t) in enumerate(page, at):
-                if main:
-                    keep = kind == MAIN
-                else:
-                    keep = (kind != BOILERPLATE or not trust_structure) and hit[b] < share * max(1, self.sizes[b])
-                if keep:
-                    kept.append(t)
+            shared = [hit[b] >= share * max(1, self.sizes[b]) for b in range(at, at + len(page))]
+            steps = STEPS if trust_structure else ((frozenset(), frozenset(range(6))),)
+            for always, unshared in steps:
+                kept = [t for (kind, _, t), s in zip(page, shared, strict=True) if kind in always or (kind in unshared and not s)]
+                if kept:
+                    break
             out.append(("\n".join(kept), len(page), int(hit[at:at + len(page)].sum())))
             at += len(page)
         return out

@@ -93,3 +93,21 @@ def test_runs_are_shared_over_the_whole_host(spark):
         got = extract_main_text(pages, chunk_pages=most).select("page_id", "text", "n_blocks", "n_shared_words").collect()
         assert sorted(map(tuple, got)) == want
     assert want[0][1] == own[0] and want[599][1] == own[599] and want[0][3] == 12
+
+
+def test_class_names_do_not_empty_an_article():
+    a, b = "Its own story of the day", "Told in a second paragraph"
+    for page in (f'<div class="has-sidebar"><article><p>{a}<p>{b}</article><div class="sidebar">Side</div></div>',
+                 f'<div id="search-results"><p>{a}<p>{b}</div>',
+                 f'<article class="has-comments"><p>{a}<p>{b}<div class="comments">Reader</div></article>',
+                 f'<article><div class="social-science"><p>{a}<p>{b}</div></article><div class="sidebar">Side</div>'):
+        assert extract_pages([page])[0][0] == f"{a}\n{b}"
+
+
+def test_shared_runs_confirm_class_names():
+    teaser = '<div class="related"><article><p>read this other story about the sea and all of its many ships</article></div>'
+    pages = [f"<body><p>page {k} tells {k * 7} things {'abc'[k]}</p>{teaser}</body>" for k in range(3)]
+    assert [g[0] for g in extract_pages(pages)] == [f"page {k} tells {k * 7} things {'abc'[k]}" for k in range(3)]
+    copied = [f'<div class="has-sidebar"><article><p>the same article of ten words or more stands here</article></div><nav>{k}</nav>'
+              for k in range(2)]
+    assert [g[0] for g in extract_pages(copied)] == ["the same article of ten words or more stands here"] * 2

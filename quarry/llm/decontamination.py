@@ -12,8 +12,8 @@ if it holds all of them, so it must hold the window's rarest one: at containment
 4. verifies the window's whole word sequence there.
 
 The benchmark side is broadcast only while its windows are within
-``max_broadcast_words``; a larger benchmark is joined by a shuffle on the prefix
-shingle instead (same rows).
+``max_broadcast_words``; for a larger benchmark the same four steps are Spark joins
+and aggregates (same rows), with texts known by their SHA-256.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.textops import lists, row_words, runs, slices, text_buffers, words
@@ -195,65 +195,128 @@ def _is_small(benchmark: DataFrame, max_words: int) -> bool:
     return size <= 2 * max_words
 
 
-def _windows_table(table: DataFrame, key: str, window: int) -> DataFrame:
-    """``key, h, at, size``: the hash of each window-sized run of every row, with its place."""
+def _windows_table(benchmark: DataFrame, window: int) -> DataFrame:
+    """``item, seq, shingles``: the word hashes and the shingle hashes of each window of each item."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_buffers(batch.column(1))
             for k in range(batch.num_rows):
-                own = np.array([0, offsets[k + 1] - offsets[k]])
-                hashes, _ = words(data[offsets[k]:offsets[k + 1]], own)
+                hashes, _ = words(data[offsets[k]:offsets[k + 1]], np.array([0, offsets[k + 1] - offsets[k]]))
                 if not len(hashes):
                     continue
                 size = min(window, len(hashes))
-                got = runs(hashes, size)
-                for a in range(0, len(got), 1 << 16):
-                    part = got[a:a + (1 << 16)].view(np.int64)
+                own = min(SHINGLE, size)
+                shingles = runs(hashes, own).view(np.int64)
+                for a in range(0, len(hashes) - size + 1, 1 << 14):
+                    at = np.arange(a, min(a + (1 << 14), len(hashes) - size + 1))[:, None]
+                    seq, parts = hashes.view(np.int64)[at + np.arange(size)], shingles[at + np.arange(size - own + 1)]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([batch.column(0)[k].as_py()] * len(part), batch.column(0).type), pa.array(part),
-                         pa.array(np.arange(a, a + len(part))), pa.array(np.full(len(part), size))],
-                        names=["key", "h", "at", "size"])
-    return table.select(F.col(key).alias("key"), F.col("text").cast("string").alias("text")).mapInArrow(
-        run, "key string, h long, at long, size long")
+                        [pa.array([batch.column(0)[k].as_py()] * len(at), pa.string()),
+                         lists(seq.ravel(), [size] * len(at), pa.int64()),
+                         lists(parts.ravel(), [size - own + 1] * len(at), pa.int64())], names=["item", "seq", "shingles"])
+    items = benchmark.where("item_id is not null")
+    return items.selectExpr("cast(item_id as string) as item", "cast(text as string) as text").mapInArrow(
+        run, "item string, seq array<long>, shingles array<long>").distinct()
 
 
-def _document_runs(docs: DataFrame, sizes: list[int]) -> DataFrame:
-    """``rid, h, at``: hashes of the runs of each of ``sizes`` words of every text."""
+def _document_counts(texts: DataFrame, sizes: list[int]) -> DataFrame:
+    """``h, n``: how often each shingle of ``sizes`` words occurs in ``texts(_rid, _text)``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = text_buffers(batch.column(1))
-            for k in range(batch.num_rows):
-                hashes, _ = words(data[offsets[k]:offsets[k + 1]], np.array([0, offsets[k + 1] - offsets[k]]))
+            for _, _, hashes, _ in _slices(batch):
+                for size in sizes:
+                    h, n = np.unique(runs(hashes, size), return_counts=True)  # runs over two rows only make one less rare
+                    for a in range(0, len(h), 1 << 16):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(h[a:a + (1 << 16)].view(np.int64)), pa.array(n[a:a + (1 << 16)])], names=["h", "n"])
+    return texts.select("_rid", "_text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+
+
+def _document_shingles(texts: DataFrame, sizes: list[int]) -> DataFrame:
+    """``rid, h, at, n_words``: the shingles of ``sizes`` words of each of ``texts(_rid, _text)``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, _, hashes, before in _slices(batch):
+                n_words = np.diff(before)
+                row_of = np.repeat(np.arange(len(n_words)), n_words)
                 for size in sizes:
                     got = runs(hashes, size)
-                    for a in range(0, len(got), 1 << 16):
-                        part = got[a:a + (1 << 16)].view(np.int64)
+                    ok = np.flatnonzero(row_of[:len(got)] == row_of[size - 1:]) if len(got) else np.zeros(0, np.int64)
+                    for a in range(0, len(ok), 1 << 16):
+                        at = ok[a:a + (1 << 16)]
+                        row = row_of[at]
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array([batch.column(0)[k].as_py()] * len(part)), pa.array(part),
-                             pa.array(np.arange(a, a + len(part))), pa.array(np.full(len(part), size))],
-                            names=["rid", "h", "at", "size"])
-    return docs.select("_rid", "_text").mapInArrow(run, "rid string, h long, at long, size long")
+                            [batch.column(0).take(pa.array(first + row)), pa.array(got[at].view(np.int64)),
+                             pa.array(at - before[row]), pa.array(n_words[row])], names=["rid", "h", "at", "n_words"])
+    return texts.select("_rid", "_text").mapInArrow(run, "rid binary, h long, at long, n_words long")
 
 
-def _shuffle_join(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
-    """The same rows for a benchmark too large to broadcast.
+def _prefixes(windows: DataFrame, counts: DataFrame) -> DataFrame:
+    """``h, place, seq``: each window's rarest shingle by ``counts(h, n)``; a window with one that never occurs is left out."""
+    every = windows.select("seq", F.posexplode("shingles").alias("place", "h"))
+    known = every.join(counts, "h", "left").withColumn("n", F.coalesce("n", F.lit(0).cast("bigint")))
+    rarest = known.groupBy("seq").agg(F.min(F.struct("n", "h", "place")).alias("p")).where("p.n > 0")
+    return rarest.select("p.h", F.col("p.place").cast("bigint").alias("place"), "seq")
+
+
+def _verified(candidates: DataFrame) -> DataFrame:
+    """``rid, n_hit, seqs``: words inside windows that do stand where ``candidates(rid, text, found)`` say, and these windows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = text_buffers(batch.column(1))
+            n_hit, seqs = [], []
+            for k in range(batch.num_rows):
+                hashes, _ = words(data[offsets[k]:offsets[k + 1]], np.array([0, offsets[k + 1] - offsets[k]]))
+                own = hashes.view(np.int64)
+                found = batch.column(2)[k].values
+                begins, flat = found.field("begin").to_numpy(), found.field("seq")
+                hit, held = np.zeros(len(own), bool), set()
+                for begin, seq in zip(begins.tolist(), flat, strict=True):
+                    want = seq.values.to_numpy()
+                    if np.array_equal(own[begin:begin + len(want)], want):
+                        hit[begin:begin + len(want)] = True
+                        held.add(tuple(want.tolist()))
+                n_hit.append(int(hit.sum()))
+                seqs.append(sorted(held))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(n_hit, pa.int64()), pa.array(seqs, pa.list_(pa.list_(pa.int64())))],
+                names=["rid", "n_hit", "seqs"])
+    return candidates.select("rid", "text", "found").mapInArrow(run, "rid binary, n_hit long, seqs array<array<long>>").where("n_hit > 0")
+
 
-    Windows are joined with document runs on their 64-bit hash; nothing but
-    joins and aggregates of (text, place) rows is involved.
+def _digest(text: Column) -> Column:
+    return F.unhex(F.sha2(text, 256))
+
+
+def _hit_texts(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
+    """``rid, n_hit, items`` of each distinct text with a window, by its digest: the prefix join as Spark joins.
+
+    No side is broadcast by hand; of a text, its digest, places and candidates are joined and its words read again to verify.
     """
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text")).where("item_id is not null")
-    table = _windows_table(items, "item_id", window).select("h", "size", F.col("key").alias("item")).distinct()
-    sizes = [r["size"] for r in table.select("size").distinct().collect()]  # at most ``window`` numbers
+    table = _windows_table(benchmark, window)
+    windows = table.select("seq", "shingles").distinct()
+    sizes = [r["k"] for r in windows.select(F.least(F.size("seq"), F.lit(SHINGLE)).alias("k")).distinct().collect()]  # SHINGLE numbers at most
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    texts = docs.select(text.alias("_text")).select(_digest(F.col("_text")).alias("_rid"), "_text").dropDuplicates(["_rid"])
+    shingles = windows.select(F.explode("shingles").alias("h")).distinct()
+    prefixes = _prefixes(windows, _document_counts(texts, sizes).join(shingles, "h", "left_semi"))
+    begin = F.col("at") - F.col("place")
+    candidates = (_document_shingles(texts, sizes).join(prefixes, "h")
+                  .where((begin >= 0) & (begin + F.size("seq") <= F.col("n_words")))
+                  .groupBy("rid").agg(F.collect_list(F.struct(begin.alias("begin"), "seq")).alias("found")))
+    found = _verified(candidates.join(texts, candidates["rid"] == texts["_rid"]).withColumnRenamed("_text", "text"))
+    items = (found.select("rid", "n_hit", F.explode("seqs").alias("seq")).join(table.select("item", "seq").distinct(), "seq")
+             .groupBy("rid", "n_hit").agg(F.array_sort(F.collect_set("item")).alias("items")))
+    return items
+
+
+def _shuffle_join(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
+    """The same rows by the same steps for a benchmark too large to broadcast."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("_text"), F.sha2(text, 256).alias("_rid"))
-    found = _document_runs(rows.dropDuplicates(["_rid"]), sizes).join(table, ["h", "size"])
-    hits = found.select("rid", F.explode(F.sequence(F.col("at"), F.col("at") + F.col("size") - 1)).alias("word")).distinct()
-    per = hits.groupBy("rid").agg(F.count("*").alias("n_hit")).join(
-        found.groupBy("rid").agg(F.array_sort(F.collect_set("item")).alias("items")), "rid")
     pattern = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-    counted = rows.select("doc_id", "_rid", F.regexp_count(F.translate(
-        "_text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), F.lit(pattern)).cast("bigint").alias("n_words"))
-    return counted.join(per, counted["_rid"] == per["rid"], "left").select(
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), _digest(text).alias("rid"), F.regexp_count(F.translate(
+        text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), F.lit(pattern)).cast("bigint").alias("n_words"))
+    return rows.join(_hit_texts(docs, benchmark, window), "rid", "left").select(
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
@@ -268,9 +331,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_b
 def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_broadcast_words: int = 200_000) -> DataFrame:
     """The rows of ``docs`` that no benchmark window occurs in, whole."""
     if not _is_small(benchmark, max_broadcast_words):
-        hit = _shuffle_join(docs, benchmark, window).where("n_hit > 0").select(F.col("doc_id").alias("_id")).distinct()
-        rows = docs.select(F.col("doc_id").cast("bigint").alias("_id"), F.struct("*").alias("_row"))
-        return rows.join(hit, "_id", "left_anti").select("_row.*")
+        # By the text, as ids may be null or repeated.
+        hit = _hit_texts(docs, benchmark, window).select("rid")
+        rows = docs.select(_digest(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("rid"), F.struct("*").alias("_row"))
+        return rows.join(hit, "rid", "left_anti").select("_row.*")
     held = Windows(_item_words(benchmark), window)
     held.choose(shingle_counts(docs, held))
 

@@ -1,7 +1,7 @@
 import hashlib
 import random
 
-from quarry.llm.decontamination import contamination, keep_clean, overlap
+from quarry.llm.decontamination import _prefixes, contamination, keep_clean, overlap
 from tests.llm.fixtures import AWKWARD, invented, table, words
 
 
@@ -67,3 +67,19 @@ def test_empty_tables(spark):
     assert [tuple(r)[1:3] for r in contamination(docs, bench).collect()] == [(3, 0)]
     assert contamination(docs.limit(0), bench).count() == 0
     assert keep_clean(docs, bench).count() == 1
+
+
+def test_rows_are_kept_by_their_text(spark):
+    """A null or shared id neither saves a contaminated row nor drops a clean one."""
+    bench = spark.createDataFrame([(1, "one two three four five six seven eight nine ten")], "item_id long, text string")
+    bad, good = "x one two three four five six seven eight nine ten y", "one two three and nothing more"
+    docs = table(spark, [bad, good, bad, good, None], [7, 7, None, None, None])
+    for most in (200_000, 0):
+        got = keep_clean(docs, bench, max_broadcast_words=most).collect()
+        assert sorted(str((r["doc_id"], r["text"])) for r in got) == sorted(map(str, [(7, good), (None, good), (None, None)]))
+
+
+def test_prefix_is_the_rarest_shingle(spark):
+    windows = spark.createDataFrame([([1, 2, 3, 4], [10, 20]), ([5, 6, 7], [30])], "seq array<long>, shingles array<long>")
+    counts = spark.createDataFrame([(10, 5), (20, 2)], "h long, n long")
+    assert [tuple(r) for r in _prefixes(windows, counts).collect()] == [(20, 1, [1, 2, 3, 4])]

@@ -4,6 +4,7 @@ One automaton holds the notice phrases (as words between single spaces) and one
 the identifier tags. The text after an identifier tag is read as an expression
 of licence ids with ``and``, ``or``, ``with`` and parentheses, by Dijkstra's
 shunting-yard algorithm; its ids become labels when the expression is well formed.
+Where the whole line is not, its longest well-formed beginning is the expression.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ TAGS = ("spdx-license-identifier:", "license-expression:", "licence-identifier:"
 
 WORD = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 TOKEN = re.compile(r"\(|\)|[a-z0-9][a-z0-9.+-]*")
+GAP = re.compile(r"[\s\"'`]*")
+CUT = re.compile(r"[\w:]")
 RANK = {"or": 1, "and": 2, "with": 3}
 
 
@@ -56,7 +59,8 @@ def parse(expression: str) -> tuple[list[str], bool] | None:
         return True
 
     operand = False  # the last token ended an operand
-    for token in TOKEN.findall(expression):
+    for m in TOKEN.finditer(expression):
+        token = m[0]
         if token == "(":
             if operand:
                 return None
@@ -81,7 +85,7 @@ def parse(expression: str) -> tuple[list[str], bool] | None:
         else:
             if operand:
                 return None
-            out.append((frozenset([token]), False))
+            out.append((frozenset([token.rstrip(".")]), False))
             operand = True
     if not operand:
         return None
@@ -92,6 +96,44 @@ def parse(expression: str) -> tuple[list[str], bool] | None:
     return sorted(out[0][0]), out[0][1]
 
 
+def beginning(line: str) -> str:
+    """The longest well-formed expression at the begin of ``line``; empty if none.
+
+    It ends before the first token that cannot continue it, and at a full stop or
+    other mark; what is cut off an id (``x_y``, ``x:y``) is no token.
+    """
+    first = at = end = depth = 0
+    operand = False
+    for k, m in enumerate(TOKEN.finditer(line)):
+        token = m[0]
+        if k == 0:
+            first = m.start()
+        elif GAP.fullmatch(line, at, m.start()) is None:
+            break
+        at = m.end()
+        if token == "(":
+            if operand:
+                break
+            depth += 1
+        elif token == ")":
+            if not operand or not depth:
+                break
+            depth -= 1
+        elif token in RANK:
+            if not operand:
+                break
+            operand = False
+        else:
+            if operand or CUT.match(line, at):
+                break
+            operand = True
+        if operand and not depth:
+            end = at
+        if token[-1] == ".":
+            break
+    return line[first:end]
+
+
 @lru_cache(maxsize=1)
 def _automata():
     import ahocorasick
@@ -134,9 +176,12 @@ def scan(text: str | None) -> tuple:
             stop = low.find("\n", end)
             line = low[end + 1:] if stop < 0 else low[end + 1:stop]
             found = parse(line)
+            if not found:
+                line = beginning(line)
+                found = parse(line)
             if found:
                 labels.update(found[0])
-                expressions.append(line.strip())
+                expressions.append(line.strip().rstrip("."))
     score = 1.0 if expressions else min(1.0, 0.6 + 0.1 * len(places)) if base else 0.5 if labels else 0.0
     return (len(words), len(places), min(places, default=None), max(places, default=None),
             ",".join(sorted(base)), ",".join(sorted(labels)), score, ";".join(expressions))

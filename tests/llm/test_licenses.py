@@ -41,6 +41,16 @@ def test_labels_of_the_method():
     assert scan("GNU General Public License, version 3.")[5] == "gpl-3"
 
 
+def test_a_tag_need_not_end_its_line():
+    for rest, labels, expression in (
+            ("MIT Copyright 2020 X", "mit", "mit"), ("Apache-2.0 -- see LICENSE", "apache-2.0", "apache-2.0"), ("MIT.", "mit", "mit"),
+            ("(MIT OR ISC) AND BSD-3-Clause and more (", "bsd-3-clause,isc,mit,more", "(mit or isc) and bsd-3-clause and more"),
+            ("GPL-2.0+ WITH x-exception. Or so it says", "gpl-2.0+", "gpl-2.0+ with x-exception"), ("MIT) x", "mit", "mit"),
+            ("MIT OR", "mit", "mit"), ("MIT, see the file", "mit", "mit"), ("(MIT OR ISC copy", "", ""), ("-- ( ) x", "", "")):
+        got = scan(f"# SPDX-License-Identifier: {rest}")
+        assert got[5:] == (labels, 1.0 if labels else 0.0, expression)
+
+
 def test_null_ids_and_empty(spark):
     assert license_scan(table(spark, ["x"]).limit(0)).count() == 0
     big = 2**60 + 1

@@ -20,7 +20,17 @@ IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])"
+# Lengths of IBANs by country, those of the registry and those in use beside it.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU"}
+IBAN = "(?:" + "|".join(
+    rf"(?:{'|'.join(names.split())})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}(?![A-Za-z0-9])" for n, names in IBAN_LENGTHS.items()) + ")"
+# Only the country and check digits are consumed, so a false start hides no IBAN that begins in it.
+IBAN_START = rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?={IBAN})[A-Z]{{2}}[0-9]{{2}}"
 
 OCTET = r"^0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})$"
 
@@ -65,6 +75,21 @@ def mod97(text: Column) -> Column:
     return rest == 1
 
 
+def _ibans(text: Column) -> Column:
+    """The confirmed IBANs; of two that overlap the first."""
+    def whole(x: Column) -> Column:
+        m = F.regexp_extract(F.substring(text, x["s"] + 1, F.lit(2 * max(IBAN_LENGTHS))), f"^{IBAN}", 0)
+        return F.struct(x["s"].alias("s"), (x["s"] + F.char_length(m)).alias("e"), x["kind"].alias("kind"), x["rank"].alias("rank"),
+                        m.alias("m"), x["score"].alias("score"))
+    found = F.filter(F.transform(spans(text, IBAN_START, "iban", 4), whole).cast(SPAN), lambda x: mod97(x["m"]))
+    none = F.array().cast(SPAN)
+
+    def add(acc: Column, x: Column) -> Column:
+        free = (F.size(acc) == 0) | (F.element_at(acc, -1)["e"] <= x["s"])
+        return F.when(free, F.concat(acc, F.array(x))).otherwise(acc)
+    return F.aggregate(found, none, add)
+
+
 def _octets(text: Column) -> Column:
     return F.forall(F.split(text, r"\."), lambda part: part.rlike(OCTET))
 
@@ -102,7 +127,7 @@ def personal_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.filter(spans(t, IP, "ip", 1), lambda x: _octets(x["m"])).alias("_ip"),
         F.filter(spans(t, CARD, "card", 2), lambda x: size(x).between(16, 19) & luhn(x["m"])).alias("_card"),
         F.filter(spans(t, PHONE, "phone", 3, guard=t.contains("+")), lambda x: size(x).between(8, 15)).alias("_phone"),
-        F.filter(spans(t, IBAN, "iban", 4), lambda x: mod97(x["m"])).alias("_iban"))
+        _ibans(t).alias("_iban"))
     out = out.select("doc_id", "_t", F.concat("_email", "_ip", "_card", "_phone", "_iban").alias("_found"))
     return out.select("doc_id", _ranked(t, F.col("_found"), reach).alias("found"))
 

@@ -103,3 +103,13 @@ def test_empty_table(spark):
     docs = table(spark, ["x"]).limit(0)
     assert credential_counts(docs).count() == 0
     assert personal_counts(docs).count() == 0
+
+
+def test_iban_before_a_capital_word_or_number(spark):
+    iban = "DE89 3704 0044 0532 0130 00"
+    texts = [f"{iban} BIC COBADEFF", f"{iban} 2024", f"BE12 {iban} x", f"{iban} {iban}", "NO93 8601 1117 947 OSLO",
+             "pay MT84 MALT 0110 0001 2345 MTLC AST0 01S NOW", f"é {iban}7", f"{iban[:-1]}1 BIC"]
+    rows = {r["doc_id"]: r["found"] for r in personal_spans(table(spark, texts)).collect()}
+    found = [[x["m"] for x in rows[k] if x["kind"] == "iban"] for k in range(len(texts))]
+    assert found == [[iban], [iban], [iban], [iban] * 2, ["NO93 8601 1117 947"], ["MT84 MALT 0110 0001 2345 MTLC AST0 01S"], [], []]
+    assert [(x["s"], x["e"]) for x in rows[2] if x["kind"] == "iban"] == [(5, 32)]

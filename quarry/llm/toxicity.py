@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from quarry.llm.quality import held_out, known_labels
 from quarry.llm.textops import lower_bytes, mix, placed_words, slices, text_buffers
 
-WINDOW, STRIDE = 32, 24
+WINDOW, STRIDE = 32, 16  # a passage of up to 17 words lies whole in one window
 HIDDEN, ATTENTION, EMBED = 8, 8, 4
 GRAMS = (3, 4, 5)
 GRAM_BITS, EMBED_BITS = 16, 12
@@ -199,7 +199,7 @@ class Texts:
         begin = np.concatenate([*starts, np.zeros(0, np.int64)]).astype(np.int64) + self.before[self.row]
         at = begin[None, :] + np.arange(WINDOW)[:, None]
         inside = at < self.before[self.row + 1]
-        self.idx = np.where(inside, self.number[np.where(inside, at, 0)], 0) if len(begin) else np.zeros((WINDOW, 0), np.int64)
+        self.idx = np.where(inside, self.number[np.where(inside, at, 0)], 0).astype(np.int32) if len(begin) else np.zeros((WINDOW, 0), np.int32)
         self.mask = inside.astype(np.float32)
 
     def logits(self, net: Network, group: int = 4096) -> np.ndarray:
@@ -322,8 +322,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_t
     """Train on a bounded sample of the labelled rows that are not held out.
 
     At most ``max_toxic`` and ``max_other`` documents are taken, those with the least hash
-    of their id; without rows of both classes the network stays untrained. Ids are
-    expected to be unique: the rows of a chosen id all reach the driver.
+    of their id; without rows of both classes the network stays untrained. The sample's
+    share of toxic documents is put back to that of all labelled rows by a shift of the
+    last bias. Ids are expected to be unique: the rows of a chosen id all reach the driver.
     """
     # Ids are chosen without their texts; the texts of at most max_toxic + max_other ids are then picked by a broadcast of these.
     ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct().join(known_labels(labels, label), "doc_id")
@@ -342,7 +343,15 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_t
             y.append(r["y"])
     if len(set(y)) < 2:
         return Network.start(np.zeros(0, np.uint64), np.zeros(0, np.float32), np.zeros(1 << GRAM_BITS, np.float32))
-    return train(texts, np.array(y))
+    net = train(texts, np.array(y))
+    every = {r["y"]: r["count"] for r in ids.groupBy("y").count().collect()}
+    net.p["bo"] += np.float32(prior_shift(every[1], every[0], sum(y), len(y) - sum(y)))
+    return net
+
+
+def prior_shift(toxic: int, other: int, sample_toxic: int, sample_other: int) -> float:
+    """What a logit learnt on the sample lacks at the class share of all labelled documents."""
+    return float(np.log(toxic / other) - np.log(sample_toxic / sample_other))
 
 
 def score_toxicity(docs: DataFrame, net: Network, threshold: float = 0.5) -> DataFrame:

@@ -122,6 +122,33 @@ def test_planted_toxic_words_are_learnt(spark):
     assert (predicted == truth).mean() > 0.95
 
 
+def test_class_share_is_put_back(spark):
+    """A sample of another share differs from the uncapped fit by a shift; caps at the true share need none."""
+    ids = [k for k in range(400) if zlib.crc32(str(k).encode()) % 5]
+    texts = [f"word{k} " + ("vile slur" if k % 8 == 0 else "calm day") for k in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 1, int(k % 8 == 0)) for k in range(400)], "doc_id long, quality int, toxic int")
+    n1 = sum(k % 8 == 0 for k in ids)
+    n0 = len(ids) - n1
+    net = tox.fit_toxicity(docs, labels, max_toxic=20, max_other=20)
+    taken = {y: sorted(tox_ids)[:20] for y, tox_ids in _by_hash(spark, ids).items()}
+    chosen = sorted((k, y) for y, own in taken.items() for _, k in own)
+    plain = tox.train([texts[k].encode() for k, _ in chosen], np.array([y for _, y in chosen]))
+    assert abs(float(net.p["bo"][0] - plain.p["bo"][0]) - np.log(n1 / n0)) < 1e-4
+    assert tox.prior_shift(30, 70, 30, 70) == 0
+
+
+def _by_hash(spark, ids):
+    rows = spark.createDataFrame([(k,) for k in ids], "doc_id long").selectExpr("doc_id", "xxhash64(doc_id) h").collect()
+    return {y: [(r["h"], r["doc_id"]) for r in rows if int(r["doc_id"] % 8 == 0) == y] for y in (0, 1)}
+
+
+def test_passages_of_17_words_lie_in_one_window():
+    for n in (33, 50, 100, 333):
+        starts = tox.window_starts(n)
+        assert all(any(a <= at and at + 17 <= a + tox.WINDOW for a in starts) for at in range(n - 16))
+
+
 def test_toxicity_on_awkward_rows(spark):
     docs = table(spark, AWKWARD, clash=True)
     labels = spark.createDataFrame([(i, 1, i % 2) for i in range(len(AWKWARD))], "doc_id long, quality int, toxic int")

@@ -37,12 +37,9 @@ SCALE, LENGTH_SHARE, LENGTH_WEIGHT = 1_000_000_000, 90, 8
 
 
 def _bit(terms: pa.Array) -> np.ndarray:
-    """Place in the bit table of each term."""
-    data, offsets = text_buffers(terms.cast(pa.large_string()))
-    if not len(offsets) - 1:
-        return np.zeros(0, np.int64)
-    hashes, before = words(data, offsets)  # a term is one word
-    return (mix(hashes[before[:-1]]) & np.uint64(BITS - 1)).astype(np.int64)
+    """Place in the bit table of each term; the empty string, which is no term, has any."""
+    hashes, before = words(*text_buffers(terms.cast(pa.large_string())))  # a term is one word
+    return (mix(np.append(hashes, np.uint64(0))[before[:-1]]) & np.uint64(BITS - 1)).astype(np.int64)
 
 
 def item_terms(items: DataFrame) -> DataFrame:

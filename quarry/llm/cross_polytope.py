@@ -114,6 +114,9 @@ def nearest(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: n
     smaller id; the rows of one id count once for each distinct distance.
     """
     got: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    if not len(rows):
+        queries = queries[:0]
+    deep = k + len(ids) - len(np.unique(ids))  # rows of one id may count once
     row_norm = (rows ** 2).sum(axis=1)
     step = max(1, _PAIRS // max(1, len(rows)))
     for a in range(0, len(queries), step):
@@ -128,8 +131,8 @@ def nearest(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: n
         if allowed is not None:
             out |= ~allowed(a, a + len(block))
         square[out] = np.inf
-        if len(rows) > k:
-            cut = np.partition(square, k - 1, axis=1)[:, k - 1:k] + 2 * slack
+        if len(rows) > deep:
+            cut = np.partition(square, deep - 1, axis=1)[:, deep - 1:deep] + 2 * slack
         else:
             cut = np.full((len(block), 1), np.inf)
         i, j = np.nonzero((square <= cut) & ~out)
@@ -234,6 +237,9 @@ def _repeats(ids: np.ndarray, vectors: np.ndarray, k: int) -> np.ndarray:
     """Rows that may be among the nearest of any query: of equal vectors the ``k + 1`` smallest ids."""
     order = np.lexsort((ids, *vectors.T[::-1]))
     same = (vectors[order][1:] == vectors[order][:-1]).all(axis=1)
+    new = np.r_[True, ~same | (ids[order][1:] != ids[order][:-1])]  # a repeated row counts once
+    order = order[new]
+    same = (vectors[order][1:] == vectors[order][:-1]).all(axis=1)
     start = np.r_[0, np.flatnonzero(~same) + 1]
     place = np.arange(len(order)) - np.repeat(start, np.diff(np.r_[start, len(order)]))
     return order[place <= k]

@@ -12,10 +12,12 @@ Similarity Join".)
 
 What the tree finds are candidates; they only decide which sets are compared
 exactly. Candidates are gathered into connected components, every component is
-dealt into blocks of bounded size, and all pairs of a component are verified on
-their whole shingle sets inside the tasks. Links are counted and grouped there, so
-no list of pairs is ever written, and a group of thousands of near copies is a
-number of block pairs spread over tasks.
+dealt into blocks of at most about ``BLOCK_SETS`` sets and ``BLOCK_SHINGLES`` shingles, and all
+pairs of a component are verified on their whole shingle sets inside the tasks, ``BLOCK`` sets by
+``BLOCK`` at a time. Links are counted and grouped there, so no list of pairs is ever
+written. A text is fetched once and goes to as many tasks as its component has blocks.
+
+Distinct sets are numbered, so an id that several different texts share is as many sets.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.components import components
+from quarry.llm.components import components, least_labels
 from quarry.llm.textops import mix, slices, text_buffers, word_shingles, words
 from quarry.session import ensure_checkpoint_dir
 
@@ -38,6 +40,8 @@ _MULT = _rng.integers(1, 1 << 62, SIGNATURE).astype(np.uint64) * np.uint64(2) +
 _ADD = _rng.integers(0, 1 << 62, SIGNATURE).astype(np.uint64)
 
 BLOCK = 128
+BLOCK_SETS = 4096
+BLOCK_SHINGLES = 1 << 20
 PIVOTS = 32
 
 
@@ -59,7 +63,7 @@ def needed_runs(threshold: float, branches: int, recall: float, depth: int) -> i
 
 
 def _sets(docs: DataFrame, size: int) -> DataFrame:
-    """``doc_id, d1, d2, n, sig``: digest, size and signature of each row's shingle set."""
+    """``doc_id, th, d1, d2, n, sig``: hash of the text, and digest, size and signature of the shingle set of each row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_buffers(batch.column(1))
@@ -75,11 +79,14 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
                         d2[k] = mix(own ^ np.uint64(0x5DEECE66D)).sum().view(np.int64)
                         sig[k] = signature(own).tobytes()
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(d1), pa.array(d2), pa.array(n), pa.array(sig, pa.binary())],
-                names=["doc_id", "d1", "d2", "n", "sig"])
+                [batch.column(0), batch.column(2), pa.array(d1), pa.array(d2), pa.array(n), pa.array(sig, pa.binary())],
+                names=["doc_id", "th", "d1", "d2", "n", "sig"])
+
+    return _texts(docs).mapInArrow(run, "doc_id long, th long, d1 long, d2 long, n long, sig binary")
+
 
-    return docs.selectExpr("cast(doc_id as bigint) as doc_id", "cast(text as string) as text").mapInArrow(
-        run, "doc_id long, d1 long, d2 long, n long, sig binary")
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.selectExpr("cast(doc_id as bigint) as doc_id", "cast(text as string) as text", "xxhash64(cast(text as string)) as th")
 
 
 def _children(path: np.ndarray, sig: np.ndarray, branches: int) -> np.ndarray:
@@ -105,20 +112,6 @@ def _first_level(reps: DataFrame, runs: int, branches: int) -> DataFrame:
     return reps.select("rep", "sig").mapInArrow(run, "path long, rep long")
 
 
-def _stars(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Least member of each of ``n`` nodes' component under the edges ``a``-``b``."""
-    label = np.arange(n)
-    while len(a):
-        low = np.minimum(label[a], label[b])
-        before = label.copy()
-        np.minimum.at(label, a, low)
-        np.minimum.at(label, b, low)
-        label = label[label]
-        if (label == before).all():
-            break
-    return label
-
-
 def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[pa.Array]]:
     """The rows of each run of equal first ``keys`` columns (sorted input), column by column."""
     held: list[pa.RecordBatch] = []
@@ -173,7 +166,7 @@ def _resolve(dealt: DataFrame, cut: float, dense: float, reach: float, branches:
                     same[a:a + 32] = (sig[a:a + 32, None, :] == sig[None, :, :]).mean(axis=2)
                 i, j = np.nonzero(np.triu(same >= cut, 1))
                 if len(i):
-                    label = _stars(len(rep), i, j)
+                    label = least_labels(len(rep), i, j)
                     own = np.flatnonzero(label != np.arange(len(rep)))
                     a_out.append(rep[own])
                     b_out.append(rep[label[own]])
@@ -191,7 +184,7 @@ def _resolve(dealt: DataFrame, cut: float, dense: float, reach: float, branches:
                 i, j = np.nonzero((near >= (reach if crowded else cut)) & (mr[:, None] != pr[None, :]))
                 # One edge a set, to the least member of its part of this group.
                 every = np.r_[mr, pr]
-                label = _stars(len(every), i, j + len(mr))
+                label = least_labels(len(every), i, j + len(mr))
                 own = np.flatnonzero(every != every[label])
                 a_out.append(every[own])
                 b_out.append(every[label[own]])
@@ -253,7 +246,7 @@ def candidates(reps: DataFrame, threshold: float, recall: float, branches: int =
         edges = got.where("path is null").select(F.col("rep").alias("a"), F.col("other").alias("b"))
         found = edges if found is None else found.unionByName(edges)
         rows = got.where("path is not null").select("path", "rep", "sig")
-        if not rows.take(1):
+        if level == depth - 1 or rows.isEmpty():
             break
     return found
 
@@ -291,6 +284,45 @@ def linked(sets: list[np.ndarray], others: list[np.ndarray], threshold: float) -
     return shared >= threshold * union - 1e-6
 
 
+def _compared(sets: list[np.ndarray], first: np.ndarray, second: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """(links of each of ``sets``, least set of its chain of links) between the sets numbered ``first`` and ``second``.
+
+    The two are equal or disjoint. Sets meet by size, so that parts too unlike in size are passed over.
+    """
+    links, label_edges = np.zeros(len(sets), np.int64), ([], [])
+    sizes = np.array([len(x) for x in sets], np.int64)
+    within = first is second
+
+    def parts(own: np.ndarray) -> list[np.ndarray]:
+        own = own[np.argsort(sizes[own], kind="stable")]
+        return [own[a:a + BLOCK] for a in range(0, len(own), BLOCK)]
+
+    left = parts(first)
+    right = left if within else parts(second)
+    for x, a in enumerate(left):
+        for b in right[x:] if within else right:
+            if sizes[a[-1]] < threshold * sizes[b[0]] - 1e-6 or sizes[b[-1]] < threshold * sizes[a[0]] - 1e-6:
+                continue
+            hit = linked([sets[i] for i in a], [sets[i] for i in b], threshold)
+            if a is b:
+                np.fill_diagonal(hit, False)
+            links[a] += hit.sum(axis=1)
+            if a is not b:
+                links[b] += hit.sum(axis=0)
+            i, j = np.nonzero(hit)
+            if len(i):
+                every = np.r_[a, b]
+                label = least_labels(len(every), i, j + len(a))
+                if a is b:  # both halves are the same sets
+                    label = least_labels(len(a), i, j)
+                    every = a
+                label_edges[0].append(every)
+                label_edges[1].append(every[label])
+    if not label_edges[0]:
+        return links, np.arange(len(sets))
+    return links, least_labels(len(sets), np.concatenate(label_edges[0]), np.concatenate(label_edges[1]))
+
+
 def _verify(grouped: DataFrame, threshold: float, size: int) -> DataFrame:
     """From ``root, pair, block, rep, text`` rows: ``rep, links, other``.
 
@@ -305,17 +337,8 @@ def _verify(grouped: DataFrame, threshold: float, size: int) -> DataFrame:
                 hashes, before = words(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
                 sets.extend(word_shingles(hashes, before, size))
             first = np.flatnonzero(block == block.min())
-            second = np.flatnonzero(block == block.max())
-            within = len(first) == len(block)
-            hit = linked([sets[i] for i in first], [sets[i] for i in second], threshold)
-            if within:
-                np.fill_diagonal(hit, False)
-            links = np.zeros(len(rep), np.int64)
-            links[first] += hit.sum(axis=1)
-            if not within:
-                links[second] += hit.sum(axis=0)
-            i, j = np.nonzero(hit)
-            label = _stars(len(rep), first[i], second[j])
+            second = first if len(first) == len(block) else np.flatnonzero(block == block.max())
+            links, label = _compared(sets, first, second, threshold)
             own = np.flatnonzero(links > 0)
             if len(own):
                 yield pa.RecordBatch.from_arrays([pa.array(rep[own]), pa.array(links[own]), pa.array(rep[label[own]])],
@@ -325,55 +348,64 @@ def _verify(grouped: DataFrame, threshold: float, size: int) -> DataFrame:
         "root", "pair", "block", "rep", "text").mapInArrow(run, "rep long, links long, other long")
 
 
-def jaccard_join(docs: DataFrame, threshold: float = 0.8, size: int = 5, recall: float = 0.99999) -> DataFrame:
-    """``doc_id, class_id, n_links, rep_id, n_copies`` for each row of ``docs(doc_id, text)``.
-
-    Rows with equal shingle sets are copies of ``rep_id``, the least id among them, and
-    ``n_copies`` in number. ``n_links`` counts the other representatives whose set has a
-    Jaccard similarity of ``threshold`` or more; ``class_id`` is the least representative
-    that a chain of links reaches. A text of fewer than ``size`` words, but not none, is one
-    shingle. A text without words (also null or empty) is like nothing and forms a
-    class of its own. Rows with a null id are compared with none: their class is null.
-    Repeated rows each give a row. Other columns are ignored.
-    """
+def _classes(docs: DataFrame, threshold: float, size: int, recall: float) -> DataFrame:
+    """The columns of :func:`jaccard_join` and ``th``, the hash of the row's text."""
     ensure_checkpoint_dir(docs.sparkSession)
     sets = _sets(docs, size).checkpoint()
     known = sets.where("doc_id is not null and n > 0")
-    classes = known.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
-    firsts = known.select("doc_id", "d1", "d2", "n", "sig").join(
-        classes.select(F.col("rep").alias("doc_id"), "d1", "d2", "n"), ["doc_id", "d1", "d2", "n"], "left_semi")
-    reps = firsts.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("rep"), "sig").checkpoint()
-    near = components(candidates(reps, threshold, recall))
-
-    sizes = near.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("bigint").alias("blocks"))
-    dealt = near.join(sizes, "root").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("node"), F.col("text").cast("string").alias("text"))
+    reps = known.groupBy("d1", "d2", "n").agg(F.min(F.struct("doc_id", "th", "sig")).alias("x"), F.count("*").alias("copies")).select(
+        F.monotonically_increasing_id().alias("rep"), "d1", "d2", "n", "copies", "x.*").checkpoint()
+    near = components(candidates(reps.select("rep", "sig"), threshold, recall))
+
+    dealt = near.join(reps.select(F.col("rep").alias("node"), "doc_id", "th", "n"), "node")
+    sizes = dealt.groupBy("root").agg(F.ceil(F.greatest(F.count("*") / BLOCK_SETS, F.sum("n") / BLOCK_SHINGLES)).cast("bigint").alias("blocks"))
+    dealt = dealt.join(sizes, "root").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))).drop("n")
     # A block meets every block of its component once: pairs (i, j) with i <= j.
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
-    paired = texts.join(dealt, "node").dropDuplicates(["node"]).withColumn("other", other)
+    paired = _texts(docs).join(dealt, ["doc_id", "th"]).dropDuplicates(["doc_id", "th", "node"]).withColumn("other", other)
     pair = F.least("block", "other") * F.col("blocks") + F.greatest("block", "other")
     grouped = paired.select("root", pair.alias("pair"), "block", F.col("node").alias("rep"), "text")
     verified = _verify(grouped, threshold, size).checkpoint()
     links = verified.groupBy("rep").agg(F.sum("links").alias("n_links"))
-    joined = components(verified.select(F.col("rep").alias("a"), F.col("other").alias("b"))).select(
-        F.col("node").alias("rep"), F.col("root").alias("class"))
+    joined = components(verified.select(F.col("rep").alias("a"), F.col("other").alias("b"))).select(F.col("node").alias("rep"), "root")
+    joined = joined.join(reps.select("rep", "doc_id"), "rep")
+    least = joined.groupBy("root").agg(F.min("doc_id").alias("class"))
+    joined = joined.join(least, "root").select("rep", "class")
 
-    per_class = classes.join(links, "rep", "left").join(joined, "rep", "left")
-    rows = sets.where("doc_id is not null and n > 0").select("doc_id", "d1", "d2", "n").join(per_class, ["d1", "d2", "n"])
+    per_set = reps.select("rep", "d1", "d2", "n", "copies", F.col("doc_id").alias("rep_id")).join(links, "rep", "left").join(joined, "rep", "left")
+    rows = known.select("doc_id", "th", "d1", "d2", "n").join(per_set, ["d1", "d2", "n"])
     zero = F.lit(0).cast("bigint")
-    out = rows.select("doc_id", F.coalesce("class", "rep").alias("class_id"), F.coalesce("n_links", zero).alias("n_links"),
-                      F.col("rep").alias("rep_id"), F.col("copies").alias("n_copies"))
+    out = rows.select("doc_id", F.coalesce("class", "rep_id").alias("class_id"), F.coalesce("n_links", zero).alias("n_links"),
+                      "rep_id", F.col("copies").alias("n_copies"), "th")
     alone = sets.where("doc_id is null or n = 0").select(
         "doc_id", F.col("doc_id").alias("class_id"), zero.alias("n_links"), F.col("doc_id").alias("rep_id"),
-        F.lit(1).cast("bigint").alias("n_copies"))
+        F.lit(1).cast("bigint").alias("n_copies"), "th")
     return out.unionByName(alone)
 
 
-def keep_one(docs: DataFrame, threshold: float = 0.8, size: int = 5) -> DataFrame:
+def jaccard_join(docs: DataFrame, threshold: float = 0.8, size: int = 5, recall: float = 0.99999) -> DataFrame:
+    """``doc_id, class_id, n_links, rep_id, n_copies`` for each row of ``docs(doc_id, text)``.
+
+    Rows with equal shingle sets are copies of ``rep_id``, the least id among them, and
+    ``n_copies`` in number. ``n_links`` counts the other distinct sets that have a
+    Jaccard similarity of ``threshold`` or more; ``class_id`` is the least id of a row
+    that a chain of links reaches. A text of fewer than ``size`` words, but not none, is one
+    shingle. A text without words (also null or empty) is like nothing and forms a
+    class of its own. Rows with a null id are compared with none: their class is null.
+    Repeated rows each give a row; rows that share an id but not a text are told apart. Other columns
+    are ignored. An empty table gives no rows.
+    """
+    return _classes(docs, threshold, size, recall).drop("th")
+
+
+def keep_one(docs: DataFrame, threshold: float = 0.8, size: int = 5, recall: float = 0.99999) -> DataFrame:
     """The rows of ``docs`` whose id is the least of their class, whole.
 
-    Rows with a null id stay.
+    Rows with a null id stay. Rows that share an id but not a text are decided each by its text; repeated rows
+    stay or go together. An empty table stays empty.
     """
-    found = jaccard_join(docs, threshold, size).where("doc_id = class_id").select(F.col("doc_id").alias("_keep")).distinct()
-    rows = docs.select(F.col("doc_id").alias("_keep"), F.struct("*").alias("_row"))
-    return rows.join(found, "_keep", "left_semi").select("_row.*").unionByName(docs.where("doc_id is null"))
+    found = _classes(docs, threshold, size, recall).where("doc_id = class_id").select(
+        F.col("doc_id").alias("_keep"), F.col("th").alias("_text")).distinct()
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("_keep"), F.expr("xxhash64(cast(text as string))").alias("_text"),
+                       F.struct("*").alias("_row"))
+    return rows.join(found, ["_keep", "_text"], "left_semi").select("_row.*").unionByName(docs.where("doc_id is null"))

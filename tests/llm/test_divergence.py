@@ -7,7 +7,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
-from fixtures import AWKWARD, DOC_SCHEMA, invented, table
+from tests.llm.fixtures import AWKWARD, DOC_SCHEMA, invented, table
 
 from quarry.llm.divergence import proportions, run_differences, source_divergence
 

@@ -1,8 +1,12 @@
 import random
 from collections import Counter, defaultdict
 
-from quarry.llm.components import components
-from quarry.llm.jaccard_join import jaccard_join, keep_one, needed_runs
+import numpy as np
+import pyarrow as pa
+
+import quarry.llm.components as contraction
+from quarry.llm.components import components, least_labels
+from quarry.llm.jaccard_join import _compared, jaccard_join, keep_one, needed_runs
 from tests.llm.fixtures import AWKWARD, invented, table, words
 
 
@@ -79,6 +83,45 @@ def test_null_and_repeated_ids(spark):
     assert keep_one(docs).count() == 4
 
 
+def test_one_id_over_different_texts(spark):
+    rng = random.Random(4)
+    a, b, c = (invented(rng, 40) for _ in range(3))
+    near_a, near_b = a + " one more", b + " and one"
+    docs = table(spark, [a, b, near_a, near_b, c, c], [5, 5, 7, 2, 5, 5])
+    got = sorted((r["doc_id"], r["class_id"], r["n_links"], r["n_copies"]) for r in jaccard_join(docs).collect())
+    assert got == [(2, 2, 1, 1), (5, 2, 1, 1), (5, 5, 0, 2), (5, 5, 0, 2), (5, 5, 1, 1), (7, 5, 1, 1)]
+    assert sorted((r["doc_id"], r["text"]) for r in keep_one(docs).collect()) == sorted([(5, a), (2, near_b), (5, c), (5, c)])
+
+
+def test_blocks_of_a_component_count_every_pair_once():
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 60, 300).astype(np.uint64)
+    sets = [np.unique(np.r_[base[rng.random(300) > rng.uniform(0, 0.2)], rng.integers(0, 1 << 60, rng.integers(0, 60)).astype(np.uint64)])
+            for _ in range(700)]
+    near = np.array([[len(np.intersect1d(x, y, True)) >= 0.8 * len(np.union1d(x, y)) - 1e-6 for y in sets] for x in sets[:150]])
+    every = np.arange(700)
+    links, label = _compared(sets, every, every, 0.8)
+    assert (links[:150] == near.sum(axis=1) - 1).all()
+    half, rest = every[:333], every[333:]
+    parts = [_compared(sets, x, y, 0.8) for x, y in ((half, half), (half, rest), (rest, rest))]
+    assert (sum(p[0] for p in parts) == links).all()
+    assert (least_labels(700, np.tile(every, 3), np.concatenate([p[1] for p in parts])) == label).all()
+
+
+def test_contraction_keeps_components_at_any_bound(monkeypatch):
+    rng = random.Random(6)
+    for held in (1, 7, 50):
+        monkeypatch.setattr(contraction, "HELD", held)
+        for _ in range(60):
+            n = rng.randint(2, 80)
+            edges = sorted((max(x), min(x)) for x in ((rng.randrange(n), rng.randrange(n)) for _ in range(120)) if x[0] != x[1])
+            a, b = np.array(edges, np.int64).T if edges else np.zeros((2, 0), np.int64)
+            batches = [pa.RecordBatch.from_arrays([pa.array(a[k:k + 9]), pa.array(b[k:k + 9])], names=["a", "b"]) for k in range(0, len(a), 9)]
+            out = [(x, y) for r in contraction._contracted(iter(batches)) for x, y in zip(r["a"].to_pylist(), r["b"].to_pylist(), strict=True)]
+            got = least_labels(n, np.array([x for x, _ in out], np.int64), np.array([y for _, y in out], np.int64))
+            assert (got == least_labels(n, a, b)).all() and all(x > y for x, y in out)
+
+
 def test_empty_table(spark):
     docs = table(spark, ["x"]).limit(0)
     assert jaccard_join(docs).count() == 0

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.terms import byte_table, counted, numbered_terms
+from quarry.operators.joins import join_small
 from quarry.session import ensure_checkpoint_dir
 
 SCALE = 1_000_000_000
@@ -147,7 +148,8 @@ def _pair_sums(kept: DataFrame, groups: DataFrame, block_rows: int, tile: int) -
     at = lambda x: F.floor(x / tile)
     own = lambda c: (at(c) == F.col("pair.i")) | (at(c) == F.col("pair.j"))
     columns = ["lang", "block", "i", "j", "role", "cells", "n"]
-    data = (rows.join(shape, "lang").withColumn("block", F.pmod(F.xxhash64("cells"), F.col("blocks")))
+    # One row a language: broadcast only within the session's limit, else a join on the language.
+    data = (join_small(rows, shape, ["lang"], null_safe=False).withColumn("block", F.pmod(F.xxhash64("cells"), F.col("blocks")))
             .withColumn("pair", pairs)
             .withColumn("cells", F.filter("cells", lambda x: own(x["at"])))
             .select("lang", "block", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"), F.lit(1).alias("role"),

@@ -23,6 +23,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -34,58 +35,96 @@ SCHEMA = T.StructType([
     T.StructField("loss_tokens", T.LongType())])
 
 
-class WordIds(dict):
-    """Token ids (little-endian 32-bit, as bytes) of texts without white space.
-
-    The vocabulary's normaliser and pre-tokeniser never join across white space,
-    so ids are computed once per distinct stretch and looked up after that.
-    ``None`` marks a stretch with characters whose normalisation depends on their
+class Recent:
+    """A lookup of what was used lately: two generations of at most about ``limit`` entries each."""
+
+    def __init__(self, limit: int) -> None:
+        self.limit = max(1, limit)
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def every(self, keys: list, make) -> list:
+        """The values of ``keys``; those not known are made, and none of them is None."""
+        found = list(map(self.young.get, keys))
+        old = self.old.get
+        for k, value in enumerate(found):
+            if value is None:
+                key = keys[k]
+                value = self.young.get(key)
+                if value is None:
+                    value = old(key)
+                    self.young[key] = value = make(key) if value is None else value
+                found[k] = value
+        if len(self.young) > self.limit:
+            self.young, self.old = {}, self.young
+        return found
+
+
+class WordIds:
+    """Token ids of text columns.
+
+    The vocabulary's normaliser and pre-tokeniser never join across white space, so a
+    batch is cut there by Arrow, and ids are computed once per distinct stretch and
+    looked up after that. No ids mark a stretch with characters whose normalisation depends on their
     neighbours; a text with one goes through the tokeniser whole.
     """
 
     # Stretches made of these characters are unchanged by NFC, and lower-casing maps them one to one.
-    UNSURE = re.compile("[^!-~\xc0-\xd6\xd8-\xf6\xf8-įı-ňŊ-ž]|<\\|")
+    UNSURE = re.compile("[^!-~\xc0-\xd6\xd8-\xf6\xf8-\u0131\u0134-\u0148\u014a-\u017e]|<\\|")
     # The vocabulary's split pattern over those characters.
-    PIECE = re.compile("[a-z\xdf-\xf6\xf8-ž]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^a-z0-9\xdf-\xf6\xf8-ž]+")
+    PIECE = re.compile("[a-z\xdf-\xf6\xf8-\u017e]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^a-z0-9\xdf-\xf6\xf8-\u017e]+")
 
     def __init__(self, path: str, limit: int) -> None:
-        super().__init__()
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.limit = limit
-        self.pieces: dict[str, bytes] = {}
+        self.tokenize = self.whole.model.tokenize
+        self.stretches, self.pieces = Recent(limit), Recent(limit)
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in printable]
         self.byte_char = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
-    def __missing__(self, stretch: bytes) -> bytes | None:
-        try:
-            text = stretch.decode()
-        except UnicodeDecodeError:
-            text = "�"
-        out = None if self.UNSURE.search(text) else b"".join(map(self._piece, self.PIECE.findall(text.lower())))
-        if len(self) >= self.limit:
-            self.clear()
-        self[stretch] = out
-        return out
-
-    def _piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            chars = piece if piece.isascii() else "".join(self.byte_char[b] for b in piece.encode())
-            ids = np.array([t.id for t in self.whole.model.tokenize(chars)], "<u4").tobytes()
-            if len(self.pieces) >= self.limit:
-                self.pieces.clear()
-            self.pieces[piece] = ids
-        return ids
-
-    def encode(self, raw: bytes) -> bytes:
-        try:
-            return b"".join(map(self.__getitem__, raw.split()))
-        except TypeError:  # a stretch marked None
-            ids = self.whole.encode(raw.decode("utf-8", "replace"), add_special_tokens=False).ids
-            return np.array(ids, "<u4").tobytes()
+    def stretch(self, text: str) -> bytes:
+        """Ids (little-endian 32-bit) of a text without white space; empty if they depend on what is around it."""
+        if self.UNSURE.search(text):
+            return b""
+        found = self.PIECE.findall(text.lower())
+        return self.pieces.every(found, self.piece)[0] if len(found) == 1 else b"".join(self.pieces.every(found, self.piece))
+
+    def piece(self, piece: str) -> bytes:
+        chars = piece if piece.isascii() else "".join([self.byte_char[b] for b in piece.encode()])
+        return b"".join([t.id.to_bytes(4, "little") for t in self.tokenize(chars)])
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, where each text's begin and the last end); null texts have none."""
+        if column.null_count:
+            column = pc.fill_null(column, "")
+        cut = pc.ascii_split_whitespace(column.cast(pa.large_string()))
+        ends = cut.offsets.to_numpy().astype(np.int64)
+        coded = cut.values.slice(ends[0], ends[-1] - ends[0]).dictionary_encode()
+        ends -= ends[0]
+        known = self.stretches.every(coded.dictionary.to_numpy(zero_copy_only=False).tolist(), self.stretch)
+        number = coded.indices.to_numpy().astype(np.int64)
+        sizes = np.array(list(map(len, known)), np.int64) // 4
+        unsure = sizes == 0
+        unsure &= pc.not_equal(coded.dictionary, "").to_numpy(zero_copy_only=False)  # the ends of a text
+        flat = np.frombuffer(b"".join(known), "<u4")
+        begin = np.cumsum(sizes) - sizes
+        length = sizes[number] if len(number) else number
+        at = np.r_[0, np.cumsum(length)]
+        ids = flat[np.arange(at[-1]) + np.repeat(begin[number] - at[:-1], length)] if len(number) else flat[:0]
+        bounds = at[ends]
+        if unsure.any():
+            rows = np.unique(np.searchsorted(ends, np.flatnonzero(unsure[number]), side="right") - 1)
+            parts, last = [], 0
+            sized = np.diff(bounds)
+            for row in rows.tolist():
+                own = np.array(self.whole.encode(column[row].as_py(), add_special_tokens=False).ids, "<u4")
+                parts += [ids[bounds[last]:bounds[row]], own]
+                sized[row], last = len(own), row + 1
+            ids = np.concatenate([*parts, ids[bounds[last]:]])
+            bounds = np.r_[0, np.cumsum(sized)]
+        return ids, bounds
 
 
 @lru_cache(maxsize=1)
@@ -186,14 +225,15 @@ def powers(pieces: list[tuple]) -> Iterator[list[tuple]]:
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int = 4096, segments: int = 256,
-                   loss: int = 4096, pool: int = 512, cache: int = 250_000) -> DataFrame:
+                   loss: int = 4096, pool: int = 512, cache: int = 400_000) -> DataFrame:
     """Pack ``docs(doc_id, text)`` into sequences; one row per piece (``SCHEMA``).
 
     A document is its text's ids, then ``end_id``; a null or empty text is that id
     alone. Each id lies in exactly one piece. ``ids_crc32`` is over the piece's ids as
     little-endian 32-bit integers, ``loss_tokens`` its tokens that bear loss. A
     sequence holds at most ``capacity`` tokens, ``segments`` pieces and ``loss`` loss-bearing
-    tokens. Repeated rows are packed once each. Other columns are ignored.
+    tokens. Repeated rows are packed once each; an empty table gives no rows. Other columns are ignored.
+    ``cache`` bounds a generation of a worker's lookups of stretches and of pieces (about 200 bytes an entry).
     """
     end = np.array([end_id], "<u4").tobytes()
 
@@ -224,9 +264,9 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capaci
 
         row = 0
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary())
-            for doc_id, raw in zip(batch.column(0).to_pylist(), texts, strict=True):
-                ids = words.encode(raw.as_py() or b"") + end
+            flat, bounds = words.encode(batch.column(1))
+            for doc_id, a, b in zip(batch.column(0).to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                ids = flat[a:b].tobytes() + end
                 open_ids[row] = [doc_id, ids, len(ids) // 4]
                 for pieces in packer.add(row, len(ids) // 4):
                     write(pieces)

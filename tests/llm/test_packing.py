@@ -3,9 +3,10 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from quarry.llm.packing import Packer, pack_documents, powers
+from quarry.llm.packing import Packer, WordIds, pack_documents, powers
 from tests.llm.fixtures import AWKWARD, invented, table
 
 tokenizers = pytest.importorskip("tokenizers")
@@ -74,3 +75,20 @@ def test_powers():
 
 def test_empty_table(spark):
     assert pack_documents(table(spark, ["x"]).limit(0), PATH).count() == 0
+
+
+def test_lookups_of_any_size_give_the_tokenisers_ids():
+    rng = random.Random(9)
+    parts = ["Word", "word,", "ÉTÉ", "l'été", "don't", "I'LL", "x1y2", "ñandú.", "…", "日本", "é", "a b", "İ", "ﬁ", "<|endoftext|>", "--", "1,000", "\x1c"]
+    texts = [" ".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(300)] + ["", None, "  a\n\tb  ", *AWKWARD]
+    texts += [" ".join(rng.choices(parts[:9], k=8)) for _ in range(200)]
+    want = [ids[:-1] for ids in whole(texts)]
+    for limit in (1, 7, 10_000):
+        words = WordIds(PATH, limit)
+        got = []
+        for a in range(0, len(texts), 60):
+            column = pa.array(texts)[a:a + 60]
+            ids, bounds = words.encode(column)
+            got += [ids[x:y].tolist() for x, y in zip(bounds[:-1], bounds[1:], strict=True)]
+        assert got == want
+        assert len(words.stretches.old) + len(words.stretches.young) <= 2 * limit + 2000

@@ -12,16 +12,19 @@ by an interval join within a scope (``scope`` code points either way):
   identifier.
 
 The parts of a text are arrays in its own row, so the interval join needs no
-shuffle and does not depend on unique ids; it is an existence join that gives
-each weak part at most once.
+shuffle and does not depend on unique ids. It is an existence join that gives
+each weak part at most once, by two sweeps over the parts in order of their starts: the greatest
+end so far tells what is near to the left, the least start yet to come what is near to the right.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.spans import by_start, joined, spans
+from quarry.llm.spans import SPAN, by_start, joined, scan, spans
 
 # The base patterns of the contract (possessive at the end, where it changes nothing).
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]++)"""
@@ -35,16 +38,45 @@ ENDPOINT = (r"""(?<![A-Za-z0-9])(?:https?|ftp|ssh|jdbc|postgres(?:ql)?|mysql|mon
             r"|(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}:[0-9]{2,5}(?![0-9])")
 
 
-def _near(part: Column, others: Column, scope: int) -> Column:
-    """An interval of ``others`` lies within ``scope`` of ``part``."""
-    return F.exists(others, lambda o: (o["s"] < part["e"] + scope) & (o["e"] > part["s"] - scope))
+IDS, SECRETS = ("access", "login"), ("assign", "hex", "short", "bare")
+_FAR = 2_000_000_000
+
+
+def _linked(every: Column, scope: int) -> Column:
+    """The weak parts of ``every``, spans by start, whose complementary parts lie within ``scope``."""
+    seen = "array<struct<x:struct<s:int,e:int,kind:string,rank:int,m:string,score:double>,id:boolean,secret:boolean,end:boolean>>"
+    none = F.array().cast(SPAN)
+
+    def classes(x: Column) -> tuple[Column, Column, Column]:
+        return x["kind"].isin(*IDS), x["kind"].isin(*SECRETS), x["kind"] == "endpoint"
+
+    def carried(state: Column, x: Column, value: Column, better: Callable[[Column, Column], Column]) -> Column:
+        return F.struct(*[F.when(own, better(state[n], value)).otherwise(state[n]).alias(n)
+                          for n, own in zip(("id", "secret", "end"), classes(x), strict=True)])
+
+    def state(value: int) -> Column:
+        return F.struct(*[F.lit(value).alias(n) for n in ("id", "secret", "end")])
+
+    def left(last: Column, x: Column) -> tuple[Column, Column]:
+        near = [(last[n] > x["s"] - scope).alias(n) for n in ("id", "secret", "end")]
+        return carried(last, x, x["e"], F.greatest), F.array(F.struct(x.alias("x"), *near)).cast(seen)
+
+    def right(next_: Column, y: Column) -> tuple[Column, Column]:
+        x = y["x"]
+        near = {n: y[n] | (next_[n] < x["e"] + scope) for n in ("id", "secret", "end")}
+        linked = ((x["kind"].isin("short", "bare") & (near["id"] | near["end"])) | ((x["kind"] == "login") & near["secret"])
+                  | ((x["kind"] == "endpoint") & near["secret"] & near["id"]))
+        return carried(next_, x, x["s"], F.least), F.when(linked, F.array(x)).otherwise(none)
+
+    forward = scan(every, state(-_FAR), left, seen)
+    return scan(F.reverse(forward), state(_FAR), right, SPAN)
 
 
 def credential_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = 400) -> DataFrame:
     """One row per input row: ``doc_id``, ``base`` and ``parts`` (arrays of spans by start).
 
     ``base`` holds the strong secrets, ``parts`` these and the linked weak parts.
-    A null or empty text has empty arrays; other columns are ignored.
+    A null or empty text has empty arrays, repeated rows each give a row, an empty table none; other columns are ignored.
     """
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     t = F.col("_t")
@@ -65,15 +97,10 @@ def credential_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                      F.filter("_named", lambda x: value(x) >= 12).alias("_assign"), short.alias("_short"))
     out = out.select("*", F.concat("_access", "_login").alias("_ids"),
                      F.concat("_assign", "_hex", "_short", "_bare").alias("_secrets"))
-    c = F.col
     weak = F.when(
         (F.size("_short") + F.size("_bare") + F.size("_login") + F.size("_end") > 0)
         & (F.size("_secrets") > 0) & (F.size("_ids") + F.size("_end") > 0),
-        F.concat(
-            F.filter(F.concat("_short", "_bare"), lambda x: _near(x, c("_ids"), scope) | _near(x, c("_end"), scope)),
-            F.filter("_login", lambda x: _near(x, c("_secrets"), scope)),
-            F.filter("_end", lambda x: _near(x, c("_secrets"), scope) & _near(x, c("_ids"), scope)),
-        )).otherwise(F.slice("_short", 1, 0))
+        _linked(by_start(F.concat("_ids", "_secrets", "_end")), scope)).otherwise(F.slice("_short", 1, 0))
     base = F.concat("_assign", "_access", "_hex")
     return out.select("doc_id", by_start(base).alias("base"), by_start(F.concat(base, weak)).alias("parts"))
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.spans import SPAN, joined, spans
+from quarry.llm.spans import SPAN, joined, let, part, pieces, scan, spans
 
 # The base patterns of the contract. Possessive loops and the
 # look-behinds keep them linear and free of recursion on long runs; the
@@ -77,17 +77,22 @@ def mod97(text: Column) -> Column:
 
 def _ibans(text: Column) -> Column:
     """The confirmed IBANs; of two that overlap the first."""
-    def whole(x: Column) -> Column:
-        m = F.regexp_extract(F.substring(text, x["s"] + 1, F.lit(2 * max(IBAN_LENGTHS))), f"^{IBAN}", 0)
-        return F.struct(x["s"].alias("s"), (x["s"] + F.char_length(m)).alias("e"), x["kind"].alias("kind"), x["rank"].alias("rank"),
-                        m.alias("m"), x["score"].alias("score"))
-    found = F.filter(F.transform(spans(text, IBAN_START, "iban", 4), whole).cast(SPAN), lambda x: mod97(x["m"]))
-    none = F.array().cast(SPAN)
+    begun = spans(text, IBAN_START, "iban", 4)
+
+    def confirmed(every: Column, cut: Column) -> Column:
+        def whole(x: Column) -> Column:
+            m = F.regexp_extract(part(cut, x["s"], 2 * max(IBAN_LENGTHS)), f"^{IBAN}", 0)
+            return F.struct(x["s"].alias("s"), (x["s"] + F.char_length(m)).alias("e"), x["kind"].alias("kind"), x["rank"].alias("rank"),
+                            m.alias("m"), x["score"].alias("score"))
+        return F.filter(F.transform(every, whole).cast(SPAN), lambda x: mod97(x["m"]))
 
-    def add(acc: Column, x: Column) -> Column:
-        free = (F.size(acc) == 0) | (F.element_at(acc, -1)["e"] <= x["s"])
-        return F.when(free, F.concat(acc, F.array(x))).otherwise(acc)
-    return F.aggregate(found, none, add)
+    def step(last: Column, x: Column) -> tuple[Column, Column]:
+        free = last <= x["s"]
+        return F.when(free, x["e"]).otherwise(last), F.when(free, F.array(x)).otherwise(F.array().cast(SPAN))
+
+    none = F.array().cast(SPAN)
+    return let(begun, lambda every: F.when(F.size(every) == 0, none).otherwise(
+        let(pieces(text), lambda cut: scan(confirmed(every, cut), F.lit(0), step, SPAN))))
 
 
 def _octets(text: Column) -> Column:
@@ -96,27 +101,27 @@ def _octets(text: Column) -> Column:
 
 def _ranked(text: Column, found: Column, reach: int) -> Column:
     """Spans with their score: 0.7 for a confirmed span, +0.2 or -0.3 by the words near it."""
-    def near(x: Column) -> Column:
+    def near(cut: Column, x: Column) -> Column:
         first = F.greatest(x["s"] - reach, F.lit(0))
-        return F.lower(F.concat_ws(" ", F.substring(text, first + 1, x["s"] - first),
-                                   F.substring(text, x["e"] + 1, F.lit(reach))))
+        return F.lower(F.concat_ws(" ", part(cut, first, x["s"] - first), part(cut, x["e"], reach)))
 
-    def scored(x: Column) -> Column:
-        words = near(x)
+    def scored(cut: Column, x: Column) -> Column:
+        words = near(cut, x)
         support = F.lit(False)
         for kind, pattern in SUPPORT.items():
             support = support | ((x["kind"] == kind) & words.rlike(pattern))
         score = F.lit(0.7) + F.when(support, 0.2).otherwise(0.0) - F.when(words.rlike(AGAINST), 0.3).otherwise(0.0)
         return F.struct(x["s"].alias("s"), x["e"].alias("e"), x["kind"].alias("kind"), x["rank"].alias("rank"),
                         x["m"].alias("m"), F.round(score, 2).alias("score"))
-    return F.transform(found, scored).cast(SPAN)
+    ranked = let(pieces(text), lambda cut: F.transform(found, lambda x: scored(cut, x)))
+    return F.when(F.size(found) > 0, ranked).otherwise(F.array()).cast(SPAN)
 
 
 def personal_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int = 40) -> DataFrame:
     """One row per input row: ``doc_id`` and ``found``, spans by kind, then start.
 
     Kinds: email, ip, card, phone (the base), iban. Each span has its text and
-    score. A null or empty text has none; other columns are ignored.
+    score. A null or empty text has none, repeated rows each give a row, an empty table none; other columns are ignored.
     """
     t = F.col("_t")
     size = lambda x: F.char_length(digits(x["m"]))

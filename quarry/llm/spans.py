@@ -3,14 +3,60 @@
 ``split`` and ``regexp_extract_all`` walk a text with the same leftmost,
 non-overlapping matches, so the pieces between matches and the matches
 themselves alternate, and summing their lengths gives code-point offsets.
+
+An ``aggregate`` that appends to an array copies it at every step. ``scan`` therefore
+walks an array in blocks of ``BLOCK`` and appends a whole block at a time, and ``part`` cuts a text's
+surroundings from pieces of it, so a text with very many matches costs little more than its length.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SPAN = "array<struct<s:int,e:int,kind:string,rank:int,m:string,score:double>>"
+BLOCK = 256
+PIECE = 512
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once, however often a lambda in the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def scan(items: Column, state: Column, step: Callable[[Column, Column], tuple[Column, Column]], kind: str) -> Column:
+    """The arrays (of type ``kind``) that ``step(state, item) -> (next state, array)`` gives, joined in order."""
+    none = F.array().cast(kind)
+
+    def inner(acc: Column, x: Column) -> Column:
+        after, out = step(acc["state"], x)
+        return F.struct(after.alias("state"), F.concat(acc["out"], out).alias("out"))
+
+    def outer(acc: Column, block: Column) -> Column:
+        return F.aggregate(block, F.struct(acc["state"].alias("state"), none.alias("out")), inner, lambda own: F.struct(
+            own["state"].alias("state"), F.concat(acc["out"], F.array(own["out"])).alias("out")))
+
+    def whole(every: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(every) - 1) / BLOCK).cast("int")),
+                             lambda k: F.slice(every, k * BLOCK + 1, BLOCK))
+        start = F.struct(state.alias("state"), F.array().cast(f"array<{kind}>").alias("out"))
+        return F.when(F.size(every) > 0, F.aggregate(blocks, start, outer, lambda acc: F.flatten(acc["out"]))).otherwise(none)
+
+    return let(items, whole)
+
+
+def pieces(text: Column) -> Column:
+    """The text in pieces of ``PIECE`` code points, for :func:`part`."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+
+def part(cut: Column, start: Column, length: Column | int) -> Column:
+    """``length`` (at most ``PIECE``) code points from ``start`` (from 0) of a text in :func:`pieces`."""
+    k = F.floor(start / PIECE).cast("int")
+    two = F.concat(F.coalesce(F.get(cut, k), F.lit("")), F.coalesce(F.get(cut, k + 1), F.lit("")))
+    return F.substring(two, start - k * PIECE + 1, F.lit(length) if isinstance(length, int) else length)
 
 
 def spans(text: Column, pattern: str, kind: str, rank: int, score: float = 1.0,
@@ -21,21 +67,16 @@ def spans(text: Column, pattern: str, kind: str, rank: int, score: float = 1.0,
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.transform(F.split(text, pattern, -1), F.char_length)
-    sizes = F.transform(found, F.char_length)
-    steps = F.transform(F.arrays_zip(gaps.alias("g"), sizes.alias("n"), found.alias("m")),
-                        lambda x: F.struct(x["g"].alias("g"), F.coalesce(x["n"], F.lit(0)).alias("n"), x["m"].alias("m")))
-    start = F.struct(F.lit(0).alias("at"), F.lit(None).cast(SPAN).alias("out"))
     none = F.array().cast(SPAN)
 
-    def add(acc: Column, x: Column) -> Column:
-        s = acc["at"] + x["g"]
-        one = F.struct(s.alias("s"), (s + x["n"]).alias("e"), F.lit(kind).alias("kind"), F.lit(rank).alias("rank"),
+    def step(at: Column, x: Column) -> tuple[Column, Column]:
+        s = at + x["g"]
+        e = s + F.coalesce(F.char_length(x["m"]), F.lit(0))
+        one = F.struct(s.alias("s"), e.alias("e"), F.lit(kind).alias("kind"), F.lit(rank).alias("rank"),
                        x["m"].alias("m"), F.lit(score).cast("double").alias("score"))
-        return F.struct((s + x["n"]).alias("at"),
-                        F.when(x["m"].isNull(), acc["out"]).otherwise(
-                            F.concat(F.coalesce(acc["out"], none), F.array(one))).alias("out"))
+        return e, F.when(x["m"].isNull(), none).otherwise(F.array(one).cast(SPAN))
 
-    every = F.aggregate(steps, start, add, lambda acc: F.coalesce(acc["out"], none))
+    every = scan(F.arrays_zip(gaps.alias("g"), found.alias("m")), F.lit(0), step, SPAN)
     hit = text.rlike(pattern) if guard is None else guard & text.rlike(pattern)
     return F.when(hit, every).otherwise(none)
 

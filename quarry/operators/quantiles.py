@@ -6,9 +6,12 @@ Exact quantiles use linear interpolation between the values at 0-based ranks
 
 ``method="exact"`` never gathers a group's values into one task:
 
-1. **sketch** – one aggregate per group: ``count``, ``min``, ``max`` and
-   ``percentile_approx`` at ``p - d`` and ``p + d``. The sketch is a mergeable
+1. **sketch** – one aggregate per group: ``count``, ``min``, ``max``, an approximate number of
+   distinct values and ``percentile_approx`` at ``p - d`` and ``p + d``. The sketch is a mergeable
    summary of bounded size, so a hot group is combined map-side like a sum.
+   Where no group has more than ``value_limit`` distinct values, counting values is cheaper than
+   banding them: Spark's ``percentile`` holds one counter a value, which that limit bounds
+   whatever the number of rows, and its answer is exact however far off the estimate is. Otherwise:
 2. **band** – every value is compared with the band ``[lo, hi]`` of each
    quantile. Values below the band collapse to one counted marker; values
    inside are counted per distinct value; values above are dropped. A window
@@ -44,6 +47,10 @@ QUARTILE_NAMES = ("q1", "median", "q3")
 
 _V = "__v"
 _N = "__n"
+_D = "__distinct"
+
+#: Distinct values up to which a group's values are counted in one buffer (about 100 bytes a value).
+VALUE_LIMIT = 200_000
 
 
 def clean_value(col: str | Column) -> Column:
@@ -62,20 +69,21 @@ def _names(probs: Sequence[float], names: Sequence[str] | None) -> list[str]:
 
 def quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] | None = None,
               method: str = "exact", accuracy: int = 10000, names: Sequence[str] | None = None,
-              band_limit: int = 2_000_000, cells: int = 4096) -> DataFrame:
+              band_limit: int = 2_000_000, cells: int = 4096, value_limit: int | None = None) -> DataFrame:
     """One row per group: ``by..., n, <name per prob>``; ``n`` counts non-null values.
 
     ``method``: ``exact`` (distributed, default), ``percentile`` (Spark's
     exact aggregate: one buffer per group, for small groups), ``approx``
-    (``percentile_approx`` with ``accuracy``).
+    (``percentile_approx`` with ``accuracy``). ``value_limit`` (default ``VALUE_LIMIT``): distinct
+    values of a group up to which ``exact`` counts values instead of banding them; the answer is the same.
     """
-    return quantile_table(df, col, probs, by, method, accuracy, names, band_limit, cells)[0]
+    return quantile_table(df, col, probs, by, method, accuracy, names, band_limit, cells, value_limit=value_limit)[0]
 
 
 def quantile_table(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] | None = None,
                    method: str = "exact", accuracy: int = 10000, names: Sequence[str] | None = None,
                    band_limit: int = 2_000_000, cells: int = 4096,
-                   extra: Mapping[str, Column] | None = None) -> tuple[DataFrame, int | None]:
+                   extra: Mapping[str, Column] | None = None, value_limit: int | None = None) -> tuple[DataFrame, int | None]:
     """``quantiles`` plus its number of rows when already known (no extra job),
     so a later join can decide on a broadcast without counting again.
 
@@ -90,21 +98,22 @@ def quantile_table(df: DataFrame, col: str, probs: Sequence[float], by: Sequence
     out_names = _names(probs, names)
     v = clean_value(col)
     if method in ("approx", "percentile"):
-        agg = (F.percentile_approx(v, probs, accuracy) if method == "approx"
-               else F.percentile(v, probs))
-        res = df.groupBy(*by).agg(F.count(v).alias("n"), agg.alias("__q"),
-                                  *[e.alias(nm) for nm, e in extra.items()])
-        out = res.select(*by, "n", *[F.col("__q")[i].alias(nm) for i, nm in enumerate(out_names)],
-                         *extra)
-        return out, (1 if not by else None)
+        return _one_pass(df, v, probs, by, method, accuracy, out_names, extra), (1 if not by else None)
     if method != "exact":
         raise ValueError(f"unknown method {method!r}")
     if not by and not extra:
         # One result row: computed by two distributed jobs, returned as values.
-        n, vals = exact_values(df, col, probs, accuracy, band_limit, cells)
+        n, vals = exact_values(df, col, probs, accuracy, band_limit, cells, value_limit)
         schema = ", ".join(["n bigint"] + [f"`{nm}` double" for nm in out_names])
         return df.sparkSession.createDataFrame([(n, *vals)], schema), 1
-    return _exact(df, v, probs, by, accuracy, out_names, band_limit, cells, extra)
+    return _exact(df, v, probs, by, accuracy, out_names, band_limit, cells, extra, value_limit=value_limit)
+
+
+def _one_pass(df: DataFrame, v: Column, probs: list[float], by: list[str], method: str, accuracy: int,
+              out_names: list[str], extra: Mapping[str, Column]) -> DataFrame:
+    agg = F.percentile_approx(v, probs, accuracy) if method == "approx" else F.percentile(v, probs)
+    res = df.groupBy(*by).agg(F.count(v).alias("n"), agg.alias("__q"), *[e.alias(nm) for nm, e in extra.items()])
+    return res.select(*by, "n", *[F.col("__q")[i].alias(nm) for i, nm in enumerate(out_names)], *extra)
 
 
 def quartiles(df: DataFrame, col: str, by: Sequence[str] | None = None, method: str = "exact",
@@ -314,7 +323,8 @@ def _interpolate(n: int, p: float, v0: float, v1: float) -> float:
 
 
 def exact_values(df: DataFrame, col: str | Column, probs: Sequence[float], accuracy: int = 10000,
-                 band_limit: int = 2_000_000, cells: int = 4096) -> tuple[int, list[float | None]]:
+                 band_limit: int = 2_000_000, cells: int = 4096,
+                 value_limit: int | None = None) -> tuple[int, list[float | None]]:
     """Ungrouped exact quantiles as Python values: ``(n, [value per prob])``.
 
     Two jobs in the common case: the sketch (one row back) and the band pass
@@ -324,7 +334,7 @@ def exact_values(df: DataFrame, col: str | Column, probs: Sequence[float], accur
     v = clean_value(col)
     d = 3.0 / accuracy
     approx_probs, lo_idx, hi_idx = _band_index(probs, d)
-    aggs = [F.count(v).alias(_N), F.min(v).alias("__min"), F.max(v).alias("__max")]
+    aggs = [F.count(v).alias(_N), F.min(v).alias("__min"), F.max(v).alias("__max"), F.approx_count_distinct(v).alias(_D)]
     if approx_probs:
         aggs.append(F.percentile_approx(v, approx_probs, accuracy).alias("__a"))
     sketch = df.agg(*aggs)
@@ -332,6 +342,8 @@ def exact_values(df: DataFrame, col: str | Column, probs: Sequence[float], accur
     n = row[_N]
     if not n:
         return 0, [None] * len(probs)
+    if row[_D] <= (VALUE_LIMIT if value_limit is None else value_limit):
+        return n, list(df.agg(F.percentile(v, probs).alias("q")).first()["q"])
     pick = lambda i: row["__min"] if i == "min" else row["__max"] if i == "max" else row["__a"][i]
     if _small_group(n, d, band_limit):
         # the sketch's band may be narrower than one rank: take the whole range
@@ -349,7 +361,7 @@ def exact_values(df: DataFrame, col: str | Column, probs: Sequence[float], accur
     # Large or missed bands: the general path (refinement, restart).
     known = df.sparkSession.createDataFrame([tuple(row)], sketch.schema)
     out, _ = _exact(df, v, probs, [], accuracy, [f"__q{i}" for i in range(len(probs))],
-                    band_limit, cells, sketch=known)
+                    band_limit, cells, sketch=known, value_limit=value_limit)
     r = out.first()
     return n, [r[f"__q{i}"] for i in range(len(probs))]
 
@@ -420,19 +432,22 @@ def exact_values_wide(df: DataFrame, cols: Sequence[Column], probs: Sequence[flo
 
 def _exact(df: DataFrame, v: Column, probs: list[float], by: list[str], accuracy: int,
            out_names: list[str], band_limit: int, cells: int,
-           extra: Mapping[str, Column] | None = None, sketch: DataFrame | None = None) -> DataFrame:
+           extra: Mapping[str, Column] | None = None, sketch: DataFrame | None = None,
+           value_limit: int | None = None) -> tuple[DataFrame, int]:
     d = 3.0 / accuracy
     base = df.select(*by, v.alias(_V)).where(F.col(_V).isNotNull())
     approx_probs, lo_exprs, hi_exprs = _band_exprs(probs, d)
-    aggs = [F.count(v).alias(_N), F.min(v).alias("__min"), F.max(v).alias("__max")]
+    aggs = [F.count(v).alias(_N), F.min(v).alias("__min"), F.max(v).alias("__max"), F.approx_count_distinct(v).alias(_D)]
     if approx_probs:
         aggs.append(F.percentile_approx(v, approx_probs, accuracy).alias("__a"))
     extra = dict(extra or {})
     aggs += [e.alias(nm) for nm, e in extra.items()]
     sk = keep(df.groupBy(*by).agg(*aggs)) if sketch is None else sketch
     # One action fills the sketch and returns its size and largest group.
-    stats = sk.agg(F.count(F.lit(1)).alias("rows"), F.max(_N).alias("max_n")).first()
+    stats = sk.agg(F.count(F.lit(1)).alias("rows"), F.max(_N).alias("max_n"), F.max(_D).alias("most")).first()
     rows, max_n = stats["rows"], stats["max_n"] or 0
+    if max_n and stats["most"] <= (VALUE_LIMIT if value_limit is None else value_limit):
+        return _one_pass(df, v, probs, by, "percentile", accuracy, out_names, extra), rows
     # two bands per quantile (one per wanted rank), equal until refined
     # a small group's sketch band may be narrower than one rank: whole range
     small = (F.col(_N) * F.lit(d) < F.lit(_SMALL_RANKS)) & (F.col(_N) <= F.lit(band_limit))

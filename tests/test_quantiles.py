@@ -13,6 +13,12 @@ from quarry.operators import quantiles as Q
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
 
 
+@pytest.fixture(autouse=True)
+def banding(monkeypatch):
+    """These tables are small: band their values all the same, unless a test says otherwise."""
+    monkeypatch.setattr(Q, "VALUE_LIMIT", 0)
+
+
 def _frame(spark, rows):
     return spark.createDataFrame(rows, "g string, v double")
 
@@ -195,3 +201,33 @@ def test_six_hundred_decades_and_many_probabilities(spark):
     both = df.unionByName(df.select((-F.col("v")).alias("v"))).unionByName(spark.createDataFrame([(0.0,), (float("inf"),), (float("-inf"),)], "v double"))
     want = both.agg(F.percentile("v", [0.1, 0.5, 0.9])).first()[0]
     assert Q.exact_values(both, "v", [0.1, 0.5, 0.9], band_limit=20, cells=16)[1] == pytest.approx(want, rel=1e-12)
+
+
+def test_few_distinct_values_are_counted_and_many_banded(spark, monkeypatch):
+    """The choice changes the plan, not the answer."""
+    tied = spark.range(60_000).select((F.col("id") % 3).cast("string").alias("g"), F.pmod(F.xxhash64("id"), F.lit(500)).cast("double").alias("v"))
+    distinct = spark.range(30_000).select((F.col("id") % 3).cast("string").alias("g"), (F.pmod(F.xxhash64("id"), F.lit(10**12)) / 7).alias("v"))
+    banded = []
+    real = Q._final_pass
+    monkeypatch.setattr(Q, "_final_pass", lambda *a, **k: banded.append(1) or real(*a, **k))
+    for df, counts in ((tied, True), (distinct, False)):
+        for by in ([], ["g"]):
+            banded.clear()
+            _check(df, by, value_limit=2_000)
+            assert (not banded) == counts
+            _check(df, by, value_limit=0)
+            assert banded
+    mixed = tied.withColumn("g", F.lit("few")).unionByName(distinct.withColumn("g", F.lit("many")))
+    banded.clear()
+    _check(mixed, ["g"], value_limit=2_000)
+    assert banded
+
+
+def test_value_counting_takes_nulls_nan_empty_and_extra(spark):
+    rows = [("a", 1.0), ("a", 1.0), ("a", float("nan")), ("b", None), (None, 3.0), (None, 5.0)]
+    df = _frame(spark, rows)
+    got = {r["g"]: tuple(r)[1:] for r in Q.quantile_table(df, "v", [0.5], ["g"], names=["m"], extra={"rows": F.count("*")}, value_limit=100)[0].collect()}
+    assert got == {"a": (2, 1.0, 3), "b": (0, None, 1), None: (2, 4.0, 2)}
+    assert Q.exact_values(df, "v", [0.5], value_limit=100) == (4, [2.0])
+    assert Q.exact_values(df.limit(0), "v", [0.5], value_limit=100) == (0, [None])
+    assert Q.quantiles(df.limit(0), "v", [0.5], ["g"], value_limit=100).collect() == []

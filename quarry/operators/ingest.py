@@ -54,6 +54,61 @@ def enrich(fact: DataFrame, dim: DataFrame, on: Sequence[str] | str, how: str =
     return join_kept_key(fact, dim, keys, how=how)
 
 
+HEAVY_KEYS = 1000
+_TRACKED = 20_000
+
+
+def _hashed(df: DataFrame, keys: Sequence[str]):
+    return F.xxhash64(*[F.col(f"`{k}`") for k in keys])
+
+
+def heavy_keys(fact: DataFrame, keys: Sequence[str], share: float) -> list[tuple[int, int]]:
+    """``(hash of the key, times)`` of keys with more than ``share`` of the rows, from one mergeable sketch.
+
+    ``times`` is how often the share fits into the key's rows, rounded up. The sketch tracks a bounded number of keys, so at
+    most ``HEAVY_KEYS`` pairs reach the driver whatever the table. A key that it overestimates is salted in vain, no more.
+    """
+    known = fact.where(" and ".join(f"`{k}` is not null" for k in keys)).select(_hashed(fact, keys).alias("__k"))
+    row = known.agg(F.expr(f"approx_top_k(__k, {HEAVY_KEYS}, {_TRACKED})").alias("top"), F.count(F.lit(1)).alias("n")).first()
+    limit = max(1.0, share * row["n"])
+    return [(r["item"], -(-r["count"] // int(limit) or 1)) for r in row["top"] or [] if r["item"] is not None and r["count"] > limit]
+
+
+def enrich_salted(fact: DataFrame, dim: DataFrame, on: Sequence[str] | str, how: str = "left", pieces: int | None = None) -> DataFrame:
+    """:func:`enrich` for a fact table with hot or unknown (null) keys: the same rows, without a task that gets a hot key whole.
+
+    ``how``: inner, left, right or full. Keys with more than ``1 / pieces`` of the fact rows (default: eight times
+    the session's shuffle partitions) are found by a heavy-hitter sketch. Their rows are dealt by a hash of the
+    whole row into as many salts as that share fits into them, and their dimension rows are repeated for each, some
+    ``2 * pieces`` repeats in all; null keys match nothing and are dealt alike. Dimension rows that match nothing are found
+    against the distinct fact keys, which are combined before the shuffle. AQE splits a hot key of a left or inner join at
+    run time, but neither side of a full one.
+    """
+    if how not in ("inner", "left", "right", "full"):
+        raise ValueError(f"unknown join {how!r}")
+    keys = [on] if isinstance(on, str) else list(on)
+    spark = fact.sparkSession
+    pieces = pieces or 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    heavy = heavy_keys(fact, keys, 1 / pieces)
+    unknown = F.lit(False)
+    for k in keys:
+        unknown = unknown | F.col(f"`{k}`").isNull()
+    times = F.lit(1)
+    if heavy:
+        known = F.create_map(*[F.lit(x) for pair in heavy for x in pair])
+        times = F.coalesce(F.element_at(known, _hashed(fact, keys)), F.lit(1))
+    plain = [c for c, t in fact.dtypes if "map<" not in t and "variant" not in t]
+    spread = F.xxhash64(*[F.col(f"`{c}`") for c in plain], F.lit(7))
+    left = fact.withColumn("__salt", F.pmod(spread, F.when(unknown, F.lit(pieces)).otherwise(times).cast("bigint")))
+    right = dim.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("bigint"), (times - 1).cast("bigint"))))
+    out = join_kept_key(left, right, [*keys, "__salt"], "inner" if how in ("inner", "right") else "left").drop("__salt")
+    if how in ("inner", "left"):
+        return out
+    seen = fact.select(*[F.col(f"`{k}`") for k in keys]).distinct()
+    rest = join_kept_key(dim, seen, keys, "left_anti")
+    return out.unionByName(rest, allowMissingColumns=True)
+
+
 def parse_json_column(df: DataFrame, col: str, schema: str, keep: Sequence[str] = ()) -> DataFrame:
     """Parse a JSON text column to typed fields (permissive: bad text gives nulls)."""
     return df.select(*keep, F.from_json(F.col(col), schema).alias("__j")).select(*keep, "__j.*")

@@ -587,18 +587,98 @@ def document_features(spark, sf):
 _NUMERIC_FEATURES = ["n_chars", "n_words", "n_lines", "upper_share", "digit_share", "punct_share"]
 
 
-@register("model_comparison", """
-SELECT rank, true AS known_model, true AS auc_ok, true AS counts_ok FROM (SELECT unnest(range(1, 4))::INTEGER AS rank)
+def _parts(data):
+    """(train, test) by the first digit of the id's md5, which SQL has too."""
+    held = F.substring(F.md5(F.col("doc_id").cast("string")), 1, 1).isin("0", "1", "2")
+    return data.where(~held), data.where(held)
+
+
+_FEATURES_SQL = """
+  SELECT d.doc_id, l.quality::DOUBLE AS label, d.lang, d.source, d.n_chars::DOUBLE AS n_chars,
+         length(regexp_replace(d.text, '[^A-Z]', '', 'g')) / greatest(length(d.text), 1) AS upper_share,
+         substr(md5(d.doc_id::VARCHAR), 1, 1) IN ('0', '1', '2') AS held
+  FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+"""
+
+
+@register("model_comparison", f"""
+WITH d AS ({_FEATURES_SQL}), t AS (SELECT count(*) AS n, count_if(label = 1) AS n_pos FROM d WHERE held)
+SELECT rank, true AS known_model, true AS beats_chance, true AS adds_up, n, n_pos::BIGINT AS n_pos,
+       round(greatest(n_pos, n - n_pos) / n, 9) AS majority_accuracy
+FROM t, (SELECT unnest(range(1, 4))::INTEGER AS rank)
 """)
 def q_model_comparison(spark, sf):
-    """Fitted scores have no SQL: their invariants are returned, one row per ranked model."""
-    data = document_features(spark, sf)
-    train, test = models.split(data, "doc_id", 0.2, salt=7)
-    stages = models.preprocess(_NUMERIC_FEATURES, ["lang", "source"])
+    """Fitted scores have no SQL: counts, and for each ranked model whether its figures hold together and beat chance.
+
+    The values of the figures are checked by ``model_comparison_values``, the preprocessing by ``fitted_features``.
+    """
+    train, test = _parts(document_features(spark, sf))
+    stages = models.fit_features(train, _NUMERIC_FEATURES, ["lang", "source"])
     got = models.compare_models(train, test, stages, order_key="doc_id", partitions=8)
-    return got.select("rank", F.col("model").isin(list(models.default_estimators())).alias("known_model"),
-                      (F.col("auc").between(0, 1) & F.col("accuracy").between(0, 1)).alias("auc_ok"),
-                      ((F.col("n") > 0) & F.col("n_pos").between(0, F.col("n"))).alias("counts_ok"))
+    c = F.col
+    return got.select("rank", c("model").isin(list(models.default_estimators())).alias("known_model"),
+                      (c("auc") > 0.5).alias("beats_chance"),
+                      ((c("tp") + c("fp") + c("fn") + c("tn") == c("n")) & (c("tp") + c("fn") == c("n_pos"))).alias("adds_up"),
+                      "n", "n_pos", _r("majority_accuracy", 9))
+
+
+@register("model_comparison_values", f"""
+WITH d AS ({_FEATURES_SQL}),
+m AS (SELECT quantile_cont(n_chars, 0.5) FILTER (WHERE label = 1) AS c1, quantile_cont(n_chars, 0.5) FILTER (WHERE label = 0) AS c0,
+             quantile_cont(upper_share, 0.5) FILTER (WHERE label = 1) AS u1, quantile_cont(upper_share, 0.5) FILTER (WHERE label = 0) AS u0
+      FROM d WHERE NOT held),
+r AS (SELECT source, (count_if(label = 1) + 1) / (count(*) + 2) AS rate FROM d WHERE NOT held AND source IS NOT NULL GROUP BY source),
+z AS (SELECT 'length' AS model, label, (n_chars - (c1 + c0) / 2) * sign(c1 - c0) / coalesce(nullif(abs(c1 - c0), 0), 1) AS z FROM d, m WHERE held
+      UNION ALL
+      SELECT 'capitals', label, (upper_share - (u1 + u0) / 2) * sign(u1 - u0) / coalesce(nullif(abs(u1 - u0), 0), 1) FROM d, m WHERE held),
+s AS (SELECT model, label, 0.5 + 0.5 * coalesce(z, 0) / (1 + abs(coalesce(z, 0))) AS score FROM z
+      UNION ALL SELECT 'source', label, coalesce(rate, 0.5) FROM d LEFT JOIN r USING (source) WHERE held),
+p AS (SELECT *, CASE WHEN score >= 0.5 THEN 1 ELSE 0 END AS prediction,
+             rank() OVER (PARTITION BY model ORDER BY score) + (count(*) OVER (PARTITION BY model, score) - 1) / 2.0 AS rk FROM s),
+c AS (SELECT model, count(*) AS n, count_if(label = 1) AS n_pos, count_if(label = 1 AND prediction = 1) AS tp, count_if(label = 0 AND prediction = 1) AS fp,
+             count_if(label = 1 AND prediction = 0) AS fn, count_if(label = 0 AND prediction = 0) AS tn,
+             (sum(rk) FILTER (WHERE label = 1) - count_if(label = 1) * (count_if(label = 1) + 1) / 2.0)
+             / (count_if(label = 1) * count_if(label = 0)) AS auc FROM p GROUP BY model)
+SELECT row_number() OVER (ORDER BY auc DESC, model)::INTEGER AS rank, model, n, n_pos::BIGINT AS n_pos, tp::BIGINT AS tp, fp::BIGINT AS fp,
+       fn::BIGINT AS fn, tn::BIGINT AS tn, round((tp + tn) / n, 9) AS accuracy, round(CASE WHEN tp + fp > 0 THEN tp / (tp + fp) END, 9) AS precision,
+       round(CASE WHEN tp + fn > 0 THEN tp / (tp + fn) END, 9) AS recall, round(CASE WHEN tp > 0 THEN 2.0 * tp / (2 * tp + fp + fn) END, 9) AS f1,
+       round(auc, 9) AS auc
+FROM c
+""")
+def q_model_comparison_values(spark, sf):
+    """Three fitted rules through the same comparison: every figure has SQL, and a wrong score would show in it."""
+    train, test = _parts(document_features(spark, sf).select("doc_id", "label", "source", "n_chars", "upper_share"))
+    rules = {"length": models.MedianRule("n_chars"), "capitals": models.MedianRule("upper_share"), "source": models.CategoryRate("source")}
+    got = models.compare_models(train, test, None, rules, order_key="doc_id", partitions=8)
+    return got.select("rank", "model", "n", "n_pos", "tp", "fp", "fn", "tn",
+                      *[_r(c, 9) for c in ("accuracy", "precision", "recall", "f1", "auc")])
+
+
+@register("fitted_features", f"""
+WITH d AS ({_FEATURES_SQL}),
+m AS (SELECT quantile_cont(n_chars, 0.5) AS c, quantile_cont(upper_share, 0.5) AS u FROM d WHERE NOT held),
+v AS (SELECT stddev_samp(coalesce(n_chars, c)) AS cs, stddev_samp(coalesce(upper_share, u)) AS us FROM d, m WHERE NOT held),
+l AS (SELECT lang, row_number() OVER (ORDER BY count(*) DESC, lang) - 1 AS i FROM d WHERE NOT held AND lang IS NOT NULL GROUP BY lang),
+s AS (SELECT source, row_number() OVER (ORDER BY count(*) DESC, source) - 1 AS i FROM d WHERE NOT held AND source IS NOT NULL GROUP BY source)
+SELECT doc_id, round(coalesce(n_chars, c) / cs, 9) AS n_chars, round(coalesce(upper_share, u) / us, 9) AS upper_share,
+       coalesce(l.i, (SELECT count(*) FROM l))::DOUBLE AS lang, coalesce(s.i, (SELECT count(*) FROM s))::DOUBLE AS source
+FROM d LEFT JOIN l USING (lang) LEFT JOIN s USING (source), m, v
+""")
+def q_fitted_features(spark, sf):
+    """Preprocessing fitted on the training part, as columns of all labelled documents."""
+    data = document_features(spark, sf).select("doc_id", "lang", "source", "n_chars", "upper_share")
+    fitted = models.fit_features(_parts(data)[0], ["n_chars", "upper_share"], ["lang", "source"])
+    return fitted.columns(data).select("doc_id", _r("n_chars__num", 9).alias("n_chars"), _r("upper_share__num", 9).alias("upper_share"),
+                                       F.col("lang__idx").alias("lang"), F.col("source__idx").alias("source"))
+
+
+@register("category_dictionary", """
+SELECT value, count, row_number() OVER (ORDER BY count DESC, value) - 1 AS index
+FROM (SELECT l_orderkey::VARCHAR AS value, count(*) AS count FROM lineitem WHERE l_orderkey IS NOT NULL GROUP BY 1)
+""")
+def q_category_dictionary(spark, sf):
+    """Frequency ranks of a column of very many categories."""
+    return models.category_dictionary(table(spark, sf, "lineitem"), "l_orderkey")
 
 
 def _scored_labels(spark, sf):
@@ -690,15 +770,39 @@ def q_enrich_join(spark, sf):
     return out.select("c_custkey", "c_name", "n_name", "r_name")
 
 
-@register("enrich_full", """
-SELECT coalesce(s.s_nationkey, n.n_nationkey) AS nation, s.s_suppkey, n.n_name
-FROM (SELECT * FROM supplier WHERE s_nationkey < 20) s
-FULL JOIN (SELECT * FROM nation WHERE n_nationkey >= 5) n ON s.s_nationkey = n.n_nationkey
+# Customers in debt have no known nation and two market segments are dealt to one nation; nation keys are shifted,
+# so that some match no customer and some customers no nation.
+_SKEWED_SQL = """
+  SELECT c.c_custkey, CASE WHEN c.c_acctbal < 0 THEN NULL WHEN c.c_mktsegment < 'F' THEN 7 ELSE c.c_nationkey END AS nation
+  FROM customer c
+"""
+_SHIFTED_SQL = "SELECT n_nationkey + 5 AS nation, n_name FROM nation"
+
+
+def _skewed_customers(spark, sf):
+    c = table(spark, sf, "customer")
+    nation = F.when(F.col("c_acctbal") < 0, F.lit(None)).when(F.col("c_mktsegment") < "F", 7).otherwise(F.col("c_nationkey"))
+    return c.select("c_custkey", nation.cast("int").alias("nation"))
+
+
+def _shifted_nations(spark, sf):
+    return table(spark, sf, "nation").select((F.col("n_nationkey") + 5).cast("int").alias("nation"), "n_name")
+
+
+@register("enrich_full", f"""
+SELECT coalesce(c.nation, n.nation)::INTEGER AS nation, c.c_custkey, n.n_name
+FROM ({_SKEWED_SQL}) c FULL JOIN ({_SHIFTED_SQL}) n ON c.nation = n.nation
 """)
 def q_enrich_full(spark, sf):
-    sup = table(spark, sf, "supplier").where("s_nationkey < 20").select(F.col("s_nationkey").alias("nation"), "s_suppkey")
-    nat = table(spark, sf, "nation").where("n_nationkey >= 5").select(F.col("n_nationkey").alias("nation"), "n_name")
-    return ingest.enrich(sup, nat, "nation", how="full").select("nation", "s_suppkey", "n_name")
+    """Full join of whole tables: rows without a match on either side, a hot key, and unknown keys."""
+    return ingest.enrich(_skewed_customers(spark, sf), _shifted_nations(spark, sf), "nation", how="full").select("nation", "c_custkey", "n_name")
+
+
+@register("enrich_salted", ORACLE["enrich_full"])
+def q_enrich_salted(spark, sf):
+    """The same rows with the hot and the unknown key dealt over tasks."""
+    got = ingest.enrich_salted(_skewed_customers(spark, sf), _shifted_nations(spark, sf), "nation", how="full")
+    return got.select("nation", "c_custkey", "n_name")
 
 
 @register("flatten_parallel", """

@@ -9,7 +9,7 @@ if it holds all of them, so it must hold the window's rarest one: at containment
 2. joins document shingles with the prefix shingle of each window;
 3. bounds by position and length: the shingle's place in the window fixes where
    the window would begin, which must leave room for it in the document;
-4. verifies the window's whole word sequence there.
+4. verifies the window's words there, first by their hashes, then by their bytes.
 
 The benchmark side is broadcast only while its windows are within
 ``max_broadcast_words``; for a larger benchmark the same four steps are Spark joins
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.textops import lists, row_words, runs, slices, text_buffers, words
+from quarry.llm.textops import lists, lower_bytes, placed_words, runs, slices, text_buffers, words
 
 SHINGLE = 3
 
@@ -35,21 +35,25 @@ class Windows:
 
     def __init__(self, items: list[tuple], window: int) -> None:
         self.window = window
-        places: dict[tuple[int, ...], list[int]] = {}  # word hashes to item numbers
-        self.ids = sorted({i for i, _ in items if i is not None})
+        places: dict[bytes, list[int]] = {}  # a window's words, space-joined, to item numbers
+        flat: list[np.ndarray] = []
+        self.ids = sorted({i for i, _, _ in items if i is not None})
         number = {item: k for k, item in enumerate(self.ids)}
-        for item, hashes in items:
+        for item, hashes, own_words in items:
             if item is None or not len(hashes):
                 continue
             size = min(window, len(hashes))
             for at in range(len(hashes) - size + 1):
-                key = tuple(int(h) for h in hashes[at:at + size])
-                held = places.setdefault(key, [])
+                key = b" ".join(own_words[at:at + size])
+                if key not in places:
+                    places[key] = []
+                    flat.append(hashes[at:at + size])
+                held = places[key]
                 if not held or held[-1] != number[item]:
                     held.append(number[item])
-        self.sizes = np.array([len(k) for k in places], np.int64)
+        self.phrases = list(places)
+        self.sizes = np.array([len(f) for f in flat], np.int64)
         self.items = [sorted(set(v)) for v in places.values()]
-        flat = [np.array(k, np.uint64) for k in places]
         self.whole = np.array([runs(f, len(f))[0] for f in flat], np.uint64)
         self.flat = flat
         # Shingles of a window: runs of SHINGLE words, of all its words if it has fewer.
@@ -90,7 +94,7 @@ class Windows:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         return np.concatenate(begins), np.concatenate(found)
 
-    def occurrences(self, hashes: np.ndarray, row_of: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def occurrences(self, hashes: np.ndarray, row_of: np.ndarray, before: np.ndarray, spelt: Spelling) -> tuple[np.ndarray, np.ndarray]:
         """(word number, window number) of verified windows that lie within one row."""
         begin, which = self.candidates(hashes)
         size = self.sizes[which]
@@ -103,13 +107,47 @@ class Windows:
         if not len(begin):
             return begin, which
         keep = np.fromiter((np.array_equal(hashes[b:b + len(self.flat[w])], self.flat[w])
+                            and spelt.phrase(b, len(self.flat[w])) == self.phrases[w]
                             for b, w in zip(begin.tolist(), which.tolist(), strict=True)), bool, len(begin))
         return begin[keep], which[keep]
 
 
+class Spelling:
+    """The words of some texts as bytes, A-Z lower-cased."""
+
+    def __init__(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> None:
+        self.raw, self.begin, self.end = lower_bytes(data).tobytes(), begin, end
+
+    def words(self, first: int, n: int) -> list[bytes]:
+        return [self.raw[a:b] for a, b in zip(self.begin[first:first + n].tolist(), self.end[first:first + n].tolist(), strict=True)]
+
+    def phrase(self, first: int, n: int) -> bytes:
+        """``n`` words from number ``first``, space-joined; a word has no space."""
+        return b" ".join(self.words(first, n))
+
+
+def _spelt(text: str | None) -> tuple[np.ndarray, Spelling]:
+    """(word hashes, words) of one text."""
+    data = np.frombuffer((text or "").encode("utf-8", "replace"), np.uint8)
+    hashes, _, begin, end = placed_words(data, np.array([0, len(data)], np.int64))
+    return hashes, Spelling(data, begin, end)
+
+
 def _item_words(benchmark: DataFrame) -> list[tuple]:
     rows = benchmark.selectExpr("cast(item_id as string) as item_id", "cast(text as string) as text").collect()
-    return [(r["item_id"], row_words(r["text"])) for r in rows]
+    out = []
+    for r in rows:
+        hashes, spelt = _spelt(r["text"])
+        out.append((r["item_id"], hashes, spelt.words(0, len(hashes))))
+    return out
+
+
+def _spelt_slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, Spelling]]:
+    data, offsets = text_buffers(column)
+    for a, b in slices(offsets):
+        own = data[offsets[a]:offsets[b]]
+        hashes, before, begin, end = placed_words(own, offsets[a:b + 1] - offsets[a])
+        yield a, b, hashes, before, Spelling(own, begin, end)
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -154,10 +192,10 @@ def _broadcast_join(docs: DataFrame, held: Windows) -> DataFrame:
         for batch in batches:
             n = batch.num_rows
             n_words, n_hit, items = np.zeros(n, np.int64), np.zeros(n, np.int64), [[] for _ in range(n)]
-            for a, b, hashes, before in _slices(batch):
+            for a, b, hashes, before, spelt in _spelt_slices(batch.column(1)):
                 n_words[a:b] = np.diff(before)
                 row_of = np.repeat(np.arange(b - a), np.diff(before))
-                begin, which = held.occurrences(hashes, row_of, before)
+                begin, which = held.occurrences(hashes, row_of, before, spelt)
                 if not len(begin):
                     continue
                 edge = np.zeros(len(hashes) + 1, np.int64)
@@ -196,27 +234,27 @@ def _is_small(benchmark: DataFrame, max_words: int) -> bool:
 
 
 def _windows_table(benchmark: DataFrame, window: int) -> DataFrame:
-    """``item, seq, shingles``: the word hashes and the shingle hashes of each window of each item."""
+    """``item, phrase, size, shingles``: the words (space-joined), their number and the shingle hashes of each window of each item."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = text_buffers(batch.column(1))
             for k in range(batch.num_rows):
-                hashes, _ = words(data[offsets[k]:offsets[k + 1]], np.array([0, offsets[k + 1] - offsets[k]]))
+                hashes, spelt = _spelt(batch.column(1)[k].as_py())
                 if not len(hashes):
                     continue
                 size = min(window, len(hashes))
                 own = min(SHINGLE, size)
                 shingles = runs(hashes, own).view(np.int64)
                 for a in range(0, len(hashes) - size + 1, 1 << 14):
-                    at = np.arange(a, min(a + (1 << 14), len(hashes) - size + 1))[:, None]
-                    seq, parts = hashes.view(np.int64)[at + np.arange(size)], shingles[at + np.arange(size - own + 1)]
+                    at = np.arange(a, min(a + (1 << 14), len(hashes) - size + 1))
+                    parts = shingles[at[:, None] + np.arange(size - own + 1)]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([batch.column(0)[k].as_py()] * len(at), pa.string()),
-                         lists(seq.ravel(), [size] * len(at), pa.int64()),
-                         lists(parts.ravel(), [size - own + 1] * len(at), pa.int64())], names=["item", "seq", "shingles"])
+                         pa.array([spelt.phrase(x, size) for x in at.tolist()], pa.binary()).cast(pa.string()),
+                         pa.array(np.full(len(at), size)), lists(parts.ravel(), [size - own + 1] * len(at), pa.int64())],
+                        names=["item", "phrase", "size", "shingles"])
     items = benchmark.where("item_id is not null")
     return items.selectExpr("cast(item_id as string) as item", "cast(text as string) as text").mapInArrow(
-        run, "item string, seq array<long>, shingles array<long>").distinct()
+        run, "item string, phrase string, size long, shingles array<long>").distinct()
 
 
 def _document_counts(texts: DataFrame, sizes: list[int]) -> DataFrame:
@@ -252,36 +290,32 @@ def _document_shingles(texts: DataFrame, sizes: list[int]) -> DataFrame:
 
 
 def _prefixes(windows: DataFrame, counts: DataFrame) -> DataFrame:
-    """``h, place, seq``: each window's rarest shingle by ``counts(h, n)``; a window with one that never occurs is left out."""
-    every = windows.select("seq", F.posexplode("shingles").alias("place", "h"))
+    """``h, place, phrase, size``: each window's rarest shingle by ``counts(h, n)``; a window with one that never occurs is left out."""
+    every = windows.select("phrase", "size", F.posexplode("shingles").alias("place", "h"))
     known = every.join(counts, "h", "left").withColumn("n", F.coalesce("n", F.lit(0).cast("bigint")))
-    rarest = known.groupBy("seq").agg(F.min(F.struct("n", "h", "place")).alias("p")).where("p.n > 0")
-    return rarest.select("p.h", F.col("p.place").cast("bigint").alias("place"), "seq")
+    rarest = known.groupBy("phrase", "size").agg(F.min(F.struct("n", "h", "place")).alias("p")).where("p.n > 0")
+    return rarest.select("p.h", F.col("p.place").cast("bigint").alias("place"), "phrase", "size")
 
 
 def _verified(candidates: DataFrame) -> DataFrame:
-    """``rid, n_hit, seqs``: words inside windows that do stand where ``candidates(rid, text, found)`` say, and these windows."""
+    """``rid, n_hit, phrases``: words inside windows that do stand where ``candidates(rid, text, found)`` say, and these windows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = text_buffers(batch.column(1))
-            n_hit, seqs = [], []
+            n_hit, phrases = [], []
             for k in range(batch.num_rows):
-                hashes, _ = words(data[offsets[k]:offsets[k + 1]], np.array([0, offsets[k + 1] - offsets[k]]))
-                own = hashes.view(np.int64)
+                hashes, spelt = _spelt(batch.column(1)[k].as_py())
                 found = batch.column(2)[k].values
-                begins, flat = found.field("begin").to_numpy(), found.field("seq")
-                hit, held = np.zeros(len(own), bool), set()
-                for begin, seq in zip(begins.tolist(), flat, strict=True):
-                    want = seq.values.to_numpy()
-                    if np.array_equal(own[begin:begin + len(want)], want):
-                        hit[begin:begin + len(want)] = True
-                        held.add(tuple(want.tolist()))
+                hit, held = np.zeros(len(hashes), bool), set()
+                for begin, size, phrase in zip(*(found.field(c).to_pylist() for c in ("begin", "size", "phrase")), strict=True):
+                    if spelt.phrase(begin, size) == phrase.encode():
+                        hit[begin:begin + size] = True
+                        held.add(phrase)
                 n_hit.append(int(hit.sum()))
-                seqs.append(sorted(held))
+                phrases.append(sorted(held))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n_hit, pa.int64()), pa.array(seqs, pa.list_(pa.list_(pa.int64())))],
-                names=["rid", "n_hit", "seqs"])
-    return candidates.select("rid", "text", "found").mapInArrow(run, "rid binary, n_hit long, seqs array<array<long>>").where("n_hit > 0")
+                [batch.column(0), pa.array(n_hit, pa.int64()), pa.array(phrases, pa.list_(pa.string()))],
+                names=["rid", "n_hit", "phrases"])
+    return candidates.select("rid", "text", "found").mapInArrow(run, "rid binary, n_hit long, phrases array<string>").where("n_hit > 0")
 
 
 def _digest(text: Column) -> Column:
@@ -294,18 +328,18 @@ def _hit_texts(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
     No side is broadcast by hand; of a text, its digest, places and candidates are joined and its words read again to verify.
     """
     table = _windows_table(benchmark, window)
-    windows = table.select("seq", "shingles").distinct()
-    sizes = [r["k"] for r in windows.select(F.least(F.size("seq"), F.lit(SHINGLE)).alias("k")).distinct().collect()]  # SHINGLE numbers at most
+    windows = table.select("phrase", "size", "shingles").distinct()
+    sizes = [r["k"] for r in windows.select(F.least(F.col("size"), F.lit(SHINGLE)).alias("k")).distinct().collect()]  # SHINGLE numbers at most
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     texts = docs.select(text.alias("_text")).select(_digest(F.col("_text")).alias("_rid"), "_text").dropDuplicates(["_rid"])
     shingles = windows.select(F.explode("shingles").alias("h")).distinct()
     prefixes = _prefixes(windows, _document_counts(texts, sizes).join(shingles, "h", "left_semi"))
     begin = F.col("at") - F.col("place")
     candidates = (_document_shingles(texts, sizes).join(prefixes, "h")
-                  .where((begin >= 0) & (begin + F.size("seq") <= F.col("n_words")))
-                  .groupBy("rid").agg(F.collect_list(F.struct(begin.alias("begin"), "seq")).alias("found")))
+                  .where((begin >= 0) & (begin + F.col("size") <= F.col("n_words")))
+                  .groupBy("rid").agg(F.collect_list(F.struct(begin.alias("begin"), "size", "phrase")).alias("found")))
     found = _verified(candidates.join(texts, candidates["rid"] == texts["_rid"]).withColumnRenamed("_text", "text"))
-    items = (found.select("rid", "n_hit", F.explode("seqs").alias("seq")).join(table.select("item", "seq").distinct(), "seq")
+    items = (found.select("rid", "n_hit", F.explode("phrases").alias("phrase")).join(table.select("item", "phrase").distinct(), "phrase")
              .groupBy("rid", "n_hit").agg(F.array_sort(F.collect_set("item")).alias("items")))
     return items
 
@@ -341,11 +375,9 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_broa
     @F.arrow_udf("boolean")
     def clean(text: pa.Array) -> pa.Array:
         out = np.ones(len(text), bool)
-        data, offsets = text_buffers(text)
-        for a, b in slices(offsets):
-            hashes, before = words(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
+        for a, b, hashes, before, spelt in _spelt_slices(text):
             row_of = np.repeat(np.arange(b - a), np.diff(before))
-            begin, _ = held.occurrences(hashes, row_of, before)
+            begin, _ = held.occurrences(hashes, row_of, before, spelt)
             out[a + row_of[begin]] = False
         return pa.array(out)
 

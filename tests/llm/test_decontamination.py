@@ -1,6 +1,8 @@
 import hashlib
 import random
 
+import numpy as np
+
 from quarry.llm.decontamination import _prefixes, contamination, keep_clean, overlap
 from tests.llm.fixtures import AWKWARD, invented, table, words
 
@@ -80,6 +82,28 @@ def test_rows_are_kept_by_their_text(spark):
 
 
 def test_prefix_is_the_rarest_shingle(spark):
-    windows = spark.createDataFrame([([1, 2, 3, 4], [10, 20]), ([5, 6, 7], [30])], "seq array<long>, shingles array<long>")
+    windows = spark.createDataFrame([("a b c d", 4, [10, 20]), ("e f g", 3, [30])], "phrase string, size long, shingles array<long>")
     counts = spark.createDataFrame([(10, 5), (20, 2)], "h long, n long")
-    assert [tuple(r) for r in _prefixes(windows, counts).collect()] == [(20, 1, [1, 2, 3, 4])]
+    assert [tuple(r) for r in _prefixes(windows, counts).collect()] == [(20, 1, "a b c d", 4)]
+
+
+def test_equal_hashes_of_other_words_are_no_hit(spark, monkeypatch):
+    """With a word hash that only knows lengths, other words of the same lengths are not the passage."""
+    import quarry.llm.decontamination as dec
+
+    real = dec.placed_words
+
+    def weak(data, offsets):
+        hashes, before, begin, end = real(data, offsets)
+        return (end - begin).astype(np.uint64), before, begin, end
+
+    monkeypatch.setattr(dec, "placed_words", weak)
+    items = [("7", "one two three four five six seven eight nine ten"), ("8", "two one three four five six seven eight nine ten")]
+    held = dec.Windows([(i, *(lambda h, s: (h, s.words(0, len(h))))(*dec._spelt(t))) for i, t in items], 10)
+    held.choose(np.zeros(len(held.distinct), np.int64))
+    assert len(held.phrases) == 2  # equal hashes, two windows
+    for text, want in (("x One two three four five six seven eight nine ten", [["7"]]), ("x uno dos three four five six seven eight nine ten", []),
+                       ("x two one three four five six seven eight nine ten", [["8"]])):
+        hashes, spelt = dec._spelt(text)
+        _, which = held.occurrences(hashes, np.zeros(len(hashes), np.int64), np.array([0, len(hashes)]), spelt)
+        assert [[held.ids[i] for i in held.items[w]] for w in which] == want

@@ -324,7 +324,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_t
     At most ``max_toxic`` and ``max_other`` documents are taken, those with the least hash
     of their id; without rows of both classes the network stays untrained. The sample's
     share of toxic documents is put back to that of all labelled rows by a shift of the
-    last bias. Ids are expected to be unique: the rows of a chosen id all reach the driver.
+    last bias. Of rows that share an id one is learnt from.
     """
     # Ids are chosen without their texts; the texts of at most max_toxic + max_other ids are then picked by a broadcast of these.
     ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct().join(known_labels(labels, label), "doc_id")
@@ -333,14 +333,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_t
         own = ids.where(F.col("y") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
         chosen = own if chosen is None else chosen.unionByName(own)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    texts: list[bytes] = []
-    y: list[int] = []
-    seen: set[int] = set()
-    for r in sorted(rows.join(F.broadcast(chosen), "doc_id").collect(), key=lambda r: (r["doc_id"], r["text"])):
-        if r["doc_id"] not in seen:  # of rows that share an id one is taken
-            seen.add(r["doc_id"])
-            texts.append(r["text"].encode("utf-8", "replace"))
-            y.append(r["y"])
+    # Of rows that share an id the least text is taken, in Spark: at most a row for each chosen id reaches the driver.
+    sample = rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text")).collect()
+    sample.sort(key=lambda r: r["doc_id"])
+    texts, y = [r["text"].encode("utf-8", "replace") for r in sample], [r["y"] for r in sample]
     if len(set(y)) < 2:
         return Network.start(np.zeros(0, np.uint64), np.zeros(0, np.float32), np.zeros(1 << GRAM_BITS, np.float32))
     net = train(texts, np.array(y))

@@ -159,3 +159,109 @@ def test_toxicity_on_awkward_rows(spark):
     untrained = tox.fit_toxicity(docs, labels.limit(0))
     assert tox.score_toxicity(docs, untrained).count() == len(AWKWARD)
     assert tox.score_toxicity(docs.limit(0), net).count() == 0
+
+
+def plain_statistics(raw):
+    """The statistics by loops over bytes, words and lines."""
+    import math
+
+    kind = {}
+    for c in range(256):
+        ch = chr(c)
+        kind[c] = ("beyond" if c >= 128 else "lower" if "a" <= ch <= "z" else "upper" if "A" <= ch <= "Z" else "digit" if ch.isdigit()
+                   else "space" if ch in " \t" else "newline" if ch in "\n\r" else "stop" if ch in ".,;:?!'\"()-" else
+                   "symbol" if 33 <= c < 127 else "other")
+    n = {k: sum(kind[b] == k for b in raw) for k in set(kind.values())}
+    words, lines, total = raw.split(), raw.split(b"\n"), max(1, len(raw))
+    w = max(1, len(words))
+    letters = max(1, n["lower"] + n["upper"] + n["beyond"])
+    pairs = list(zip(words, words[1:]))
+    symbols = [c for c in range(256) if kind[c] in ("stop", "symbol", "beyond")][:40]
+    entropy = -sum(raw.count(c) / total * math.log(raw.count(c) / total) for c in set(raw))
+    log1p, root = math.log1p, math.sqrt
+    return [log1p(len(raw)), log1p(len(words)), log1p(len(lines)), log1p((len(raw) - n["space"] - n["newline"]) / w), root(n["upper"] / letters),
+            root(n["digit"] / total), root(n["symbol"] / total), root(n["stop"] / total), root(n["space"] / total), root(n["newline"] / total),
+            root(n["beyond"] / total), root(sum(chr(x[-1]) in "#$%&*!|" for x in words) / w), log1p(sum(c in raw for c in symbols)),
+            log1p(len(set(words))) - log1p(len(words)), root(max([words.count(x) for x in set(words)], default=0) / w),
+            root(1 - len(set(pairs)) / len(pairs)) if pairs else 0, root(1 - len(set(lines)) / len(lines)), root(sum(a == b for a, b in pairs) / w),
+            log1p(len(words) / len(lines)), root(sum(x.isupper() for x in words) / w), root((raw.count(b".") + raw.count(b",")) / w), entropy]
+
+
+def test_statistics_and_moments_equal_plain_ones(spark, monkeypatch):
+    from quarry.llm import quality
+
+    rng = random.Random(4)
+    texts = [t for t in AWKWARD if t is None or len(t) < 500] + [
+        invented(rng, rng.randint(0, 60)) + rng.choice(["", " THE #END! 12", "\nline\nline\n", "a, b; (c) ~ {d}"]) for _ in range(60)]
+    raw = [(t or "").encode() for t in texts]
+    for x in raw:
+        assert np.allclose(statistics(x), plain_statistics(x), atol=1e-9), x
+    y = {i: i % 2 for i in range(len(texts)) if zlib.crc32(str(i).encode()) % 5}
+    seen = []
+    real = quality.Discriminant.fit
+    monkeypatch.setattr(quality.Discriminant, "fit", staticmethod(lambda *a: seen.append(a) or real(*a)))
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(len(texts))], "doc_id long, quality int, toxic int")
+    model = fit_quality(document_statistics(table(spark, texts).repartition(5)), labels)
+    count, total, outer = seen[0][:3]
+    for k in (0, 1):
+        own = np.array([plain_statistics(raw[i]) for i, v in y.items() if v == k])
+        assert count[k] == len(own) and np.allclose(total[k], own.sum(axis=0)) and np.allclose(outer[k], own.T @ own)
+    scored = {r["doc_id"]: r["score"] for r in score_quality(document_statistics(table(spark, texts)), model).collect()}
+    assert np.allclose([scored[i] for i in range(len(texts))], [model.score(np.array([plain_statistics(x)]))[0] for x in raw], atol=1e-9)
+
+
+def plain_logit(net, words):
+    """A window's logit, word by word and step by step; ``words`` are byte strings in lower case."""
+    from quarry.llm.textops import mix, placed_words
+
+    sigmoid = lambda v: 1 / (1 + np.exp(-v))
+    inputs = []
+    for w in words:
+        marked = [1, *w, 1]
+        buckets = []
+        for n in tox.GRAMS:
+            for a in range(len(marked) - n + 1):
+                value = 0
+                for c in marked[a:a + n]:
+                    value = (value * 1099511628211 + c) % (1 << 64)
+                buckets.append(int(mix(np.array([(value + n) % (1 << 64)], np.uint64))[0] >> np.uint64(64 - tox.GRAM_BITS)))
+        data = np.frombuffer(w, np.uint8)
+        h = placed_words(data, np.array([0, len(data)]))[0][0]
+        slot = int(np.searchsorted(net.vocabulary, h))
+        known = slot < len(net.vocabulary) and net.vocabulary[slot] == h
+        slot = slot if known else len(net.vocabulary)
+        odds = [float(net.gram_odds[b]) for b in buckets]
+        char = np.mean([net.p["char"][b % (1 << tox.EMBED_BITS)] for b in buckets], axis=0)
+        inputs.append(np.r_[net.word_odds[slot] if known else 0, max(odds), np.mean(odds), net.p["word"][slot], char])
+    states = []
+    for side, order in (("f", range(len(words))), ("b", range(len(words) - 1, -1, -1))):
+        h, out = np.zeros(tox.HIDDEN), {}
+        for t in order:
+            x = inputs[t] @ net.p[f"w{side}"] + net.p[f"b{side}"]
+            u = h @ net.p[f"u{side}"]
+            k = tox.HIDDEN
+            z, r = sigmoid(x[:k] + u[:k]), sigmoid(x[k:2 * k] + u[k:2 * k])
+            new = np.tanh(x[2 * k:] + r * u[2 * k:])
+            h = z * h + (1 - z) * new
+            out[t] = h
+        states.append(out)
+    both = [np.r_[states[0][t], states[1][t]] for t in range(len(words))]
+    e = np.array([np.tanh(h @ net.p["wa"]) @ net.p["va"] for h in both])
+    weight = np.exp(e - e.max()) / np.exp(e - e.max()).sum()
+    return float(sum(a * h for a, h in zip(weight, both)) @ net.p["wo"] + net.p["bo"][0])
+
+
+def test_scores_equal_a_plain_network_over_all_windows(spark):
+    from tests.llm.fixtures import words
+
+    rng = random.Random(6)
+    texts = [" ".join(rng.choices(["calm", "day", "été", "Sun", "42", "grobnik", "VILE", "x"], k=rng.choice([0, 1, 5, 31, 32, 33, 48, 49, 90]))) for _ in range(80)]
+    net = tox.train([t.encode() for t in texts], np.array([int("grobnik" in t) for t in texts]), epochs=1)
+    got = {r["doc_id"]: r for r in tox.score_toxicity(table(spark, texts).repartition(3), net).collect()}
+    for k, t in enumerate(texts):
+        own = [w.encode() for w in words(t)]
+        starts = [a for a in range(0, max(1, len(own)), tox.STRIDE) if a == 0 or a + tox.WINDOW - tox.STRIDE < len(own)] if own else []
+        logits = [plain_logit(net, own[a:a + tox.WINDOW]) for a in starts]
+        want = 1 / (1 + np.exp(-max(logits, default=tox.EMPTY)))
+        assert got[k]["n_windows"] == len(starts), (len(own), got[k]["n_windows"])
+        assert abs(got[k]["score"] - want) < 1e-4

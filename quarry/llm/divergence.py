@@ -28,7 +28,7 @@ from quarry.session import ensure_checkpoint_dir
 SCALE = 1_000_000_000
 PRIOR = 5
 _LETTERS = byte_table(digits=False)
-_HELD = 400_000  # counted rows a task keeps before it passes them on
+_HELD = 250_000  # counted rows a task keeps before it passes them on
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
@@ -139,7 +139,7 @@ def _pair_sums(kept: DataFrame, groups: DataFrame, block_rows: int, tile: int) -
     ``kept`` has ``lang, term, at, n`` (at: the source's number), ``groups`` ``lang, at, bottom``.
     """
     rows = kept.groupBy("lang", "term").agg(F.array_sort(F.collect_list(F.struct("at", "n"))).alias("cells"))
-    rows = rows.groupBy("lang", "cells").agg(F.count("*").alias("length"))
+    rows = rows.groupBy("lang", "cells").agg(F.count("*").alias("length")).checkpoint()
     shape = rows.groupBy("lang").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
     shape = groups.groupBy("lang").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles")).join(shape, "lang")
     tiles = F.expr("transform(sequence(0, tiles - 1), t -> t)")
@@ -222,12 +222,16 @@ def source_divergence(docs: DataFrame, least_docs: int = 30, top: int = 50, bloc
     table gives no rows. Other columns are ignored.
     """
     ensure_checkpoint_dir(docs.sparkSession)
-    counts = term_counts(docs).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("df").alias("df")).checkpoint()
+    # One shuffle brings a term's rows together: its counts by source, its documents in the language and the choice
+    # of kept terms all follow in the same tasks. A term has a row a source.
+    counts = term_counts(docs).repartition("lang", "term").groupBy("lang", "term", "source").agg(
+        F.sum("n").alias("n"), F.sum("df").alias("df"))
+    term = Window.partitionBy("lang", "term")
+    counts = counts.withColumn("lang_n", F.sum("n").over(term)).withColumn("lang_df", F.sum("df").over(term)).where(
+        F.col("term").isNull() | (F.col("lang_df") >= least_docs)).drop("df", "lang_df").checkpoint()
     groups = counts.where("term is null").select("lang", "source")
-    cells = counts.where("term is not null")
-    vocabulary = cells.groupBy("lang", "term").agg(F.sum("df").alias("df"), F.sum("n").alias("lang_n")).where(
-        F.col("df") >= least_docs).select("lang", "term", "lang_n")
-    kept = cells.select("lang", "source", "term", "n").join(vocabulary, ["lang", "term"])
+    kept = counts.where("term is not null")
+    vocabulary = kept.select("lang", "term", "lang_n").distinct()
     zero = F.lit(0).cast("bigint")
     size = vocabulary.groupBy("lang").agg(F.count("*").alias("v"), F.sum("lang_n").alias("lang_total"))
     total = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"))

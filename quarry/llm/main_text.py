@@ -518,7 +518,7 @@ def main_text(page: list[tuple[int, str, str, int]], covered: list[bool], main:
 
 
 def extract_main_text(pages: DataFrame, min_run: int = 8, window: int = 8, share: float = 0.8, chunk_pages: int = 256,
-                      chunk_bytes: int = 1 << 21, host_pages: int = 16_384) -> DataFrame:
+                      chunk_bytes: int = 1 << 21, host_pages: int = 4096) -> DataFrame:
     """Main text of each row of ``pages(page_id, url, html)`` (``SCHEMA``); ``by_runs`` where the host's runs found the main element.
 
     A null or empty page gives an empty text. Pages without a url, or whose url has

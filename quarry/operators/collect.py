@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ordinal import running_before
+
 
 def group_stats(df: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
     """``keys..., n, total, mean, min, max`` of ``col`` (nulls ignored, NaN counts as null)."""
@@ -42,6 +44,22 @@ def collect_by_key(df: DataFrame, key: str | Sequence[str], col: str,
     return df.groupBy(*keys).agg(F.array_sort(agg).alias("items"))
 
 
+def collect_chunks(df: DataFrame, key: str | Sequence[str], col: str, size: int = 10_000) -> DataFrame:
+    """``key..., chunk, items``: the values of ``col`` per key in sorted arrays of at most ``size``, chunks numbered from 0.
+
+    Joined in order, a key's chunks are the list of ``collect_by_key``: nulls are left out, equal values stay. A value's place is an ordinal over range
+    partitions of the distinct values, so a key may have any number of values, also one value any number of times.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    counts = df.where(F.col(f"`{col}`").isNotNull()).groupBy(*keys, F.col(f"`{col}`").alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
+    placed = running_before(counts, [F.asc("__v")], F.col("__c"), keys, name="__first")
+    first, last = F.floor(F.col("__first") / size), F.floor((F.col("__first") + F.col("__c") - 1) / size)
+    cut = placed.withColumn("chunk", F.explode(F.sequence(first.cast("bigint"), last.cast("bigint"))))
+    n = F.least(F.col("__first") + F.col("__c"), (F.col("chunk") + 1) * size) - F.greatest(F.col("__first"), F.col("chunk") * size)
+    runs = cut.groupBy(*keys, "chunk").agg(F.array_sort(F.collect_list(F.struct("__v", n.cast("int").alias("__n")))).alias("__r"))
+    return runs.select(*keys, "chunk", F.flatten(F.transform("__r", lambda r: F.array_repeat(r["__v"], r["__n"]))).alias("items"))
+
+
 def comprehend(df: DataFrame, where: Column | None = None, **exprs: Column) -> DataFrame:
     """``[ {name: expr(row)} for row in df if where(row) ]``."""
     out = df if where is None else df.where(where)

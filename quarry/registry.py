@@ -20,7 +20,7 @@ from .functions import rules
 from .session import ensure_checkpoint_dir
 from .sources import files
 from .operators.joins import join_small
-from .operators import collect, eda, ingest, models, outliers, quantiles, report, stats, validate
+from .operators import collect, eda, ingest, models, outliers, quantiles, report, sketches, stats, validate
 from .plans import analysis, collect_job, iqr
 from .streaming import stream
 
@@ -146,12 +146,15 @@ FROM events GROUP BY event_type
 def q_quartiles_approx(spark, sf):
     """Whether each approximate quartile's rank is within n / 1000 + 1 of the wanted one."""
     ev = table(spark, sf, "events")
-    q = quantiles.quartiles(ev, "value", by=["event_type"], method="approx")
+    return _ranks_near(ev, quantiles.quartiles(ev, "value", by=["event_type"], method="approx"), 0.001)
+
+
+def _ranks_near(ev, q, share):
     v = quantiles.clean_value("value")
     j = join_small(ev.select("event_type", v.alias("v")), q, ["event_type"])
     below = {c: (F.count_if(F.col("v") < F.col(c)), F.count_if(F.col("v") <= F.col(c))) for c in quantiles.QUARTILE_NAMES}
     ranks = j.groupBy("event_type", "n").agg(*[e.alias(f"{c}_{k}") for c, pair in below.items() for k, e in enumerate(pair)])
-    slack = F.col("n") / 1000 + 1
+    slack = F.col("n") * share + 1
 
     def near(c: str, p: float) -> Column:
         return (F.col(f"{c}_0") <= F.col("n") * p + slack) & (F.col(f"{c}_1") >= F.col("n") * p - slack)
@@ -159,6 +162,24 @@ def q_quartiles_approx(spark, sf):
     return ranks.select("event_type", "n", *[near(c, p).alias(f"{c}_ok") for c, p in zip(quantiles.QUARTILE_NAMES, quantiles.QUARTILE_PROBS)])
 
 
+@register("quartiles_sketched", """
+SELECT event_type, count(value) AS n, true AS q1_ok, true AS median_ok, true AS q3_ok, true AS read_once
+FROM events GROUP BY event_type
+""")
+def q_quartiles_sketched(spark, sf):
+    """Quartiles of a table that grew, from stored sketches: ranks within 1 % of the rows, and every file read once."""
+    ev = table(spark, sf, "events").select("event_id", "event_type", "value")
+    folder, store = _scratch(spark, "events-grown"), _scratch(spark, "events-sketches")
+    late = F.pmod("event_id", F.lit(3)) == 0
+    ev.where(~late).write.parquet(folder)
+    first = sketches.update_sketches(spark, folder, store, "value", ["event_type"])
+    ev.where(late).write.mode("append").parquet(folder)
+    second = sketches.update_sketches(spark, folder, store, "value", ["event_type"])
+    once = len(first) > 0 and len(second) > 0 and not set(first) & set(second) and sketches.update_sketches(spark, folder, store, "value", ["event_type"]) == []
+    q = sketches.sketched_quantiles(sketches.stored_sketches(spark, store), quantiles.QUARTILE_PROBS, ["event_type"], quantiles.QUARTILE_NAMES)
+    return _ranks_near(ev, q, 0.01).withColumn("read_once", F.lit(once))
+
+
 # ---------------------------------------------------------------------------
 # V: validation
 
@@ -277,6 +298,16 @@ def q_collect_by_key(spark, sf):
     return out.select("r_name", F.array_join("items", ",").alias("nations"))
 
 
+@register("collect_chunks", """
+SELECT event_type, chunk, list(value ORDER BY value) AS items
+FROM (SELECT event_type, value, CAST((row_number() OVER (PARTITION BY event_type ORDER BY value) - 1) // 1000 AS BIGINT) AS chunk
+      FROM events WHERE value IS NOT NULL) GROUP BY ALL
+""")
+def q_collect_chunks(spark, sf):
+    """All values of a key in order, in lists of at most 1,000."""
+    return collect.collect_chunks(table(spark, sf, "events"), "event_type", "value", 1000)
+
+
 @register("row_comprehension", """
 SELECT p_partkey, upper(p_brand) AS brand, p_retailprice * 1.1::DOUBLE AS price_up
 FROM part WHERE p_size > 25 AND p_type <> 'ECONOMY'

@@ -28,6 +28,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from quarry.llm.textops import slices, text_buffers
+
+BYTES_AT_A_TIME = 1 << 21
+
 SCHEMA = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),
     T.StructField("ids_crc32", T.LongType()), T.StructField("doc_tokens", T.LongType()),
@@ -79,7 +83,7 @@ class WordIds:
 
         self.whole = Tokenizer.from_file(path)
         self.tokenize = self.whole.model.tokenize
-        self.stretches, self.pieces = Recent(limit), Recent(limit)
+        self.stretches, self.pieces = Recent(limit // 3), Recent(limit)  # a piece is in many stretches
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in printable]
         self.byte_char = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
@@ -225,7 +229,7 @@ def powers(pieces: list[tuple]) -> Iterator[list[tuple]]:
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int = 4096, segments: int = 256,
-                   loss: int = 4096, pool: int = 512, cache: int = 400_000) -> DataFrame:
+                   loss: int = 4096, pool: int = 512, cache: int = 200_000) -> DataFrame:
     """Pack ``docs(doc_id, text)`` into sequences; one row per piece (``SCHEMA``).
 
     A document is its text's ids, then ``end_id``; a null or empty text is that id
@@ -233,10 +237,17 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capaci
     little-endian 32-bit integers, ``loss_tokens`` its tokens that bear loss. A
     sequence holds at most ``capacity`` tokens, ``segments`` pieces and ``loss`` loss-bearing
     tokens. Repeated rows are packed once each; an empty table gives no rows. Other columns are ignored.
-    ``cache`` bounds a generation of a worker's lookups of stretches and of pieces (about 200 bytes an entry).
+    ``cache`` bounds a generation of a worker's lookups of pieces, and a third of it one of stretches (about 200 bytes an entry).
     """
     end = np.array([end_id], "<u4").tobytes()
 
+    def encoded(words: WordIds, batch: pa.RecordBatch) -> Iterator[tuple[int | None, bytes]]:
+        _, offsets = text_buffers(batch.column(1))
+        for first, last in slices(offsets, BYTES_AT_A_TIME):
+            flat, bounds = words.encode(batch.column(1)[first:last])
+            for doc_id, a, b in zip(batch.column(0)[first:last].to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                yield doc_id, flat[a:b].tobytes()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _word_ids(tokenizer_path, cache)
         packer = Packer(capacity, segments, loss, pool)
@@ -264,9 +275,8 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capaci
 
         row = 0
         for batch in batches:
-            flat, bounds = words.encode(batch.column(1))
-            for doc_id, a, b in zip(batch.column(0).to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                ids = flat[a:b].tobytes() + end
+            for doc_id, ids in encoded(words, batch):
+                ids += end
                 open_ids[row] = [doc_id, ids, len(ids) // 4]
                 for pieces in packer.add(row, len(ids) // 4):
                     write(pieces)

@@ -8,9 +8,11 @@ exact quantiles of ``quantiles``. Drawing is left to the caller.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -128,9 +130,19 @@ def box_stats(df: DataFrame, col: str, by: Sequence[str] | None = None, k: float
         F.count_if(~inside).alias("n_outliers"))
 
 
+#: Columns up to which each pair is an aggregate expression of one generated plan.
+MOST_EXPRESSIONS = 24
+
+
 def correlation_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """``col_a, col_b, corr`` (Pearson) for every pair, one aggregate pass; no rows for fewer than two columns."""
+    """``col_a, col_b, corr`` (Pearson) for every pair, one aggregate pass; no rows for fewer than two columns.
+
+    A pair is taken over the rows where both have a value. More than ``MOST_EXPRESSIONS`` columns go through
+    :func:`gram_correlations`, as a plan of their square would not be compiled.
+    """
     pairs = list(combinations(list(cols), 2))
+    if len(cols) > MOST_EXPRESSIONS:
+        return gram_correlations(df, cols)
     if not pairs:
         return df.sparkSession.createDataFrame([], "col_a string, col_b string, corr double")
     wide = df.agg(*[F.corr(clean_value(F.col(f"`{a}`")), clean_value(F.col(f"`{b}`"))).alias(f"__corr{i}") for i, (a, b) in enumerate(pairs)])
@@ -139,6 +151,50 @@ def correlation_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return wide.select(F.inline(F.array(*structs)))
 
 
+def gram_correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """As :func:`correlation_pairs` for many columns: products of matrices inside the tasks, one pass after the means.
+
+    A task adds up four Gram matrices of its values less the columns' means (rows that both have, sums, squares, products)
+    and passes each column's rows of them on; a column's sums from all tasks meet in one place. Null where fewer than two rows have both, or a
+    column does not vary over these.
+    """
+    cols = list(cols)
+    values = [clean_value(F.col(f"`{c}`")) for c in cols]
+    means = [m or 0.0 for m in df.agg(*[F.avg(v) for v in values]).first()]
+    shifted = df.select(*[(v - F.lit(m)).alias(f"v{i}") for i, (v, m) in enumerate(zip(values, means, strict=True))])
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((4, len(cols), len(cols)))
+        for batch in batches:
+            x = np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns], axis=1)
+            known = (~np.isnan(x)).astype(float)
+            x = np.nan_to_num(x, nan=0.0)
+            total += [known.T @ known, x.T @ known, (x * x).T @ known, x.T @ x]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(cols))), pa.array([total[:, k].tobytes() for k in range(len(cols))], pa.binary())],
+                                         names=["a", "sums"])
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for a, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                sums[a] = sums.get(a, 0) + np.frombuffer(own).reshape(4, len(cols))
+        for a, own in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(cols), a)), pa.array(np.arange(len(cols))), *map(pa.array, own)],
+                                             names=["a", "b", "n", "s", "q", "p"])
+
+    # Without rows there are no tasks: every pair is there all the same.
+    none = df.sparkSession.range(len(cols)).select(F.col("id").alias("a"), F.lit(bytes(32 * len(cols))).alias("sums"))
+    long = shifted.mapInArrow(partial, "a long, sums binary").unionByName(none).repartition("a").mapInArrow(
+        whole, "a long, b long, n double, s double, q double, p double")
+    other = long.select(F.col("a").alias("b"), F.col("b").alias("a"), F.col("s").alias("s2"), F.col("q").alias("q2"))
+    n, c = F.col("n"), F.col
+    spread = (c("q") - c("s") * c("s") / n) * (c("q2") - c("s2") * c("s2") / n)
+    named = F.array(*[F.lit(x) for x in cols])
+    return long.where("a < b").join(other, ["a", "b"]).select(
+        F.get(named, c("a").cast("int")).alias("col_a"), F.get(named, c("b").cast("int")).alias("col_b"),
+        F.when((n >= 2) & (spread > 0), (c("p") - c("s") * c("s2") / n) / F.sqrt(spread)).alias("corr"))
+
+
 def crosstab_long(df: DataFrame, a: str, b: str, complete: bool = False) -> DataFrame:
     """``a, b, count, row_share, col_share``.
 

@@ -450,6 +450,13 @@ def q_correlation_pairs(spark, sf):
     return c.select("col_a", "col_b", _r("corr"))
 
 
+@register("correlation_gram", ORACLE["correlation_pairs"])
+def q_correlation_gram(spark, sf):
+    """The same correlations by products of matrices, as wide tables take them."""
+    c = eda.gram_correlations(table(spark, sf, "lineitem"), _LI_NUM)
+    return c.select("col_a", "col_b", _r("corr"))
+
+
 @register("crosstab", """
 WITH c AS (SELECT l_returnflag, l_linestatus, count(*) AS count FROM lineitem GROUP BY ALL)
 SELECT l_returnflag, l_linestatus, count,

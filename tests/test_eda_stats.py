@@ -136,3 +136,21 @@ def test_profile_empty_table_and_extras_ungrouped(spark):
                             extra={"total": F.sum("v"), "nulls": F.count_if(F.col("v").isNull())})
     r = q.first()
     assert (r["n"], r["median"], r["total"], r["nulls"]) == (10, 5.5, 55.0, 1)
+
+
+def test_correlations_of_many_columns(spark):
+    """Thirty columns with gaps, through matrices, equal Spark's aggregate pair by pair."""
+    from itertools import combinations
+
+    n = 30
+    cols = [F.when(F.pmod(F.xxhash64("id", F.lit(100 + k)), F.lit(5)) > 0,
+                   1e6 * k + F.pmod(F.xxhash64("id", F.lit(k % 7)), F.lit(1000)) + 0.5 * k * F.pmod(F.xxhash64("id", F.lit(k)), F.lit(50))).alias(f"c {k}")
+            for k in range(n - 2)]
+    df = spark.range(2000).select(*cols, F.lit(3.0).alias("same"), F.lit(None).cast("double").alias("none")).repartition(6)
+    got = {(r["col_a"], r["col_b"]): r["corr"] for r in E.correlation_pairs(df, df.columns).collect()}
+    assert set(got) == set(combinations(df.columns, 2))
+    some = [(a, b) for i, (a, b) in enumerate(combinations(df.columns[:n - 2], 2)) if i % 11 == 0]
+    want = df.agg(*[F.corr(f"`{a}`", f"`{b}`") for a, b in some]).first()
+    assert [got[pair] for pair in some] == [pytest.approx(w, abs=1e-9) for w in want]
+    assert all(got[pair] is None for pair in got if "same" in pair or "none" in pair)
+    assert E.gram_correlations(df.limit(0), ["same", "none"]).first()["corr"] is None

@@ -36,14 +36,17 @@ class AnalysisSpec:
 
 def run_analysis(df: DataFrame, spec: AnalysisSpec) -> DataFrame:
     data = df.withColumn("label", spec.label.cast("double"))
-    parts: dict = {}
-    if spec.rules:
-        parts["validation"] = (error_summary(data, spec.rules).drop("rule_pos"), ["rule"])
-        data = split_valid(data, spec.rules)[0]
-    # Columns of a kind share their passes: one sketch, one set of sums, one set
-    # of cells. The input itself is not kept, only the counted cells are.
+    # The used columns and one flag a rule are computed once and kept: columns may be costly
+    # (features of texts), and every part below takes passes of its own.
     used = dict.fromkeys([spec.key, "label", *spec.numeric, *spec.categorical, *spec.outlier_columns])
-    data = data.select(*used)
+    flagged = [Rule(r.name, F.col(f"__bad{i}")) for i, r in enumerate(spec.rules)]
+    data = keep(data.select(*[F.col(f"`{c}`") for c in used], *[r.bad.alias(f"__bad{i}") for i, r in enumerate(spec.rules)]))
+    parts: dict = {}
+    if flagged:
+        parts["validation"] = (error_summary(data, flagged).drop("rule_pos"), ["rule"])
+        data = split_valid(data, flagged)[0]
+    # Columns of a kind share their passes: one sketch, one set of sums, one set of cells.
+    data = data.select(*[F.col(f"`{c}`") for c in used])
     for c in spec.outlier_columns:
         parts[f"outliers:{c}"] = (outliers.outlier_report(data, c), [])
     if spec.numeric:
@@ -59,7 +62,7 @@ def run_analysis(df: DataFrame, spec: AnalysisSpec) -> DataFrame:
             parts[f"rate:{c}"] = (rate, [c])
             parts[f"chi_square:{c}"] = (stats.chi_square_of_cells(own, "value", "label", "count").drop("n_a", "n_b"), [])
     if spec.numeric:
-        t = stats.t_tests(data, spec.numeric, "label", 1.0, 0.0).drop("group_a", "group_b")
+        t = keep(stats.t_tests(data, spec.numeric, "label", 1.0, 0.0).drop("group_a", "group_b"))  # one row a column
         for c in spec.numeric:
             parts[f"t_test:{c}"] = (t.where(F.col("column") == c).drop("column"), [])
     if spec.fit_models:

@@ -611,15 +611,16 @@ def document_features(spark, sf):
     d = table(spark, sf, "documents")
     lab = table(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
     n = F.greatest(F.length("text"), F.lit(1))
-    # join first: the regular expressions then run on labelled documents only
+    # join first: the regular expressions then run on labelled documents only;
+    # they remove runs, not single characters: one match a run
     return d.join(lab, "doc_id").select(
         "doc_id", "label", "lang", "source",
         F.col("n_chars").cast("double").alias("n_chars"),
         F.size(collect.tokens("text")).cast("double").alias("n_words"),
         F.size(F.split("text", "\n")).cast("double").alias("n_lines"),
-        (F.length(F.regexp_replace("text", "[^A-Z]", "")) / n).alias("upper_share"),
-        (F.length(F.regexp_replace("text", "[^0-9]", "")) / n).alias("digit_share"),
-        (F.length(F.regexp_replace("text", "[^!?.]", "")) / n).alias("punct_share"))
+        (F.length(F.regexp_replace("text", "[^A-Z]+", "")) / n).alias("upper_share"),
+        (F.length(F.regexp_replace("text", "[^0-9]+", "")) / n).alias("digit_share"),
+        (F.length(F.regexp_replace("text", "[^!?.]+", "")) / n).alias("punct_share"))
 
 
 _NUMERIC_FEATURES = ["n_chars", "n_words", "n_lines", "upper_share", "digit_share", "punct_share"]

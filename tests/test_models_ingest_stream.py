@@ -132,6 +132,51 @@ def test_analysis_run_on_census_shape(spark, scratch):
     assert {r["l"]: r["count"] for r in lab} == {0.0: 40, 1.0: 20}      # trailing dot handled
 
 
+def _counted(spark, monkeypatch=None):
+    """A features table whose ``upper_share`` counts its evaluations, and that count."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def share(i):
+        seen.add(1)
+        return (i % 17) / 20
+
+    i = F.col("id")
+    df = spark.range(0, 240, 1, 3).select(
+        i.alias("doc_id"), (i % 2).cast("double").alias("label"), F.when(i % 11 > 0, F.concat(F.lit("l"), i % 3)).alias("lang"),
+        F.concat(F.lit("s"), i % 4).alias("source"), (i * 7 % 101).cast("double").alias("n_chars"), (i % 13).cast("double").alias("n_words"),
+        (i % 5).cast("double").alias("n_lines"), F.udf(share, "double")("id").alias("upper_share"),
+        (i % 3 / 10).alias("digit_share"), (i % 7 / 10).alias("punct_share"))
+    if monkeypatch is not None:
+        monkeypatch.setattr(registry, "document_features", lambda *_: df)
+    return df, seen
+
+
+def test_analysis_run_computes_its_input_once(spark):
+    df, seen = _counted(spark)
+    spec = analysis.AnalysisSpec(
+        label=F.col("label"), key="doc_id", numeric=registry._NUMERIC_FEATURES, categorical=["lang", "source"],
+        rules=[R.required("lang"), R.in_range("upper_share", 0, 0.7), R.check("has_words", F.col("n_words") > 0)],
+        outlier_columns=["n_words"], fit_models=False)
+    got = {(r["section"], r["item"], r["metric"]): r["value"] for r in analysis.run_analysis(df, spec).collect()}
+    assert seen.value == 240
+    lost = [i for i in range(240) if i % 11 == 0 or i % 17 > 14 or i % 13 == 0]
+    assert got["validation", "required:lang", "n_failed"] == len(range(0, 240, 11))
+    assert got["validation", "in_range:upper_share", "n_failed"] == sum(i % 17 > 14 for i in range(240))
+    assert got["validation", "has_words", "n_rows"] == 240
+    assert got["profile", "upper_share", "n"] == got["outliers:n_words", "all", "n_rows"] == 240 - len(lost)
+
+
+def test_document_features_of_odd_texts(spark, scratch):
+    texts = ["", None, "ABC", "a\U0001F600B\n9!?.", "\u00c9 \u0661 1", "x" * 70000 + "Q"]
+    spark.createDataFrame([(i, t, "en", "s", 0 if t is None else len(t)) for i, t in enumerate(texts)],
+                          "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{scratch}/documents.parquet")
+    spark.createDataFrame([(i, 1) for i in range(len(texts))], "doc_id long, quality int").write.parquet(f"{scratch}/labels.parquet")
+    got = {r["doc_id"]: r for r in registry.document_features(spark, scratch).collect()}
+    for i, t in enumerate(texts):
+        for c, of in (("upper_share", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"), ("digit_share", "0123456789"), ("punct_share", "!?.")):
+            assert got[i][c] == (None if t is None else sum(x in of for x in t) / max(len(t), 1)), (i, c)
+
+
 def test_streaming_validation_and_flags(spark, scratch):
     src = os.path.join(scratch, "in")
     os.makedirs(src)

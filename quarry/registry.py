@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import rules
-from .session import ensure_checkpoint_dir
+from .session import ensure_checkpoint_dir, keep
 from .sources import files
 from .operators.joins import join_small
 from .operators import collect, eda, ingest, models, outliers, quantiles, report, sketches, stats, validate
@@ -651,7 +651,7 @@ def q_model_comparison(spark, sf):
 
     The values of the figures are checked by ``model_comparison_values``, the preprocessing by ``fitted_features``.
     """
-    train, test = _parts(document_features(spark, sf))
+    train, test = _parts(keep(document_features(spark, sf)))  # every later pass reads the kept numbers, not the texts
     stages = models.fit_features(train, _NUMERIC_FEATURES, ["lang", "source"])
     got = models.compare_models(train, test, stages, order_key="doc_id", partitions=8)
     c = F.col
@@ -705,7 +705,7 @@ FROM d LEFT JOIN l USING (lang) LEFT JOIN s USING (source), m, v
 """)
 def q_fitted_features(spark, sf):
     """Preprocessing fitted on the training part, as columns of all labelled documents."""
-    data = document_features(spark, sf).select("doc_id", "lang", "source", "n_chars", "upper_share")
+    data = keep(document_features(spark, sf).select("doc_id", "lang", "source", "n_chars", "upper_share"))
     fitted = models.fit_features(_parts(data)[0], ["n_chars", "upper_share"], ["lang", "source"])
     return fitted.columns(data).select("doc_id", _r("n_chars__num", 9).alias("n_chars"), _r("upper_share__num", 9).alias("upper_share"),
                                        F.col("lang__idx").alias("lang"), F.col("source__idx").alias("source"))

@@ -166,6 +166,14 @@ def test_analysis_run_computes_its_input_once(spark):
     assert got["profile", "upper_share", "n"] == got["outliers:n_words", "all", "n_rows"] == 240 - len(lost)
 
 
+@pytest.mark.parametrize("name", ["model_comparison", "fitted_features"])
+def test_model_queries_compute_their_features_once(spark, monkeypatch, name):
+    _, seen = _counted(spark, monkeypatch)
+    monkeypatch.setattr(M, "default_estimators", lambda label="label": {"lr": LogisticRegression(labelCol=label, maxIter=3)})
+    registry.QUERIES[name](spark, "unused").collect()
+    assert seen.value == 240
+
+
 def test_document_features_of_odd_texts(spark, scratch):
     texts = ["", None, "ABC", "a\U0001F600B\n9!?.", "\u00c9 \u0661 1", "x" * 70000 + "Q"]
     spark.createDataFrame([(i, t, "en", "s", 0 if t is None else len(t)) for i, t in enumerate(texts)],
